@@ -9,32 +9,41 @@ from pyspark.sql import functions as F
 
 from viewer_insights import vocab
 from viewer_insights.functions import labels as L
+from viewer_insights.functions.rules import rule_case
 from viewer_insights.functions.text import is_present, normalize_keyword, strip_all_whitespace
 from viewer_insights.operators.search import DEFAULT_LABELS, cat_col, kw_col
+from viewer_insights.operators.sizing import MAX_BROADCAST_ROWS, bounded_broadcast
 
 MANUAL_PRIORITY = 0
 RULE_PRIORITY = 1
 
 
-def merge_dictionary(rule_mapped: DataFrame, manual: DataFrame | None = None) -> DataFrame:
+def dictionary_key(c):
+    """Lookup key used on both sides of a dictionary join."""
+    return normalize_keyword(strip_all_whitespace(c))
+
+
+def merge_dictionary(rule_mapped: DataFrame | None, manual: DataFrame | None = None) -> DataFrame:
     """One category per normalised keyword: manual entries beat rule entries,
     then the smallest category wins (deterministic).  Blank categories and
     ``Unmapped`` rule rows are not entries.
 
     Inputs have ``keyword, category``; output ``keyword, category``.
     """
-    parts = [
-        rule_mapped.filter(F.col("category") != vocab.UNMAPPED).select(
-            "keyword", "category", F.lit(RULE_PRIORITY).alias("priority")
+    parts = []
+    if rule_mapped is not None:
+        parts.append(
+            rule_mapped.filter(F.col("category") != vocab.UNMAPPED).select(
+                "keyword", "category", F.lit(RULE_PRIORITY).alias("priority")
+            )
         )
-    ]
     if manual is not None:
         parts.append(manual.select("keyword", "category", F.lit(MANUAL_PRIORITY).alias("priority")))
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
     cleaned = merged.select(
-        normalize_keyword(strip_all_whitespace(F.col("keyword"))).alias("keyword"),
+        dictionary_key(F.col("keyword")).alias("keyword"),
         strip_all_whitespace(F.col("category")).alias("category"),
         "priority",
     ).filter(is_present(F.col("keyword")) & is_present(F.col("category")))
@@ -66,7 +75,7 @@ def map_categories(
     for lab in labels:
         k, c = f"_kw_{lab}", f"_cat_{lab}"
         look = d.select(F.col("keyword").alias(k), F.col("category").alias(c))
-        out = out.join(look, normalize_keyword(out[kw_col(lab)]) == look[k], "left").drop(k)
+        out = out.join(look, dictionary_key(out[kw_col(lab)]) == look[k], "left").drop(k)
     for lab in labels:
         out = out.withColumn(cat_col(lab), L.month_category(F.col(kw_col(lab)), F.col(f"_cat_{lab}"))).drop(
             f"_cat_{lab}"
@@ -74,6 +83,40 @@ def map_categories(
     return out
 
 
+def categorize_users(
+    users: DataFrame,
+    rules,
+    manual: DataFrame | None = None,
+    labels: Sequence[str] = DEFAULT_LABELS,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """``category_<m>`` for each month without a keyword-dictionary join.
+
+    Same result as ``map_categories(users, merge_dictionary(rule hits, manual))``:
+    a manual entry wins, else the first matching rule, else ``Other``; no
+    keyword gives ``No_Search``.  The rules are evaluated on each user row, so
+    the user table is read once and never shuffled by keyword (a keyword that
+    a third of all users share cannot skew anything).  Only the manual
+    dictionary is joined: broadcast when its row count is within
+    ``max_broadcast_rows``, otherwise a shuffle join.
+    """
+    out = users
+    if manual is not None:
+        d = bounded_broadcast(merge_dictionary(None, manual), max_broadcast_rows)
+        for lab in labels:
+            k, c = f"_kw_{lab}", f"_man_{lab}"
+            look = d.select(F.col("keyword").alias(k), F.col("category").alias(c))
+            out = out.join(look, dictionary_key(out[kw_col(lab)]) == look[k], "left").drop(k)
+    for lab in labels:
+        kw = F.col(kw_col(lab))
+        hit = F.nullif(rule_case(kw, rules), F.lit(vocab.UNMAPPED))
+        looked = F.coalesce(F.col(f"_man_{lab}"), hit) if manual is not None else hit
+        out = out.withColumn(cat_col(lab), L.month_category(kw, looked))
+    if manual is not None:
+        out = out.drop(*[f"_man_{lab}" for lab in labels])
+    return out
+
+
 def with_user_status(df: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
     a, b = labels
     return df.withColumn("user_status", L.user_status(F.col(cat_col(a)), F.col(cat_col(b))))

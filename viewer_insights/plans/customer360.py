@@ -52,6 +52,22 @@ def keyword_categories(users: DataFrame, s: SearchSettings) -> DataFrame:
 
 
 def search_master(log: DataFrame, s: SearchSettings, manual: DataFrame | None = None) -> DataFrame:
+    """Search master from a raw (cleaned or not) multi-month search log.
+
+    Linear plan: two partial aggregations, then per-row rules (and a bounded
+    broadcast of the manual dictionary).  ``search_master_from_users`` is the
+    same from a stored user table.
+    """
+    return search_master_from_users(search_users(log, s), s, manual)
+
+
+def search_master_from_users(users: DataFrame, s: SearchSettings, manual: DataFrame | None = None) -> DataFrame:
+    return enrich.enrich_labels(enrich.categorize_users(users, s.rules, manual, s.labels), s.labels)
+
+
+def search_master_via_dictionary(log: DataFrame, s: SearchSettings, manual: DataFrame | None = None) -> DataFrame:
+    """The original formulation: distinct keywords -> rule dictionary (+ manual)
+    -> lookup join per month.  Same rows as ``search_master``."""
     users = search_users(log, s)
     mapped, _review = search.split_review_queue(keyword_categories(users, s))
     dictionary = enrich.merge_dictionary(mapped, manual)

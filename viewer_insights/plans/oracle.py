@@ -177,6 +177,26 @@ SELECT keyword, category FROM pick WHERE rk = 1"""),
     "preference_change": _q("SELECT user_id, category_t6, category_t7, trending_types FROM master"),
     "journey": _q('SELECT user_id, "Previous" FROM master'),
     "search_master": _q("SELECT * FROM master"),
+    "search_master_via_dictionary": _q("SELECT * FROM master"),
+    "categorize_users": _q(
+        """, manual AS (
+  SELECT ' ' || upper(p_name) || ' ' AS keyword, p_type AS category FROM part WHERE p_size <= 5),
+mnorm AS (
+  SELECT trim(lower(regexp_replace(keyword, '^\\s+|\\s+$', '', 'g'))) AS keyword,
+         regexp_replace(category, '^\\s+|\\s+$', '', 'g') AS category
+  FROM manual),
+mdict AS (
+  SELECT keyword, min(category) AS category FROM mnorm
+  WHERE keyword IS NOT NULL AND trim(keyword) <> '' AND category IS NOT NULL AND trim(category) <> ''
+  GROUP BY keyword)
+SELECT u.user_id, u.most_search_t6, u.cnt_t6, u.most_search_t7, u.cnt_t7,
+       CASE WHEN u.most_search_t6 IS NULL THEN 'No_Search'
+            ELSE COALESCE(m6.category, d6.category, 'Other') END AS category_t6,
+       CASE WHEN u.most_search_t7 IS NULL THEN 'No_Search'
+            ELSE COALESCE(m7.category, d7.category, 'Other') END AS category_t7
+FROM users u
+LEFT JOIN mdict m6 ON m6.keyword = u.most_search_t6 LEFT JOIN dict d6 ON d6.keyword = u.most_search_t6
+LEFT JOIN mdict m7 ON m7.keyword = u.most_search_t7 LEFT JOIN dict d7 ON d7.keyword = u.most_search_t7"""),
     "transition_matrix": _q(f"SELECT category_t6, {_MATRIX_COLS} FROM master GROUP BY category_t6"),
     "map_app_category": _q('SELECT user_id, app, duration, "date", "Type" FROM typed'),
     "clean_viewing_log": _q("SELECT * FROM vclean"),

@@ -167,6 +167,14 @@ def q_search_master(spark, d):
     return _master(spark, d)
 
 
+def q_search_master_via_dictionary(spark, d):
+    return plan.search_master_via_dictionary(dt.search_log(spark, d), SEARCH)
+
+
+def q_categorize_users(spark, d):
+    return enrich.categorize_users(_users(spark, d), SEARCH.rules, _manual(spark, d), LABELS)
+
+
 def q_transition_matrix(spark, d):
     return enrich.transition_matrix(_master(spark, d), MATRIX_CATEGORIES, LABELS)
 
@@ -270,6 +278,8 @@ QUERIES = {
     "preference_change": q_preference_change,
     "journey": q_journey,
     "search_master": q_search_master,
+    "search_master_via_dictionary": q_search_master_via_dictionary,
+    "categorize_users": q_categorize_users,
     "transition_matrix": q_transition_matrix,
     "map_app_category": q_map_app_category,
     "clean_viewing_log": q_clean_viewing_log,

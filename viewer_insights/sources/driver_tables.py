@@ -26,8 +26,23 @@ FIXTURE_HIGH_INTENT = "(gizmo|widget)"
 FIXTURE_GENRE_INTENT = "(ring|rod)"
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The Parquet relation of one benchmark table.
+
+    The relation (schema from the footers and the file listing) is resolved
+    once per session and reused by every query built afterwards; the tables
+    are read-only.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _RELATIONS[key] = df
+    return df
 
 
 def _ntz(s: str):
