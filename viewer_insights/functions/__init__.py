@@ -1,6 +1,6 @@
 """Column-level building blocks (pure ``Column -> Column`` functions)."""
 
-from viewer_insights.functions.labels import journey, month_category, preference_change, user_status
+from viewer_insights.functions.labels import journey_sql, month_category_sql, preference_change_sql, user_status_sql
 from viewer_insights.functions.rules import SAMPLE_RULES, compile_rules, rule_case, rules_from_table
 from viewer_insights.functions.text import is_present, normalize_keyword, not_junk, strip_all_whitespace, word_count
 from viewer_insights.functions.timeparse import english_ampm, parse_log_time
@@ -10,15 +10,15 @@ __all__ = [
     "compile_rules",
     "english_ampm",
     "is_present",
-    "journey",
-    "month_category",
+    "journey_sql",
+    "month_category_sql",
     "normalize_keyword",
     "not_junk",
     "parse_log_time",
-    "preference_change",
+    "preference_change_sql",
     "rule_case",
     "rules_from_table",
     "strip_all_whitespace",
-    "user_status",
+    "user_status_sql",
     "word_count",
 ]

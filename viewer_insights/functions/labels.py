@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from viewer_insights.functions.sqltext import case, ident, string
 from viewer_insights.vocab import (
     CHANGED,
     CHURNED_USER,
@@ -17,24 +15,25 @@ from viewer_insights.vocab import (
 )
 
 
-def month_category(keyword: Column, looked_up: Column) -> Column:
-    """No keyword -> No_Search; keyword without dictionary entry -> Other."""
-    return F.when(keyword.isNull(), F.lit(NO_SEARCH)).otherwise(F.coalesce(looked_up, F.lit(OTHER)))
+def month_category_sql(keyword: str, looked_up_sql: str) -> str:
+    """No keyword -> No_Search; keyword without a category -> Other."""
+    return case([(f"{ident(keyword)} IS NULL", string(NO_SEARCH))], f"coalesce({looked_up_sql}, {string(OTHER)})")
 
 
-def user_status(cat_a: Column, cat_b: Column) -> Column:
+def user_status_sql(cat_a: str, cat_b: str) -> str:
     """New if no month-A search, else Churned if no month-B search, else Retained."""
-    return (
-        F.when(cat_a == NO_SEARCH, F.lit(NEW_USER))
-        .when(cat_b == NO_SEARCH, F.lit(CHURNED_USER))
-        .otherwise(F.lit(RETAINED_USER))
+    return case(
+        [(f"{ident(cat_a)} = {string(NO_SEARCH)}", string(NEW_USER)),
+         (f"{ident(cat_b)} = {string(NO_SEARCH)}", string(CHURNED_USER))],
+        string(RETAINED_USER),
     )
 
 
-def preference_change(cat_a: Column, cat_b: Column) -> Column:
-    return F.when(cat_a == cat_b, F.lit(UNCHANGED)).otherwise(F.lit(CHANGED))
+def preference_change_sql(cat_a: str, cat_b: str) -> str:
+    return case([(f"{ident(cat_a)} = {ident(cat_b)}", string(UNCHANGED))], string(CHANGED))
 
 
-def journey(cat_a: Column, cat_b: Column) -> Column:
+def journey_sql(cat_a: str, cat_b: str) -> str:
     """``A`` when unchanged, else ``A -> B``."""
-    return F.when(cat_a == cat_b, cat_a).otherwise(F.concat(cat_a, F.lit(JOURNEY_ARROW), cat_b))
+    a, b = ident(cat_a), ident(cat_b)
+    return case([(f"{a} = {b}", a)], f"concat({a}, {string(JOURNEY_ARROW)}, {b})")

@@ -13,6 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from viewer_insights.functions.sqltext import case, ident, string
 from viewer_insights.vocab import UNMAPPED
 
 # Upper bound for a rule table read from storage.  The table becomes one
@@ -41,16 +42,15 @@ def compile_rules(rules: Sequence[tuple[str, Sequence[str]]]) -> list[tuple[str,
     return out
 
 
-def rule_case(c: Column, rules: Sequence[tuple[str, Sequence[str]]], default: str = UNMAPPED) -> Column:
-    """CASE WHEN c RLIKE p1 THEN cat1 WHEN ... ELSE default END."""
-    compiled = compile_rules(rules)
-    if not compiled:
-        return F.lit(default)
-    expr = None
-    for category, pattern in compiled:
-        cond = c.rlike(pattern)
-        expr = F.when(cond, category) if expr is None else expr.when(cond, category)
-    return expr.otherwise(default)
+def rule_case_sql(c: str, rules: Sequence[tuple[str, Sequence[str]]], default: str | None = UNMAPPED) -> str:
+    """``CASE WHEN c RLIKE p1 THEN cat1 WHEN ... ELSE default END`` (SQL text)."""
+    d = string(default) if default is not None else None
+    return case(((f"{ident(c)} RLIKE {string(p)}", string(cat)) for cat, p in compile_rules(rules)), d)
+
+
+def rule_case(c: str, rules: Sequence[tuple[str, Sequence[str]]], default: str = UNMAPPED) -> Column:
+    """First matching rule's category for column ``c``, else ``default``."""
+    return F.expr(rule_case_sql(c, rules, default))
 
 
 def rules_from_table(table: DataFrame, max_phrases: int = MAX_RULE_PHRASES):

@@ -1,33 +1,59 @@
-"""Column expressions for keyword text."""
+"""Keyword-text expressions (SQL text builders and their Column forms)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from viewer_insights.functions.sqltext import ident, string
 from viewer_insights.vocab import JUNK_DIGITS_PATTERN, JUNK_MIN_LENGTH
 
+WHITESPACE_EDGES = r"^\s+|\s+$"
 
-def is_present(c: Column) -> Column:
+
+def is_present_sql(c: str) -> str:
     """Not NULL and not blank (blank = only spaces, as Spark ``trim``)."""
-    return c.isNotNull() & (F.trim(c) != "")
+    return f"({ident(c)} IS NOT NULL AND trim({ident(c)}) <> '')"
 
 
-def normalize_keyword(c: Column) -> Column:
+def normalize_keyword_sql(c_sql: str) -> str:
     """``trim(lower(c))`` - the key used for counting and dictionary lookup."""
-    return F.trim(F.lower(c))
+    return f"trim(lower({c_sql}))"
 
 
-def strip_all_whitespace(c: Column) -> Column:
+def strip_all_whitespace_sql(c_sql: str) -> str:
     """Remove leading/trailing white space of any kind (tabs, newlines too)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return f"regexp_replace({c_sql}, {string(WHITESPACE_EDGES)}, '')"
 
 
-def not_junk(c: Column) -> Column:
+def not_junk_sql(c: str) -> str:
     """NULL-tolerant junk test: keep NULL, drop 1-char and long digit runs."""
-    return c.isNull() | ((F.length(c) >= JUNK_MIN_LENGTH) & ~c.rlike(JUNK_DIGITS_PATTERN))
+    q = ident(c)
+    return (f"({q} IS NULL OR (length({q}) >= {JUNK_MIN_LENGTH} "
+            f"AND NOT {q} RLIKE {string(JUNK_DIGITS_PATTERN)}))")
 
 
-def word_count(c: Column) -> Column:
+def word_count_sql(c: str) -> str:
     """Words split on single blanks (``'a  b'`` counts 3); NULL for NULL."""
-    return F.when(c.isNotNull(), F.size(F.split(c, " ")))
+    q = ident(c)
+    return f"CASE WHEN {q} IS NOT NULL THEN size(split({q}, ' ')) END"
+
+
+def is_present(c: str) -> Column:
+    return F.expr(is_present_sql(c))
+
+
+def normalize_keyword(c: str) -> Column:
+    return F.expr(normalize_keyword_sql(ident(c)))
+
+
+def strip_all_whitespace(c: str) -> Column:
+    return F.expr(strip_all_whitespace_sql(ident(c)))
+
+
+def not_junk(c: str) -> Column:
+    return F.expr(not_junk_sql(c))
+
+
+def word_count(c: str) -> Column:
+    return F.expr(word_count_sql(c))

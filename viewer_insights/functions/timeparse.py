@@ -5,27 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from viewer_insights.functions.sqltext import ident, string
 from viewer_insights.vocab import AMPM_MARKERS, TIMESTAMP_FORMATS
 
 
-def english_ampm(text: Column) -> Column:
+def english_ampm_sql(text_sql: str) -> str:
     """Replace the Vietnamese AM/PM markers by their English form."""
-    out = text
+    out = text_sql
     for marker, english in AMPM_MARKERS.items():
-        out = F.regexp_replace(out, marker, english)
+        out = f"regexp_replace({out}, {string(marker)}, {string(english)})"
     return out
 
 
-def parse_log_time(text: Column, formats=TIMESTAMP_FORMATS) -> Column:
+def parse_log_time_sql(text_col: str, formats=TIMESTAMP_FORMATS) -> str:
     """First successful parse among ``formats`` (in order); NULL if none.
 
     ``try_to_timestamp`` returns NULL instead of raising under ANSI mode, so
     a single bad row never fails the job.  ``None`` in ``formats`` means
-    Spark's default cast rules (ISO forms, date only, fractions).
+    Spark's default cast rules (ISO forms, date only, fractions).  The shared
+    AM/PM rewrite is evaluated once per row (common-subexpression
+    elimination).
     """
-    s = english_ampm(text)
-    attempts = [
-        F.try_to_timestamp(s) if fmt is None else F.try_to_timestamp(s, F.lit(fmt))
-        for fmt in formats
-    ]
-    return F.coalesce(*attempts)
+    s = english_ampm_sql(ident(text_col))
+    attempts = [f"try_to_timestamp({s})" if fmt is None else f"try_to_timestamp({s}, {string(fmt)})"
+                for fmt in formats]
+    return f"coalesce({', '.join(attempts)})"
+
+
+def english_ampm(text_col: str) -> Column:
+    return F.expr(english_ampm_sql(ident(text_col)))
+
+
+def parse_log_time(text_col: str, formats=TIMESTAMP_FORMATS) -> Column:
+    return F.expr(parse_log_time_sql(text_col, formats))

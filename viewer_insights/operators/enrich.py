@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from viewer_insights import vocab
 from viewer_insights.functions import labels as L
-from viewer_insights.functions.rules import rule_case
-from viewer_insights.functions.text import is_present, normalize_keyword, strip_all_whitespace
+from viewer_insights.functions.rules import rule_case_sql
+from viewer_insights.functions.sqltext import ident, string
+from viewer_insights.functions.text import is_present_sql, normalize_keyword_sql, strip_all_whitespace_sql
 from viewer_insights.operators.search import DEFAULT_LABELS, cat_col, kw_col
 from viewer_insights.operators.sizing import MAX_BROADCAST_ROWS, bounded_broadcast
 
@@ -18,9 +19,9 @@ MANUAL_PRIORITY = 0
 RULE_PRIORITY = 1
 
 
-def dictionary_key(c):
+def dictionary_key_sql(c: str) -> str:
     """Lookup key used on both sides of a dictionary join."""
-    return normalize_keyword(strip_all_whitespace(c))
+    return normalize_keyword_sql(strip_all_whitespace_sql(ident(c)))
 
 
 def merge_dictionary(rule_mapped: DataFrame | None, manual: DataFrame | None = None) -> DataFrame:
@@ -32,25 +33,21 @@ def merge_dictionary(rule_mapped: DataFrame | None, manual: DataFrame | None = N
     """
     parts = []
     if rule_mapped is not None:
-        parts.append(
-            rule_mapped.filter(F.col("category") != vocab.UNMAPPED).select(
-                "keyword", "category", F.lit(RULE_PRIORITY).alias("priority")
-            )
-        )
+        parts.append(rule_mapped.filter(F.expr(f"category <> {string(vocab.UNMAPPED)}")).selectExpr(
+            "keyword", "category", f"{RULE_PRIORITY} AS priority"))
     if manual is not None:
-        parts.append(manual.select("keyword", "category", F.lit(MANUAL_PRIORITY).alias("priority")))
+        parts.append(manual.selectExpr("keyword", "category", f"{MANUAL_PRIORITY} AS priority"))
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
-    cleaned = merged.select(
-        dictionary_key(F.col("keyword")).alias("keyword"),
-        strip_all_whitespace(F.col("category")).alias("category"),
+    cleaned = merged.selectExpr(
+        f"{dictionary_key_sql('keyword')} AS keyword",
+        f"{strip_all_whitespace_sql('category')} AS category",
         "priority",
-    ).filter(is_present(F.col("keyword")) & is_present(F.col("category")))
+    ).filter(F.expr(f"{is_present_sql('keyword')} AND {is_present_sql('category')}"))
     # min(struct) is combined map-side; no window over a possibly hot key.
-    return cleaned.groupBy("keyword").agg(F.min(F.struct("priority", "category")).alias("_w")).select(
-        "keyword", F.col("_w.category").alias("category")
-    )
+    return cleaned.groupBy("keyword").agg(F.expr("min(struct(priority, category)) AS _w")).selectExpr(
+        "keyword", "_w.category AS category")
 
 
 def map_categories(
@@ -71,16 +68,19 @@ def map_categories(
     d = dictionary.select("keyword", "category")
     if broadcast:
         d = F.broadcast(d)
+    return _lookup_months(users, d, labels, "_cat_", lambda lab: f"_cat_{lab}")
+
+
+def _lookup_months(users: DataFrame, d: DataFrame, labels, prefix: str, looked_up) -> DataFrame:
+    """Left-join ``d`` once per month on the month's keyword, then label."""
     out = users
     for lab in labels:
-        k, c = f"_kw_{lab}", f"_cat_{lab}"
-        look = d.select(F.col("keyword").alias(k), F.col("category").alias(c))
-        out = out.join(look, dictionary_key(out[kw_col(lab)]) == look[k], "left").drop(k)
-    for lab in labels:
-        out = out.withColumn(cat_col(lab), L.month_category(F.col(kw_col(lab)), F.col(f"_cat_{lab}"))).drop(
-            f"_cat_{lab}"
-        )
-    return out
+        k = f"_kw_{lab}"
+        look = d.selectExpr(f"keyword AS {k}", f"category AS {prefix}{lab}")
+        out = out.join(look, F.expr(f"{dictionary_key_sql(kw_col(lab))} = {k}"), "left").drop(k)
+    return out.withColumns({
+        cat_col(lab): F.expr(L.month_category_sql(kw_col(lab), looked_up(lab))) for lab in labels
+    }).drop(*[f"{prefix}{lab}" for lab in labels])
 
 
 def categorize_users(
@@ -100,44 +100,42 @@ def categorize_users(
     dictionary is joined: broadcast when its row count is within
     ``max_broadcast_rows``, otherwise a shuffle join.
     """
-    out = users
-    if manual is not None:
-        d = bounded_broadcast(merge_dictionary(None, manual), max_broadcast_rows)
-        for lab in labels:
-            k, c = f"_kw_{lab}", f"_man_{lab}"
-            look = d.select(F.col("keyword").alias(k), F.col("category").alias(c))
-            out = out.join(look, dictionary_key(out[kw_col(lab)]) == look[k], "left").drop(k)
-    for lab in labels:
-        kw = F.col(kw_col(lab))
-        hit = F.nullif(rule_case(kw, rules), F.lit(vocab.UNMAPPED))
-        looked = F.coalesce(F.col(f"_man_{lab}"), hit) if manual is not None else hit
-        out = out.withColumn(cat_col(lab), L.month_category(kw, looked))
-    if manual is not None:
-        out = out.drop(*[f"_man_{lab}" for lab in labels])
-    return out
+    def looked_up(lab: str) -> str:
+        hit = rule_case_sql(kw_col(lab), rules, default=None)
+        return f"coalesce(_man_{lab}, {hit})" if manual is not None else hit
+
+    if manual is None:
+        return users.withColumns({
+            cat_col(lab): F.expr(L.month_category_sql(kw_col(lab), looked_up(lab))) for lab in labels
+        })
+    d = bounded_broadcast(merge_dictionary(None, manual), max_broadcast_rows)
+    return _lookup_months(users, d, labels, "_man_", looked_up)
 
 
 def with_user_status(df: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
     a, b = labels
-    return df.withColumn("user_status", L.user_status(F.col(cat_col(a)), F.col(cat_col(b))))
+    return df.withColumn("user_status", F.expr(L.user_status_sql(cat_col(a), cat_col(b))))
 
 
 def with_preference_change(df: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
     a, b = labels
-    return df.withColumn("trending_types", L.preference_change(F.col(cat_col(a)), F.col(cat_col(b))))
+    return df.withColumn("trending_types", F.expr(L.preference_change_sql(cat_col(a), cat_col(b))))
 
 
 def with_journey(df: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
     a, b = labels
-    return df.withColumn("Previous", L.journey(F.col(cat_col(a)), F.col(cat_col(b))))
+    return df.withColumn("Previous", F.expr(L.journey_sql(cat_col(a), cat_col(b))))
 
 
 def enrich_labels(categorized: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
     """Search master: user, keywords, categories, status, change, journey."""
     a, b = labels
-    out = with_journey(with_preference_change(with_user_status(categorized, labels), labels), labels)
-    return out.select(
-        "user_id", kw_col(a), cat_col(a), kw_col(b), cat_col(b), "user_status", "trending_types", "Previous"
+    ca, cb = cat_col(a), cat_col(b)
+    return categorized.selectExpr(
+        "user_id", ident(kw_col(a)), ident(ca), ident(kw_col(b)), ident(cb),
+        f"{L.user_status_sql(ca, cb)} AS user_status",
+        f"{L.preference_change_sql(ca, cb)} AS trending_types",
+        f"{L.journey_sql(ca, cb)} AS Previous",
     )
 
 

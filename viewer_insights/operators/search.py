@@ -15,7 +15,8 @@ from pyspark.sql.types import TimestampNTZType
 
 from viewer_insights import vocab
 from viewer_insights.functions.rules import rule_case
-from viewer_insights.functions.text import is_present, normalize_keyword, not_junk, word_count
+from viewer_insights.functions.sqltext import case, ident, in_list, string
+from viewer_insights.functions.text import is_present_sql, normalize_keyword_sql, not_junk_sql, word_count_sql
 from viewer_insights.functions.timeparse import parse_log_time
 
 DEFAULT_LABELS = ("t6", "t7")
@@ -39,13 +40,13 @@ def cat_col(label: str) -> str:
 
 def normalize_log_time(df: DataFrame, text_col: str = "datetime", out_col: str = "ts") -> DataFrame:
     """Add ``out_col``: the first of the fixed formats that parses ``text_col``."""
-    return df.withColumn(out_col, parse_log_time(F.col(text_col)))
+    return df.withColumn(out_col, parse_log_time(text_col))
 
 
 def clean_search_log(df: DataFrame, user_col: str = "user_id", keyword_col: str = "keyword") -> DataFrame:
     """Drop rows with a NULL/blank user or keyword; keyword := trim(lower(keyword))."""
-    return df.filter(is_present(F.col(user_col)) & is_present(F.col(keyword_col))).withColumn(
-        keyword_col, normalize_keyword(F.col(keyword_col))
+    return df.filter(F.expr(f"{is_present_sql(user_col)} AND {is_present_sql(keyword_col)}")).withColumn(
+        keyword_col, F.expr(normalize_keyword_sql(ident(keyword_col)))
     )
 
 
@@ -53,26 +54,21 @@ def clean_search_log(df: DataFrame, user_col: str = "user_id", keyword_col: str
 # B3, B4: top keyword per user and month
 # ---------------------------------------------------------------------------
 
-def _rank_key(df: DataFrame, count_col: str, last_seen_col: str, keyword_col: str) -> Column:
+def _rank_key_sql(ts_type) -> str:
     """Struct whose *minimum* is the winning keyword of a user.
 
     Order: count desc, last_seen desc with NULL last, keyword asc.  ``min`` of
     a struct is an algebraic aggregate, so Spark combines it map-side: a user
     with very many rows never has to be gathered whole into one task.
     """
-    ts_type = df.schema[last_seen_col].dataType
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz" if isinstance(ts_type, TimestampNTZType) else "timestamp")
-    return F.struct(
-        (-F.col(count_col)).alias("neg_count"),
-        F.col(last_seen_col).isNull().alias("no_time"),
-        (-(F.col(last_seen_col) - epoch)).alias("neg_time"),
-        F.col(keyword_col).alias("keyword"),
-    )
+    epoch = "TIMESTAMP_NTZ '1970-01-01'" if isinstance(ts_type, TimestampNTZType) else "TIMESTAMP '1970-01-01 00:00:00Z'"
+    return (f"struct(-n AS neg_count, last_seen IS NULL AS no_time, -(last_seen - {epoch}) AS neg_time, "
+            f"keyword AS keyword)")
 
 
 def keyword_counts(df: DataFrame, keys: Sequence[str] = ("user_id",)) -> DataFrame:
     """(keys, keyword) -> number of searches and latest search time."""
-    return df.groupBy(*keys, "keyword").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_seen"))
+    return df.groupBy(*keys, "keyword").agg(F.expr("count(1) AS n"), F.expr("max(ts) AS last_seen"))
 
 
 def top_keyword(df: DataFrame, label: str) -> DataFrame:
@@ -80,12 +76,11 @@ def top_keyword(df: DataFrame, label: str) -> DataFrame:
 
     Returns ``user_id, most_search_<label>, cnt_<label>``.
     """
-    counts = keyword_counts(df)
-    best = counts.groupBy("user_id").agg(
-        F.min(_rank_key(counts, "n", "last_seen", "keyword")).alias("_best"),
-        F.sum("n").alias(cnt_col(label)),
+    best = keyword_counts(df).groupBy("user_id").agg(
+        F.expr(f"min({_rank_key_sql(df.schema['ts'].dataType)}) AS _best"),
+        F.expr(f"sum(n) AS {ident(cnt_col(label))}"),
     )
-    return best.select("user_id", F.col("_best.keyword").alias(kw_col(label)), cnt_col(label))
+    return best.selectExpr("user_id", f"_best.keyword AS {ident(kw_col(label))}", ident(cnt_col(label)))
 
 
 def month_over_month(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -100,34 +95,40 @@ def monthly_top_keywords(df: DataFrame, labels: Sequence[str] = DEFAULT_LABELS,
     A user appears when they searched in at least one of ``labels``; a month
     without searches gives NULL keyword and NULL count, as the outer join does.
     """
-    counts = keyword_counts(df.filter(F.col(period_col).isin(list(labels))), keys=("user_id", period_col))
-    key = _rank_key(counts, "n", "last_seen", "keyword")
+    p = ident(period_col)
+    counts = keyword_counts(df.filter(F.expr(in_list(p, list(labels)))), keys=("user_id", period_col))
+    key = _rank_key_sql(df.schema["ts"].dataType)
     aggs = []
     for lab in labels:
-        in_month = F.col(period_col) == lab
-        aggs.append(F.min(F.when(in_month, key)).alias(f"_best_{lab}"))
-        aggs.append(F.sum(F.when(in_month, F.col("n"))).alias(cnt_col(lab)))
+        in_month = f"{p} = {string(lab)}"
+        aggs.append(F.expr(f"min(CASE WHEN {in_month} THEN {key} END) AS {ident('_best_' + lab)}"))
+        aggs.append(F.expr(f"sum(CASE WHEN {in_month} THEN n END) AS {ident(cnt_col(lab))}"))
     per_user = counts.groupBy("user_id").agg(*aggs)
     cols = ["user_id"]
     for lab in labels:
-        cols += [F.col(f"_best_{lab}.keyword").alias(kw_col(lab)), F.col(cnt_col(lab))]
-    return per_user.select(*cols)
+        cols += [f"{ident('_best_' + lab)}.keyword AS {ident(kw_col(lab))}", ident(cnt_col(lab))]
+    return per_user.selectExpr(*cols)
 
 
 # ---------------------------------------------------------------------------
 # B5, B6: scoring and top users
 # ---------------------------------------------------------------------------
 
-def intent_multiplier(keyword: Column, high_pattern: str, genre_pattern: str) -> Column:
-    wc = word_count(keyword)
-    return (
-        F.when(keyword.rlike(high_pattern), F.lit(vocab.MULTIPLIER_HIGH_INTENT))
-        .when(keyword.rlike(genre_pattern), F.lit(vocab.MULTIPLIER_GENRE_INTENT))
-        .when(wc.between(vocab.TITLE_MIN_WORDS, vocab.TITLE_MAX_WORDS), F.lit(vocab.MULTIPLIER_TITLE_LIKE))
-        .otherwise(F.lit(vocab.MULTIPLIER_DEFAULT))
+def intent_multiplier_sql(keyword: str, high_pattern: str, genre_pattern: str) -> str:
+    k = ident(keyword)
+    return case(
+        [(f"{k} RLIKE {string(high_pattern)}", f"{vocab.MULTIPLIER_HIGH_INTENT!r}D"),
+         (f"{k} RLIKE {string(genre_pattern)}", f"{vocab.MULTIPLIER_GENRE_INTENT!r}D"),
+         (f"{word_count_sql(keyword)} BETWEEN {vocab.TITLE_MIN_WORDS} AND {vocab.TITLE_MAX_WORDS}",
+          f"{vocab.MULTIPLIER_TITLE_LIKE!r}D")],
+        f"{vocab.MULTIPLIER_DEFAULT!r}D",
     )
 
 
+def intent_multiplier(keyword: str, high_pattern: str, genre_pattern: str) -> Column:
+    return F.expr(intent_multiplier_sql(keyword, high_pattern, genre_pattern))
+
+
 def score_users(
     users: DataFrame,
     labels: Sequence[str] = DEFAULT_LABELS,
@@ -140,19 +141,18 @@ def score_users(
     ``movie_score = base * multiplier(month-B keyword)``.
     """
     a, b = labels
-    kb = F.col(kw_col(b))
-    cnt_a, cnt_b = F.col(cnt_col(a)), F.col(cnt_col(b))
-    base = (
-        F.coalesce(cnt_b, F.lit(0)) * vocab.WEIGHT_MONTH_B
-        + F.coalesce(cnt_a, F.lit(0)) * vocab.WEIGHT_MONTH_A
-        + F.when((cnt_a > 0) & (cnt_b > 0), F.lit(vocab.BOTH_MONTHS_BONUS)).otherwise(F.lit(0))
-    )
+    kb = kw_col(b)
+    ca, cb = ident(cnt_col(a)), ident(cnt_col(b))
+    base = (f"CAST(coalesce({cb}, 0) * {vocab.WEIGHT_MONTH_B!r}D + coalesce({ca}, 0) * {vocab.WEIGHT_MONTH_A!r}D"
+            f" + CASE WHEN {ca} > 0 AND {cb} > 0 THEN {vocab.BOTH_MONTHS_BONUS} ELSE 0 END AS DOUBLE)")
     return (
-        users.filter(not_junk(kb))
-        .withColumn("word_count", word_count(kb))
-        .withColumn("intent_multiplier", intent_multiplier(kb, high_pattern, genre_pattern))
-        .withColumn("base_score", base.cast("double"))
-        .withColumn("movie_score", F.col("base_score") * F.col("intent_multiplier"))
+        users.filter(F.expr(not_junk_sql(kb)))
+        .withColumns({
+            "word_count": F.expr(word_count_sql(kb)),
+            "intent_multiplier": F.expr(intent_multiplier_sql(kb, high_pattern, genre_pattern)),
+            "base_score": F.expr(base),
+        })
+        .withColumn("movie_score", F.expr("base_score * intent_multiplier"))
     )
 
 
@@ -172,22 +172,19 @@ def top_users(scored: DataFrame, n: int = vocab.TOP_USERS_N, labels: Sequence[st
 
 def distinct_keywords(users: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
     """Distinct non-NULL keywords over the months' keyword columns (one scan)."""
-    return (
-        users.select(F.explode(F.array(*[F.col(kw_col(lab)) for lab in labels])).alias("keyword"))
-        .filter(F.col("keyword").isNotNull())
-        .distinct()
-    )
+    arr = ", ".join(ident(kw_col(lab)) for lab in labels)
+    return users.selectExpr(f"explode(array({arr})) AS keyword").filter("keyword IS NOT NULL").distinct()
 
 
 def categorize(keywords: DataFrame, rules, keyword_col: str = "keyword") -> DataFrame:
     """Add ``category``: first matching rule in rule order, else ``Unmapped``."""
-    return keywords.withColumn("category", rule_case(F.col(keyword_col), rules))
+    return keywords.withColumn("category", rule_case(keyword_col, rules))
 
 
 def split_review_queue(categorized: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(mapped, review): the review queue carries ``family`` = the keyword itself."""
-    mapped = categorized.filter(F.col("category") != vocab.UNMAPPED)
-    review = categorized.filter(F.col("category") == vocab.UNMAPPED).select(
-        "keyword", F.col("keyword").alias("family"), "category"
+    mapped = categorized.filter(F.expr(f"category <> {string(vocab.UNMAPPED)}"))
+    review = categorized.filter(F.expr(f"category = {string(vocab.UNMAPPED)}")).selectExpr(
+        "keyword", "keyword AS family", "category"
     )
     return mapped, review

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewer_insights import vocab
+from viewer_insights.functions.sqltext import case, ident, in_list, string
 
 
 def total_col(category: str, column_names: Mapping[str, str] | None = None) -> str:
@@ -19,46 +20,46 @@ def total_col(category: str, column_names: Mapping[str, str] | None = None) -> s
     return f"Total_{suffix}"
 
 
-def app_category(app: Column, mapping: Mapping[str, str] = vocab.APP_CATEGORY_MAP) -> Column:
+def app_category_sql(app_col: str, mapping: Mapping[str, str] = vocab.APP_CATEGORY_MAP) -> str:
     """CASE on the (case-sensitive) application code; unknown -> ``Other``."""
     by_cat: dict[str, list[str]] = {}
     for code, cat in mapping.items():
         by_cat.setdefault(cat, []).append(code)
-    expr = None
-    for cat, codes in by_cat.items():
-        cond = app.isin(codes)
-        expr = F.when(cond, F.lit(cat)) if expr is None else expr.when(cond, F.lit(cat))
-    return expr.otherwise(F.lit(vocab.OTHER))
+    return case(((in_list(ident(app_col), codes), string(cat)) for cat, codes in by_cat.items()),
+                string(vocab.OTHER))
+
+
+def app_category(app_col: str, mapping: Mapping[str, str] = vocab.APP_CATEGORY_MAP) -> Column:
+    return F.expr(app_category_sql(app_col, mapping))
 
 
 def map_app_category(df: DataFrame, mapping: Mapping[str, str] = vocab.APP_CATEGORY_MAP, app_col: str = "app") -> DataFrame:
-    return df.withColumn("Type", app_category(F.col(app_col), mapping))
+    return df.withColumn("Type", app_category(app_col, mapping))
 
 
 def clean_viewing_log(df: DataFrame) -> DataFrame:
-    """Keep positive durations of a known category for valid account ids."""
-    return df.filter(
-        (F.col("duration") > 0)
-        & (F.col("Type") != vocab.OTHER)
-        & F.col("user_id").rlike(vocab.VALID_ACCOUNT_PATTERN)
-    )
+    """Keep positive durations of a known category for valid account ids
+    (NULL duration or id fails the test)."""
+    return df.filter(F.expr(
+        f"duration > 0 AND `Type` <> {string(vocab.OTHER)} AND user_id RLIKE {string(vocab.VALID_ACCOUNT_PATTERN)}"
+    ))
 
 
-def active_expr(distinct_days: Column, days: int = vocab.DAYS_PER_MONTH) -> Column:
-    return F.round(distinct_days / F.lit(days) * 100, 2)
+def active_sql(days: int = vocab.DAYS_PER_MONTH) -> str:
+    """Distinct non-NULL days over ``days``, in percent, 2 decimals."""
+    return f"round(count(DISTINCT `date`) / {int(days)} * 100, 2)"
 
 
 def active_ratio(df: DataFrame, days: int = vocab.DAYS_PER_MONTH) -> DataFrame:
     """``Active = round(distinct non-NULL days / days * 100, 2)`` per user."""
-    return df.groupBy("user_id").agg(active_expr(F.countDistinct("date"), days).alias("Active"))
+    return df.groupBy("user_id").agg(F.expr(f"{active_sql(days)} AS Active"))
 
 
 def _total_aggs(categories: Sequence[str], column_names) -> list[Column]:
     # Conditional sums = a pivot with a fixed value list, in one hash aggregate.
     return [
-        F.coalesce(F.sum(F.when(F.col("Type") == c, F.col("duration"))), F.lit(0)).cast("long").alias(
-            total_col(c, column_names)
-        )
+        F.expr(f"CAST(coalesce(sum(CASE WHEN `Type` = {string(c)} THEN duration END), 0) AS BIGINT) "
+               f"AS {ident(total_col(c, column_names))}")
         for c in categories
     ]
 
@@ -70,28 +71,28 @@ def watch_totals(
     return df.groupBy("user_id").agg(*_total_aggs(categories, column_names))
 
 
-def most_watched_expr(totals: Sequence[Column], categories: Sequence[str]) -> Column:
+def most_watched_sql(totals: Sequence[str], categories: Sequence[str]) -> str:
     """Category with the greatest total; ties -> first in list order; all 0 -> None."""
-    top = F.greatest(*totals)
-    expr = F.when(top == 0, F.lit(vocab.NO_VIEWING))
-    for t, c in zip(totals, categories):
-        expr = expr.when(top == t, F.lit(c))
-    return expr.otherwise(F.lit(vocab.MIXED))
+    top = f"greatest({', '.join(ident(t) for t in totals)})"
+    branches = [(f"{top} = 0", string(vocab.NO_VIEWING))]
+    branches += [(f"{top} = {ident(t)}", string(c)) for t, c in zip(totals, categories)]
+    return case(branches, string(vocab.MIXED))
 
 
-def taste_expr(totals: Sequence[Column], categories: Sequence[str]) -> Column:
+def taste_sql(totals: Sequence[str], categories: Sequence[str]) -> str:
     """Categories with a positive total, in list order, joined by `` - ``."""
-    return F.concat_ws(vocab.TASTE_SEPARATOR, *[F.when(t > 0, F.lit(c)) for t, c in zip(totals, categories)])
+    parts = ", ".join(f"CASE WHEN {ident(t)} > 0 THEN {string(c)} END" for t, c in zip(totals, categories))
+    return f"concat_ws({string(vocab.TASTE_SEPARATOR)}, {parts})"
 
 
 def with_most_watched(df, categories=vocab.VIEW_CATEGORIES, column_names=vocab.VIEW_CATEGORY_COLUMNS) -> DataFrame:
-    totals = [F.col(total_col(c, column_names)) for c in categories]
-    return df.withColumn("MostWatch", most_watched_expr(totals, categories))
+    totals = [total_col(c, column_names) for c in categories]
+    return df.withColumn("MostWatch", F.expr(most_watched_sql(totals, categories)))
 
 
 def with_taste(df, categories=vocab.VIEW_CATEGORIES, column_names=vocab.VIEW_CATEGORY_COLUMNS) -> DataFrame:
-    totals = [F.col(total_col(c, column_names)) for c in categories]
-    return df.withColumn("Taste", taste_expr(totals, categories))
+    totals = [total_col(c, column_names) for c in categories]
+    return df.withColumn("Taste", F.expr(taste_sql(totals, categories)))
 
 
 def viewing_profile(
@@ -105,15 +106,13 @@ def viewing_profile(
     Totals and distinct active days come from ONE aggregate per user, so the
     cleaned log is scanned and shuffled once and no join is needed.
     """
-    prof = df.groupBy("user_id").agg(
-        *_total_aggs(categories, column_names), active_expr(F.countDistinct("date"), days).alias("Active")
-    )
-    totals = [F.col(total_col(c, column_names)) for c in categories]
-    return prof.select(
+    prof = df.groupBy("user_id").agg(*_total_aggs(categories, column_names), F.expr(f"{active_sql(days)} AS Active"))
+    totals = [total_col(c, column_names) for c in categories]
+    return prof.selectExpr(
         "user_id",
-        *totals,
-        most_watched_expr(totals, categories).alias("MostWatch"),
-        taste_expr(totals, categories).alias("Taste"),
+        *[ident(t) for t in totals],
+        f"{most_watched_sql(totals, categories)} AS MostWatch",
+        f"{taste_sql(totals, categories)} AS Taste",
         "Active",
     )
 

@@ -45,10 +45,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def _ntz(s: str):
-    return F.lit(s).cast("timestamp_ntz")
-
-
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id STRING, keyword STRING, ts TIMESTAMP_NTZ, period STRING``.
 
@@ -56,38 +52,32 @@ def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     pushed into the ``orders`` scan; only the join keys and three payload
     columns are read.
     """
-    orders = (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate")
-        .filter((F.col("o_orderdate") >= _ntz(SEARCH_START)) & (F.col("o_orderdate") < _ntz(SEARCH_END)))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate").filter(
+        f"o_orderdate >= TIMESTAMP_NTZ '{SEARCH_START}' AND o_orderdate < TIMESTAMP_NTZ '{SEARCH_END}'"
     )
     lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    joined = orders.join(lineitem, orders.o_orderkey == lineitem.l_orderkey).join(
-        part, lineitem.l_partkey == part.p_partkey
-    )
-    return joined.select(
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("p_name").alias("keyword"),
-        F.col("o_orderdate").alias("ts"),
-        F.when(F.col("o_orderdate") < _ntz(SEARCH_SPLIT), F.lit("t6")).otherwise(F.lit("t7")).alias("period"),
+    joined = orders.join(lineitem, F.expr("o_orderkey = l_orderkey")).join(part, F.expr("l_partkey = p_partkey"))
+    return joined.selectExpr(
+        "CAST(o_custkey AS STRING) AS user_id",
+        "p_name AS keyword",
+        "o_orderdate AS ts",
+        f"CASE WHEN o_orderdate < TIMESTAMP_NTZ '{SEARCH_SPLIT}' THEN 't6' ELSE 't7' END AS period",
     )
 
 
 def search_month(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     """One month of the search log (the shape of one monthly folder)."""
-    return search_log(spark, sf_dir).filter(F.col("period") == label).drop("period")
+    return search_log(spark, sf_dir).filter(F.expr(f"period = '{label}'")).drop("period")
 
 
 def viewing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id STRING, app STRING, duration BIGINT, date DATE`` - the flattened
     viewing-log shape (``Contract, AppName, TotalDuration`` + file date)."""
-    ev = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value").filter(
-        F.col("ts") < _ntz(VIEW_END)
-    )
-    return ev.select(
-        F.col("user_id").cast("string").alias("user_id"),
-        F.col("event_type").alias("app"),
-        F.floor("value").cast("long").alias("duration"),
-        F.col("ts").cast("date").alias("date"),
+    ev = table(spark, sf_dir, "events").filter(F.expr(f"ts < TIMESTAMP_NTZ '{VIEW_END}'"))
+    return ev.selectExpr(
+        "CAST(user_id AS STRING) AS user_id",
+        "event_type AS app",
+        "CAST(floor(value) AS BIGINT) AS duration",
+        "CAST(ts AS DATE) AS date",
     )

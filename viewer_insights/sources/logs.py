@@ -50,14 +50,14 @@ def read_search_log(spark: SparkSession, base: str, months: Mapping[str, str]) -
     for label, yyyymm in months.items():
         cond = folder_month == yyyymm
         period = F.when(cond, F.lit(label)) if period is None else period.when(cond, F.lit(label))
-    return raw.select("user_id", "keyword", "datetime", parse_log_time(F.col("datetime")).alias("ts"),
+    return raw.select("user_id", "keyword", "datetime", parse_log_time("datetime").alias("ts"),
                       period.alias("period"))
 
 
 def read_search_month(spark: SparkSession, base: str, yyyymm: str) -> DataFrame:
     """One month: ``user_id, keyword, datetime, ts``."""
     raw = spark.read.schema(SEARCH_SCHEMA).parquet(f"{base.rstrip('/')}/{yyyymm}*/*.parquet")
-    return raw.select("user_id", "keyword", "datetime", parse_log_time(F.col("datetime")).alias("ts"))
+    return raw.select("user_id", "keyword", "datetime", parse_log_time("datetime").alias("ts"))
 
 
 def file_date(file_name_col) -> F.Column:
