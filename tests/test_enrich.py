@@ -60,3 +60,30 @@ def test_transition_matrix_cells_sum_to_users(spark):
     got = {r["category_t6"]: tuple(r)[1:] for r in m.collect()}
     assert got == {"A": (1, 2, 0, 0), "No_Search": (1, 0, 0, 0)}
     assert sum(sum(v) for v in got.values()) == master.count()
+
+
+def test_hot_keyword_lookup_is_salted(spark):
+    # 3000 users, a third share one keyword; the dictionary is joined with a
+    # salt so the hot keyword's users do not meet in one task
+    data = [(str(i), "hot kw" if i % 3 == 0 else f"kw {i}", None) for i in range(3000)]
+    users = spark.createDataFrame(data, USERS)
+    d = spark.createDataFrame([("hot kw", "Hot")] + [(f"kw {i}", "Cold") for i in range(0, 3000, 7)],
+                              "keyword string, category string")
+    out = enrich.map_categories(users, d)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
+    got = dict((r["user_id"], r["category_t6"]) for r in out.collect())
+    assert sum(1 for v in got.values() if v == "Hot") == 1000
+    assert got["7"] == "Cold" and got["1"] == "Other" and len(got) == 3000
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hot = enrich.map_categories(users, d).filter("category_t6 = 'Hot'")
+        per_task = hot.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert per_task < 400

@@ -13,7 +13,12 @@ from viewer_insights.functions.rules import rule_case_sql
 from viewer_insights.functions.sqltext import ident, string
 from viewer_insights.functions.text import is_present_sql, normalize_keyword_sql, strip_all_whitespace_sql
 from viewer_insights.operators.search import DEFAULT_LABELS, cat_col, kw_col
-from viewer_insights.operators.sizing import MAX_BROADCAST_ROWS, bounded_broadcast
+from viewer_insights.operators.sizing import (
+    DEFAULT_SALT_BUCKETS,
+    MAX_BROADCAST_ROWS,
+    salted_left_lookup,
+    within_rows,
+)
 
 MANUAL_PRIORITY = 0
 RULE_PRIORITY = 1
@@ -60,24 +65,26 @@ def map_categories(
 
     No keyword -> ``No_Search``; keyword not in the dictionary -> ``Other``.
     ``broadcast=True`` hints a broadcast (only for a dictionary whose size the
-    caller has bounded); the default leaves the choice to the planner and AQE,
-    which broadcast only when the measured size is under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise shuffle
-    (with AQE skew splitting for hot keywords).
+    caller has bounded).  Otherwise the join is shuffled with a salt on the
+    user side, so a keyword that is the top keyword of a third of all users
+    is spread over ``salt_buckets`` tasks.
     """
     d = dictionary.select("keyword", "category")
-    if broadcast:
-        d = F.broadcast(d)
-    return _lookup_months(users, d, labels, "_cat_", lambda lab: f"_cat_{lab}")
+    return _lookup_months(users, d, labels, "_cat_", lambda lab: f"_cat_{lab}", bool(broadcast))
 
 
-def _lookup_months(users: DataFrame, d: DataFrame, labels, prefix: str, looked_up) -> DataFrame:
+def _lookup_months(users: DataFrame, d: DataFrame, labels, prefix: str, looked_up, broadcast: bool,
+                   salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Left-join ``d`` once per month on the month's keyword, then label."""
     out = users
     for lab in labels:
         k = f"_kw_{lab}"
         look = d.selectExpr(f"keyword AS {k}", f"category AS {prefix}{lab}")
-        out = out.join(look, F.expr(f"{dictionary_key_sql(kw_col(lab))} = {k}"), "left").drop(k)
+        key = dictionary_key_sql(kw_col(lab))
+        if broadcast:
+            out = out.join(F.broadcast(look), F.expr(f"{key} = {k}"), "left").drop(k)
+        else:
+            out = salted_left_lookup(out, look, key, k, "xxhash64(user_id)", salt_buckets)
     return out.withColumns({
         cat_col(lab): F.expr(L.month_category_sql(kw_col(lab), looked_up(lab))) for lab in labels
     }).drop(*[f"{prefix}{lab}" for lab in labels])
@@ -98,7 +105,7 @@ def categorize_users(
     the user table is read once and never shuffled by keyword (a keyword that
     a third of all users share cannot skew anything).  Only the manual
     dictionary is joined: broadcast when its row count is within
-    ``max_broadcast_rows``, otherwise a shuffle join.
+    ``max_broadcast_rows``, otherwise a salted shuffle join.
     """
     def looked_up(lab: str) -> str:
         hit = rule_case_sql(kw_col(lab), rules, default=None)
@@ -108,8 +115,8 @@ def categorize_users(
         return users.withColumns({
             cat_col(lab): F.expr(L.month_category_sql(kw_col(lab), looked_up(lab))) for lab in labels
         })
-    d = bounded_broadcast(merge_dictionary(None, manual), max_broadcast_rows)
-    return _lookup_months(users, d, labels, "_man_", looked_up)
+    d = merge_dictionary(None, manual)
+    return _lookup_months(users, d, labels, "_man_", looked_up, within_rows(d, max_broadcast_rows))
 
 
 def with_user_status(df: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:

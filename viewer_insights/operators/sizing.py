@@ -23,3 +23,24 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     """Broadcast hint when the row bound is proven, else leave the planner a
     shuffle join (AQE can still switch to broadcast from runtime sizes)."""
     return F.broadcast(df) if within_rows(df, max_rows) else df
+
+
+# Number of salt buckets for a shuffled lookup join on a skew-prone key.
+DEFAULT_SALT_BUCKETS = 16
+
+
+def salted_left_lookup(big: DataFrame, small: DataFrame, big_key_sql: str, small_key: str,
+                       salt_of_sql: str, buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """Left join ``big`` to a keyed ``small`` side without a hot-key task.
+
+    ``big`` rows get a deterministic salt in ``[0, buckets)`` from
+    ``salt_of_sql`` (e.g. a hash of the user id, so a recomputed task makes
+    the same choice); ``small`` is replicated once per salt value.  A key
+    shared by a third of ``big`` is then spread over ``buckets`` tasks.
+    ``small`` must have unique keys; its columns other than the key are added.
+    """
+    salted_big = big.withColumn("_salt", F.expr(f"pmod({salt_of_sql}, {int(buckets)})"))
+    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(int(buckets) - 1))))
+    cond = F.expr(f"{big_key_sql} = {small_key} AND _salt = _salt_s")
+    return (salted_big.join(salted_small.withColumnRenamed("_salt", "_salt_s"), cond, "left")
+            .drop("_salt", "_salt_s", small_key))
