@@ -144,6 +144,10 @@ _NONZERO = " + ".join(f"(CASE WHEN {t} > 0 THEN 1 ELSE 0 END)" for t in _TOTALS)
 ORACLE_SQL = {
     "normalize_log_time": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ts FROM orders",
     "clean_search_log": _q("SELECT user_id, keyword, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, period FROM clean"),
+    "read_search_log": _q("SELECT user_id, keyword, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, period FROM search_log"),
+    "search_master_from_raw_log": _q("SELECT * FROM master"),
+    "read_viewing_log": """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS app,
+       CAST(floor(value) AS BIGINT) AS duration, CAST(ts AS DATE) AS "date" FROM events""",
     "top_keyword": _q("SELECT user_id, period, keyword AS most_search, total AS cnt FROM top_kw"),
     "month_over_month": _q("SELECT * FROM users"),
     "monthly_top_keywords": _q("SELECT * FROM users"),

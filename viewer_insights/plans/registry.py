@@ -14,7 +14,10 @@ from viewer_insights import vocab
 from viewer_insights.functions.rules import SAMPLE_RULES
 from viewer_insights.operators import enrich, insights, merge, search, viewing
 from viewer_insights.plans import customer360 as plan
+from viewer_insights.session import scratch_path
+from viewer_insights.sinks import files
 from viewer_insights.sources import driver_tables as dt
+from viewer_insights.sources import logs
 
 LABELS = ("t6", "t7")
 SEARCH = plan.SearchSettings(
@@ -93,6 +96,45 @@ def q_normalize_log_time(spark: SparkSession, d: str) -> DataFrame:
     return parsed.select("o_orderkey", _fmt_ts("ts").alias("ts"))
 
 
+# Month labels of the fixture as the YYYYMM prefixes of its day folders.
+RAW_MONTHS = {"t6": [f"1998{m:02d}" for m in range(1, 7)], "t7": [f"1998{m:02d}" for m in range(7, 13)]}
+
+
+_RAW_COPIES: dict[tuple[int, str, str], str] = {}
+
+
+def _raw_copy(spark, d, kind, write) -> str:
+    """Write the raw-layout copy of a benchmark table once per session (it is
+    a deterministic function of read-only tables) and return its folder."""
+    key = (id(spark), d, kind)
+    if key not in _RAW_COPIES:
+        root = scratch_path(spark, kind)
+        write(root)
+        _RAW_COPIES[key] = root
+    return _RAW_COPIES[key]
+
+
+def _raw_search_log(spark, d):
+    """The search log written in the raw layout (Parquet day folders, text
+    timestamps) and read back with the raw-log reader."""
+    root = _raw_copy(spark, d, "raw-search-log", lambda r: files.write_search_log(dt.raw_search_rows(spark, d), r))
+    return logs.read_search_log(spark, root, RAW_MONTHS, folder_prefix="day=")
+
+
+def q_read_search_log(spark, d):
+    return _raw_search_log(spark, d).select("user_id", "keyword", _fmt_ts("ts").alias("ts"), "period")
+
+
+def q_search_master_from_raw_log(spark, d):
+    return plan.search_master(_raw_search_log(spark, d), SEARCH)
+
+
+def q_read_viewing_log(spark, d):
+    """All events written as nested JSON day files and read back."""
+    root = _raw_copy(spark, d, "raw-viewing-log", lambda r: files.write_viewing_log(dt.raw_viewing_rows(spark, d), r))
+    return logs.read_viewing_log(spark, f"{root}/day=*/*.json")
+
+
 def q_clean_search_log(spark, d):
     return _clean(spark, d).select("user_id", "keyword", _fmt_ts("ts").alias("ts"), "period")
 
@@ -264,6 +306,9 @@ def q_intent_vs_watch(spark, d):
 QUERIES = {
     "normalize_log_time": q_normalize_log_time,
     "clean_search_log": q_clean_search_log,
+    "read_search_log": q_read_search_log,
+    "search_master_from_raw_log": q_search_master_from_raw_log,
+    "read_viewing_log": q_read_viewing_log,
     "top_keyword": q_top_keyword,
     "month_over_month": q_month_over_month,
     "monthly_top_keywords": q_monthly_top_keywords,

@@ -40,3 +40,28 @@ def export_review_queue(review: DataFrame, path: str) -> None:
 def export_table(df: DataFrame, path: str) -> None:
     """Transition matrix / wide table as CSV with a header."""
     write_csv(df, path)
+
+
+def write_search_log(df: DataFrame, root: str, day_col: str = "day", files_per_day: int = 1) -> None:
+    """Search log in day folders (``day=YYYYMMDD/``): ``user_id, keyword, datetime``.
+
+    Rows are shuffled by (day, bucket) first so each day folder gets
+    ``files_per_day`` files instead of one small file per writing task."""
+    out = df.select("user_id", "keyword", "datetime", day_col)
+    _by_day(out, day_col, files_per_day).write.mode("overwrite").partitionBy(day_col).parquet(root)
+
+
+def write_viewing_log(df: DataFrame, root: str, day_col: str = "day", files_per_day: int = 1) -> None:
+    """Viewing log as JSON lines with the nested ``_source`` record, in day
+    folders (``day=YYYYMMDD/``).  Input: ``user_id, app, duration, day``."""
+    nested = df.selectExpr(
+        "named_struct('Contract', user_id, 'AppName', app, 'TotalDuration', duration) AS _source", day_col)
+    _by_day(nested, day_col, files_per_day).write.mode("overwrite").partitionBy(day_col).json(root)
+
+
+def _by_day(df: DataFrame, day_col: str, files_per_day: int) -> DataFrame:
+    if files_per_day <= 1:
+        return df.repartition(day_col)
+    # several writers per day: a very large day is split over files_per_day tasks
+    bucket = F.expr(f"pmod(hash(*), {int(files_per_day)})")
+    return df.repartition(day_col, bucket)

@@ -71,6 +71,32 @@ def search_month(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     return search_log(spark, sf_dir).filter(F.expr(f"period = '{label}'")).drop("period")
 
 
+def raw_search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search log as raw rows: ``user_id, keyword, datetime`` text in the
+    four timestamp styles of the original logs (24 h, 12 h with the
+    Vietnamese markers, fractions, ISO), plus ``day`` = ``YYYYMMDD``."""
+    s = search_log(spark, sf_dir)
+    text = (
+        "CASE pmod(xxhash64(user_id, keyword), 4) "
+        "WHEN 0 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') "
+        "WHEN 1 THEN replace(replace(date_format(ts, 'yyyy-MM-dd h:mm:ss a'), ' PM', ' CH'), ' AM', ' SA') "
+        "WHEN 2 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS') "
+        "ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") END"
+    )
+    return s.selectExpr("user_id", "keyword", f"{text} AS datetime", "date_format(ts, 'yyyyMMdd') AS day")
+
+
+def raw_viewing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as viewing-log rows ``user_id, app, duration, day``."""
+    ev = table(spark, sf_dir, "events")
+    return ev.selectExpr(
+        "CAST(user_id AS STRING) AS user_id",
+        "event_type AS app",
+        "CAST(floor(value) AS BIGINT) AS duration",
+        "date_format(ts, 'yyyyMMdd') AS day",
+    )
+
+
 def viewing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id STRING, app STRING, duration BIGINT, date DATE`` - the flattened
     viewing-log shape (``Contract, AppName, TotalDuration`` + file date)."""

@@ -1,23 +1,25 @@
 """Readers for the raw logs.
 
-* Search log: Parquet, one folder per day ``YYYYMMDD/``, columns
-  ``user_id, keyword, datetime`` (text).  Several months are read in ONE scan;
-  the month label comes from the folder name.
-* Viewing log: JSON lines, one file per day ``YYYYMMDD.json``, with the nested
-  record ``_source{Contract, AppName, TotalDuration}``; the day exists only in
-  the file name.
+* Search log: Parquet, one folder per day ``YYYYMMDD/`` (or ``day=YYYYMMDD/``
+  when written by Spark's ``partitionBy``), columns ``user_id, keyword,
+  datetime`` (text).  Several months are read in ONE scan; the month label
+  comes from the folder name.
+* Viewing log: JSON lines, one file per day ``YYYYMMDD.json`` (or
+  ``day=YYYYMMDD/part-*.json``), with the nested record
+  ``_source{Contract, AppName, TotalDuration}``; the day exists only in the
+  path.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from viewer_insights import vocab
-from viewer_insights.functions.timeparse import parse_log_time
+from viewer_insights.functions.sqltext import case, in_list, string
+from viewer_insights.functions.timeparse import parse_log_time_sql
 
 SEARCH_SCHEMA = StructType([
     StructField("user_id", StringType(), True),
@@ -33,46 +35,56 @@ VIEWING_SCHEMA = StructType([
     ]), True),
 ])
 
-DAY_FOLDER_PATTERN = r"/(\d{6})\d{2}/[^/]*$"
+# Month of a day folder: ``.../YYYYMMDD/<file>`` or ``.../day=YYYYMMDD/<file>``.
+DAY_FOLDER_PATTERN = r"/(?:day=)?(\d{6})\d{2}/[^/]*$"
+# Spark-written layout of the viewing log: ``day=YYYYMMDD/part-*.json``.
+VIEW_DAY_FOLDER_PATTERN = r"/day=(\d{8})/[^/]*$"
 
 
-def read_search_log(spark: SparkSession, base: str, months: Mapping[str, str]) -> DataFrame:
-    """``months`` maps a label to a ``YYYYMM`` prefix, e.g. ``{"t6": "202206"}``.
+def _months(m: str | Sequence[str]) -> list[str]:
+    return [m] if isinstance(m, str) else list(m)
+
+
+def read_search_log(spark: SparkSession, base: str, months: Mapping[str, str | Sequence[str]],
+                    folder_prefix: str = "") -> DataFrame:
+    """``months`` maps a label to one or more ``YYYYMM`` prefixes, e.g.
+    ``{"t6": "202206", "t7": "202207"}``; ``folder_prefix="day="`` reads the
+    Spark-written layout.
 
     Returns ``user_id, keyword, datetime, ts, period``.  Only the three
     declared columns are read; the month comes from the day folder in the
-    file path, so both months share one scan.
+    file path, so all months share one scan and only their folders are listed.
     """
-    paths = [f"{base.rstrip('/')}/{yyyymm}*/*.parquet" for yyyymm in months.values()]
+    root = base.rstrip("/")
+    paths = [f"{root}/{folder_prefix}{yyyymm}*/*.parquet" for m in months.values() for yyyymm in _months(m)]
     raw = spark.read.schema(SEARCH_SCHEMA).parquet(*paths)
-    folder_month = F.regexp_extract(F.col("_metadata.file_path"), DAY_FOLDER_PATTERN, 1)
-    period = None
-    for label, yyyymm in months.items():
-        cond = folder_month == yyyymm
-        period = F.when(cond, F.lit(label)) if period is None else period.when(cond, F.lit(label))
-    return raw.select("user_id", "keyword", "datetime", parse_log_time("datetime").alias("ts"),
-                      period.alias("period"))
+    folder_month = f"regexp_extract(_metadata.file_path, {string(DAY_FOLDER_PATTERN)}, 1)"
+    period = case(((in_list(folder_month, _months(m)), string(label)) for label, m in months.items()))
+    return raw.selectExpr("user_id", "keyword", "datetime", f"{parse_log_time_sql('datetime')} AS ts",
+                          f"{period} AS period")
 
 
-def read_search_month(spark: SparkSession, base: str, yyyymm: str) -> DataFrame:
+def read_search_month(spark: SparkSession, base: str, yyyymm: str, folder_prefix: str = "") -> DataFrame:
     """One month: ``user_id, keyword, datetime, ts``."""
-    raw = spark.read.schema(SEARCH_SCHEMA).parquet(f"{base.rstrip('/')}/{yyyymm}*/*.parquet")
-    return raw.select("user_id", "keyword", "datetime", parse_log_time("datetime").alias("ts"))
+    raw = spark.read.schema(SEARCH_SCHEMA).parquet(f"{base.rstrip('/')}/{folder_prefix}{yyyymm}*/*.parquet")
+    return raw.selectExpr("user_id", "keyword", "datetime", f"{parse_log_time_sql('datetime')} AS ts")
 
 
-def file_date(file_name_col) -> F.Column:
-    """Day from a ``YYYYMMDD.json`` file name; NULL when the name has no day."""
-    text = F.regexp_extract(file_name_col, vocab.VIEW_FILE_DATE_PATTERN, 1)
-    return F.try_to_date(F.nullif(text, F.lit("")), vocab.VIEW_FILE_DATE_FORMAT)
+def file_date_sql(path_sql: str = "_metadata.file_path") -> str:
+    """Day from a ``.../YYYYMMDD.json`` path (or a ``day=YYYYMMDD`` folder);
+    NULL when the path carries no day."""
+    by_name = f"nullif(regexp_extract({path_sql}, {string(vocab.VIEW_FILE_DATE_PATTERN)}, 1), '')"
+    by_folder = f"nullif(regexp_extract({path_sql}, {string(VIEW_DAY_FOLDER_PATTERN)}, 1), '')"
+    return f"try_to_date(coalesce({by_name}, {by_folder}), {string(vocab.VIEW_FILE_DATE_FORMAT)})"
 
 
 def flatten_viewing(raw: DataFrame) -> DataFrame:
     """Nested viewing records -> ``user_id, app, duration, date``."""
-    return raw.select(
-        F.col("_source.Contract").alias("user_id"),
-        F.col("_source.AppName").alias("app"),
-        F.col("_source.TotalDuration").cast("long").alias("duration"),
-        file_date(F.col("_metadata.file_name")).alias("date"),
+    return raw.selectExpr(
+        "_source.Contract AS user_id",
+        "_source.AppName AS app",
+        "CAST(_source.TotalDuration AS BIGINT) AS duration",
+        f"{file_date_sql()} AS date",
     )
 
 
