@@ -87,3 +87,27 @@ def test_hot_keyword_lookup_is_salted(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert per_task < 400
+
+
+def test_fold_diacritics_option(spark):
+    from viewer_insights.functions.diacritics import fold_table
+    src, dst = fold_table()
+    assert len(src) == len(dst) and "ệ" in src and "đ" in src
+    rules = [("Music", ["hat", "nhac"])]
+    users = spark.createDataFrame([("1", "hát", "NHẠC"), ("2", "hat", None)], USERS)
+    users = users.withColumn("most_search_t7", F.lower("most_search_t7"))
+    parity = enrich.categorize_users(users, rules)
+    folded = enrich.categorize_users(users, rules, fold_diacritics=True)
+    assert rows(parity, "user_id", "category_t6", "category_t7") == [("1", "Other", "Other"), ("2", "Music", "No_Search")]
+    assert rows(folded, "user_id", "category_t6", "category_t7", "most_search_t6") == [
+        ("1", "Music", "Music", "hát"), ("2", "Music", "No_Search", "hat")]
+
+
+def test_rule_conflicts_report(spark):
+    from viewer_insights.operators.quality import rule_conflicts
+    rules = [("Sports", ["mu", "bong da"]), ("Anime", ["naruto", "hai tac mu rom"]),
+             ("Horror", ["ma"]), ("Thai-Drama", ["phim ma thai"]), ("Adult", [r"18\+"]),
+             ("Movies_General", ["phim", r"tap \d+"])]
+    got = rows(rule_conflicts(spark, rules), "phrase", "assigned")
+    assert got == [("18\\+", "Unmapped"), ("hai tac mu rom", "Sports"), ("phim ma thai", "Horror"),
+                   ("tap \\d+", "Unmapped")]

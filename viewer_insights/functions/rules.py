@@ -42,10 +42,15 @@ def compile_rules(rules: Sequence[tuple[str, Sequence[str]]]) -> list[tuple[str,
     return out
 
 
-def rule_case_sql(c: str, rules: Sequence[tuple[str, Sequence[str]]], default: str | None = UNMAPPED) -> str:
-    """``CASE WHEN c RLIKE p1 THEN cat1 WHEN ... ELSE default END`` (SQL text)."""
+def rule_case_sql(c: str, rules: Sequence[tuple[str, Sequence[str]]], default: str | None = UNMAPPED,
+                  subject_sql: str | None = None) -> str:
+    """``CASE WHEN c RLIKE p1 THEN cat1 WHEN ... ELSE default END`` (SQL text).
+
+    ``subject_sql`` replaces the plain column as the matched text (e.g. a
+    folded form of it)."""
     d = string(default) if default is not None else None
-    return case(((f"{ident(c)} RLIKE {string(p)}", string(cat)) for cat, p in compile_rules(rules)), d)
+    subject = subject_sql or ident(c)
+    return case(((f"{subject} RLIKE {string(p)}", string(cat)) for cat, p in compile_rules(rules)), d)
 
 
 def rule_case(c: str, rules: Sequence[tuple[str, Sequence[str]]], default: str = UNMAPPED) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from viewer_insights import vocab
 from viewer_insights.functions import labels as L
+from viewer_insights.functions.diacritics import fold_diacritics_sql
 from viewer_insights.functions.rules import rule_case_sql
 from viewer_insights.functions.sqltext import ident, string
 from viewer_insights.functions.text import is_present_sql, normalize_keyword_sql, strip_all_whitespace_sql
@@ -96,6 +97,7 @@ def categorize_users(
     manual: DataFrame | None = None,
     labels: Sequence[str] = DEFAULT_LABELS,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    fold_diacritics: bool = False,
 ) -> DataFrame:
     """``category_<m>`` for each month without a keyword-dictionary join.
 
@@ -106,9 +108,12 @@ def categorize_users(
     a third of all users share cannot skew anything).  Only the manual
     dictionary is joined: broadcast when its row count is within
     ``max_broadcast_rows``, otherwise a salted shuffle join.
+    ``fold_diacritics`` matches the rules against the keyword with Latin
+    accents removed (the keyword itself is kept).
     """
     def looked_up(lab: str) -> str:
-        hit = rule_case_sql(kw_col(lab), rules, default=None)
+        subject = fold_diacritics_sql(ident(kw_col(lab))) if fold_diacritics else None
+        hit = rule_case_sql(kw_col(lab), rules, default=None, subject_sql=subject)
         return f"coalesce(_man_{lab}, {hit})" if manual is not None else hit
 
     if manual is None:

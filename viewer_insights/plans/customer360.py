@@ -26,6 +26,8 @@ class SearchSettings:
     # original cohort was 5,000).
     top_n: int | None = None
     broadcast_dictionary: bool | None = None
+    # match rules against the keyword with Latin accents removed
+    fold_diacritics: bool = False
 
 
 @dataclass(frozen=True)
@@ -62,7 +64,8 @@ def search_master(log: DataFrame, s: SearchSettings, manual: DataFrame | None =
 
 
 def search_master_from_users(users: DataFrame, s: SearchSettings, manual: DataFrame | None = None) -> DataFrame:
-    return enrich.enrich_labels(enrich.categorize_users(users, s.rules, manual, s.labels), s.labels)
+    categorized = enrich.categorize_users(users, s.rules, manual, s.labels, fold_diacritics=s.fold_diacritics)
+    return enrich.enrich_labels(categorized, s.labels)
 
 
 def search_master_via_dictionary(log: DataFrame, s: SearchSettings, manual: DataFrame | None = None) -> DataFrame:
