@@ -8,19 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewer_insights import vocab
+from viewer_insights.functions.sqltext import case, ident, string
 from viewer_insights.operators.search import DEFAULT_LABELS, cat_col
 from viewer_insights.operators.viewing import total_col
 
 
-def _sum_cols(cols: Sequence[str]):
-    expr = F.col(cols[0])
-    for c in cols[1:]:
-        expr = expr + F.col(c)
-    return expr
+def _sum_sql(cols: Sequence[str]) -> str:
+    return " + ".join(ident(c) for c in cols)
 
 
 def status_health(wide: DataFrame, total_cols: Sequence[str]) -> DataFrame:
@@ -28,9 +26,9 @@ def status_health(wide: DataFrame, total_cols: Sequence[str]) -> DataFrame:
     return (
         wide.groupBy("user_status")
         .agg(
-            F.count("user_id").alias("User_Count"),
-            F.round(F.avg("Active"), 2).alias("Average_Active_Ratio"),
-            F.sum(_sum_cols(total_cols)).alias("Total_Platform_Watch_Time"),
+            F.expr("count(user_id) AS User_Count"),
+            F.expr("round(avg(Active), 2) AS Average_Active_Ratio"),
+            F.expr(f"sum({_sum_sql(total_cols)}) AS Total_Platform_Watch_Time"),
         )
         .orderBy(F.col("User_Count").desc(), F.col("user_status").asc_nulls_last())
     )
@@ -40,10 +38,10 @@ def top_shifts(wide: DataFrame, k: int = vocab.TOP_SHIFTS_K, labels: Sequence[st
     """The ``k`` largest (month-A, month-B) category flows among changed users."""
     a, b = labels
     return (
-        wide.filter(F.col("trending_types") == vocab.CHANGED)
-        .groupBy(F.col(cat_col(a)).alias("Old_Taste"), F.col(cat_col(b)).alias("New_Taste"))
-        .agg(F.count("user_id").alias("Shift_Volume"))
-        .orderBy(F.col("Shift_Volume").desc(), F.col("Old_Taste").asc(), F.col("New_Taste").asc())
+        wide.filter(F.expr(f"trending_types = {string(vocab.CHANGED)}"))
+        .groupBy(F.expr(f"{ident(cat_col(a))} AS Old_Taste"), F.expr(f"{ident(cat_col(b))} AS New_Taste"))
+        .agg(F.expr("count(user_id) AS Shift_Volume"))
+        .orderBy(F.col("Shift_Volume").desc(), "Old_Taste", "New_Taste")
         .limit(k)
     )
 
@@ -57,27 +55,25 @@ def vip_users(
 ) -> DataFrame:
     """Top ``k`` users by watch time of the liked categories, among users with
     ``Active > min_active`` whose taste contains every liked category."""
-    cond = F.col("Active") > F.lit(min_active)
-    for like in likes:
-        cond = cond & F.col("Taste").contains(like)
-    target = _sum_cols([total_col(c, column_names) for c in likes])
+    cond = " AND ".join([f"Active > {float(min_active)!r}D"] + [f"contains(Taste, {string(x)})" for x in likes])
+    target = _sum_sql([total_col(c, column_names) for c in likes])
     return (
-        wide.filter(cond)
-        .select("user_id", "user_status", "Taste", "Active", target.alias("Target_Watch_Time"))
-        .orderBy(F.col("Target_Watch_Time").desc(), F.col("user_id").asc())
+        wide.filter(F.expr(cond))
+        .selectExpr("user_id", "user_status", "Taste", "Active", f"{target} AS Target_Watch_Time")
+        .orderBy(F.col("Target_Watch_Time").desc(), "user_id")
         .limit(k)
     )
 
 
 def shift_rate(wide: DataFrame, retained_only: bool = False) -> DataFrame:
     """Share of search users whose category changed between the months."""
-    df = wide.filter(F.col("user_status").isNotNull())
+    cond = "user_status IS NOT NULL"
     if retained_only:
-        df = df.filter(F.col("user_status") == vocab.RETAINED_USER)
-    return df.agg(
-        F.count("user_id").alias("users"),
-        F.count(F.when(F.col("trending_types") == vocab.CHANGED, F.lit(1))).alias("changed_users"),
-    ).withColumn("shift_rate", F.col("changed_users") / F.col("users"))
+        cond += f" AND user_status = {string(vocab.RETAINED_USER)}"
+    return wide.filter(F.expr(cond)).agg(
+        F.expr("count(user_id) AS users"),
+        F.expr(f"count(CASE WHEN trending_types = {string(vocab.CHANGED)} THEN 1 END) AS changed_users"),
+    ).withColumn("shift_rate", F.expr("changed_users / users"))
 
 
 def category_retention(wide: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
@@ -85,61 +81,48 @@ def category_retention(wide: DataFrame, labels: Sequence[str] = DEFAULT_LABELS)
     share of the month-A category (the A == B row is the retention rate)."""
     a, b = labels
     flows = (
-        wide.filter(F.col("user_status").isNotNull())
-        .groupBy(F.col(cat_col(a)).alias("from_category"), F.col(cat_col(b)).alias("to_category"))
-        .agg(F.count("user_id").alias("users"))
+        wide.filter("user_status IS NOT NULL")
+        .groupBy(F.expr(f"{ident(cat_col(a))} AS from_category"), F.expr(f"{ident(cat_col(b))} AS to_category"))
+        .agg(F.expr("count(user_id) AS users"))
     )
     # The window runs over the aggregated flows (categories squared rows).
-    from_total = F.sum("users").over(Window.partitionBy("from_category"))
-    return flows.select(
+    return flows.selectExpr(
         "from_category",
         "to_category",
         "users",
-        from_total.alias("from_users"),
-        (F.col("users") / from_total).alias("share"),
-        (F.col("from_category") == F.col("to_category")).alias("retained"),
+        "sum(users) OVER (PARTITION BY from_category) AS from_users",
+        "users / sum(users) OVER (PARTITION BY from_category) AS share",
+        "from_category = to_category AS retained",
     )
 
 
 def taste_engagement(wide: DataFrame) -> DataFrame:
     """Average Active per taste combination."""
-    return wide.filter(F.col("Taste").isNotNull()).groupBy("Taste").agg(
-        F.count("user_id").alias("users"), F.round(F.avg("Active"), 2).alias("avg_active")
-    )
+    return wide.filter("Taste IS NOT NULL").groupBy("Taste").agg(
+        F.expr("count(user_id) AS users"), F.expr("round(avg(Active), 2) AS avg_active"))
 
 
-def archetype_expr(total_cols: Sequence[str]):
-    n = None
-    for c in total_cols:
-        term = F.when(F.col(c) > 0, F.lit(1)).otherwise(F.lit(0))
-        n = term if n is None else n + term
-    return F.when(n >= 2, F.lit("Explorer")).when(n == 1, F.lit("Loyalist")).otherwise(F.lit("Inactive"))
+def archetype_sql(total_cols: Sequence[str]) -> str:
+    """Explorer (2+ categories watched), Loyalist (1) or Inactive (0)."""
+    n = " + ".join(f"CASE WHEN {ident(c)} > 0 THEN 1 ELSE 0 END" for c in total_cols)
+    return case([(f"({n}) >= 2", "'Explorer'"), (f"({n}) = 1", "'Loyalist'")], "'Inactive'")
 
 
 def archetype_engagement(wide: DataFrame, total_cols: Sequence[str]) -> DataFrame:
     """Multi-taste explorers vs single-taste loyalists: users and average Active."""
     return (
-        wide.filter(F.col("Taste").isNotNull())
-        .groupBy(archetype_expr(total_cols).alias("archetype"))
-        .agg(F.count("user_id").alias("users"), F.round(F.avg("Active"), 2).alias("avg_active"))
+        wide.filter("Taste IS NOT NULL")
+        .groupBy(F.expr(f"{archetype_sql(total_cols)} AS archetype"))
+        .agg(F.expr("count(user_id) AS users"), F.expr("round(avg(Active), 2) AS avg_active"))
     )
 
 
 def intent_vs_watch(wide: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
     """Month-B search-category distribution beside the most-watched distribution."""
-    b = labels[1]
-    search = (
-        wide.filter(F.col(cat_col(b)).isNotNull())
-        .groupBy(F.col(cat_col(b)).alias("category"))
-        .agg(F.count("user_id").alias("users"))
-        .withColumn("side", F.lit("search"))
-    )
-    watch = (
-        wide.filter(F.col("MostWatch").isNotNull())
-        .groupBy(F.col("MostWatch").alias("category"))
-        .agg(F.count("user_id").alias("users"))
-        .withColumn("side", F.lit("watch"))
-    )
-    both = search.unionByName(watch)
-    side_total = F.sum("users").over(Window.partitionBy("side"))
-    return both.select("side", "category", "users", (F.col("users") / side_total).alias("share"))
+    cb = ident(cat_col(labels[1]))
+    search = (wide.filter(f"{cb} IS NOT NULL").groupBy(F.expr(f"{cb} AS category"))
+              .agg(F.expr("count(user_id) AS users")).withColumn("side", F.lit("search")))
+    watch = (wide.filter("MostWatch IS NOT NULL").groupBy(F.expr("MostWatch AS category"))
+             .agg(F.expr("count(user_id) AS users")).withColumn("side", F.lit("watch")))
+    return search.unionByName(watch).selectExpr(
+        "side", "category", "users", "users / sum(users) OVER (PARTITION BY side) AS share")
