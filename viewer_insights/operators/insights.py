@@ -73,7 +73,7 @@ def shift_rate(wide: DataFrame, retained_only: bool = False) -> DataFrame:
     return wide.filter(F.expr(cond)).agg(
         F.expr("count(user_id) AS users"),
         F.expr(f"count(CASE WHEN trending_types = {string(vocab.CHANGED)} THEN 1 END) AS changed_users"),
-    ).withColumn("shift_rate", F.expr("changed_users / users"))
+    ).withColumn("shift_rate", F.expr("changed_users / nullif(users, 0)"))
 
 
 def category_retention(wide: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:

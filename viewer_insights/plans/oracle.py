@@ -106,7 +106,7 @@ master AS (
   FROM categorized),
 content AS (
   SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS app,
-         CAST(floor(value) AS BIGINT) AS duration, CAST(ts AS DATE) AS "date"
+         TRY_CAST(floor(value) AS BIGINT) AS duration, CAST(ts AS DATE) AS "date"
   FROM events WHERE ts < TIMESTAMP '{dt.VIEW_END}'),
 typed AS (SELECT user_id, app, duration, "date", {_app_case("app")} AS "Type" FROM content),
 vclean AS (
@@ -147,7 +147,7 @@ ORACLE_SQL = {
     "read_search_log": _q("SELECT user_id, keyword, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, period FROM search_log"),
     "search_master_from_raw_log": _q("SELECT * FROM master"),
     "read_viewing_log": """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS app,
-       CAST(floor(value) AS BIGINT) AS duration, CAST(ts AS DATE) AS "date" FROM events""",
+       TRY_CAST(floor(value) AS BIGINT) AS duration, CAST(ts AS DATE) AS "date" FROM events""",
     "top_keyword": _q("SELECT user_id, period, keyword AS most_search, total AS cnt FROM top_kw"),
     "month_over_month": _q("SELECT * FROM users"),
     "monthly_top_keywords": _q("SELECT * FROM users"),
@@ -238,7 +238,7 @@ ORDER BY 5 DESC, user_id LIMIT 10"""),
     "shift_rate": _q(
         """SELECT count(user_id) AS users,
        count(CASE WHEN trending_types = 'changed' THEN 1 END) AS changed_users,
-       CAST(count(CASE WHEN trending_types = 'changed' THEN 1 END) AS DOUBLE) / count(user_id) AS shift_rate
+       CAST(count(CASE WHEN trending_types = 'changed' THEN 1 END) AS DOUBLE) / nullif(count(user_id), 0) AS shift_rate
 FROM wide WHERE user_status IS NOT NULL"""),
     "category_retention": _q(
         """, flows AS (

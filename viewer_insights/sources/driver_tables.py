@@ -92,7 +92,7 @@ def raw_viewing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.selectExpr(
         "CAST(user_id AS STRING) AS user_id",
         "event_type AS app",
-        "CAST(floor(value) AS BIGINT) AS duration",
+        "TRY_CAST(floor(value) AS BIGINT) AS duration",
         "date_format(ts, 'yyyyMMdd') AS day",
     )
 
@@ -104,6 +104,6 @@ def viewing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.selectExpr(
         "CAST(user_id AS STRING) AS user_id",
         "event_type AS app",
-        "CAST(floor(value) AS BIGINT) AS duration",
+        "TRY_CAST(floor(value) AS BIGINT) AS duration",
         "CAST(ts AS DATE) AS date",
     )
