@@ -35,34 +35,64 @@ MANUAL_MAX_SIZE = 5
 
 # ---------------------------------------------------------------------------
 # shared building blocks
+#
+# The shared plans (users, search master, viewing profile, wide table) are
+# defined once per session and table folder and reused by every query built
+# on them, like views over the serving table.  They are lazy plans: nothing
+# is cached or computed until a query runs.
 # ---------------------------------------------------------------------------
 
+_PLANS: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def _shared(name):
+    def wrap(builder):
+        def get(spark, d):
+            key = (id(spark), d, name)
+            df = _PLANS.get(key)
+            if df is None or df.sparkSession is not spark:
+                df = builder(spark, d)
+                _PLANS[key] = df
+            return df
+        get.__name__ = builder.__name__
+        get.__doc__ = builder.__doc__
+        return get
+    return wrap
+
+
+@_shared("clean")
 def _clean(spark, d):
     return search.clean_search_log(dt.search_log(spark, d))
 
 
+@_shared("users")
 def _users(spark, d):
     return plan.search_users(dt.search_log(spark, d), SEARCH)
 
 
+@_shared("categorized")
 def _categorized(spark, d):
     users = _users(spark, d)
     mapped, _ = search.split_review_queue(plan.keyword_categories(users, SEARCH))
     return enrich.map_categories(users, enrich.merge_dictionary(mapped), LABELS)
 
 
+@_shared("master")
 def _master(spark, d):
-    return plan.search_master(dt.search_log(spark, d), SEARCH)
+    return plan.search_master_from_users(_users(spark, d), SEARCH)
 
 
+@_shared("vclean")
 def _vclean(spark, d):
     return plan.cleaned_viewing(dt.viewing_events(spark, d), VIEW)
 
 
+@_shared("profile")
 def _profile(spark, d):
-    return plan.viewing_master(dt.viewing_events(spark, d), VIEW)
+    return viewing.viewing_profile(_vclean(spark, d), VIEW.categories, VIEW.column_names, VIEW.days)
 
 
+@_shared("wide")
 def _wide(spark, d):
     return plan.customer_360(_master(spark, d), _profile(spark, d), "full")
 
