@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from viewer_insights.session import stage_table
+
 JOIN_TYPES = ("inner", "full", "left", "right")
 
 
@@ -26,31 +28,33 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], index_col: str
     """1-based position of each row in the total order ``order``.
 
     Distributed: rows are range-partitioned on the order key (Spark samples the
-    boundaries), sorted inside each range, and numbered by
+    boundaries), sorted inside each range and numbered by
     ``monotonically_increasing_id`` (partition id in the high bits, position in
-    the low bits).  A small table of row counts per range (one row per
-    partition - bounded by ``buckets``) gives each range its start offset;
-    it is broadcast back.  No step gathers the data in one task.
+    the low bits).  That numbered copy is written once as a Parquet table in
+    the shared ``spark.checkpoint.dir`` folder and read back, so the per-range
+    row counts and the final index are both derived from the same stored rows
+    (a second evaluation could sample other range bounds).  The count table has one row
+    per range (bounded by ``buckets``); its running sum gives each range's
+    offset and is broadcast back.  No step gathers the data in one task.
 
     ``order`` must be a unique key, otherwise equal keys are numbered in an
-    arbitrary (but stable per run) order.  The range bounds are fixed once the
-    exchange is planned, so a recomputed task reproduces the same numbering.
+    arbitrary order.
     """
     cols = _order_cols(order)
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-    numbered = ranged.withColumn("_mid", F.monotonically_increasing_id()).withColumn(
-        "_part", F.shiftright(F.col("_mid"), 33)
-    )
-    counts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    numbered = stage_table(ranged.withColumn("_mid", F.monotonically_increasing_id()), "row-index")
+    numbered = numbered.withColumn("_part", F.expr("shiftright(_mid, 33)"))
+    counts = numbered.groupBy("_part").agg(F.expr("count(1) AS _n"))
     # `counts` has at most `n` rows; the running sum over it is tiny.
     offsets = counts.select(
         "_part",
-        (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).fillna(0, subset=["_off"])
+        F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
+    )
     return (
         numbered.join(F.broadcast(offsets), "_part")
-        .withColumn(index_col, F.col("_off") + (F.col("_mid") - F.shiftleft(F.col("_part"), 33)) + 1)
+        .withColumn(index_col, F.expr("_off + (_mid - shiftleft(_part, 33)) + 1"))
         .drop("_mid", "_part", "_off")
     )
 

@@ -59,3 +59,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back: one job, lineage cut, columnar storage, and every later use
+    sees exactly the stored rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
