@@ -146,6 +146,7 @@ ORACLE_SQL = {
     "clean_search_log": _q("SELECT user_id, keyword, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, period FROM clean"),
     "read_search_log": _q("SELECT user_id, keyword, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, period FROM search_log"),
     "search_master_from_raw_log": _q("SELECT * FROM master"),
+    "customer_360_from_raw_logs": _q("SELECT * FROM wide"),
     "read_viewing_log": """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS app,
        TRY_CAST(floor(value) AS BIGINT) AS duration, CAST(ts AS DATE) AS "date" FROM events""",
     "top_keyword": _q("SELECT user_id, period, keyword AS most_search, total AS cnt FROM top_kw"),

@@ -161,10 +161,21 @@ def q_search_master_from_raw_log(spark, d):
 
 def q_read_viewing_log(spark, d):
     """All events written as nested JSON day files and read back."""
+    return _raw_viewing_log(spark, d)
+
+
+def _raw_viewing_log(spark, d):
     root = _raw_copy(spark, d, "raw-viewing-log", lambda r: files.write_viewing_log(dt.raw_viewing_rows(spark, d), r))
     return logs.read_viewing_log(spark, f"{root}/day=*/*.json")
 
 
+def q_customer_360_from_raw_logs(spark, d):
+    """The whole wide table from the two raw-layout logs (viewing: the
+    fixture's two days, selected on the file-name date)."""
+    events = _raw_viewing_log(spark, d).filter(F.expr(f"date < DATE '{dt.VIEW_END}'"))
+    return plan.customer_360(plan.search_master(_raw_search_log(spark, d), SEARCH), plan.viewing_master(events, VIEW))
+
+
 def q_clean_search_log(spark, d):
     return _clean(spark, d).select("user_id", "keyword", _fmt_ts("ts").alias("ts"), "period")
 
@@ -339,6 +350,7 @@ QUERIES = {
     "read_search_log": q_read_search_log,
     "search_master_from_raw_log": q_search_master_from_raw_log,
     "read_viewing_log": q_read_viewing_log,
+    "customer_360_from_raw_logs": q_customer_360_from_raw_logs,
     "top_keyword": q_top_keyword,
     "month_over_month": q_month_over_month,
     "monthly_top_keywords": q_monthly_top_keywords,
