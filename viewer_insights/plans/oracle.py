@@ -211,6 +211,7 @@ LEFT JOIN mdict m7 ON m7.keyword = u.most_search_t7 LEFT JOIN dict d7 ON d7.keyw
     "taste": _q('SELECT user_id, "Taste" FROM profile'),
     "viewing_profile": _q("SELECT * FROM profile"),
     "viewing_profile_by_join": _q("SELECT * FROM profile"),
+    "viewing_profile_streamed": _q("SELECT * FROM profile"),
     "sample_users": _q("SELECT * FROM profile ORDER BY md5(user_id || ':0'), user_id LIMIT 5000"),
     "merge_profiles": _q("SELECT * FROM wide"),
     "merge_positional": _q(

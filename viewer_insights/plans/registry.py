@@ -18,6 +18,7 @@ from viewer_insights.session import scratch_path
 from viewer_insights.sinks import files
 from viewer_insights.sources import driver_tables as dt
 from viewer_insights.sources import logs
+from viewer_insights.streaming import viewing_stream
 
 LABELS = ("t6", "t7")
 SEARCH = plan.SearchSettings(
@@ -176,6 +177,18 @@ def q_customer_360_from_raw_logs(spark, d):
     return plan.customer_360(plan.search_master(_raw_search_log(spark, d), SEARCH), plan.viewing_master(events, VIEW))
 
 
+def q_viewing_profile_streamed(spark, d):
+    """Viewing profile from the Structured Streaming ingest: the raw JSON day
+    files are consumed as a file stream (available-now trigger), reduced per
+    micro-batch to (user, day, category) rows, and profiled from that table."""
+    src = _raw_copy(spark, d, "raw-viewing-log", lambda r: files.write_viewing_log(dt.raw_viewing_rows(spark, d), r))
+    out, chk = scratch_path(spark, "viewing-daily"), scratch_path(spark, "viewing-daily-chk")
+    query = viewing_stream.start_daily_ingest(viewing_stream.viewing_log_stream(spark, src), out, chk, VIEW.app_map)
+    query.awaitTermination()
+    daily = viewing_stream.read_daily_viewing(spark, out).filter(F.expr(f"date < DATE '{dt.VIEW_END}'"))
+    return viewing.viewing_profile(daily, VIEW.categories, VIEW.column_names, VIEW.days)
+
+
 def q_clean_search_log(spark, d):
     return _clean(spark, d).select("user_id", "keyword", _fmt_ts("ts").alias("ts"), "period")
 
@@ -376,6 +389,7 @@ QUERIES = {
     "taste": q_taste,
     "viewing_profile": q_viewing_profile,
     "viewing_profile_by_join": q_viewing_profile_by_join,
+    "viewing_profile_streamed": q_viewing_profile_streamed,
     "sample_users": q_sample_users,
     "merge_profiles": q_merge_profiles,
     "merge_positional": q_merge_positional,
