@@ -161,3 +161,18 @@ def test_distinct_keywords_and_review_queue(spark):
     mapped, review = search.split_review_queue(search.categorize(kws, RULES))
     assert rows(mapped, "keyword", "category") == [("naruto", "Anime"), ("xem phim", "Movies_General")]
     assert rows(review, "keyword", "family", "category") == [("zzz", "zzz", vocab.UNMAPPED)]
+
+
+def test_search_master_with_cohort_cap(spark):
+    from viewer_insights.plans import customer360 as plan
+    log = _log(spark, [
+        ("u1", "red gear", "2022-06-01 10:00:00"), ("u1", "blue rod", "2022-07-01 10:00:00"),
+        ("u2", "blue rod", "2022-07-01 10:00:00"), ("u2", "blue rod", "2022-07-02 10:00:00"),
+        ("u3", "old anvil", "2022-06-03 10:00:00"),
+    ]).withColumn("period", F.when(F.month("ts") == 6, "t6").otherwise("t7"))
+    rules = [("Warm", ["red"]), ("Cool", ["blue"])]
+    s = plan.SearchSettings(rules=rules, top_n=2, high_pattern="(gizmo)", genre_pattern="(ring)")
+    master = plan.search_master(log, s)
+    # scores: u1 = (1.5 + 1 + 50) * 1.5, u2 = 3 * 1.5, u3 = 1 * 1.0 -> keep u1, u2
+    got = sorted(tuple(r) for r in master.select("user_id", "category_t6", "category_t7", "user_status").collect())
+    assert got == [("u1", "Warm", "Cool", "Retained_User"), ("u2", "No_Search", "Cool", "New_User")]
