@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_LOCAL_DIRS: dict[int, str] = {}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "viewer-insights",
@@ -41,11 +42,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the setting is absent (local tests) a scratch folder is created
     and registered, so ``DataFrame.checkpoint()`` works everywhere.
     """
-    d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    d = _LOCAL_DIRS.get(id(spark.sparkContext)) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not d:
+        try:
+            d = spark.conf.get(CHECKPOINT_CONF, None)
+        except Exception:  # noqa: BLE001 - not readable as a session option
+            d = None
+    if not d:
+        # Only when the cluster names no folder (local tests).
         d = tempfile.mkdtemp(prefix="vi-checkpoint-")
-        spark.conf.set(CHECKPOINT_CONF, d)
-    spark.sparkContext.setCheckpointDir(d)
+        _LOCAL_DIRS[id(spark.sparkContext)] = d
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
