@@ -46,3 +46,14 @@ def test_search_master_reads_each_table_once(spark):
 def test_viewing_profile_has_no_join(spark):
     p = plan(E.queries()["viewing_profile"](spark, SF))
     assert "Join" not in p
+
+
+@pytest.mark.parametrize("name", ["monthly_top_keywords", "viewing_profile", "search_master"])
+def test_every_user_shuffle_is_pre_aggregated(spark, name):
+    """Rows are combined map-side before each shuffle keyed by user, so a user
+    with a third of all rows never reaches one task whole."""
+    lines = plan(E.queries()[name](spark, SF)).splitlines()
+    user_exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(user_id" in line]
+    assert user_exchanges, name
+    for i in user_exchanges:
+        assert "partial_" in lines[i + 1] or "merge_" in lines[i + 1], (name, lines[i + 1])

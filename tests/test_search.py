@@ -176,3 +176,24 @@ def test_search_master_with_cohort_cap(spark):
     # scores: u1 = (1.5 + 1 + 50) * 1.5, u2 = 3 * 1.5, u3 = 1 * 1.0 -> keep u1, u2
     got = sorted(tuple(r) for r in master.select("user_id", "category_t6", "category_t7", "user_status").collect())
     assert got == [("u1", "Warm", "Cool", "Retained_User"), ("u2", "No_Search", "Cool", "New_User")]
+
+
+def test_hot_user_is_spread_by_first_shuffle(spark):
+    # a third of all rows belong to one user, each with a distinct keyword
+    n = 3000
+    data = [("hot" if i % 3 == 0 else f"u{i % 50}", f"kw{i}", dt.datetime(2022, 6, 1), "t6") for i in range(n)]
+    log = spark.createDataFrame(data, "user_id string, keyword string, ts timestamp, period string")
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        counts = search.keyword_counts(log, ("user_id", "period"))
+        per_task = (counts.filter("user_id = 'hot'").groupBy(F.spark_partition_id().alias("p")).count()
+                    .agg(F.max("count")).first()[0])
+        best = search.monthly_top_keywords(log).filter("user_id = 'hot'").first()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert per_task < n // 3 // 2            # spread over the shuffle partitions
+    assert (best["most_search_t6"], best["cnt_t6"]) == ("kw0", n // 3)
