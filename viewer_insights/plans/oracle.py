@@ -159,6 +159,8 @@ ORACLE_SQL = {
     "distinct_keywords": _q("SELECT keyword FROM keywords"),
     "categorize": _q("SELECT keyword, category FROM kw_cat"),
     "review_queue": _q("SELECT keyword, keyword AS family, category FROM kw_cat WHERE category = 'Unmapped'"),
+    "review_sheet_roundtrip": _q(
+        "SELECT keyword, keyword AS family, category FROM kw_cat WHERE category = 'Unmapped'"),
     "merge_dictionary": _q(
         f""", manual AS (
   SELECT ' ' || upper(p_name) || ' ' AS keyword, p_type AS category FROM part WHERE p_size <= 5),

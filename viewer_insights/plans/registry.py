@@ -17,7 +17,7 @@ from viewer_insights.plans import customer360 as plan
 from viewer_insights.session import scratch_path
 from viewer_insights.sinks import files
 from viewer_insights.sources import driver_tables as dt
-from viewer_insights.sources import logs
+from viewer_insights.sources import dictionary, logs
 from viewer_insights.streaming import viewing_stream
 
 LABELS = ("t6", "t7")
@@ -189,6 +189,14 @@ def q_viewing_profile_streamed(spark, d):
     return viewing.viewing_profile(daily, VIEW.categories, VIEW.column_names, VIEW.days)
 
 
+def q_review_sheet_roundtrip(spark, d):
+    """The review queue exported as the reviewers' CSV sheet and read back
+    with the reviewed-dictionary reader (the hand-off in both directions)."""
+    review = search.split_review_queue(plan.keyword_categories(_users(spark, d), SEARCH))[1]
+    root = _raw_copy(spark, d, "review-sheet", lambda r: files.export_review_queue(review, r))
+    return dictionary.read_manual_dictionary(spark, root)
+
+
 def q_clean_search_log(spark, d):
     return _clean(spark, d).select("user_id", "keyword", _fmt_ts("ts").alias("ts"), "period")
 
@@ -372,6 +380,7 @@ QUERIES = {
     "distinct_keywords": q_distinct_keywords,
     "categorize": q_categorize,
     "review_queue": q_review_queue,
+    "review_sheet_roundtrip": q_review_sheet_roundtrip,
     "merge_dictionary": q_merge_dictionary,
     "map_categories": q_map_categories,
     "user_status": q_user_status,
