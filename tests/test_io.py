@@ -99,16 +99,56 @@ def test_contract_unique_check(spark):
         contract.assert_unique(df)
 
 
-def test_jdbc_publish_on_embedded_derby(spark):
-    target = jdbc.JdbcTarget(url="jdbc:derby:memory:vi_test;create=true", table="CUSTOMER_360_BEHAVIOR",
-                             driver="org.apache.derby.iapi.jdbc.AutoloadedDriver", batchsize=2)
+def test_jdbc_writer_options_without_a_database(monkeypatch):
+    # No database is started here (none may be): the writer configuration is
+    # checked without a connection.
+    t = jdbc.JdbcTarget(url="jdbc:mysql://db:3306/x", user="u", password="p", driver="com.mysql.cj.jdbc.Driver",
+                        batchsize=500, num_partitions=16)
+    assert jdbc._options(t) == {"url": "jdbc:mysql://db:3306/x", "dbtable": "customer_360_behavior",
+                                "batchsize": "500", "user": "u", "password": "p",
+                                "driver": "com.mysql.cj.jdbc.Driver", "numPartitions": "16"}
+    for k in ("DB_HOST", "DB_PORT", "DB_NAME", "DB_USER", "DB_PASS"):
+        monkeypatch.delenv(k, raising=False)
+    env = jdbc.mysql_target_from_env()
+    assert (env.url, env.user, env.password) == ("jdbc:mysql://localhost:3306/big_data_analysis", "root", "")
+
+
+def test_publish_uses_truncating_overwrite(spark, monkeypatch):
+    calls = {}
+
+    class FakeWriter:
+        def format(self, f):
+            calls["format"] = f
+            return self
+
+        def options(self, **o):
+            calls["options"] = o
+            return self
+
+        def option(self, k, v):
+            calls[k] = v
+            return self
+
+        def mode(self, m):
+            calls["mode"] = m
+            return self
+
+        def save(self):
+            calls["saved"] = True
+
+    df = spark.range(1)
+    monkeypatch.setattr(type(df), "write", property(lambda self: FakeWriter()))
+    jdbc.publish(df, jdbc.JdbcTarget(url="jdbc:x"))
+    assert calls["format"] == "jdbc" and calls["truncate"] == "true" and calls["mode"] == "overwrite"
+    assert calls["saved"] and calls["options"]["dbtable"] == "customer_360_behavior"
+
+
+def test_serving_contract_alignment(spark):
     schema = contract.serving_schema(categories=("Phim Truyện",))
     wide = spark.createDataFrame([("u1", 5, 3.3), ("u2", None, None)], "user_id string, Total_Phim_Truyen long, Active double")
     aligned = contract.align_to_schema(wide, schema)
-    jdbc.publish(aligned, target)
-    jdbc.publish(aligned.filter("user_id = 'u1'"), target)   # truncate + insert keeps the table
-    back = jdbc.read_table(spark, target)
-    assert rows(back, "USER_ID", "TOTAL_PHIM_TRUYEN", "ACTIVE") == [("u1", 5, 3.3)]
+    assert [f.name for f in aligned.schema.fields] == [f.name for f in schema.fields]
+    assert rows(aligned, "user_id", "Total_Phim_Truyen", "Active") == [("u1", 5, 3.3), ("u2", 0, 0.0)]
 
 
 def test_streaming_daily_ingest_equals_batch(spark, tmp_path):
