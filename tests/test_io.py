@@ -166,3 +166,14 @@ def test_streaming_daily_ingest_equals_batch(spark, tmp_path):
     q2.awaitTermination(120)
     assert rows(viewing.viewing_profile(viewing_stream.read_daily_viewing(spark, out)), *batch.columns) == rows(
         batch, *batch.columns)
+
+
+def test_command_line_job(spark, tmp_path, search_dir):
+    from viewer_insights.__main__ import main
+    rules = tmp_path / "rules.csv"
+    rules.write_text("priority,category,phrase\n1,Warm,red\n2,Cool,blue\n", encoding="utf-8")
+    logs_dir = _json_logs(tmp_path)
+    counts = main(["--search-log", search_dir, "--months", "t6=202206", "t7=202207",
+                   "--viewing-log", str(logs_dir / "*.json"), "--rules", str(rules), "--out", str(tmp_path / "o"),
+                   "--top-n", "2"], spark=spark)
+    assert counts == {"users": 2, "viewers": 2, "wide": 3}

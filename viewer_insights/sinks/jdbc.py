@@ -7,7 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+# FIXED VALUES: serving table and the connection defaults used when the
+# environment names none.
 DEFAULT_TABLE = "customer_360_behavior"
+DEFAULT_HOST, DEFAULT_PORT, DEFAULT_DB, DEFAULT_USER = "localhost", "3306", "big_data_analysis", "root"
 
 
 @dataclass(frozen=True)
@@ -24,10 +27,10 @@ class JdbcTarget:
 def mysql_target_from_env(table: str = DEFAULT_TABLE) -> JdbcTarget:
     """MySQL connection from ``DB_HOST DB_PORT DB_NAME DB_USER DB_PASS``."""
     url = "jdbc:mysql://{}:{}/{}".format(
-        os.getenv("DB_HOST", "localhost"), os.getenv("DB_PORT", "3306"), os.getenv("DB_NAME", "big_data_analysis")
+        os.getenv("DB_HOST", DEFAULT_HOST), os.getenv("DB_PORT", DEFAULT_PORT), os.getenv("DB_NAME", DEFAULT_DB)
     )
-    return JdbcTarget(url=url, table=table, user=os.getenv("DB_USER", "root"), password=os.getenv("DB_PASS", ""),
-                      driver="com.mysql.cj.jdbc.Driver")
+    return JdbcTarget(url=url, table=table, user=os.getenv("DB_USER", DEFAULT_USER),
+                      password=os.getenv("DB_PASS", ""), driver="com.mysql.cj.jdbc.Driver")
 
 
 def _options(t: JdbcTarget) -> dict[str, str]:
