@@ -215,6 +215,7 @@ LEFT JOIN mdict m7 ON m7.keyword = u.most_search_t7 LEFT JOIN dict d7 ON d7.keyw
     "viewing_profile_by_join": _q("SELECT * FROM profile"),
     "viewing_profile_streamed": _q("SELECT * FROM profile"),
     "sample_users": _q("SELECT * FROM profile ORDER BY md5(user_id || ':0'), user_id LIMIT 5000"),
+    "sample_users_100": _q("SELECT * FROM profile ORDER BY md5(user_id || ':0'), user_id LIMIT 100"),
     "merge_profiles": _q("SELECT * FROM wide"),
     "merge_positional": _q(
         f"""SELECT a.user_id, a.most_search_t6, a.category_t6, a.most_search_t7, a.category_t7,

@@ -321,6 +321,10 @@ def q_sample_users(spark, d):
     return viewing.sample_users(_profile(spark, d), vocab.SAMPLE_USERS_N, seed=0)
 
 
+def q_sample_users_100(spark, d):
+    return viewing.sample_users(_profile(spark, d), 100, seed=0)
+
+
 def q_merge_profiles(spark, d):
     return _wide(spark, d)
 
@@ -400,6 +404,7 @@ QUERIES = {
     "viewing_profile_by_join": q_viewing_profile_by_join,
     "viewing_profile_streamed": q_viewing_profile_streamed,
     "sample_users": q_sample_users,
+    "sample_users_100": q_sample_users_100,
     "merge_profiles": q_merge_profiles,
     "merge_positional": q_merge_positional,
     "status_health": q_status_health,
