@@ -7,7 +7,7 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 # Queries whose last step is a top-k (a bounded TakeOrderedAndProject) or the
 # explicitly positional merge are allowed their single final partition.
-TOP_K = {"top_users", "top_shifts", "top_shifts_10", "vip_users", "sample_users", "sample_users_100"}
+TOP_K = {"top_users", "top_users_100", "top_shifts", "top_shifts_10", "vip_users", "sample_users", "sample_users_100"}
 
 
 def plan(df):

@@ -156,6 +156,9 @@ ORACLE_SQL = {
     "top_users": _q(
         "SELECT user_id, most_search_t6, most_search_t7 FROM scored "
         "ORDER BY movie_score DESC, user_id ASC LIMIT 5000"),
+    "top_users_100": _q(
+        "SELECT user_id, most_search_t6, most_search_t7 FROM scored "
+        "ORDER BY movie_score DESC, user_id ASC LIMIT 100"),
     "distinct_keywords": _q("SELECT keyword FROM keywords"),
     "categorize": _q("SELECT keyword, category FROM kw_cat"),
     "review_queue": _q("SELECT keyword, keyword AS family, category FROM kw_cat WHERE category = 'Unmapped'"),

@@ -232,6 +232,11 @@ def q_top_users(spark, d):
     return search.top_users(scored, vocab.TOP_USERS_N, LABELS)
 
 
+def q_top_users_100(spark, d):
+    scored = search.score_users(_users(spark, d), LABELS, SEARCH.high_pattern, SEARCH.genre_pattern)
+    return search.top_users(scored, 100, LABELS)
+
+
 def q_distinct_keywords(spark, d):
     return search.distinct_keywords(_users(spark, d), LABELS)
 
@@ -381,6 +386,7 @@ QUERIES = {
     "monthly_top_keywords": q_monthly_top_keywords,
     "score_users": q_score_users,
     "top_users": q_top_users,
+    "top_users_100": q_top_users_100,
     "distinct_keywords": q_distinct_keywords,
     "categorize": q_categorize,
     "review_queue": q_review_queue,
