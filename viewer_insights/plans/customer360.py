@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from viewer_insights import vocab
 from viewer_insights.operators import enrich, merge, search, viewing
+from viewer_insights.session import stage_table
 
 
 @dataclass(frozen=True)
@@ -70,8 +71,13 @@ def search_master_from_users(users: DataFrame, s: SearchSettings, manual: DataFr
 
 def search_master_via_dictionary(log: DataFrame, s: SearchSettings, manual: DataFrame | None = None) -> DataFrame:
     """The original formulation: distinct keywords -> rule dictionary (+ manual)
-    -> lookup join per month.  Same rows as ``search_master``."""
-    users = search_users(log, s)
+    -> lookup join per month.  Same rows as ``search_master``.
+
+    The user table feeds three branches (the users and one dictionary per
+    month), so it is written once as a stage table in the shared checkpoint
+    folder and scanned from there instead of being recomputed three times.
+    """
+    users = stage_table(search_users(log, s), "search-users")
     mapped, _review = search.split_review_queue(keyword_categories(users, s))
     dictionary = enrich.merge_dictionary(mapped, manual)
     categorized = enrich.map_categories(users, dictionary, s.labels, broadcast=s.broadcast_dictionary)

@@ -73,7 +73,9 @@ def _users(spark, d):
 
 @_shared("categorized")
 def _categorized(spark, d):
-    users = _users(spark, d)
+    # The dictionary formulation reads the users three times: stage them once.
+    root = _raw_copy(spark, d, "search-users", lambda r: files.write_parquet(_users(spark, d), r))
+    users = spark.read.parquet(root)
     mapped, _ = search.split_review_queue(plan.keyword_categories(users, SEARCH))
     return enrich.map_categories(users, enrich.merge_dictionary(mapped), LABELS)
 
