@@ -57,3 +57,10 @@ def test_every_user_shuffle_is_pre_aggregated(spark, name):
     assert user_exchanges, name
     for i in user_exchanges:
         assert "partial_" in lines[i + 1] or "merge_" in lines[i + 1], (name, lines[i + 1])
+
+
+def test_dictionary_formulation_reads_staged_users(spark):
+    # users feed three branches; they are staged once, so the raw tables are
+    # not scanned (and the search aggregation not recomputed) three times
+    p = plan(E.queries()["map_categories"](spark, SF))
+    assert p.count("lineitem.parquet") == 0 and p.count("orders.parquet") == 0
