@@ -11,7 +11,9 @@ TOP_K = {"top_users", "top_users_100", "top_shifts", "top_shifts_10", "vip_users
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan; for an already executed adaptive plan only its final
+    plan (the string also lists the initial plan)."""
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
@@ -39,8 +41,18 @@ def test_search_scan_pushdown_and_pruning(spark):
 
 
 def test_search_master_reads_each_table_once(spark):
+    p = plan(E.queries()["merge_profiles"](spark, SF))
+    assert p.count("lineitem.parquet") == 1 and p.count("orders.parquet") == 1 and p.count("events.parquet") == 1
+
+
+def test_insights_read_the_serving_table(spark):
+    # insight questions are answered from the stored wide table, reading only
+    # the columns they use
     p = plan(E.queries()["top_shifts"](spark, SF))
-    assert p.count("lineitem.parquet") == 1 and p.count("orders.parquet") == 1
+    assert p.count("lineitem.parquet") == 0 and p.count("events.parquet") == 0 and "customer-360" in p
+    import re
+    cols = {c.split(":")[0] for c in re.search(r"ReadSchema: struct<([^>]*)>", p).group(1).split(",")}
+    assert cols == {"user_id", "category_t6", "category_t7", "trending_types"}
 
 
 def test_viewing_profile_has_no_join(spark):
