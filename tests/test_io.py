@@ -174,5 +174,8 @@ def test_command_line_job(spark, tmp_path, search_dir):
     logs_dir = _json_logs(tmp_path)
     counts = main(["--search-log", search_dir, "--months", "t6=202206", "t7=202207",
                    "--viewing-log", str(logs_dir / "*.json"), "--rules", str(rules), "--out", str(tmp_path / "o"),
-                   "--top-n", "2"], spark=spark)
-    assert counts == {"users": 2, "viewers": 2, "wide": 3}
+                   "--top-n", "2", "--insights"], spark=spark)
+    assert counts == {"users": 2, "viewers": 2, "wide": 3, "insights": 9}
+    health = spark.read.option("header", True).csv(str(tmp_path / "o" / "insights" / "status_health"))
+    assert health.columns == ["user_status", "User_Count", "Average_Active_Ratio", "Total_Platform_Watch_Time"]
+    assert sum(int(r["User_Count"]) for r in health.collect()) == 3

@@ -31,6 +31,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--top-n", type=int, default=None, help="keep only the n best-scored search users")
     p.add_argument("--how", default="full", choices=["full", "inner", "left", "right"])
     p.add_argument("--jdbc-from-env", action="store_true", help="publish to MySQL configured by DB_* variables")
+    p.add_argument("--insights", action="store_true", help="also write the business questions as CSV")
     return p.parse_args(argv)
 
 
@@ -45,7 +46,11 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     manual = dictionary.read_manual_dictionary(spark, a.reviewed) if a.reviewed else None
     s = plan.SearchSettings(labels=labels, rules=rules, top_n=a.top_n)
     target = jdbc.mysql_target_from_env() if a.jdbc_from_env else None
-    counts = jobs.run_all(spark, log, events, s, plan.ViewingSettings(), jobs.Outputs(a.out), manual, a.how, target)
+    v = plan.ViewingSettings()
+    out = jobs.Outputs(a.out)
+    counts = jobs.run_all(spark, log, events, s, v, out, manual, a.how, target)
+    if a.insights:
+        counts["insights"] = len(jobs.run_insights(spark, out, s, v))
     print(json.dumps(counts))
     return counts
 

@@ -11,7 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewer_insights.operators import enrich, search
+from viewer_insights import vocab
+from viewer_insights.operators import enrich, insights, search
 from viewer_insights.plans import customer360 as plan
 from viewer_insights.sinks import contract, files, jdbc
 from viewer_insights.sinks.metrics import observed
@@ -65,6 +66,30 @@ def run_merge_stage(spark: SparkSession, out: Outputs, s: plan.SearchSettings, v
     return {"wide": obs.get["rows"]}
 
 
+def run_insights(spark: SparkSession, out: Outputs, s: plan.SearchSettings, v: plan.ViewingSettings,
+                 vip_likes=None, vip_min_active=None) -> list[str]:
+    """The business questions on the stored serving table, each written as CSV
+    under ``insights/<name>``.  Each reads only its columns of the table."""
+    wide = spark.read.parquet(out.path("customer_360"))
+    totals = plan.total_columns(v)
+    likes = vip_likes if vip_likes is not None else vocab.VIP_TASTES
+    min_active = vip_min_active if vip_min_active is not None else vocab.VIP_MIN_ACTIVE
+    reports = {
+        "status_health": insights.status_health(wide, totals),
+        "top_shifts": insights.top_shifts(wide, labels=s.labels),
+        "top_shifts_10": insights.top_shifts(wide, 10, s.labels),
+        "vip_users": insights.vip_users(wide, likes, min_active, column_names=v.column_names),
+        "shift_rate": insights.shift_rate(wide),
+        "category_retention": insights.category_retention(wide, s.labels),
+        "taste_engagement": insights.taste_engagement(wide),
+        "archetype_engagement": insights.archetype_engagement(wide, totals),
+        "intent_vs_watch": insights.intent_vs_watch(wide, s.labels),
+    }
+    for name, df in reports.items():
+        files.export_table(df, out.path(f"insights/{name}"))
+    return list(reports)
+
+
 def run_all(spark: SparkSession, log: DataFrame, events: DataFrame, s: plan.SearchSettings,
             v: plan.ViewingSettings, out: Outputs, manual: DataFrame | None = None, how: str = "full",
             target: jdbc.JdbcTarget | None = None) -> dict[str, int]:
