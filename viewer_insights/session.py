@@ -36,13 +36,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a remote (Spark Connect) session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have none
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when the setting is absent (local tests) a scratch folder is created
     and registered, so ``DataFrame.checkpoint()`` works everywhere.
     """
-    d = _LOCAL_DIRS.get(id(spark.sparkContext)) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    sc = _context(spark)
+    key = id(sc) if sc is not None else id(spark)
+    d = _LOCAL_DIRS.get(key) or (sc.getConf().get(CHECKPOINT_CONF, None) if sc is not None else None)
     if not d:
         try:
             d = spark.conf.get(CHECKPOINT_CONF, None)
@@ -51,9 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         # Only when the cluster names no folder (local tests).
         d = tempfile.mkdtemp(prefix="vi-checkpoint-")
-        _LOCAL_DIRS[id(spark.sparkContext)] = d
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        _LOCAL_DIRS[key] = d
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
