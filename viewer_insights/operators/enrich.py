@@ -121,7 +121,9 @@ def categorize_users(
             cat_col(lab): F.expr(L.month_category_sql(kw_col(lab), looked_up(lab))) for lab in labels
         })
     d = merge_dictionary(None, manual)
-    return _lookup_months(users, d, labels, "_man_", looked_up, within_rows(d, max_broadcast_rows))
+    # The deduplicated dictionary is never larger than the sheet, and a row
+    # bound on the sheet is a scan that stops early.
+    return _lookup_months(users, d, labels, "_man_", looked_up, within_rows(manual, max_broadcast_rows))
 
 
 def with_user_status(df: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
