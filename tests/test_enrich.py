@@ -111,3 +111,17 @@ def test_rule_conflicts_report(spark):
     got = rows(rule_conflicts(spark, rules), "phrase", "assigned")
     assert got == [("18\\+", "Unmapped"), ("hai tac mu rom", "Sports"), ("phim ma thai", "Horror"),
                    ("tap \\d+", "Unmapped")]
+
+
+def test_categorize_users_salted_path_equals_broadcast_path(spark):
+    rules = [("Warm", ["red", "hot"]), ("Cool", ["blue", "cold"])]
+    users = spark.createDataFrame(
+        [("1", "red gear", "blue rod"), ("2", None, "old anvil"), ("3", "new ring", "hot blue")], USERS)
+    manual = spark.createDataFrame([("NEW RING ", "Jewel"), ("red gear", "Override"), ("new ring", "Alpha")],
+                                   "keyword string, category string")
+    small = enrich.categorize_users(users, rules, manual)                        # broadcast
+    large = enrich.categorize_users(users, rules, manual, max_broadcast_rows=0)  # salted shuffle
+    assert "_salt" in large._jdf.queryExecution().executedPlan().toString()
+    cols = ["user_id", "category_t6", "category_t7"]
+    assert rows(large, *cols) == rows(small, *cols) == [
+        ("1", "Override", "Cool"), ("2", "No_Search", "Other"), ("3", "Alpha", "Warm")]
