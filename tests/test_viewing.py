@@ -83,3 +83,15 @@ def test_read_viewing_log_json(spark, tmp_path):
         (None, None, None, D1),           # malformed line -> all-NULL row
         ("AB3", "SPORT", 5, None),        # no day in the file name
     ], key=str)
+
+
+def test_viewing_master_with_sample(spark):
+    from viewer_insights.plans import customer360 as plan
+    data = [(f"u{i:03d}", "VOD", 10 + i, D1) for i in range(60)]
+    events = spark.createDataFrame(data, EV)
+    full = plan.viewing_master(events, plan.ViewingSettings())
+    sampled = plan.viewing_master(events, plan.ViewingSettings(sample_n=7, sample_seed=3))
+    got = [r["user_id"] for r in sampled.collect()]
+    import hashlib
+    want = sorted((r["user_id"] for r in full.collect()), key=lambda u: (hashlib.md5(f"{u}:3".encode()).hexdigest(), u))[:7]
+    assert got == want
