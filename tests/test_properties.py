@@ -115,3 +115,16 @@ def test_one_row_per_user_and_matrix_total(spark):
     matrix = E.queries()["transition_matrix"](spark, sf)
     cells = sum(sum(v for k, v in r.asDict().items() if k != "category_t6") for r in matrix.collect())
     assert cells == master.count()
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 200), st.sampled_from(["k1", "k2", "k3", "hot", None])), min_size=1, max_size=60),
+       st.lists(st.sampled_from(["k1", "k2", "hot", "zz"]), unique=True), st.integers(1, 7))
+def test_salted_lookup_equals_left_join(spark, big_rows, keys, buckets):
+    from viewer_insights.operators.sizing import salted_left_lookup
+    big = spark.createDataFrame(big_rows, "user_id long, kw string")
+    small = spark.createDataFrame([(k, f"cat-{k}") for k in keys] or [("none", "x")], "k string, cat string")
+    got = salted_left_lookup(big, small, "kw", "k", "xxhash64(user_id)", buckets)
+    want = big.join(small, big.kw == small.k, "left").drop("k")
+    key = lambda r: (r["user_id"], str(r["kw"]), str(r["cat"]))
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
