@@ -24,7 +24,7 @@ def canon(rows, cols):
 
     def norm(v):
         if isinstance(v, float):
-            return "nan" if math.isnan(v) else round(v, 9)
+            return "nan" if math.isnan(v) else repr(v)
         return v.isoformat() if hasattr(v, "isoformat") else v
 
     return sorted((tuple(norm(r[i]) for i in order) for r in rows), key=lambda t: tuple((x is None, str(x)) for x in t))
