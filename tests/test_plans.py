@@ -20,6 +20,7 @@ def plan(df):
 def test_no_python_udf_and_no_single_partition(spark, name):
     p = plan(E.queries()[name](spark, SF))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
     if name in TOP_K:
         return
     lines = p.splitlines()
