@@ -4,18 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewer_insights.llm import quality_gbt, simhash
+from viewer_insights.llm import decontamination, packing, quality_gbt, quality_rules, secret_scan, simhash
 from viewer_insights.llm.common import read
 
 
+def op1_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op2_likelihood_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op3_recursive_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(read(spark, sf_dir, "documents"))
+
+
 def op7_simhash_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gbt.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op7_simhash_pivot_dedup, op10_quality_trees)}
+QUERIES = {f.__name__: f for f in (
+    op1_pigeonhole_decontamination, op2_likelihood_ratio_rules, op3_recursive_secret_scan, op7_simhash_pivot_dedup,
+    op9_sum_of_squares_packing, op10_quality_trees)}
 
 ORACLE_SQL: dict[str, str] = {}
