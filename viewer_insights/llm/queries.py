@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewer_insights.llm import decontamination, packing, quality_gbt, quality_rules, secret_scan, simhash
+from viewer_insights.llm import (
+    chat_format,
+    decontamination,
+    packing,
+    quality_gbt,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash,
+)
 from viewer_insights.llm.common import read
 
 
@@ -20,10 +29,24 @@ def op3_recursive_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(read(spark, sf_dir, "documents"))
 
 
+#: A conversation whose texts hold the template's own control strings, put beside the table.
+CONTROL_CONVERSATION = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op6_chat_state_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(
+        spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string"))
+    return chat_format.digests(chat_format.read_back(chat_format.format_conversations(turns)))
+
+
 def op7_simhash_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op8_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(read(spark, sf_dir, "documents"))
+
+
 def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
@@ -33,7 +56,7 @@ def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pigeonhole_decontamination, op2_likelihood_ratio_rules, op3_recursive_secret_scan, op7_simhash_pivot_dedup,
-    op9_sum_of_squares_packing, op10_quality_trees)}
+    op1_pigeonhole_decontamination, op2_likelihood_ratio_rules, op3_recursive_secret_scan, op6_chat_state_machine,
+    op7_simhash_pivot_dedup, op8_jump_hash_shards, op9_sum_of_squares_packing, op10_quality_trees)}
 
 ORACLE_SQL: dict[str, str] = {}
