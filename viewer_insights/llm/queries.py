@@ -13,8 +13,13 @@ from viewer_insights.llm import (
     secret_scan,
     sharding,
     simhash,
+    url_filter,
+    warc_fixity,
 )
 from viewer_insights.llm.common import read
+from viewer_insights.llm.oracle import ORACLE_SQL
+
+__all__ = ["QUERIES", "ORACLE_SQL"]
 
 
 def op1_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +34,16 @@ def op3_recursive_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(read(spark, sf_dir, "documents"))
 
 
+def op4_url_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(read(spark, sf_dir, "pages"))
+
+
+def op5_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    ours, theirs = (warc_fixity.Tree(warc_fixity.page_records(p)) for p in (pages, warc_fixity.damaged_copy(pages)))
+    return warc_fixity.audit_report(ours, theirs).withColumnRenamed("id", "page_id")
+
+
 #: A conversation whose texts hold the template's own control strings, put beside the table.
 CONTROL_CONVERSATION = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
@@ -56,7 +71,6 @@ def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pigeonhole_decontamination, op2_likelihood_ratio_rules, op3_recursive_secret_scan, op6_chat_state_machine,
+    op1_pigeonhole_decontamination, op2_likelihood_ratio_rules, op3_recursive_secret_scan, op4_url_language_models,
+    op5_merkle_fixity_audit, op6_chat_state_machine,
     op7_simhash_pivot_dedup, op8_jump_hash_shards, op9_sum_of_squares_packing, op10_quality_trees)}
-
-ORACLE_SQL: dict[str, str] = {}
