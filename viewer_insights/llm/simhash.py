@@ -175,10 +175,9 @@ def drop_near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2) -> D
     null doc_id stay unless their group has a row with an id.
     """
     found = near_duplicates(docs, size, max_bits)
-    keep = (found.where("doc_id <=> component_id").groupBy("doc_id")
-            .agg(F.count(F.lit(1)).alias("_rows"), F.min("fingerprint").alias("_fp")).withColumnRenamed("doc_id", "_id"))
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = kept.where("_rows = 1 OR _id IS NULL").select(docs.columns)
-    again = kept.where("_rows > 1 AND _id IS NOT NULL").select(F.struct(*docs.columns).alias("_row"), "_id")
-    first = again.groupBy("_id").agg(F.min("_row").alias("_row")).select("_row.*")
-    return once.unionByName(first)
+    keep = (found.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+            .select(F.col("doc_id").alias("id"), "n"))
+    kept = docs.select(F.struct("*").alias("doc")).join(keep, F.col("doc.doc_id").cast("long").eqNullSafe(F.col("id")))
+    once = kept.where("n = 1 OR id IS NULL").select("doc.*")
+    again = kept.where("n > 1 AND id IS NOT NULL").groupBy("id").agg(F.min("doc").alias("doc")).select("doc.*")
+    return once.unionByName(again)
