@@ -8,8 +8,8 @@ against one threshold (nothing is resampled): the one that parts the labelled
 documents with the fewest errors, a lost good document counting ``GOOD_WEIGHT`` times.
 
 The two count tables have ``BUCKETS`` entries whatever the corpus; each task sends at
-most that many partial counts.  Texts are shuffled only for the join with labels, and
-there AQE sends the labels instead when they are small.
+most that many partial counts.  Texts are shuffled once, for the join with labels (a
+sort-merge join at every size: labels grow with the corpus and are never broadcast).
 
 Defined cases: a null text has no words and fails the base rules; a text with fewer
 bytes than an n-gram scores 0; a document is trusted if all rows of its label say 1 and
@@ -90,7 +90,7 @@ def trusted_labels(labels: DataFrame) -> DataFrame:
 
 def ngram_counts(docs: DataFrame, labels: DataFrame, order: int = ORDER, n_buckets: int = BUCKETS) -> DataFrame:
     """``bucket, raw, target`` summed over all documents."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("text")).join(
+    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("text")).hint("merge").join(
         trusted_labels(labels).where("_good = 1"), F.col("_doc") == F.col("_id"), "left").select("text", "_good")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
