@@ -109,19 +109,55 @@ def test_rule_conflicts_report(spark):
              ("Horror", ["ma"]), ("Thai-Drama", ["phim ma thai"]), ("Adult", [r"18\+"]),
              ("Movies_General", ["phim", r"tap \d+"])]
     got = rows(rule_conflicts(spark, rules), "phrase", "assigned")
-    assert got == [("18\\+", "Unmapped"), ("hai tac mu rom", "Sports"), ("phim ma thai", "Horror"),
-                   ("tap \\d+", "Unmapped")]
+    # "tap \\d+" is a pattern that "tap 12" matches: not judged
+    assert got == [("18\\+", "Unmapped"), ("hai tac mu rom", "Sports"), ("phim ma thai", "Horror")]
 
 
-def test_categorize_users_salted_path_equals_broadcast_path(spark):
+def test_lookup_of_a_reviewed_dictionary(spark):
     rules = [("Warm", ["red", "hot"]), ("Cool", ["blue", "cold"])]
     users = spark.createDataFrame(
         [("1", "red gear", "blue rod"), ("2", None, "old anvil"), ("3", "new ring", "hot blue")], USERS)
     manual = spark.createDataFrame([("NEW RING ", "Jewel"), ("red gear", "Override"), ("new ring", "Alpha")],
                                    "keyword string, category string")
-    small = enrich.categorize_users(users, rules, manual)                        # broadcast
-    large = enrich.categorize_users(users, rules, manual, max_broadcast_rows=0)  # salted shuffle
+    small = enrich.categorize_users(users, rules, manual, salt_buckets=1)
+    large = enrich.categorize_users(users, rules, manual, salt_buckets=5)
     assert "_salt" in large._jdf.queryExecution().executedPlan().toString()
     cols = ["user_id", "category_t6", "category_t7"]
     assert rows(large, *cols) == rows(small, *cols) == [
         ("1", "Override", "Cool"), ("2", "No_Search", "Other"), ("3", "Alpha", "Warm")]
+
+
+def test_matrix_has_columns_for_dictionary_only_categories(spark):
+    import pytest
+
+    master = spark.createDataFrame([("1", "Warm", "Tools"), ("2", "Warm", "Warm"), ("3", "Tools", "No_Search")],
+                                   "user_id string, category_t6 string, category_t7 string")
+    manual = spark.createDataFrame([("a", "Tools"), ("b", " "), ("c", "Warm")], "keyword string, category string")
+    cats = enrich.matrix_categories(["Warm", "Cool", "Warm"], manual)
+    assert cats == ["Warm", "Cool", "Tools", "Unmapped", "Other", "No_Search"]
+    m = enrich.transition_matrix(master, cats)
+    assert sum(sum(tuple(r)[1:]) for r in m.collect()) == master.count()
+    with pytest.raises(Exception, match="outside the transition matrix: Tools"):
+        enrich.transition_matrix(master, enrich.matrix_categories(["Warm", "Cool"])).collect()
+    with pytest.raises(enrich.TooManyCategories):
+        enrich.dictionary_categories(manual, max_categories=1)
+    assert rows(enrich.transition_counts(master), "category_t6", "category_t7", "users") == [
+        ("Tools", "No_Search", 1), ("Warm", "Tools", 1), ("Warm", "Warm", 1)]
+
+
+def test_users_without_a_keyword_spread_over_the_tasks(spark):
+    users = spark.createDataFrame([(str(i), None if i % 2 else f"k{i % 50}", "x") for i in range(4000)], USERS)
+    d = spark.createDataFrame([(f"k{i}", "C") for i in range(0, 50, 4)], "keyword string, category string")
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = enrich.map_categories(users.select("user_id", "most_search_t6"), d, labels=("t6",))
+        empty = out.filter("category_t6 = 'No_Search'")
+        per_task = empty.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count"), F.sum("count")).first()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert per_task[1] == 2000 and per_task[0] < 500

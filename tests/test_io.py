@@ -77,7 +77,7 @@ def test_jobs_end_to_end(spark, tmp_path, search_dir):
     events = logs.read_viewing_log(spark, str(_json_logs(tmp_path) / "*.json"))
     manual = spark.createDataFrame([("OLD ANVIL", "Tools")], "keyword string, category string")
     counts = jobs.run_all(spark, log, events, s, v, out, manual=manual)
-    assert counts == {"users": 3, "viewers": 2, "wide": 3}
+    assert counts == {"users": 3, "mapped": 3, "review": 1, "dictionary": 4, "viewers": 2, "wide": 3}
     wide = spark.read.parquet(out.path("customer_360"))
     assert [f.name for f in wide.schema.fields] == [f.name for f in contract.serving_schema().fields]
     got = {r["user_id"]: r for r in wide.collect()}
@@ -88,14 +88,21 @@ def test_jobs_end_to_end(spark, tmp_path, search_dir):
     assert review.columns == ["Keyword_Gốc", "Trưởng_Họ_(Family)", "category"]
     assert rows(review, "Keyword_Gốc") == [("old anvil",)]
     matrix = spark.read.option("header", True).csv(out.path("transition_matrix"))
-    assert "No_Search" in matrix.columns
+    assert "No_Search" in matrix.columns and "Tools" in matrix.columns
+    cells = [int(v) for r in matrix.collect() for k, v in r.asDict().items() if k != "category_t6"]
+    assert sum(cells) == counts["users"]
+    long = spark.read.option("header", True).csv(out.path("transition_counts"))
+    assert ("No_Search", "Tools", "1") in rows(long, "category_t6", "category_t7", "users")
     contract.assert_unique(wide)
 
 
 def test_contract_unique_check(spark):
     df = spark.createDataFrame([("a",), ("a",)], "user_id string")
-    with pytest.raises(ValueError):
+    with pytest.raises(contract.ContractError):
         contract.assert_unique(df)
+    with pytest.raises(contract.ContractError, match="NULL"):
+        contract.assert_key(spark.createDataFrame([("a",), (None,)], "user_id string"))
+    contract.assert_key(spark.createDataFrame([("a",), ("b",)], "user_id string"))
 
 
 def test_jdbc_writer_options_without_a_database(monkeypatch):
@@ -108,7 +115,10 @@ def test_jdbc_writer_options_without_a_database(monkeypatch):
                                 "driver": "com.mysql.cj.jdbc.Driver", "numPartitions": "16"}
     for k in ("DB_HOST", "DB_PORT", "DB_NAME", "DB_USER", "DB_PASS"):
         monkeypatch.delenv(k, raising=False)
-    env = jdbc.mysql_target_from_env()
+    env = jdbc.mysql_target_from_env(4)
+    assert env.num_partitions == 4
+    with pytest.raises(TypeError):
+        jdbc.JdbcTarget(url="jdbc:x")  # a bound on connections is required
     assert (env.url, env.user, env.password) == ("jdbc:mysql://localhost:3306/big_data_analysis", "root", "")
 
 
@@ -137,7 +147,7 @@ def test_publish_uses_truncating_overwrite(spark, monkeypatch):
 
     df = spark.range(1)
     monkeypatch.setattr(type(df), "write", property(lambda self: FakeWriter()))
-    jdbc.publish(df, jdbc.JdbcTarget(url="jdbc:x"))
+    jdbc.publish(df, jdbc.JdbcTarget(url="jdbc:x", num_partitions=2))
     assert calls["format"] == "jdbc" and calls["truncate"] == "true" and calls["mode"] == "overwrite"
     assert calls["saved"] and calls["options"]["dbtable"] == "customer_360_behavior"
 
@@ -174,8 +184,90 @@ def test_command_line_job(spark, tmp_path, search_dir):
     logs_dir = _json_logs(tmp_path)
     counts = main(["--search-log", search_dir, "--months", "t6=202206", "t7=202207",
                    "--viewing-log", str(logs_dir / "*.json"), "--rules", str(rules), "--out", str(tmp_path / "o"),
-                   "--top-n", "2", "--insights"], spark=spark)
-    assert counts == {"users": 2, "viewers": 2, "wide": 3, "insights": 9}
+                   "--top-n", "2", "--insights", "--sample-users", "1", "--sample-seed", "3", "--days-per-month", "15",
+                   "--fold-diacritics", "--salt-buckets", "4"], spark=spark)
+    assert counts == {"users": 2, "mapped": 1, "review": 2, "dictionary": 1, "viewers": 1, "wide": 3, "insights": 9}
     health = spark.read.option("header", True).csv(str(tmp_path / "o" / "insights" / "status_health"))
     assert health.columns == ["user_status", "User_Count", "Average_Active_Ratio", "Total_Platform_Watch_Time"]
     assert sum(int(r["User_Count"]) for r in health.collect()) == 3
+    with pytest.raises(SystemExit):
+        main(["--search-log", "a", "--months", "a=1", "b=2", "--viewing-log", "c", "--rules", "d", "--out", "e", "--jdbc-from-env"],
+             spark=spark)
+
+
+def test_sheet_saved_by_a_spreadsheet(spark, tmp_path):
+    from viewer_insights.sinks import files
+    p = tmp_path / "saved.csv"
+    p.write_text('Keyword_Gốc,Trưởng_Họ_(Family),category\n"say ""hi"", now",fam,Music\n"two\nlines",fam,"A, B"\n" pad ",fam,\n',
+                 encoding="utf-8")
+    d = dictionary.read_manual_dictionary(spark, str(p))
+    assert rows(d, "keyword", "category") == sorted(
+        [('say "hi", now', "Music"), ("two\nlines", "A, B"), (" pad ", None)], key=str)
+    review = spark.createDataFrame([(k, k, "Unmapped") for k in ('a "b"', "x\ny", "c, d", " e ", '"', "\\", "f\\")],
+                                   "keyword string, family string, category string")
+    files.export_review_queue(review, str(tmp_path / "out"))
+    back = dictionary.read_manual_dictionary(spark, str(tmp_path / "out"))
+    assert rows(back, "keyword", "family", "category") == rows(review, "keyword", "family", "category")
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    from viewer_insights.sinks import files
+    data = [(f"u{i}", f"k{i}", "2022-06-01 10:00:00", "20220601" if i % 10 else "20220602") for i in range(3000)]
+    df = spark.createDataFrame(data, "user_id string, keyword string, datetime string, day string")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files.write_search_log(df, str(tmp_path / "log"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    back = spark.read.parquet(str(tmp_path / "log")).withColumn("f", F.input_file_name())
+    sizes = [r["count"] for r in back.filter("day = 20220601").groupBy("f").count().collect()]
+    assert back.count() == 3000 and len(sizes) > 2 and max(sizes) < 1500
+
+
+def test_a_cluster_without_shared_storage_is_refused(monkeypatch):
+    from viewer_insights import session
+
+    class Session:
+        class conf:  # noqa: N801 - stands for the session's options
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app-x"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    monkeypatch.setattr(session, "_context", lambda s: Context())
+    with pytest.raises(session.SharedStorageMissing):
+        session.checkpoint_dir(Session())
+
+
+def test_no_scratch_folder_is_left(spark):
+    import os
+
+    from viewer_insights.operators import merge
+    from viewer_insights.session import checkpoint_dir, scratch_tables
+    root = checkpoint_dir(spark)
+    before = set(os.listdir(root))
+    a = spark.createDataFrame([(str(i), i) for i in range(50)], "user_id string, x int")
+    b = spark.createDataFrame([(str(i), -i) for i in range(50)], "user_id string, y int")
+    with scratch_tables(spark):
+        got = rows(merge.merge_positional(a, b), "user_id", "x", "y")
+        assert set(os.listdir(root)) > before
+    assert set(os.listdir(root)) == before and all(x == -y for _, x, y in got)
+
+
+def test_job_and_registered_insights_agree(spark, tmp_path):
+    # the job's report runs on the served table, where a user without viewing has Active 0.0
+    from viewer_insights.operators import insights
+    wide = spark.createDataFrame([("u1", "Retained_User", 20.0, 5), ("u2", "Retained_User", None, None)],
+                                 "user_id string, user_status string, Active double, Total_Phim_Truyen long")
+    served = contract.align_to_schema(wide, contract.serving_schema(categories=("Phim Truyện",)))
+    (r,) = insights.status_health(served, ["Total_Phim_Truyen"]).collect()
+    assert (r["User_Count"], r["Average_Active_Ratio"], r["Total_Platform_Watch_Time"]) == (2, 10.0, 5)

@@ -88,7 +88,7 @@ def test_junk_filter(spark):
         "user_id string, most_search_t7 string",
     ).withColumn("most_search_t6", F.lit(None).cast("string")).withColumn("cnt_t6", F.lit(1)).withColumn(
         "cnt_t7", F.lit(1))
-    kept = [r[0] for r in rows(search.score_users(users), "user_id")]
+    kept = [r[0] for r in rows(search.drop_junk_users(users), "user_id")]
     assert kept == ["3", "4", "5", "6"]
 
 
@@ -197,3 +197,41 @@ def test_hot_user_is_spread_by_first_shuffle(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert per_task < n // 3 // 2            # spread over the shuffle partitions
     assert (best["most_search_t6"], best["cnt_t6"]) == ("kw0", n // 3)
+
+
+def test_junk_users_go_with_and_without_a_cohort_bound(spark):
+    from viewer_insights.plans import customer360 as plan
+    log = spark.createDataFrame([("u1", "12345", "t7"), ("u2", "x", "t7"), ("u3", "red", "t7"), ("u4", "blue", "t6")],
+                                "user_id string, keyword string, period string").withColumn("ts", F.lit(None).cast("timestamp"))
+    for n in (None, 10):
+        assert [r[0] for r in rows(plan.search_users(log, plan.SearchSettings(top_n=n)), "user_id")] == ["u3", "u4"]
+
+
+def test_rules_run_once_above_the_distinct(spark):
+    from viewer_insights.functions.rules import rules_from_table
+    from viewer_insights.plans import customer360 as plan
+    table = spark.createDataFrame([(1, "A", "x"), (2, "B", "y"), (3, "A", "z")], "priority int, category string, phrase string")
+    rules = rules_from_table(table)
+    assert rules == [("A", ("x",)), ("B", ("y",)), ("A", ("z",))]
+    users = spark.createDataFrame([("1", "y z", "x y"), ("2", "z", "y z")], "user_id string, most_search_t6 string, most_search_t7 string")
+    s = plan.SearchSettings(rules=rules)
+    once = plan.keyword_categories(users, s)
+    text = once._jdf.queryExecution().optimizedPlan().toString()
+    top = text.splitlines()[0]  # the distinct, with the rules on its result
+    assert top.startswith("Aggregate [keyword") and top.count("RLIKE") == text.count("RLIKE") == len(rules)
+    stored = plan.staged_keyword_categories(users, s)
+    mapped, review = search.split_review_queue(stored)
+    for df in (mapped, review, plan.search_master_from_dictionary(users, stored, s)):
+        assert "RLIKE" not in df._jdf.queryExecution().executedPlan().toString()
+    assert rows(mapped, "keyword", "category") == [("x y", "A"), ("y z", "B"), ("z", "A")]
+
+
+def test_folding_reaches_review_queue_and_both_forms(spark):
+    from viewer_insights.plans import customer360 as plan
+    s = plan.SearchSettings(rules=[("Music", ("hat",))], fold_diacritics=True)
+    users = spark.createDataFrame([("1", "hát", "hat"), ("2", "xyz", "hát nhé")], "user_id string, most_search_t6 string, most_search_t7 string")
+    categories = plan.staged_keyword_categories(users, s)
+    assert [r[0] for r in rows(search.split_review_queue(categories)[1], "keyword")] == ["xyz"]
+    cols = ["user_id", "category_t6", "category_t7"]
+    lazy, stored = plan.search_master_from_users(users, s), plan.search_master_from_dictionary(users, categories, s)
+    assert rows(lazy, *cols) == rows(stored, *cols) == [("1", "Music", "Music"), ("2", "Other", "Music")]

@@ -2,7 +2,8 @@
 
     python -m viewer_insights --search-log /data/log_search --months t6=202206 t7=202207 \\
         --viewing-log '/data/log_content/*.json' --rules rules.csv [--reviewed reviewed.csv] \\
-        --out /shared/out [--top-n 5000] [--how full] [--jdbc-from-env]
+        --out /shared/out [--top-n 5000] [--how full] [--fold-diacritics] \\
+        [--sample-users 5000 --sample-seed 0] [--days-per-month 30] [--jdbc-from-env --jdbc-connections 8]
 
 Uses the active Spark session (``spark-submit`` sets master and options).
 """
@@ -14,6 +15,9 @@ import json
 
 from pyspark.sql import SparkSession
 
+from viewer_insights import vocab
+from viewer_insights.functions.rules import MAX_RULE_PHRASES
+from viewer_insights.operators.sizing import DEFAULT_SALT_BUCKETS
 from viewer_insights.plans import customer360 as plan
 from viewer_insights.plans import jobs
 from viewer_insights.sinks import jdbc
@@ -30,9 +34,19 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--out", required=True, help="output folder on shared storage")
     p.add_argument("--top-n", type=int, default=None, help="keep only the n best-scored search users")
     p.add_argument("--how", default="full", choices=["full", "inner", "left", "right"])
+    p.add_argument("--fold-diacritics", action="store_true", help="match rules on keywords without accents")
+    p.add_argument("--max-rule-phrases", type=int, default=MAX_RULE_PHRASES, help="refuse a longer rule table")
+    p.add_argument("--salt-buckets", type=int, default=DEFAULT_SALT_BUCKETS, help="tasks that share a hot keyword")
+    p.add_argument("--sample-users", type=int, default=None, help="keep a sample of n viewing users")
+    p.add_argument("--sample-seed", type=int, default=0)
+    p.add_argument("--days-per-month", type=int, default=vocab.DAYS_PER_MONTH, help="days that Active 100 stands for")
     p.add_argument("--jdbc-from-env", action="store_true", help="publish to MySQL configured by DB_* variables")
+    p.add_argument("--jdbc-connections", type=int, help="connections open at once (with --jdbc-from-env)")
     p.add_argument("--insights", action="store_true", help="also write the business questions as CSV")
-    return p.parse_args(argv)
+    a = p.parse_args(argv)
+    if a.jdbc_from_env and not a.jdbc_connections:
+        p.error("--jdbc-from-env needs --jdbc-connections")
+    return a
 
 
 def main(argv=None, spark: SparkSession | None = None) -> dict:
@@ -42,11 +56,12 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     labels = tuple(months)
     log = logs.read_search_log(spark, a.search_log, months)
     events = logs.read_viewing_log(spark, a.viewing_log)
-    rules = dictionary.read_rule_table(spark, a.rules)
+    rules = dictionary.read_rule_table(spark, a.rules, max_phrases=a.max_rule_phrases)
     manual = dictionary.read_manual_dictionary(spark, a.reviewed) if a.reviewed else None
-    s = plan.SearchSettings(labels=labels, rules=rules, top_n=a.top_n)
-    target = jdbc.mysql_target_from_env() if a.jdbc_from_env else None
-    v = plan.ViewingSettings()
+    s = plan.SearchSettings(labels=labels, rules=rules, top_n=a.top_n, salt_buckets=a.salt_buckets,
+                            fold_diacritics=a.fold_diacritics)
+    target = jdbc.mysql_target_from_env(a.jdbc_connections) if a.jdbc_from_env else None
+    v = plan.ViewingSettings(days=a.days_per_month, sample_n=a.sample_users, sample_seed=a.sample_seed)
     out = jobs.Outputs(a.out)
     counts = jobs.run_all(spark, log, events, s, v, out, manual, a.how, target)
     if a.insights:

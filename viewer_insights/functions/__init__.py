@@ -8,13 +8,6 @@ same expression as a ``Column``.
 from viewer_insights.functions.diacritics import fold_diacritics, fold_diacritics_sql
 from viewer_insights.functions.labels import journey_sql, month_category_sql, preference_change_sql, user_status_sql
 from viewer_insights.functions.rules import SAMPLE_RULES, compile_rules, rule_case, rule_case_sql, rules_from_table
-from viewer_insights.functions.text import (
-    is_present,
-    normalize_keyword,
-    not_junk,
-    strip_all_whitespace,
-    word_count,
-)
 from viewer_insights.functions.timeparse import english_ampm, parse_log_time, parse_log_time_sql
 
 __all__ = [
@@ -23,18 +16,13 @@ __all__ = [
     "english_ampm",
     "fold_diacritics",
     "fold_diacritics_sql",
-    "is_present",
     "journey_sql",
     "month_category_sql",
-    "normalize_keyword",
-    "not_junk",
     "parse_log_time",
     "parse_log_time_sql",
     "preference_change_sql",
     "rule_case",
     "rule_case_sql",
     "rules_from_table",
-    "strip_all_whitespace",
     "user_status_sql",
-    "word_count",
 ]

@@ -9,6 +9,7 @@ compiles into a single CASE expression evaluated by Spark's code generator.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,25 +54,22 @@ def rule_case_sql(c: str, rules: Sequence[tuple[str, Sequence[str]]], default: s
     return case(((f"{subject} RLIKE {string(p)}", string(cat)) for cat, p in compile_rules(rules)), d)
 
 
-def rule_case(c: str, rules: Sequence[tuple[str, Sequence[str]]], default: str = UNMAPPED) -> Column:
+def rule_case(c: str, rules: Sequence[tuple[str, Sequence[str]]], default: str = UNMAPPED,
+              subject_sql: str | None = None) -> Column:
     """First matching rule's category for column ``c``, else ``default``."""
-    return F.expr(rule_case_sql(c, rules, default))
+    return F.expr(rule_case_sql(c, rules, default, subject_sql))
 
 
 def rules_from_table(table: DataFrame, max_phrases: int = MAX_RULE_PHRASES):
     """Build a rule set from a table ``(priority INT, category STRING, phrase STRING)``.
 
     The table is configuration (hundreds of phrases), so it is brought to the
-    driver - but only after checking that it is within ``max_phrases``.
+    driver - but only after checking that it is within ``max_phrases``.  The
+    first match by priority wins, also where a category has several priorities.
     """
     bounded = table.select("priority", "category", "phrase").limit(max_phrases + 1).collect()
     if len(bounded) > max_phrases:
         raise ValueError(f"rule table has more than {max_phrases} phrases")
-    order: dict[str, int] = {}
-    phrases: dict[str, list[str]] = {}
-    for row in sorted(bounded, key=lambda r: (r["priority"], r["category"], r["phrase"] or "")):
-        order.setdefault(row["category"], row["priority"])
-        if row["phrase"]:
-            phrases.setdefault(row["category"], []).append(row["phrase"])
-    cats = sorted(order, key=lambda c: (order[c], c))
-    return [(c, tuple(phrases.get(c, ()))) for c in cats]
+    rows = sorted(bounded, key=lambda r: (r["priority"], r["category"], r["phrase"] or ""))
+    # neighbours in priority order share a branch; a category that comes again later is a branch of its own
+    return [(category, tuple(r["phrase"] for r in group if r["phrase"])) for category, group in groupby(rows, key=lambda r: r["category"])]

@@ -10,9 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 def ident(name: str) -> str:
     """Backtick-quoted identifier (dots are not treated as struct access)."""
@@ -46,6 +43,3 @@ def case(branches: Iterable[tuple[str, str]], default: str | None = None) -> str
 def in_list(col_sql: str, values: Sequence) -> str:
     return f"{col_sql} IN ({', '.join(literal(v) for v in values)})"
 
-
-def expr(text: str) -> Column:
-    return F.expr(text)

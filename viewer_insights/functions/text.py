@@ -1,10 +1,7 @@
-"""Keyword-text expressions (SQL text builders and their Column forms)."""
+"""Keyword-text expressions (SQL text builders)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from viewer_insights.functions.sqltext import ident, string
 from viewer_insights.vocab import JUNK_DIGITS_PATTERN, JUNK_MIN_LENGTH
 
@@ -38,22 +35,3 @@ def word_count_sql(c: str) -> str:
     q = ident(c)
     return f"CASE WHEN {q} IS NOT NULL THEN size(split({q}, ' ')) END"
 
-
-def is_present(c: str) -> Column:
-    return F.expr(is_present_sql(c))
-
-
-def normalize_keyword(c: str) -> Column:
-    return F.expr(normalize_keyword_sql(ident(c)))
-
-
-def strip_all_whitespace(c: str) -> Column:
-    return F.expr(strip_all_whitespace_sql(ident(c)))
-
-
-def not_junk(c: str) -> Column:
-    return F.expr(not_junk_sql(c))
-
-
-def word_count(c: str) -> Column:
-    return F.expr(word_count_sql(c))

@@ -11,16 +11,13 @@ from viewer_insights import vocab
 from viewer_insights.functions import labels as L
 from viewer_insights.functions.diacritics import fold_diacritics_sql
 from viewer_insights.functions.rules import rule_case_sql
-from viewer_insights.functions.sqltext import ident, string
+from viewer_insights.functions.sqltext import case, ident, in_list, string
 from viewer_insights.functions.text import is_present_sql, normalize_keyword_sql, strip_all_whitespace_sql
 from viewer_insights.operators.search import DEFAULT_LABELS, cat_col, kw_col
-from viewer_insights.operators.sizing import (
-    DEFAULT_SALT_BUCKETS,
-    MAX_BROADCAST_ROWS,
-    salted_left_lookup,
-    within_rows,
-)
+from viewer_insights.operators.sizing import DEFAULT_SALT_BUCKETS, salted_left_lookup
 
+# Columns a transition matrix may have (a wide table with more is refused, the long form is not).
+MAX_CATEGORIES = 5_000
 MANUAL_PRIORITY = 0
 RULE_PRIORITY = 1
 
@@ -60,32 +57,28 @@ def map_categories(
     users: DataFrame,
     dictionary: DataFrame,
     labels: Sequence[str] = DEFAULT_LABELS,
-    broadcast: bool | None = None,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """Look up ``category_<m>`` for each month's keyword.
 
     No keyword -> ``No_Search``; keyword not in the dictionary -> ``Other``.
-    ``broadcast=True`` hints a broadcast (only for a dictionary whose size the
-    caller has bounded).  Otherwise the join is shuffled with a salt on the
-    user side, so a keyword that is the top keyword of a third of all users
-    is spread over ``salt_buckets`` tasks.
+    The join carries a salt on the user side, so a keyword that is the top
+    keyword of a third of all users is spread over ``salt_buckets`` tasks, and
+    users without a keyword spread evenly.  Spark broadcasts the dictionary
+    when its bytes allow it.
     """
     d = dictionary.select("keyword", "category")
-    return _lookup_months(users, d, labels, "_cat_", lambda lab: f"_cat_{lab}", bool(broadcast))
+    return _lookup_months(users, d, labels, "_cat_", lambda lab: f"_cat_{lab}", salt_buckets)
 
 
-def _lookup_months(users: DataFrame, d: DataFrame, labels, prefix: str, looked_up, broadcast: bool,
+def _lookup_months(users: DataFrame, d: DataFrame, labels, prefix: str, looked_up,
                    salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Left-join ``d`` once per month on the month's keyword, then label."""
     out = users
     for lab in labels:
         k = f"_kw_{lab}"
         look = d.selectExpr(f"keyword AS {k}", f"category AS {prefix}{lab}")
-        key = dictionary_key_sql(kw_col(lab))
-        if broadcast:
-            out = out.join(F.broadcast(look), F.expr(f"{key} = {k}"), "left").drop(k)
-        else:
-            out = salted_left_lookup(out, look, key, k, "xxhash64(user_id)", salt_buckets)
+        out = salted_left_lookup(out, look, dictionary_key_sql(kw_col(lab)), k, "xxhash64(user_id)", salt_buckets)
     return out.withColumns({
         cat_col(lab): F.expr(L.month_category_sql(kw_col(lab), looked_up(lab))) for lab in labels
     }).drop(*[f"{prefix}{lab}" for lab in labels])
@@ -96,8 +89,8 @@ def categorize_users(
     rules,
     manual: DataFrame | None = None,
     labels: Sequence[str] = DEFAULT_LABELS,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     fold_diacritics: bool = False,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """``category_<m>`` for each month without a keyword-dictionary join.
 
@@ -106,8 +99,7 @@ def categorize_users(
     keyword gives ``No_Search``.  The rules are evaluated on each user row, so
     the user table is read once and never shuffled by keyword (a keyword that
     a third of all users share cannot skew anything).  Only the manual
-    dictionary is joined: broadcast when its row count is within
-    ``max_broadcast_rows``, otherwise a salted shuffle join.
+    dictionary is joined, with a salt (``map_categories``).
     ``fold_diacritics`` matches the rules against the keyword with Latin
     accents removed (the keyword itself is kept).
     """
@@ -120,10 +112,7 @@ def categorize_users(
         return users.withColumns({
             cat_col(lab): F.expr(L.month_category_sql(kw_col(lab), looked_up(lab))) for lab in labels
         })
-    d = merge_dictionary(None, manual)
-    # The deduplicated dictionary is never larger than the sheet, and a row
-    # bound on the sheet is a scan that stops early.
-    return _lookup_months(users, d, labels, "_man_", looked_up, within_rows(manual, max_broadcast_rows))
+    return _lookup_months(users, merge_dictionary(None, manual), labels, "_man_", looked_up, salt_buckets)
 
 
 def with_user_status(df: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
@@ -153,16 +142,43 @@ def enrich_labels(categorized: DataFrame, labels: Sequence[str] = DEFAULT_LABELS
     )
 
 
+def transition_counts(master: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
+    """Users per (month-A category, month-B category), whatever the categories: the complete
+    long form ``category_<a>, category_<b>, users``."""
+    a, b = labels
+    return master.groupBy(cat_col(a), cat_col(b)).agg(F.expr("count(1) AS users"))
+
+
 def transition_matrix(master: DataFrame, categories: Sequence[str], labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
-    """Users per (month-A category, month-B category) as a 0-filled pivot.
+    """``transition_counts`` as a 0-filled pivot with one column per category.
 
     The value list is passed explicitly: the schema is fixed and Spark does
-    not run an extra job to discover the distinct values.
+    not run an extra job to discover the distinct values.  A month-B category
+    outside the list raises an error instead of losing its users.
     """
     a, b = labels
-    return master.groupBy(cat_col(a)).pivot(cat_col(b), list(categories)).count().fillna(0, subset=list(categories))
+    cb = ident(cat_col(b))
+    known = case([(in_list(cb, list(categories)), cb)],
+                 f"raise_error(concat('category outside the transition matrix: ', coalesce({cb}, 'NULL')))")
+    counts = transition_counts(master, labels).withColumn(cat_col(b), F.expr(known))
+    return (counts.groupBy(cat_col(a)).pivot(cat_col(b), list(categories)).agg(F.expr("sum(users)"))
+            .fillna(0, subset=list(categories)))
+
+
+class TooManyCategories(ValueError):
+    """The reviewed dictionary has more categories than a matrix can have columns."""
+
+
+def dictionary_categories(manual: DataFrame, max_categories: int = MAX_CATEGORIES) -> list[str]:
+    """The distinct categories of the reviewed dictionary, in order."""
+    found = (merge_dictionary(None, manual).select("category").distinct().limit(max_categories + 1).collect())
+    if len(found) > max_categories:
+        raise TooManyCategories(f"the dictionary has more than {max_categories} categories")
+    return sorted(r["category"] for r in found)
 
 
-def matrix_categories(rule_categories: Sequence[str]) -> list[str]:
-    """All values a month category can take, in a stable order."""
-    return [*rule_categories, vocab.UNMAPPED, vocab.OTHER, vocab.NO_SEARCH]
+def matrix_categories(rule_categories: Sequence[str], manual: DataFrame | None = None) -> list[str]:
+    """All values a month category can take, in a stable order: rule categories, those that only
+    the reviewed dictionary has, and the fixed labels."""
+    extra = dictionary_categories(manual) if manual is not None else []
+    return list(dict.fromkeys([*rule_categories, *extra, vocab.UNMAPPED, vocab.OTHER, vocab.NO_SEARCH]))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from viewer_insights import vocab
+from viewer_insights.functions.diacritics import fold_diacritics_sql
 from viewer_insights.functions.rules import rule_case
 from viewer_insights.functions.sqltext import case, ident, in_list, string
 from viewer_insights.functions.text import is_present_sql, normalize_keyword_sql, not_junk_sql, word_count_sql
@@ -129,13 +130,18 @@ def intent_multiplier(keyword: str, high_pattern: str, genre_pattern: str) -> Co
     return F.expr(intent_multiplier_sql(keyword, high_pattern, genre_pattern))
 
 
+def drop_junk_users(users: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
+    """Drop users whose month-B keyword is junk (one character or a long digit run)."""
+    return users.filter(F.expr(not_junk_sql(kw_col(labels[1]))))
+
+
 def score_users(
     users: DataFrame,
     labels: Sequence[str] = DEFAULT_LABELS,
     high_pattern: str = vocab.HIGH_INTENT_PATTERN,
     genre_pattern: str = vocab.GENRE_INTENT_PATTERN,
 ) -> DataFrame:
-    """Drop users whose month-B keyword is junk and score the rest.
+    """Score users (after ``drop_junk_users``).
 
     ``base = 1.5*cnt_B + 1.0*cnt_A + 50*[both > 0]`` (NULL counts as 0),
     ``movie_score = base * multiplier(month-B keyword)``.
@@ -146,8 +152,7 @@ def score_users(
     base = (f"CAST(coalesce({cb}, 0) * {vocab.WEIGHT_MONTH_B!r}D + coalesce({ca}, 0) * {vocab.WEIGHT_MONTH_A!r}D"
             f" + CASE WHEN {ca} > 0 AND {cb} > 0 THEN {vocab.BOTH_MONTHS_BONUS} ELSE 0 END AS DOUBLE)")
     return (
-        users.filter(F.expr(not_junk_sql(kb)))
-        .withColumns({
+        users.withColumns({
             "word_count": F.expr(word_count_sql(kb)),
             "intent_multiplier": F.expr(intent_multiplier_sql(kb, high_pattern, genre_pattern)),
             "base_score": F.expr(base),
@@ -176,9 +181,11 @@ def distinct_keywords(users: DataFrame, labels: Sequence[str] = DEFAULT_LABELS)
     return users.selectExpr(f"explode(array({arr})) AS keyword").filter("keyword IS NOT NULL").distinct()
 
 
-def categorize(keywords: DataFrame, rules, keyword_col: str = "keyword") -> DataFrame:
-    """Add ``category``: first matching rule in rule order, else ``Unmapped``."""
-    return keywords.withColumn("category", rule_case(keyword_col, rules))
+def categorize(keywords: DataFrame, rules, keyword_col: str = "keyword", fold_diacritics: bool = False) -> DataFrame:
+    """Add ``category``: first matching rule in rule order, else ``Unmapped``.
+    ``fold_diacritics`` matches the keyword with Latin accents removed."""
+    subject = fold_diacritics_sql(ident(keyword_col)) if fold_diacritics else None
+    return keywords.withColumn("category", rule_case(keyword_col, rules, subject_sql=subject))
 
 
 def split_review_queue(categorized: DataFrame) -> tuple[DataFrame, DataFrame]:

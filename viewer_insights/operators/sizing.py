@@ -1,31 +1,11 @@
-"""Size checks that guard explicit broadcasts."""
+"""Lookup joins on keys that may be hot."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound for a dimension that may be broadcast (a human-edited
-# dictionary is far below this; a data-derived one may not be).
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def within_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs one bounded job: ``limit(max_rows + 1)`` stops reading once the bound
-    is exceeded, so the check costs at most ``max_rows + 1`` rows.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the row bound is proven, else leave the planner a
-    shuffle join (AQE can still switch to broadcast from runtime sizes)."""
-    return F.broadcast(df) if within_rows(df, max_rows) else df
-
-
-# Number of salt buckets for a shuffled lookup join on a skew-prone key.
+# Number of salt buckets for a lookup join on a skew-prone key.
 DEFAULT_SALT_BUCKETS = 16
 
 
@@ -37,10 +17,13 @@ def salted_left_lookup(big: DataFrame, small: DataFrame, big_key_sql: str, small
     ``salt_of_sql`` (e.g. a hash of the user id, so a recomputed task makes
     the same choice); ``small`` is replicated once per salt value.  A key
     shared by a third of ``big`` is then spread over ``buckets`` tasks.
-    ``small`` must have unique keys; its columns other than the key are added.
+    Rows without a key get a key of their own that nothing matches, so they
+    spread over all tasks.  ``small`` must have unique keys; its columns other
+    than the key are added.  Whether ``small`` is broadcast is left to Spark,
+    which decides by bytes.
     """
-    salted_big = big.withColumn("_salt", F.expr(f"pmod({salt_of_sql}, {int(buckets)})"))
-    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(int(buckets) - 1))))
-    cond = F.expr(f"{big_key_sql} = {small_key} AND _salt = _salt_s")
-    return (salted_big.join(salted_small.withColumnRenamed("_salt", "_salt_s"), cond, "left")
-            .drop("_salt", "_salt_s", small_key))
+    key = f"coalesce({big_key_sql}, concat(chr(0), CAST({salt_of_sql} AS STRING)))"
+    salted_big = big.withColumn("_salt", F.expr(f"CAST(pmod({salt_of_sql}, {int(buckets)}) AS INT)"))
+    salted_small = small.withColumn("_salt_s", F.explode(F.sequence(F.lit(0), F.lit(int(buckets) - 1))))
+    cond = F.expr(f"{key} = {small_key} AND _salt = _salt_s")
+    return salted_big.join(salted_small, cond, "left").drop("_salt", "_salt_s", small_key)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from viewer_insights import vocab
 from viewer_insights.operators import enrich, merge, search, viewing
+from viewer_insights.operators.sizing import DEFAULT_SALT_BUCKETS
 from viewer_insights.session import stage_table
 
 
@@ -26,7 +27,8 @@ class SearchSettings:
     # None keeps every user; an int keeps the top-n scored users (the
     # original cohort was 5,000).
     top_n: int | None = None
-    broadcast_dictionary: bool | None = None
+    # tasks over which one month keyword is spread in a dictionary lookup
+    salt_buckets: int = DEFAULT_SALT_BUCKETS
     # match rules against the keyword with Latin accents removed
     fold_diacritics: bool = False
 
@@ -42,30 +44,40 @@ class ViewingSettings:
 
 
 def search_users(log: DataFrame, s: SearchSettings) -> DataFrame:
-    """Cleaned log -> one row per user with both months' top keyword and count."""
-    users = search.monthly_top_keywords(search.clean_search_log(log), s.labels)
+    """Cleaned log -> one row per user with both months' top keyword and count, without the
+    users whose month-B keyword is junk."""
+    users = search.drop_junk_users(search.monthly_top_keywords(search.clean_search_log(log), s.labels), s.labels)
     if s.top_n is not None:
         users = search.top_users(search.score_users(users, s.labels, s.high_pattern, s.genre_pattern), s.top_n, s.labels)
     return users
 
 
 def keyword_categories(users: DataFrame, s: SearchSettings) -> DataFrame:
-    """Rule category of every distinct keyword (regex cost ~ distinct keywords)."""
-    return search.categorize(search.distinct_keywords(users, s.labels), s.rules)
+    """Rule category of every distinct keyword.  Store the result before filtering it
+    (``staged_keyword_categories``): Spark moves a filter on the category below the distinct,
+    and the rules would run on every user's keywords."""
+    return search.categorize(search.distinct_keywords(users, s.labels), s.rules, fold_diacritics=s.fold_diacritics)
+
+
+def staged_keyword_categories(users: DataFrame, s: SearchSettings) -> DataFrame:
+    """``keyword_categories`` written once to the shared folder: the rules run once per distinct
+    keyword, and the mapped keywords, the review queue and the lookup all read the result."""
+    return stage_table(keyword_categories(users, s), "keyword-categories")
 
 
 def search_master(log: DataFrame, s: SearchSettings, manual: DataFrame | None = None) -> DataFrame:
     """Search master from a raw (cleaned or not) multi-month search log.
 
-    Linear plan: two partial aggregations, then per-row rules (and a bounded
-    broadcast of the manual dictionary).  ``search_master_from_users`` is the
-    same from a stored user table.
+    One lazy plan: two partial aggregations, then per-row rules (and a salted
+    lookup of the manual dictionary).  With a long rule table the dictionary
+    form below is faster; jobs use it.
     """
     return search_master_from_users(search_users(log, s), s, manual)
 
 
 def search_master_from_users(users: DataFrame, s: SearchSettings, manual: DataFrame | None = None) -> DataFrame:
-    categorized = enrich.categorize_users(users, s.rules, manual, s.labels, fold_diacritics=s.fold_diacritics)
+    categorized = enrich.categorize_users(users, s.rules, manual, s.labels, fold_diacritics=s.fold_diacritics,
+                                          salt_buckets=s.salt_buckets)
     return enrich.enrich_labels(categorized, s.labels)
 
 
@@ -73,14 +85,18 @@ def search_master_via_dictionary(log: DataFrame, s: SearchSettings, manual: Data
     """The original formulation: distinct keywords -> rule dictionary (+ manual)
     -> lookup join per month.  Same rows as ``search_master``.
 
-    The user table feeds three branches (the users and one dictionary per
-    month), so it is written once as a stage table in the shared checkpoint
-    folder and scanned from there instead of being recomputed three times.
+    The user table and the categories of its distinct keywords are each
+    written once as stage tables in the shared checkpoint folder.
     """
     users = stage_table(search_users(log, s), "search-users")
-    mapped, _review = search.split_review_queue(keyword_categories(users, s))
-    dictionary = enrich.merge_dictionary(mapped, manual)
-    categorized = enrich.map_categories(users, dictionary, s.labels, broadcast=s.broadcast_dictionary)
+    return search_master_from_dictionary(users, staged_keyword_categories(users, s), s, manual)
+
+
+def search_master_from_dictionary(users: DataFrame, categories: DataFrame, s: SearchSettings,
+                                  manual: DataFrame | None = None) -> DataFrame:
+    """Search master from a stored user table and the stored categories of its keywords."""
+    mapped, _review = search.split_review_queue(categories)
+    categorized = enrich.map_categories(users, enrich.merge_dictionary(mapped, manual), s.labels, s.salt_buckets)
     return enrich.enrich_labels(categorized, s.labels)
 
 

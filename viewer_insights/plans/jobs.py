@@ -28,21 +28,35 @@ class Outputs:
 
 def run_search_stage(spark: SparkSession, log: DataFrame, s: plan.SearchSettings, out: Outputs,
                      manual: DataFrame | None = None) -> dict[str, int]:
-    """users -> rule dictionary + review queue -> search master -> matrix."""
+    """users -> keyword categories -> rule dictionary + review queue -> search master -> matrix.
+
+    Returns the numbers of users, mapped keywords, keywords to review and
+    dictionary entries (rules and reviewed sheet together).
+    """
     users, users_obs = observed(plan.search_users(log, s), "users")
     files.write_parquet(users, out.path("users"))
     users = spark.read.parquet(out.path("users"))
 
-    mapped, review = search.split_review_queue(plan.keyword_categories(users, s))
+    # the rules run here, once per distinct keyword; every later step reads the stored categories
+    files.write_parquet(plan.keyword_categories(users, s), out.path("keyword_categories"))
+    categories = spark.read.parquet(out.path("keyword_categories"))
+    mapped, review = search.split_review_queue(categories)
+    mapped, mapped_obs = observed(mapped, "mapped")
     files.write_parquet(mapped, out.path("rule_dictionary"))
+    review, review_obs = observed(review, "review")
     files.export_review_queue(review, out.path("review_queue"))
+    dictionary, dictionary_obs = observed(
+        enrich.merge_dictionary(spark.read.parquet(out.path("rule_dictionary")), manual), "dictionary")
+    files.write_parquet(dictionary, out.path("dictionary"))
 
-    master = plan.search_master_from_users(users, s, manual)
-    files.write_parquet(master, out.path("search_master"))
+    categorized = enrich.map_categories(users, spark.read.parquet(out.path("dictionary")), s.labels, s.salt_buckets)
+    files.write_parquet(enrich.enrich_labels(categorized, s.labels), out.path("search_master"))
     master = spark.read.parquet(out.path("search_master"))
-    matrix = enrich.transition_matrix(master, enrich.matrix_categories([c for c, _ in s.rules]), s.labels)
+    files.export_table(enrich.transition_counts(master, s.labels), out.path("transition_counts"))
+    matrix = enrich.transition_matrix(master, enrich.matrix_categories([c for c, _ in s.rules], manual), s.labels)
     files.export_table(matrix, out.path("transition_matrix"))
-    return {"users": users_obs.get["rows"]}
+    return {"users": users_obs.get["rows"], "mapped": mapped_obs.get["rows"], "review": review_obs.get["rows"],
+            "dictionary": dictionary_obs.get["rows"]}
 
 
 def run_viewing_stage(spark: SparkSession, events: DataFrame, v: plan.ViewingSettings, out: Outputs) -> dict[str, int]:
@@ -53,13 +67,14 @@ def run_viewing_stage(spark: SparkSession, events: DataFrame, v: plan.ViewingSet
 
 def run_merge_stage(spark: SparkSession, out: Outputs, s: plan.SearchSettings, v: plan.ViewingSettings,
                     how: str = "full", target: jdbc.JdbcTarget | None = None) -> dict[str, int]:
-    """Wide table -> contract -> Parquet + CSV (+ JDBC)."""
+    """Wide table -> contract -> Parquet, key check, CSV (+ JDBC)."""
     wide = plan.customer_360(spark.read.parquet(out.path("search_master")),
                              spark.read.parquet(out.path("viewing_master")), how)
     schema = contract.serving_schema(s.labels, v.categories, v.column_names)
     aligned, obs = observed(contract.align_to_schema(wide, schema), "wide")
     files.write_parquet(aligned, out.path("customer_360"))
     aligned = spark.read.parquet(out.path("customer_360"))
+    contract.assert_key(aligned)
     files.export_table(aligned, out.path("customer_360_csv"))
     if target is not None:
         jdbc.publish(aligned, target)

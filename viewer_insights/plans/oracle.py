@@ -7,19 +7,19 @@ operators: windows and joins where the Spark side uses other plans.
 
 from __future__ import annotations
 
-from viewer_insights.functions.rules import SAMPLE_RULES, category_pattern
 from viewer_insights.sources import driver_tables as dt
 
 _CATS = dt.FIXTURE_CATEGORIES
 _TOTALS = [f'"Total_{c}"' for c in _CATS]
-_MATRIX = [c for c, _ in SAMPLE_RULES] + ["Unmapped", "Other", "No_Search"]
+_MATRIX = ["Warm", "Cool", "Hardware", "Unmapped", "Other", "No_Search"]
+_MATRIX_MANUAL = ["Warm", "Cool", "Hardware", "Garden", "Tools", "Unmapped", "Other", "No_Search"]
 
 
 def _rule_case(col: str) -> str:
-    whens = " ".join(
-        f"WHEN regexp_matches({col}, '{category_pattern(phrases)}') THEN '{cat}'" for cat, phrases in SAMPLE_RULES
-    )
-    return f"CASE {whens} ELSE 'Unmapped' END"
+    """The sample rules, written out."""
+    return (f"CASE WHEN regexp_matches({col}, '(?i)\\b(red|hot)\\b') THEN 'Warm' "
+            f"WHEN regexp_matches({col}, '(?i)\\b(blue|cold)\\b') THEN 'Cool' "
+            f"WHEN regexp_matches({col}, '(?i)\\b(gear|rod|bolt)\\b') THEN 'Hardware' ELSE 'Unmapped' END")
 
 
 def _app_case(col: str) -> str:
@@ -45,10 +45,15 @@ _TOTAL_SUMS = ",\n    ".join(
 CTES = f"""
 WITH
 search_log AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS user_id, p_name AS keyword, o_orderdate AS ts,
+  SELECT CASE o_orderkey % 89 WHEN 0 THEN NULL WHEN 1 THEN '  ' ELSE CAST(o_custkey AS VARCHAR) END AS user_id,
+         CASE WHEN (o_orderkey + l_partkey) % 97 = 0 THEN NULL WHEN (o_orderkey + l_partkey) % 97 = 1 THEN '   '
+              WHEN o_custkey % 31 = 5 THEN '12345678' WHEN o_custkey % 31 = 6 THEN substr(p_name, 1, 1)
+              WHEN o_custkey % 31 = 7 THEN p_name || chr(10) || 'b' WHEN o_custkey % 31 = 8 THEN p_name || ', "q"'
+              WHEN o_custkey % 31 = 9 THEN translate(p_name, 'eo', 'éô')
+              WHEN o_custkey % 31 = 10 THEN '  ' || upper(p_name) || ' ' ELSE p_name END AS keyword,
+         o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS ts,
          CASE WHEN o_orderdate < TIMESTAMP '{dt.SEARCH_SPLIT}' THEN 't6' ELSE 't7' END AS period
-  FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
-  WHERE o_orderdate >= TIMESTAMP '{dt.SEARCH_START}' AND o_orderdate < TIMESTAMP '{dt.SEARCH_END}'),
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey),
 clean AS (
   SELECT user_id, trim(lower(keyword)) AS keyword, ts, period FROM search_log
   WHERE user_id IS NOT NULL AND trim(user_id) <> '' AND keyword IS NOT NULL AND trim(keyword) <> ''),
@@ -62,20 +67,22 @@ ranked AS (
          sum(n) OVER (PARTITION BY user_id, period) AS total
   FROM kw_counts),
 top_kw AS (SELECT user_id, period, keyword, CAST(total AS BIGINT) AS total FROM ranked WHERE rk = 1),
-users AS (
+all_users AS (
   SELECT COALESCE(a.user_id, b.user_id) AS user_id,
          a.keyword AS most_search_t6, a.total AS cnt_t6,
          b.keyword AS most_search_t7, b.total AS cnt_t7
   FROM (SELECT * FROM top_kw WHERE period = 't6') a
   FULL OUTER JOIN (SELECT * FROM top_kw WHERE period = 't7') b ON a.user_id = b.user_id),
+users AS (
+  SELECT * FROM all_users
+  WHERE most_search_t7 IS NULL
+     OR (length(most_search_t7) >= 2 AND NOT regexp_matches(most_search_t7, '^[0-9]{{5,}}$'))),
 scored0 AS (
   SELECT *,
     CAST(len(string_split(most_search_t7, ' ')) AS INTEGER) AS word_count,
     CAST(COALESCE(cnt_t7, 0) * 1.5 + COALESCE(cnt_t6, 0) * 1.0
          + CASE WHEN cnt_t6 > 0 AND cnt_t7 > 0 THEN 50 ELSE 0 END AS DOUBLE) AS base_score
-  FROM users
-  WHERE most_search_t7 IS NULL
-     OR (length(most_search_t7) >= 2 AND NOT regexp_matches(most_search_t7, '^[0-9]{{5,}}$'))),
+  FROM users),
 scored1 AS (
   SELECT *,
     CAST(CASE WHEN regexp_matches(most_search_t7, '{dt.FIXTURE_HIGH_INTENT}') THEN 3.0
@@ -105,9 +112,9 @@ master AS (
          ELSE category_t6 || ' -> ' || category_t7 END AS "Previous"
   FROM categorized),
 content AS (
-  SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS app,
-         TRY_CAST(floor(value) AS BIGINT) AS duration, CAST(ts AS DATE) AS "date"
-  FROM events WHERE ts < TIMESTAMP '{dt.VIEW_END}'),
+  SELECT CASE event_id % 53 WHEN 0 THEN '#' || user_id WHEN 1 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
+         event_type AS app, TRY_CAST(floor(value) AS BIGINT) AS duration, CAST(ts AS DATE) AS "date"
+  FROM events),
 typed AS (SELECT user_id, app, duration, "date", {_app_case("app")} AS "Type" FROM content),
 vclean AS (
   SELECT * FROM typed
@@ -128,7 +135,31 @@ wide AS (
          m.most_search_t6, m.category_t6, m.most_search_t7, m.category_t7,
          m.user_status, m.trending_types, m."Previous",
          {", ".join("p." + c for c in _TOTALS)}, p."MostWatch", p."Taste", p."Active"
-  FROM master m FULL OUTER JOIN profile p ON m.user_id = p.user_id)
+  FROM master m FULL OUTER JOIN profile p ON m.user_id = p.user_id),
+served AS (
+  SELECT * REPLACE ({", ".join(f"COALESCE({c}, 0) AS {c}" for c in _TOTALS)}, COALESCE("Active", 0.0) AS "Active")
+  FROM wide),
+manual AS (
+  SELECT ' ' || upper(p_name) || ' ' AS keyword,
+         CASE length(p_name) % 4 WHEN 0 THEN 'Tools' WHEN 1 THEN '  ' WHEN 2 THEN 'Garden' ELSE 'Warm' END AS category
+  FROM part),
+mnorm AS (
+  SELECT trim(lower(regexp_replace(keyword, '^\\s+|\\s+$', '', 'g'))) AS keyword,
+         regexp_replace(category, '^\\s+|\\s+$', '', 'g') AS category
+  FROM manual),
+mdict AS (
+  SELECT keyword, min(category) AS category FROM mnorm
+  WHERE keyword IS NOT NULL AND trim(keyword) <> '' AND category IS NOT NULL AND trim(category) <> ''
+  GROUP BY keyword),
+mcategorized AS (
+  SELECT u.user_id, u.most_search_t6, u.cnt_t6, u.most_search_t7, u.cnt_t7,
+         CASE WHEN u.most_search_t6 IS NULL THEN 'No_Search'
+              ELSE COALESCE(m6.category, d6.category, 'Other') END AS category_t6,
+         CASE WHEN u.most_search_t7 IS NULL THEN 'No_Search'
+              ELSE COALESCE(m7.category, d7.category, 'Other') END AS category_t7
+  FROM users u
+  LEFT JOIN mdict m6 ON m6.keyword = u.most_search_t6 LEFT JOIN dict d6 ON d6.keyword = u.most_search_t6
+  LEFT JOIN mdict m7 ON m7.keyword = u.most_search_t7 LEFT JOIN dict d7 ON d7.keyword = u.most_search_t7)
 """
 
 
@@ -136,22 +167,30 @@ def _q(body: str) -> str:
     return CTES + body
 
 
-_MATRIX_COLS = ", ".join(
-    f"CAST(SUM(CASE WHEN category_t7 = '{c}' THEN 1 ELSE 0 END) AS BIGINT) AS \"{c}\"" for c in _MATRIX
-)
+def _cells(categories: list[str]) -> str:
+    return ", ".join(
+        f"CAST(SUM(CASE WHEN category_t7 = '{c}' THEN 1 ELSE 0 END) AS BIGINT) AS \"{c}\"" for c in categories)
+
+
 _NONZERO = " + ".join(f"(CASE WHEN {t} > 0 THEN 1 ELSE 0 END)" for t in _TOTALS)
 
+_STATUS_HEALTH = _q(
+    f"""SELECT user_status, count(user_id) AS "User_Count",
+       round(avg("Active"), 2) AS "Average_Active_Ratio",
+       CAST(sum({" + ".join(_TOTALS)}) AS BIGINT) AS "Total_Platform_Watch_Time"
+FROM served GROUP BY user_status""")
+
 ORACLE_SQL = {
-    "normalize_log_time": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ts FROM orders",
+    "normalize_log_time": """SELECT o_orderkey,
+       strftime(o_orderdate + to_seconds((o_orderkey * 7919) % 86400), '%Y-%m-%d %H:%M:%S') AS ts FROM orders""",
     "clean_search_log": _q("SELECT user_id, keyword, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, period FROM clean"),
     "read_search_log": _q("SELECT user_id, keyword, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, period FROM search_log"),
     "search_master_from_raw_log": _q("SELECT * FROM master"),
     "customer_360_from_raw_logs": _q("SELECT * FROM wide"),
-    "read_viewing_log": """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS app,
-       TRY_CAST(floor(value) AS BIGINT) AS duration, CAST(ts AS DATE) AS "date" FROM events""",
+    "read_viewing_log": _q("SELECT * FROM content"),
     "top_keyword": _q("SELECT user_id, period, keyword AS most_search, total AS cnt FROM top_kw"),
-    "month_over_month": _q("SELECT * FROM users"),
-    "monthly_top_keywords": _q("SELECT * FROM users"),
+    "month_over_month": _q("SELECT * FROM all_users"),
+    "monthly_top_keywords": _q("SELECT * FROM all_users"),
     "score_users": _q("SELECT * FROM scored"),
     "top_users": _q(
         "SELECT user_id, most_search_t6, most_search_t7 FROM scored "
@@ -164,50 +203,38 @@ ORACLE_SQL = {
     "review_queue": _q("SELECT keyword, keyword AS family, category FROM kw_cat WHERE category = 'Unmapped'"),
     "review_sheet_roundtrip": _q(
         "SELECT keyword, keyword AS family, category FROM kw_cat WHERE category = 'Unmapped'"),
-    "merge_dictionary": _q(
-        f""", manual AS (
-  SELECT ' ' || upper(p_name) || ' ' AS keyword, p_type AS category FROM part WHERE p_size <= 5),
-merged AS (
-  SELECT keyword, category, 1 AS priority FROM dict
-  UNION ALL SELECT keyword, category, 0 AS priority FROM manual),
-norm AS (
-  SELECT trim(lower(regexp_replace(keyword, '^\\s+|\\s+$', '', 'g'))) AS keyword,
-         regexp_replace(category, '^\\s+|\\s+$', '', 'g') AS category, priority
-  FROM merged),
-present AS (
-  SELECT * FROM norm
-  WHERE keyword IS NOT NULL AND trim(keyword) <> '' AND category IS NOT NULL AND trim(category) <> ''),
-pick AS (
-  SELECT keyword, category,
-         row_number() OVER (PARTITION BY keyword ORDER BY priority, category) AS rk
-  FROM present)
-SELECT keyword, category FROM pick WHERE rk = 1"""),
+    "merge_dictionary": _q("""SELECT COALESCE(m.keyword, d.keyword) AS keyword, COALESCE(m.category, d.category) AS category
+FROM mdict m FULL OUTER JOIN dict d ON m.keyword = d.keyword"""),
     "map_categories": _q("SELECT * FROM categorized"),
     "user_status": _q("SELECT user_id, category_t6, category_t7, user_status FROM master"),
     "preference_change": _q("SELECT user_id, category_t6, category_t7, trending_types FROM master"),
     "journey": _q('SELECT user_id, "Previous" FROM master'),
     "search_master": _q("SELECT * FROM master"),
     "search_master_via_dictionary": _q("SELECT * FROM master"),
-    "categorize_users": _q(
-        """, manual AS (
-  SELECT ' ' || upper(p_name) || ' ' AS keyword, p_type AS category FROM part WHERE p_size <= 5),
-mnorm AS (
-  SELECT trim(lower(regexp_replace(keyword, '^\\s+|\\s+$', '', 'g'))) AS keyword,
-         regexp_replace(category, '^\\s+|\\s+$', '', 'g') AS category
-  FROM manual),
-mdict AS (
-  SELECT keyword, min(category) AS category FROM mnorm
-  WHERE keyword IS NOT NULL AND trim(keyword) <> '' AND category IS NOT NULL AND trim(category) <> ''
-  GROUP BY keyword)
-SELECT u.user_id, u.most_search_t6, u.cnt_t6, u.most_search_t7, u.cnt_t7,
-       CASE WHEN u.most_search_t6 IS NULL THEN 'No_Search'
-            ELSE COALESCE(m6.category, d6.category, 'Other') END AS category_t6,
-       CASE WHEN u.most_search_t7 IS NULL THEN 'No_Search'
-            ELSE COALESCE(m7.category, d7.category, 'Other') END AS category_t7
-FROM users u
-LEFT JOIN mdict m6 ON m6.keyword = u.most_search_t6 LEFT JOIN dict d6 ON d6.keyword = u.most_search_t6
-LEFT JOIN mdict m7 ON m7.keyword = u.most_search_t7 LEFT JOIN dict d7 ON d7.keyword = u.most_search_t7"""),
-    "transition_matrix": _q(f"SELECT category_t6, {_MATRIX_COLS} FROM master GROUP BY category_t6"),
+    "categorize_users": _q("SELECT * FROM mcategorized"),
+    "categorize_interleaved": _q(
+        """SELECT keyword, CASE WHEN regexp_matches(keyword, '(?i)\\bred\\b') THEN 'Warm'
+       WHEN regexp_matches(keyword, '(?i)\\b(gear|rod|bolt)\\b') THEN 'Hardware'
+       WHEN regexp_matches(keyword, '(?i)\\b(hot|ring)\\b') THEN 'Warm' ELSE 'Unmapped' END AS category FROM keywords"""),
+    "search_master_junk": _q("SELECT * FROM master"),
+    "search_master_long_rules": _q("SELECT * FROM master"),
+    "search_master_folded": _q(
+        f""", folded AS (
+  SELECT user_id, most_search_t6, most_search_t7,
+         CASE WHEN most_search_t6 IS NULL THEN 'No_Search'
+              ELSE replace({_rule_case("strip_accents(most_search_t6)")}, 'Unmapped', 'Other') END AS category_t6,
+         CASE WHEN most_search_t7 IS NULL THEN 'No_Search'
+              ELSE replace({_rule_case("strip_accents(most_search_t7)")}, 'Unmapped', 'Other') END AS category_t7 FROM users)
+SELECT user_id, most_search_t6, category_t6, most_search_t7, category_t7,
+  CASE WHEN category_t6 = 'No_Search' THEN 'New_User'
+       WHEN category_t7 = 'No_Search' THEN 'Churned_User' ELSE 'Retained_User' END AS user_status,
+  CASE WHEN category_t6 = category_t7 THEN 'unchanged' ELSE 'changed' END AS trending_types,
+  CASE WHEN category_t6 = category_t7 THEN category_t6 ELSE category_t6 || ' -> ' || category_t7 END AS "Previous"
+FROM folded"""),
+    "transition_matrix": _q(f"SELECT category_t6, {_cells(_MATRIX)} FROM master GROUP BY category_t6"),
+    "transition_counts": _q("SELECT category_t6, category_t7, count(*) AS users FROM mcategorized GROUP BY ALL"),
+    "transition_matrix_manual": _q(
+        f"SELECT category_t6, {_cells(_MATRIX_MANUAL)} FROM mcategorized GROUP BY category_t6"),
     "map_app_category": _q('SELECT user_id, app, duration, "date", "Type" FROM typed'),
     "clean_viewing_log": _q("SELECT * FROM vclean"),
     "active_ratio": _q('SELECT user_id, "Active" FROM active'),
@@ -226,32 +253,29 @@ LEFT JOIN mdict m7 ON m7.keyword = u.most_search_t7 LEFT JOIN dict d7 ON d7.keyw
        {", ".join("b." + t for t in _TOTALS)}, b."MostWatch", b."Taste", b."Active"
 FROM (SELECT *, row_number() OVER (ORDER BY user_id) AS rn FROM master) a
 JOIN (SELECT *, row_number() OVER (ORDER BY user_id) AS rn FROM profile) b ON a.rn = b.rn"""),
-    "status_health": _q(
-        f"""SELECT user_status, count(user_id) AS "User_Count",
-       round(avg("Active"), 2) AS "Average_Active_Ratio",
-       CAST(sum({" + ".join(_TOTALS)}) AS BIGINT) AS "Total_Platform_Watch_Time"
-FROM wide GROUP BY user_status"""),
+    "status_health": _STATUS_HEALTH,
+    "status_health_served": _STATUS_HEALTH,
     "top_shifts": _q(
         """SELECT category_t6 AS "Old_Taste", category_t7 AS "New_Taste", count(user_id) AS "Shift_Volume"
-FROM wide WHERE trending_types = 'changed' GROUP BY category_t6, category_t7
+FROM served WHERE trending_types = 'changed' GROUP BY category_t6, category_t7
 ORDER BY 3 DESC, 1, 2 LIMIT 5"""),
     "top_shifts_10": _q(
         """SELECT category_t6 AS "Old_Taste", category_t7 AS "New_Taste", count(user_id) AS "Shift_Volume"
-FROM wide WHERE trending_types = 'changed' GROUP BY category_t6, category_t7
+FROM served WHERE trending_types = 'changed' GROUP BY category_t6, category_t7
 ORDER BY 3 DESC, 1, 2 LIMIT 10"""),
     "vip_users": _q(
         """SELECT user_id, user_status, "Taste", "Active", "Total_Movies" + "Total_Kids" AS "Target_Watch_Time"
-FROM wide WHERE "Active" > 0.8 AND "Taste" LIKE '%Movies%' AND "Taste" LIKE '%Kids%'
+FROM served WHERE "Active" > 0.8 AND "Taste" LIKE '%Movies%' AND "Taste" LIKE '%Kids%'
 ORDER BY 5 DESC, user_id LIMIT 10"""),
     "shift_rate": _q(
         """SELECT count(user_id) AS users,
        count(CASE WHEN trending_types = 'changed' THEN 1 END) AS changed_users,
        CAST(count(CASE WHEN trending_types = 'changed' THEN 1 END) AS DOUBLE) / nullif(count(user_id), 0) AS shift_rate
-FROM wide WHERE user_status IS NOT NULL"""),
+FROM served WHERE user_status IS NOT NULL"""),
     "category_retention": _q(
         """, flows AS (
   SELECT category_t6 AS from_category, category_t7 AS to_category, count(user_id) AS users
-  FROM wide WHERE user_status IS NOT NULL GROUP BY 1, 2)
+  FROM served WHERE user_status IS NOT NULL GROUP BY 1, 2)
 SELECT from_category, to_category, users,
        CAST(sum(users) OVER (PARTITION BY from_category) AS BIGINT) AS from_users,
        CAST(users AS DOUBLE) / sum(users) OVER (PARTITION BY from_category) AS share,
@@ -259,18 +283,18 @@ SELECT from_category, to_category, users,
 FROM flows"""),
     "taste_engagement": _q(
         """SELECT "Taste", count(user_id) AS users, round(avg("Active"), 2) AS avg_active
-FROM wide WHERE "Taste" IS NOT NULL GROUP BY "Taste\""""),
+FROM served WHERE "Taste" IS NOT NULL GROUP BY "Taste\""""),
     "archetype_engagement": _q(
         f"""SELECT CASE WHEN n >= 2 THEN 'Explorer' WHEN n = 1 THEN 'Loyalist' ELSE 'Inactive' END AS archetype,
        count(user_id) AS users, round(avg("Active"), 2) AS avg_active
-FROM (SELECT *, {_NONZERO} AS n FROM wide WHERE "Taste" IS NOT NULL) w GROUP BY 1"""),
+FROM (SELECT *, {_NONZERO} AS n FROM served WHERE "Taste" IS NOT NULL) w GROUP BY 1"""),
     "intent_vs_watch": _q(
         """, sides AS (
   SELECT 'search' AS side, category_t7 AS category, count(user_id) AS users
-  FROM wide WHERE category_t7 IS NOT NULL GROUP BY category_t7
+  FROM served WHERE category_t7 IS NOT NULL GROUP BY category_t7
   UNION ALL
   SELECT 'watch' AS side, "MostWatch" AS category, count(user_id) AS users
-  FROM wide WHERE "MostWatch" IS NOT NULL GROUP BY "MostWatch")
+  FROM served WHERE "MostWatch" IS NOT NULL GROUP BY "MostWatch")
 SELECT side, category, users, CAST(users AS DOUBLE) / sum(users) OVER (PARTITION BY side) AS share
 FROM sides"""),
 }

@@ -7,6 +7,8 @@ over the same tables.  Column names are identical on both sides.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +16,8 @@ from viewer_insights import vocab
 from viewer_insights.functions.rules import SAMPLE_RULES
 from viewer_insights.operators import enrich, insights, merge, search, viewing
 from viewer_insights.plans import customer360 as plan
-from viewer_insights.session import scratch_path
-from viewer_insights.sinks import files
+from viewer_insights.session import application, is_live, scratch_path
+from viewer_insights.sinks import contract, files
 from viewer_insights.sources import driver_tables as dt
 from viewer_insights.sources import dictionary, logs
 from viewer_insights.streaming import viewing_stream
@@ -30,8 +32,10 @@ VIEW = plan.ViewingSettings(
 TOTALS = plan.total_columns(VIEW)
 MATRIX_CATEGORIES = enrich.matrix_categories([c for c, _ in SAMPLE_RULES])
 VIP_LIKES = ("Movies", "Kids")
-# The reviewed part of the manual dictionary in the fixture: small parts.
-MANUAL_MAX_SIZE = 5
+# A category at two priorities around another one: the first match by priority wins.
+INTERLEAVED_RULES = [("Warm", ("red",)), ("Hardware", ("gear", "rod", "bolt")), ("Warm", ("hot", "ring"))]
+# As many phrases as a grown rule table has; none of the generated ones matches.
+LONG_RULES = [*SAMPLE_RULES, *((f"Genre {i}", tuple(f"phrase {i} {j}" for j in range(42))) for i in range(16))]
 
 
 # ---------------------------------------------------------------------------
@@ -43,13 +47,13 @@ MANUAL_MAX_SIZE = 5
 # is cached or computed until a query runs.
 # ---------------------------------------------------------------------------
 
-_PLANS: dict[tuple[int, str, str], DataFrame] = {}
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _shared(name):
     def wrap(builder):
         def get(spark, d):
-            key = (id(spark), d, name)
+            key = (application(spark), d, name)
             df = _PLANS.get(key)
             if df is None or df.sparkSession is not spark:
                 df = builder(spark, d)
@@ -71,15 +75,21 @@ def _users(spark, d):
     return plan.search_users(dt.search_log(spark, d), SEARCH)
 
 
-@_shared("categorized")
 def _categorized(spark, d):
     # The dictionary formulation reads the users three times: stage them once.
     root = _raw_copy(spark, d, "search-users", lambda r: files.write_parquet(_users(spark, d), r))
     users = spark.read.parquet(root)
-    mapped, _ = search.split_review_queue(plan.keyword_categories(users, SEARCH))
+    mapped, _ = search.split_review_queue(_keyword_categories(spark, d))
     return enrich.map_categories(users, enrich.merge_dictionary(mapped), LABELS)
 
 
+def _keyword_categories(spark, d):
+    """The rule category of every distinct keyword, stored: the rules run once per keyword."""
+    root = _raw_copy(spark, d, "keyword-categories",
+                     lambda r: files.write_parquet(plan.keyword_categories(_users(spark, d), SEARCH), r))
+    return spark.read.parquet(root)
+
+
 @_shared("master")
 def _master(spark, d):
     return plan.search_master_from_users(_users(spark, d), SEARCH)
@@ -100,19 +110,21 @@ def _wide(spark, d):
     return plan.customer_360(_master(spark, d), _profile(spark, d), "full")
 
 
-@_shared("serving")
 def _serving(spark, d):
-    """The wide table written once as the serving table (Parquet in the shared
-    checkpoint folder); the insight queries read it, as the original's insight
-    SQL reads its serving table.  Only the columns a query uses are read."""
-    root = _raw_copy(spark, d, "customer-360", lambda r: files.write_parquet(_wide(spark, d), r))
+    """The wide table aligned to the serving contract and written once (Parquet in the
+    shared checkpoint folder), as the job writes it; the insight queries read it, as the
+    original's insight SQL reads its serving table.  Only the columns a query uses are read."""
+    schema = contract.serving_schema(LABELS, VIEW.categories, VIEW.column_names)
+    root = _raw_copy(spark, d, "customer-360",
+                     lambda r: files.write_parquet(contract.align_to_schema(_wide(spark, d), schema), r))
     return spark.read.parquet(root)
 
 
 def _manual(spark, d):
-    part = dt.table(spark, d, "part").filter(F.col("p_size") <= MANUAL_MAX_SIZE)
-    # As typed by a reviewer: padded, upper-case keys.
-    return part.select(F.concat(F.lit(" "), F.upper("p_name"), F.lit(" ")).alias("keyword"), F.col("p_type").alias("category"))
+    # As typed by a reviewer: padded, upper-case keys; a blank category where none was given.
+    return dt.table(spark, d, "part").selectExpr(
+        "concat(' ', upper(p_name), ' ') AS keyword",
+        "CASE length(p_name) % 4 WHEN 0 THEN 'Tools' WHEN 1 THEN '  ' WHEN 2 THEN 'Garden' ELSE 'Warm' END AS category")
 
 
 def _fmt_ts(c):
@@ -125,7 +137,7 @@ def _fmt_ts(c):
 
 def q_normalize_log_time(spark: SparkSession, d: str) -> DataFrame:
     """Order dates rendered as log text in four styles, parsed back."""
-    o = dt.table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    o = dt.table(spark, d, "orders").selectExpr("o_orderkey", f"{dt.TIME_SQL} AS o_orderdate")
     style = F.col("o_orderkey") % 4
     twelve = F.regexp_replace(F.regexp_replace(F.date_format("o_orderdate", "yyyy-MM-dd h:mm:ss a"), " PM", " CH"), " AM", " SA")
     text = (
@@ -139,17 +151,17 @@ def q_normalize_log_time(spark: SparkSession, d: str) -> DataFrame:
 
 
 # Month labels of the fixture as the YYYYMM prefixes of its day folders.
-RAW_MONTHS = {"t6": [f"1998{m:02d}" for m in range(1, 7)], "t7": [f"1998{m:02d}" for m in range(7, 13)]}
+RAW_MONTHS = {"t6": "202206", "t7": "202207"}
 
 
-_RAW_COPIES: dict[tuple[int, str, str], str] = {}
+_RAW_COPIES: dict[tuple[str, str, str], str] = {}
 
 
 def _raw_copy(spark, d, kind, write) -> str:
     """Write the raw-layout copy of a benchmark table once per session (it is
     a deterministic function of read-only tables) and return its folder."""
-    key = (id(spark), d, kind)
-    if key not in _RAW_COPIES:
+    key = (application(spark), d, kind)
+    if key not in _RAW_COPIES or not is_live(spark, _RAW_COPIES[key]):
         root = scratch_path(spark, kind)
         write(root)
         _RAW_COPIES[key] = root
@@ -182,9 +194,8 @@ def _raw_viewing_log(spark, d):
 
 
 def q_customer_360_from_raw_logs(spark, d):
-    """The whole wide table from the two raw-layout logs (viewing: the
-    fixture's two days, selected on the file-name date)."""
-    events = _raw_viewing_log(spark, d).filter(F.expr(f"date < DATE '{dt.VIEW_END}'"))
+    """The whole wide table from the two raw-layout logs."""
+    events = _raw_viewing_log(spark, d)
     return plan.customer_360(plan.search_master(_raw_search_log(spark, d), SEARCH), plan.viewing_master(events, VIEW))
 
 
@@ -196,14 +207,14 @@ def q_viewing_profile_streamed(spark, d):
     out, chk = scratch_path(spark, "viewing-daily"), scratch_path(spark, "viewing-daily-chk")
     query = viewing_stream.start_daily_ingest(viewing_stream.viewing_log_stream(spark, src), out, chk, VIEW.app_map)
     query.awaitTermination()
-    daily = viewing_stream.read_daily_viewing(spark, out).filter(F.expr(f"date < DATE '{dt.VIEW_END}'"))
+    daily = viewing_stream.read_daily_viewing(spark, out)
     return viewing.viewing_profile(daily, VIEW.categories, VIEW.column_names, VIEW.days)
 
 
 def q_review_sheet_roundtrip(spark, d):
     """The review queue exported as the reviewers' CSV sheet and read back
     with the reviewed-dictionary reader (the hand-off in both directions)."""
-    review = search.split_review_queue(plan.keyword_categories(_users(spark, d), SEARCH))[1]
+    review = search.split_review_queue(_keyword_categories(spark, d))[1]
     root = _raw_copy(spark, d, "review-sheet", lambda r: files.export_review_queue(review, r))
     return dictionary.read_manual_dictionary(spark, root)
 
@@ -231,7 +242,7 @@ def q_month_over_month(spark, d):
 
 
 def q_monthly_top_keywords(spark, d):
-    return _users(spark, d)
+    return search.monthly_top_keywords(_clean(spark, d), LABELS)
 
 
 def q_score_users(spark, d):
@@ -257,11 +268,11 @@ def q_categorize(spark, d):
 
 
 def q_review_queue(spark, d):
-    return search.split_review_queue(plan.keyword_categories(_users(spark, d), SEARCH))[1]
+    return search.split_review_queue(_keyword_categories(spark, d))[1]
 
 
 def q_merge_dictionary(spark, d):
-    mapped, _ = search.split_review_queue(plan.keyword_categories(_users(spark, d), SEARCH))
+    mapped, _ = search.split_review_queue(_keyword_categories(spark, d))
     return enrich.merge_dictionary(mapped, _manual(spark, d))
 
 
@@ -295,10 +306,41 @@ def q_categorize_users(spark, d):
     return enrich.categorize_users(_users(spark, d), SEARCH.rules, _manual(spark, d), LABELS)
 
 
+def q_categorize_interleaved(spark, d):
+    """Categories of the users' keywords when a category has two priorities."""
+    return search.categorize(search.distinct_keywords(_users(spark, d), LABELS), INTERLEAVED_RULES)
+
+
+def q_search_master_junk(spark, d):
+    """A cohort bound above the number of users changes nothing: junk users go either way."""
+    return plan.search_master(dt.search_log(spark, d), replace(SEARCH, top_n=2**31 - 1))
+
+
+def q_search_master_folded(spark, d):
+    """Rules matched on keywords without accents, in the dictionary form."""
+    return plan.search_master_via_dictionary(dt.search_log(spark, d), replace(SEARCH, fold_diacritics=True))
+
+
+def q_search_master_long_rules(spark, d):
+    """The search master with a rule table of the usual length, in the dictionary form."""
+    return plan.search_master_via_dictionary(dt.search_log(spark, d), replace(SEARCH, rules=LONG_RULES))
+
+
 def q_transition_matrix(spark, d):
     return enrich.transition_matrix(_master(spark, d), MATRIX_CATEGORIES, LABELS)
 
 
+def q_transition_counts(spark, d):
+    return enrich.transition_counts(plan.search_master_from_users(_users(spark, d), SEARCH, _manual(spark, d)), LABELS)
+
+
+def q_transition_matrix_manual(spark, d):
+    """The matrix with categories that only the reviewed dictionary has."""
+    manual = _manual(spark, d)
+    master = plan.search_master_from_users(_users(spark, d), SEARCH, manual)
+    return enrich.transition_matrix(master, enrich.matrix_categories([c for c, _ in SEARCH.rules], manual), LABELS)
+
+
 def q_map_app_category(spark, d):
     return viewing.map_app_category(dt.viewing_events(spark, d), VIEW.app_map)
 
@@ -353,6 +395,16 @@ def q_status_health(spark, d):
     return insights.status_health(_serving(spark, d), TOTALS)
 
 
+def q_status_health_served(spark, d):
+    """Status health as the report job writes it (CSV) and a reader gets it."""
+    def write(root):
+        files.export_table(insights.status_health(_serving(spark, d), TOTALS), root)
+
+    return spark.read.schema("user_status STRING, User_Count BIGINT, Average_Active_Ratio DOUBLE, "
+                             "Total_Platform_Watch_Time BIGINT").options(**dictionary.CSV_OPTIONS).csv(
+        _raw_copy(spark, d, "status-health", write))
+
+
 def q_top_shifts(spark, d):
     return insights.top_shifts(_serving(spark, d), vocab.TOP_SHIFTS_K, LABELS)
 
@@ -410,7 +462,13 @@ QUERIES = {
     "search_master": q_search_master,
     "search_master_via_dictionary": q_search_master_via_dictionary,
     "categorize_users": q_categorize_users,
+    "categorize_interleaved": q_categorize_interleaved,
+    "search_master_junk": q_search_master_junk,
+    "search_master_folded": q_search_master_folded,
+    "search_master_long_rules": q_search_master_long_rules,
     "transition_matrix": q_transition_matrix,
+    "transition_counts": q_transition_counts,
+    "transition_matrix_manual": q_transition_matrix_manual,
     "map_app_category": q_map_app_category,
     "clean_viewing_log": q_clean_viewing_log,
     "active_ratio": q_active_ratio,
@@ -425,6 +483,7 @@ QUERIES = {
     "merge_profiles": q_merge_profiles,
     "merge_positional": q_merge_positional,
     "status_health": q_status_health,
+    "status_health_served": q_status_health_served,
     "top_shifts": q_top_shifts,
     "top_shifts_10": q_top_shifts_10,
     "vip_users": q_vip_users,

@@ -8,11 +8,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_LOCAL_DIRS: dict[int, str] = {}
+# Folders by Spark application: the own checkpoint folder of a local session, live scratch tables.
+_LOCAL_DIRS: dict[str, str] = {}
+_SCRATCH: dict[str, list[str]] = {}
+
+
+class SharedStorageMissing(RuntimeError):
+    """A cluster session names no shared folder in ``spark.checkpoint.dir``."""
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "viewer-insights",
@@ -44,24 +52,33 @@ def _context(spark: SparkSession):
         return None
 
 
+def application(spark: SparkSession) -> str:
+    """A key that names the running application (sessions of a stopped one never share it)."""
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else f"remote-{spark.session_id}"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a scratch folder is created
-    and registered, so ``DataFrame.checkpoint()`` works everywhere.
+    A local session (``local[...]``, one machine) without the setting gets a folder of its
+    own.  A cluster session without it raises ``SharedStorageMissing``: a machine-local
+    folder would be another one on every executor.
     """
     sc = _context(spark)
-    key = id(sc) if sc is not None else id(spark)
-    d = _LOCAL_DIRS.get(key) or (sc.getConf().get(CHECKPOINT_CONF, None) if sc is not None else None)
+    app = application(spark)
+    d = sc.getConf().get(CHECKPOINT_CONF, None) if sc is not None else None
     if not d:
         try:
             d = spark.conf.get(CHECKPOINT_CONF, None)
         except Exception:  # noqa: BLE001 - not readable as a session option
             d = None
+    d = d or _LOCAL_DIRS.get(app)
     if not d:
-        # Only when the cluster names no folder (local tests).
-        d = tempfile.mkdtemp(prefix="vi-checkpoint-")
-        _LOCAL_DIRS[key] = d
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise SharedStorageMissing(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+        d = _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="vi-checkpoint-")
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
@@ -75,8 +92,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name under the shared checkpoint folder, removed by ``drop_scratch``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(application(spark), []).append(path)
+    return path
+
+
+def is_live(spark: SparkSession, path: str) -> bool:
+    """True while a scratch folder has not been dropped."""
+    return path in _SCRATCH.get(application(spark), ())
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -86,3 +110,24 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_scratch(spark: SparkSession, first: int = 0) -> None:
+    """Remove the scratch tables of this application made since the ``first``-th."""
+    live = _SCRATCH.get(application(spark), [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in live[first:]:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    del live[first:]
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at the end: results that read them must be
+    written or collected before."""
+    first = len(_SCRATCH.get(application(spark), ()))
+    try:
+        yield
+    finally:
+        drop_scratch(spark, first)

@@ -73,7 +73,18 @@ def duplicate_keys(df: DataFrame, key: str = "user_id") -> DataFrame:
     return df.groupBy(key).count().filter(F.col("count") > 1)
 
 
+class ContractError(ValueError):
+    """The serving table breaks its key contract."""
+
+
 def assert_unique(df: DataFrame, key: str = "user_id") -> None:
     """Raise when ``key`` is not unique (one bounded job: stops at one hit)."""
     if duplicate_keys(df, key).limit(1).count():
-        raise ValueError(f"{key} is not unique")
+        raise ContractError(f"{key} is not unique")
+
+
+def assert_key(df: DataFrame, key: str = "user_id") -> None:
+    """Raise when ``key`` is NULL somewhere or not unique."""
+    if df.filter(F.col(key).isNull()).limit(1).count():
+        raise ContractError(f"{key} is NULL")
+    assert_unique(df, key)

@@ -10,7 +10,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewer_insights.sources.dictionary import SHEET_CATEGORY, SHEET_FAMILY, SHEET_KEYWORD
+from viewer_insights.sources.dictionary import CSV_OPTIONS, SHEET_CATEGORY, SHEET_FAMILY, SHEET_KEYWORD
+
+# Writers of one day: a busy day is split over so many tasks and files.
+FILES_PER_DAY = 8
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
@@ -22,7 +25,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+    """CSV as spreadsheets write it: quotes doubled inside quotes, white space kept."""
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def export_review_queue(review: DataFrame, path: str) -> None:
@@ -42,16 +46,16 @@ def export_table(df: DataFrame, path: str) -> None:
     write_csv(df, path)
 
 
-def write_search_log(df: DataFrame, root: str, day_col: str = "day", files_per_day: int = 1) -> None:
+def write_search_log(df: DataFrame, root: str, day_col: str = "day", files_per_day: int = FILES_PER_DAY) -> None:
     """Search log in day folders (``day=YYYYMMDD/``): ``user_id, keyword, datetime``.
 
     Rows are shuffled by (day, bucket) first so each day folder gets
-    ``files_per_day`` files instead of one small file per writing task."""
+    ``files_per_day`` files at most instead of one small file per writing task."""
     out = df.select("user_id", "keyword", "datetime", day_col)
     _by_day(out, day_col, files_per_day).write.mode("overwrite").partitionBy(day_col).parquet(root)
 
 
-def write_viewing_log(df: DataFrame, root: str, day_col: str = "day", files_per_day: int = 1) -> None:
+def write_viewing_log(df: DataFrame, root: str, day_col: str = "day", files_per_day: int = FILES_PER_DAY) -> None:
     """Viewing log as JSON lines with the nested ``_source`` record, in day
     folders (``day=YYYYMMDD/``).  Input: ``user_id, app, duration, day``."""
     nested = df.selectExpr(
@@ -60,8 +64,6 @@ def write_viewing_log(df: DataFrame, root: str, day_col: str = "day", files_per_
 
 
 def _by_day(df: DataFrame, day_col: str, files_per_day: int) -> DataFrame:
-    if files_per_day <= 1:
-        return df.repartition(day_col)
-    # several writers per day: a very large day is split over files_per_day tasks
-    bucket = F.expr(f"pmod(hash(*), {int(files_per_day)})")
+    # several writers per day; the bucket depends on the row alone, so a repeated task deals alike
+    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(int(files_per_day)))
     return df.repartition(day_col, bucket)

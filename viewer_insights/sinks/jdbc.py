@@ -16,33 +16,31 @@ DEFAULT_HOST, DEFAULT_PORT, DEFAULT_DB, DEFAULT_USER = "localhost", "3306", "big
 @dataclass(frozen=True)
 class JdbcTarget:
     url: str
+    num_partitions: int  # connections open at once; a write without a bound opens one per task
     table: str = DEFAULT_TABLE
     user: str | None = None
     password: str | None = None
     driver: str | None = None
     batchsize: int = 10_000
-    num_partitions: int | None = None
 
 
-def mysql_target_from_env(table: str = DEFAULT_TABLE) -> JdbcTarget:
+def mysql_target_from_env(num_partitions: int, table: str = DEFAULT_TABLE) -> JdbcTarget:
     """MySQL connection from ``DB_HOST DB_PORT DB_NAME DB_USER DB_PASS``."""
     url = "jdbc:mysql://{}:{}/{}".format(
         os.getenv("DB_HOST", DEFAULT_HOST), os.getenv("DB_PORT", DEFAULT_PORT), os.getenv("DB_NAME", DEFAULT_DB)
     )
-    return JdbcTarget(url=url, table=table, user=os.getenv("DB_USER", DEFAULT_USER),
+    return JdbcTarget(url=url, num_partitions=num_partitions, table=table, user=os.getenv("DB_USER", DEFAULT_USER),
                       password=os.getenv("DB_PASS", ""), driver="com.mysql.cj.jdbc.Driver")
 
 
 def _options(t: JdbcTarget) -> dict[str, str]:
-    opts = {"url": t.url, "dbtable": t.table, "batchsize": str(t.batchsize)}
+    opts = {"url": t.url, "dbtable": t.table, "batchsize": str(t.batchsize), "numPartitions": str(t.num_partitions)}
     if t.user is not None:
         opts["user"] = t.user
     if t.password is not None:
         opts["password"] = t.password
     if t.driver:
         opts["driver"] = t.driver
-    if t.num_partitions:
-        opts["numPartitions"] = str(t.num_partitions)
     return opts
 
 

@@ -7,13 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from viewer_insights.functions.rules import rules_from_table
+from viewer_insights.functions.rules import MAX_RULE_PHRASES, rules_from_table
 
 # FIXED VALUES: header of the review sheet exported for people and read back.
 SHEET_KEYWORD = "Keyword_Gốc"
 SHEET_FAMILY = "Trưởng_Họ_(Family)"
 SHEET_CATEGORY = "category"
 
+# CSV as spreadsheets save it (RFC 4180): quotes doubled, line breaks inside quotes, white space kept.
+CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 MANUAL_SCHEMA = StructType([
     StructField(SHEET_KEYWORD, StringType(), True),
     StructField(SHEET_FAMILY, StringType(), True),
@@ -36,7 +40,7 @@ def read_manual_dictionary(spark: SparkSession, path: str, fmt: str = "csv") ->
     ``merge_dictionary`` strips/lowers keys and drops blank categories)."""
     try:
         if fmt == "csv":
-            raw = spark.read.schema(MANUAL_SCHEMA).option("header", True).option("encoding", "UTF-8").csv(path)
+            raw = spark.read.schema(MANUAL_SCHEMA).options(**CSV_OPTIONS).option("multiLine", True).csv(path)
         else:
             raw = spark.read.format(fmt).load(path)
         out = raw.select(
@@ -52,10 +56,11 @@ def read_manual_dictionary(spark: SparkSession, path: str, fmt: str = "csv") ->
         raise
 
 
-def read_rule_table(spark: SparkSession, path: str, fmt: str = "csv"):
-    """Rule table ``priority, category, phrase`` -> ordered rule set."""
+def read_rule_table(spark: SparkSession, path: str, fmt: str = "csv", max_phrases: int = MAX_RULE_PHRASES):
+    """Rule table ``priority, category, phrase`` -> ordered rule set; a table of more than
+    ``max_phrases`` is refused."""
     if fmt == "csv":
-        table = spark.read.schema(RULE_TABLE_SCHEMA).option("header", True).csv(path)
+        table = spark.read.schema(RULE_TABLE_SCHEMA).options(**CSV_OPTIONS).csv(path)
     else:
         table = spark.read.format(fmt).load(path)
-    return rules_from_table(table)
+    return rules_from_table(table, max_phrases)

@@ -51,13 +51,7 @@ TITLE_MAX_WORDS = 6
 TOP_USERS_N = 5000
 SAMPLE_USERS_N = 5000
 
-# Rule categories in priority order (first match wins); the phrases of each
-# category are supplied as data.
-RULE_CATEGORIES = (
-    "System", "Sports", "Anime", "Cartoon_Kids", "Music", "Horror", "Action",
-    "C-Drama", "K-Drama", "Thai-Drama", "V-Drama", "TV_Show", "News",
-    "Education", "Adult", "Movies_General",
-)
+# Rule category of a keyword that no rule matches.
 UNMAPPED = "Unmapped"
 
 # Category labels after the dictionary lookup.
