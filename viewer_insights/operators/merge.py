@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewer_insights.session import stage_table
+from viewer_insights.session import drop_path, scratch_path, stage_table
 
 JOIN_TYPES = ("inner", "full", "left", "right")
 
@@ -33,7 +33,8 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], index_col: str
     the low bits).  That numbered copy is written once as a Parquet table in
     the shared ``spark.checkpoint.dir`` folder and read back, so the per-range
     row counts and the final index are both derived from the same stored rows
-    (a second evaluation could sample other range bounds).  The count table has one row
+    (a second evaluation could sample other range bounds).  Both writes happen in this
+    call; run it inside ``session.scratch_tables`` to have the copy removed.  The count table has one row
     per range (bounded by ``buckets``); its running sum gives each range's
     offset and is broadcast back.  No step gathers the data in one task.
 
@@ -41,9 +42,14 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], index_col: str
     arbitrary order.
     """
     cols = _order_cols(order)
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # range bounds are sampled from the rows: from a stored copy, so that what made them runs once
+    source = scratch_path(spark, "row-index-input")
+    df.write.parquet(source)
+    ranged = spark.read.parquet(source).repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     numbered = stage_table(ranged.withColumn("_mid", F.monotonically_increasing_id()), "row-index")
+    drop_path(spark, source)
     numbered = numbered.withColumn("_part", F.expr("shiftright(_mid, 33)"))
     counts = numbered.groupBy("_part").agg(F.expr("count(1) AS _n"))
     # `counts` has at most `n` rows; the running sum over it is tiny.

@@ -65,6 +65,17 @@ def _shared(name):
     return wrap
 
 
+def forget_plans() -> None:
+    """Drop the shared plans and relations: the next query builds its plan from the start."""
+    _PLANS.clear()
+    dt.forget_relations()
+
+
+#: Queries that read the stored serving table.
+STORED_INPUT = ("status_health", "status_health_served", "top_shifts", "top_shifts_10", "vip_users", "shift_rate",
+                "category_retention", "taste_engagement", "archetype_engagement", "intent_vs_watch")
+
+
 @_shared("clean")
 def _clean(spark, d):
     return search.clean_search_log(dt.search_log(spark, d))
@@ -110,7 +121,7 @@ def _wide(spark, d):
     return plan.customer_360(_master(spark, d), _profile(spark, d), "full")
 
 
-def _serving(spark, d):
+def serving_table(spark, d):
     """The wide table aligned to the serving contract and written once (Parquet in the
     shared checkpoint folder), as the job writes it; the insight queries read it, as the
     original's insight SQL reads its serving table.  Only the columns a query uses are read."""
@@ -392,13 +403,13 @@ def q_merge_positional(spark, d):
 
 
 def q_status_health(spark, d):
-    return insights.status_health(_serving(spark, d), TOTALS)
+    return insights.status_health(serving_table(spark, d), TOTALS)
 
 
 def q_status_health_served(spark, d):
     """Status health as the report job writes it (CSV) and a reader gets it."""
     def write(root):
-        files.export_table(insights.status_health(_serving(spark, d), TOTALS), root)
+        files.export_table(insights.status_health(serving_table(spark, d), TOTALS), root)
 
     return spark.read.schema("user_status STRING, User_Count BIGINT, Average_Active_Ratio DOUBLE, "
                              "Total_Platform_Watch_Time BIGINT").options(**dictionary.CSV_OPTIONS).csv(
@@ -406,35 +417,35 @@ def q_status_health_served(spark, d):
 
 
 def q_top_shifts(spark, d):
-    return insights.top_shifts(_serving(spark, d), vocab.TOP_SHIFTS_K, LABELS)
+    return insights.top_shifts(serving_table(spark, d), vocab.TOP_SHIFTS_K, LABELS)
 
 
 def q_top_shifts_10(spark, d):
-    return insights.top_shifts(_serving(spark, d), 10, LABELS)
+    return insights.top_shifts(serving_table(spark, d), 10, LABELS)
 
 
 def q_vip_users(spark, d):
-    return insights.vip_users(_serving(spark, d), VIP_LIKES, vocab.VIP_MIN_ACTIVE, vocab.VIP_K, VIEW.column_names)
+    return insights.vip_users(serving_table(spark, d), VIP_LIKES, vocab.VIP_MIN_ACTIVE, vocab.VIP_K, VIEW.column_names)
 
 
 def q_shift_rate(spark, d):
-    return insights.shift_rate(_serving(spark, d))
+    return insights.shift_rate(serving_table(spark, d))
 
 
 def q_category_retention(spark, d):
-    return insights.category_retention(_serving(spark, d), LABELS)
+    return insights.category_retention(serving_table(spark, d), LABELS)
 
 
 def q_taste_engagement(spark, d):
-    return insights.taste_engagement(_serving(spark, d))
+    return insights.taste_engagement(serving_table(spark, d))
 
 
 def q_archetype_engagement(spark, d):
-    return insights.archetype_engagement(_serving(spark, d), TOTALS)
+    return insights.archetype_engagement(serving_table(spark, d), TOTALS)
 
 
 def q_intent_vs_watch(spark, d):
-    return insights.intent_vs_watch(_serving(spark, d), LABELS)
+    return insights.intent_vs_watch(serving_table(spark, d), LABELS)
 
 
 QUERIES = {

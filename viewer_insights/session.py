@@ -112,14 +112,17 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove one scratch table; nothing may read it any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _SCRATCH[application(spark)].remove(path)
+
+
 def drop_scratch(spark: SparkSession, first: int = 0) -> None:
     """Remove the scratch tables of this application made since the ``first``-th."""
-    live = _SCRATCH.get(application(spark), [])
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in live[first:]:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(conf).delete(at, True)
-    del live[first:]
+    for path in _SCRATCH.get(application(spark), [])[first:]:
+        drop_path(spark, path)
 
 
 @contextmanager

@@ -32,6 +32,10 @@ FIXTURE_GENRE_INTENT = "(ring|rod)"
 _RELATIONS: dict[tuple[str, str], DataFrame] = {}
 
 
+def forget_relations() -> None:
+    _RELATIONS.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet relation of one benchmark table.
 
