@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 
 from viewer_insights.session import cut_lineage, stage_table
 
-__all__ = ["read", "cut_lineage", "stage_table", "map_batches", "keep_rows", "connected_components", "texts"]
+__all__ = ["read", "cut_lineage", "stage_table", "slices", "map_batches", "keep_rows", "connected_components", "texts"]
+
+SLICE_ROWS = 500
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,13 +25,25 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches of a task in stretches of ``rows`` rows, so that only few texts are Python
+    objects at once; at the end of the task, freed memory goes back to the system (the
+    worker process is kept for further tasks)."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc only
+        trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """Apply ``fn`` (record batch -> dict of columns, in the order of ``schema``) to every Arrow batch."""
+    """Apply ``fn`` (record batch -> dict of columns, in the order of ``schema``) to stretches of the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_pydict(fn(b))
+        for b in slices(batches):
+            yield pa.RecordBatch.from_pydict(fn(b))
 
     return df.mapInArrow(run, schema)
 
@@ -38,9 +53,8 @@ def keep_rows(df: DataFrame, text_col: str, keep: Callable[[list[str]], list[boo
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield b.filter(pa.array(keep(texts(b.column(at))), pa.bool_()))
+        for b in slices(batches):
+            yield b.filter(pa.array(keep(texts(b.column(at))), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 

@@ -33,12 +33,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewer_insights.llm.common import stage_table, texts
+from viewer_insights.llm.common import slices, stage_table, texts
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 LENGTH = 2048
 GROUP_ROWS = 1 << 16
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 
 class WordTokens:
@@ -106,10 +106,10 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, length: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(data.value)
-        for b in batches:
+        for b in slices(batches):
             out: list[tuple] = []
             ids, ts = b.column(0).to_pylist(), texts(b.column(1))
-            for lo, hi in slices(ts, chars):
+            for lo, hi in stretches(ts, chars):
                 for doc_id, got in zip(ids[lo:hi], tokens.encode(ts[lo:hi])):
                     whole = np.append(got, end_id).astype("<u4")
                     for piece, start in enumerate(range(0, len(whole), length)):
@@ -124,7 +124,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, length: int =
         run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def slices(ts: list[str], chars: int) -> Iterator[tuple[int, int]]:
+def stretches(ts: list[str], chars: int) -> Iterator[tuple[int, int]]:
     """Stretches of about ``chars`` characters."""
     first, held = 0, 0
     for i, t in enumerate(ts):

@@ -20,16 +20,16 @@ label; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewer_insights.llm.common import map_batches, stage_table, texts
+from viewer_insights.llm.common import map_batches, slices, stage_table, texts
 
 ORDER = 4
 BUCKETS = 1 << 16
@@ -95,7 +95,7 @@ def ngram_counts(docs: DataFrame, labels: DataFrame, order: int = ORDER, n_bucke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(n_buckets, np.int64), np.zeros(n_buckets, np.int64)
-        for b in batches:
+        for b in slices(batches):
             for text, good in zip(texts(b.column(0)), b.column(1).to_pylist()):
                 for g in buckets_of(text.encode(), order, n_buckets):
                     c = np.bincount(g, minlength=n_buckets) if len(g) > n_buckets // 8 else None
