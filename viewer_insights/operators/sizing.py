@@ -18,11 +18,11 @@ def salted_left_lookup(big: DataFrame, small: DataFrame, big_key_sql: str, small
     the same choice); ``small`` is replicated once per salt value.  A key
     shared by a third of ``big`` is then spread over ``buckets`` tasks.
     Rows without a key get a key of their own that nothing matches, so they
-    spread over all tasks.  ``small`` must have unique keys; its columns other
-    than the key are added.  Whether ``small`` is broadcast is left to Spark,
+    spread over all tasks.  ``small`` must have unique keys, without white
+    space at the edge; its columns other than the key are added.  Whether ``small`` is broadcast is left to Spark,
     which decides by bytes.
     """
-    key = f"coalesce({big_key_sql}, concat(chr(0), CAST({salt_of_sql} AS STRING)))"
+    key = f"coalesce({big_key_sql}, concat(' no key ', CAST({salt_of_sql} AS STRING)))"
     salted_big = big.withColumn("_salt", F.expr(f"CAST(pmod({salt_of_sql}, {int(buckets)}) AS INT)"))
     salted_small = small.withColumn("_salt_s", F.explode(F.sequence(F.lit(0), F.lit(int(buckets) - 1))))
     cond = F.expr(f"{key} = {small_key} AND _salt = _salt_s")
