@@ -10,8 +10,9 @@ from viewer_insights.llm import packing as p
 def test_ids_equal_the_tokenizer_on_whole_texts():
     rng = random.Random(2)
     parts = ["hello", "World", "it's", " ", "  ", "\n", "\t", "\x1c", "é", "e\u0301", "\u0301", "Σας", "ΣΑΣ", "<|endoftext|>", "12", "\u00a0", "...", "日本", "\u200b",
-             "'s", "'", "İ"]
-    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+             "'s", "'", "İ", "<|ENDOFTEXT|>", "###", "a.b", "ñandú,", "1²", "ß", "_", "<", "|>", "don't.", "...x"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(600)]
+    texts += [t.replace("\x1c", "").replace("İ", "") for t in texts]
     data = open(p.TOKENIZER, "rb").read()
     plain = Tokenizer.from_buffer(data)
     want = [plain.encode(t, add_special_tokens=False).ids for t in texts]

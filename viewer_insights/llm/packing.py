@@ -20,6 +20,8 @@ columns are ignored; a very long text is tokenized whole.
 from __future__ import annotations
 
 import itertools
+import os
+import re
 import sys
 import types
 import zlib
@@ -38,23 +40,56 @@ from viewer_insights.llm.common import slices, stage_table, texts
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 LENGTH = 2048
 GROUP_ROWS = 1 << 16
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
+_TOGETHER = 64
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: ASCII and the letters of Latin-1: such a text may be made small and parted after its letters and digits.
+_PLAIN = re.compile(r"[\t\n -~À-ÖØ-öø-ÿ]*").fullmatch
+_IS_MARK = np.array([chr(i) in _PUNCTUATION for i in range(256)])
+_AFTER_WORD = re.compile(r"(?<=[0-9a-zà-öø-ÿß])(?=[!-/:-@\[-`{-~])").sub
+
+
+def parted(text: str, whole: tuple[str, ...] = ()) -> list[str]:
+    """The words of a text, split at spaces and line feeds; other white space stays with them.
+    Plain texts are made small first and parted between a letter or digit and a punctuation
+    mark, where tokens always part, so that fewer different words are met; not texts that
+    hold one of ``whole`` (special tokens), in any case of letters."""
+    small = text.lower()
+    if _PLAIN(text) and not any(w in small for w in whole):
+        text = small
+        marks = _IS_MARK[np.frombuffer(text.encode("latin-1"), np.uint8)]
+        if (marks[1:] & marks[:-1]).any():
+            text = _AFTER_WORD(" ", text)
+        else:  # no mark follows another: a space before each parts it from its word
+            for mark in _PUNCTUATION:
+                if mark in text:
+                    text = text.replace(mark, " " + mark)
+    return text.replace("\n", " ").split(" ")
 
 
 class WordTokens:
     """Token ids of whole texts, with the ids of words kept for reuse.
 
-    This tokenizer drops white space and never joins across it, so the ids of a text are
-    those of its words in a row.  Words are split at spaces and line feeds only; all other
-    white space stays with them and is left to the tokenizer.  At ``cache_words`` words
-    the cache starts anew, so memory is bounded.
+    A vocabulary with word ends drops white space and never joins across it, so the ids
+    of a text are those of its words in a row (``parted``).  Words of small letters are
+    tokenized many in one text and parted at the word-end tokens, other words one by
+    one.  Memory is bounded: at ``cache_words`` words the cache starts anew.  Other kinds
+    of vocabulary get whole texts.
     """
 
     def __init__(self, data: bytes, cache_words: int = CACHE_WORDS):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(data)
         self.cache_words = cache_words
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.by_word = bool(suffix)
+        self.special = tuple(t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values())
+        if self.by_word:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -63,30 +98,53 @@ class WordTokens:
         self.begin = np.zeros(1, np.int64)  # where the ids of a word begin in self.ids
         self.ids = np.zeros(0, np.uint32)
 
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(sizes.sum())), sizes
+
     def _learn(self) -> None:
         """Tokenize the words met since the last call."""
         fresh = list(itertools.islice(self.number, self.known, None))
-        ends, parts = [self.begin], [self.ids]
-        for at in range(0, len(fresh), 10_000):
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(fresh[at:at + 10_000], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
-            ends.append(ends[-1][-1] + np.cumsum(sizes))
-            parts.append(np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(sizes.sum())))
-        self.begin, self.ids, self.known = np.concatenate(ends), np.concatenate(parts), len(self.number)
+        letters = np.fromiter(map(str.isalpha, fresh), bool, len(fresh))
+        runs, others = list(itertools.compress(fresh, letters)), list(itertools.compress(fresh, ~letters))
+        ids, _ = self._encode([" ".join(runs[i:i + _TOGETHER]) for i in range(0, len(runs), _TOGETHER)])
+        cuts = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(cuts) == len(runs) and (not len(runs) or cuts[-1] == len(ids)):
+            sizes = np.diff(cuts, prepend=0)
+        else:  # a run that is not one word to the tokenizer
+            ids, sizes = self._encode(runs)
+        other_ids, other_sizes = self._encode(others)
+        where, count = np.empty(len(fresh), np.int64), np.empty(len(fresh), np.int64)
+        count[letters], count[~letters] = sizes, other_sizes
+        where[letters] = np.cumsum(sizes) - sizes
+        where[~letters] = len(ids) + np.cumsum(other_sizes) - other_sizes
+        both = np.concatenate([ids, other_ids])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(count)])
+        self.ids = np.concatenate([self.ids, both[_stretches(where, count)]])
+        self.known = len(self.number)
 
     def encode(self, docs: list[str]) -> Iterator[np.ndarray]:
+        if not self.by_word:
+            for e in self.tokenizer.encode_batch_fast(docs, add_special_tokens=False):
+                yield np.array(e.ids, np.uint32)
+            return
         if len(self.number) > self.cache_words:
             self.clear()
         get = self.number.__getitem__
-        words = [list(map(get, t.replace("\n", " ").split(" "))) for t in docs]
+        words = [np.fromiter(map(get, x), np.int32, len(x)) for x in (parted(t, self.special) for t in docs)]
         if len(self.number) > self.known:
             self._learn()
-        for w in words:
-            at = np.array(w, np.int64)
-            first, size = self.begin[at], self.begin[at + 1] - self.begin[at]
-            total = int(size.sum())
-            jump = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-            yield self.ids[jump + np.arange(total)]
+        for at in words:
+            first = self.begin[at]
+            yield self.ids[_stretches(first, self.begin[at + 1] - first)]
+
+
+def _stretches(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``first[0], first[0] + 1, ...`` for ``size[0]`` places, then those of the next, and so on."""
+    total = np.cumsum(size)
+    return np.repeat(first - total + size, size) + np.arange(total[-1] if len(total) else 0)
 
 
 def _tokens(data: bytes) -> WordTokens:
