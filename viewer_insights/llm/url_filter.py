@@ -99,7 +99,8 @@ def score_urls(urls: DataFrame, order: int = ORDER, strength: float = STRENGTH,
     totals = stage_table(counted.groupBy("gram").agg(F.sum("a").alias("a"), F.sum("r").alias("r")), "url-grams")
     table = log_ratios(totals, order, strength).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     uses = grams.select("u1", "u2", "gram", F.expr(f"pmod(u1, {salts})").cast("int").alias("s"))
-    hit = uses.join(table.withColumnRenamed("gram", "g"), (F.col("gram") == F.col("g")) & (F.col("s") == F.col("_salt")))
+    # the table grows with the URLs: a shuffle join at every size, never a broadcast
+    hit = uses.hint("merge").join(table.withColumnRenamed("gram", "g"), (F.col("gram") == F.col("g")) & (F.col("s") == F.col("_salt")))
     return hit.groupBy("u1", "u2").agg(F.expr("sum(micro) div count(1)").alias("score"))
 
 
