@@ -103,3 +103,14 @@ def test_drop_keeps_one_document_of_each_group(docs, odd):
 def test_empty_table(docs):
     assert simhash.near_duplicates(docs([])).collect() == []
     assert simhash.drop_near_duplicates(docs([])).count() == 0
+
+
+def test_drop_keeps_rows_not_ids(docs):
+    rng = random.Random(8)
+    text = [" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(60)) for _ in range(40)]
+    # a default id on unrelated texts; (5, B) beside (3, B); groups without any id; repeats of one row
+    rows = [*((0, t) for t in text[:20]), (5, text[20]), (5, text[21]), (3, text[21]), *[(None, text[22])] * 5,
+            (None, text[23]), (9, text[23]), (9, text[23]), (None, text[24])]
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash.drop_near_duplicates(docs(rows)).collect()), key=str)
+    want = [*((0, t) for t in text[:20]), (5, text[20]), (3, text[21]), (None, text[22]), (9, text[23]), (None, text[24])]
+    assert got == sorted(want, key=str)

@@ -168,16 +168,23 @@ def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, max_bucke
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose doc_id is the smallest of its group.
+def drop_near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """Exactly one row (all columns) of each group of near duplicates: the one with the smallest
+    doc_id (nulls last), of these the first as stored.
 
-    Rows that repeat a doc_id are one document: the smallest row stays.  Rows with a
-    null doc_id stay unless their group has a row with an id.
+    Rows are kept, not ids: rows that share a doc_id, or have none, are documents of their own.
     """
-    found = near_duplicates(docs, size, max_bits)
-    keep = (found.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-            .select(F.col("doc_id").alias("id"), "n"))
-    kept = docs.select(F.struct("*").alias("doc")).join(keep, F.col("doc.doc_id").cast("long").eqNullSafe(F.col("id")))
-    once = kept.where("n = 1 OR id IS NULL").select("doc.*")
-    again = kept.where("n > 1 AND id IS NOT NULL").groupBy("id").agg(F.min("doc").alias("doc")).select("doc.*")
-    return once.unionByName(again)
+    # the number of a row holds once it is stored
+    stored = stage_table(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "simhash-rows")
+
+    def batch(b: pa.RecordBatch) -> dict:
+        return {"row": b.column(0), "id": b.column(1),
+                "fp": pa.array([fingerprint(t, size) for t in texts(b.column(2))], pa.int64())}
+
+    of_text = stored.select("row", F.col("doc.doc_id").cast("long").alias("id"), F.col("doc.text").cast("string").alias("text"))
+    fps = stage_table(map_batches(of_text, batch, "row long, id long, fp long"), "simhash-row-fp")
+    nodes = fps.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
+    roots = connected_components(links(nodes.select("fp"), max_bits, max_bucket))
+    keep = (nodes.join(roots, F.col("fp") == F.col("node"), "left")
+            .groupBy(F.coalesce("root", "fp").alias("group")).agg(F.min("first").alias("first")).select(F.col("first.row").alias("kept")))
+    return stored.join(keep, F.col("row") == F.col("kept"), "left_semi").select("doc.*")
