@@ -71,3 +71,19 @@ def test_warc_records_carry_their_length(spark):
         head, body = bytes(r["record"]).split(b"\r\n\r\n", 1)
         assert head.startswith(b"WARC/1.1\r\n") and int(head.rsplit(b" ", 1)[1]) == len(body) - 4
     assert w.damaged_copy(df).where(F.length("html") >= 0).count() == 2
+
+
+def test_records_lost_and_inserted_inside_a_file_do_not_damage_the_others(spark):
+    a = [*rows(128), (None, "n", b"no id"), (None, "n", b"no id")]
+    b = [x for x in a if x[0] != 20]
+    b[40] = (b[40][0], b[40][1], bytes(len(b[40][2])))
+    b += [(70, "u70", rows(128)[70][2]), (75, "new", b"inserted"), (900, "new", b"in a file of its own")]
+    b[127] = (None, "n", b"no ld")
+    _, ours, theirs = report(spark, a, b, records_per_file=64, fanout=4)
+    got = w.audit_report(ours, theirs).collect()
+    told = sorted(((r["id"], r["status"]) for r in got if r["status"] not in ("ok", "moved")), key=str)
+    assert told == sorted([(20, "missing"), (41, "damaged"), (70, "extra"), (75, "extra"), (900, "extra"), (None, "damaged")], key=str)
+    assert len(got) == len(a) + 3 and sum(r["id"] == 70 for r in got) == 2
+    extra = {r["id"]: r for r in got if r["status"] == "extra"}
+    assert extra[75]["digest"] == hashlib.sha256(b"inserted").hexdigest() and extra[75]["end"] - extra[75]["start"] == 8
+    assert {r["id"] for r in got if r["status"] == "moved"} == {*range(21, 64), *range(71, 128)} - {41}

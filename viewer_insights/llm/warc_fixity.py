@@ -24,6 +24,7 @@ from viewer_insights.llm.common import stage_table
 
 RECORDS_PER_FILE = 1024  # a power of two
 FANOUT = 16  # a power of two
+LEAF = ("file", "seq", "id", "url", "start", "end", "digest")
 
 
 def warc_record(page_id: Column, url: Column, payload: Column) -> Column:
@@ -38,7 +39,7 @@ def warc_record(page_id: Column, url: Column, payload: Column) -> Column:
 
 
 def leaves(records: DataFrame, records_per_file: int = RECORDS_PER_FILE) -> DataFrame:
-    """``file, seq, id, start, end, digest`` of ``records (id, url, record)``."""
+    """``file, seq, id, url, start, end, digest`` of ``records (id, url, record)``."""
     bits = records_per_file.bit_length() - 1
     hashed = records.select(F.col("id").cast("long").alias("id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
                             F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
@@ -46,7 +47,7 @@ def leaves(records: DataFrame, records_per_file: int = RECORDS_PER_FILE) -> Data
                                .otherwise(F.concat(F.lit("none-"), F.substr("digest", F.lit(1), F.lit(3)))))
     order = Window.partitionBy("file").orderBy(F.col("id").asc_nulls_first(), "url", "digest")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return hashed.select("file", (F.row_number().over(order) - 1).cast("long").alias("seq"), "id",
+    return hashed.select("file", (F.row_number().over(order) - 1).cast("long").alias("seq"), "id", "url",
                          (F.sum("length").over(upto) - F.col("length")).alias("start"),
                          F.sum("length").over(upto).alias("end"), "digest")
 
@@ -82,8 +83,13 @@ def differing(ours: DataFrame, theirs: DataFrame) -> DataFrame:
 
 
 def audit(ours: Tree, theirs: Tree) -> DataFrame:
-    """Damaged records: ``file, seq, status`` (damaged, moved, missing, extra), found from the
-    roots down; only children of differing nodes are compared."""
+    """Records that differ: ``file, seq, status``, found from the roots down; only children of differing
+    nodes are compared.
+
+    Below the differing nodes records are matched by what they are, not by their place: equal records first
+    (``moved`` if their byte range is another), then by id and URL (``damaged``); the rest is ``missing`` or
+    ``extra``.  An extra record is told by its place in ``theirs``, the others by theirs in ``ours``.
+    """
     bits = ours.fanout.bit_length() - 1
     # trees of unequal height meet at the lower one's roots
     top = min(len(ours.levels), len(theirs.levels)) - 1
@@ -94,20 +100,34 @@ def audit(ours: Tree, theirs: Tree) -> DataFrame:
                                       "left_semi") for t in (ours, theirs)]
         if level:
             bad = differing(*under)
-    a, b = (u.select("file", "seq", F.struct("start", "end").alias(f"_r{i}"), F.col("digest").alias(f"_d{i}"))
-            for i, u in enumerate(under))
-    both = a.join(b, ["file", "seq"], "full")
-    status = (F.when(F.col("_d1").isNull(), "missing").when(F.col("_d0").isNull(), "extra")
-              .when(F.col("_d0") != F.col("_d1"), "damaged").when(F.col("_r0") != F.col("_r1"), "moved"))
-    return both.withColumn("status", status).where("status IS NOT NULL").select("file", "seq", "status")
+    pair = stage_table(_matched(*under, ["file", "id", "url", "digest"]), "fixity-equal")
+    moved = pair.where("a IS NOT NULL AND b IS NOT NULL AND (a.start <> b.start OR a.end <> b.end)")
+    # a damaged record without an id is in the file of another digest: matched without the file
+    rest = _matched(*(pair.where(f"{x} IS NULL").select(f"{y}.*") for x, y in (("b", "a"), ("a", "b"))), ["id", "url"])
+    status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("damaged")
+    place = F.coalesce("a", "b")
+    return (moved.select("a.file", "a.seq", F.lit("moved").alias("status"))
+            .union(rest.select(place["file"], place["seq"], status)))
+
+
+def _matched(ours: DataFrame, theirs: DataFrame, keys: list[str]) -> DataFrame:
+    """Leaves of two replicas as ``a, b`` (structs, one may be null), the n-th of a key beside the n-th."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("file", "seq"))
+    a, b = (t.select(F.struct(*LEAF).alias(name), nth.alias(f"{name}_nth")) for t, name in ((ours, "a"), (theirs, "b")))
+    same = F.col("a_nth") == F.col("b_nth")
+    for k in keys:  # null ids are equal here
+        same &= F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) if k == "id" else F.col(f"a.{k}") == F.col(f"b.{k}")
+    return a.join(b, same, "full").select("a", "b")
 
 
 def audit_report(ours: Tree, theirs: Tree) -> DataFrame:
-    """Every record of our replica: ``id, file, seq, start, end, digest, status`` (``ok`` or as in ``audit``)."""
-    found = audit(ours, theirs).select(F.col("file").alias("_f"), F.col("seq").alias("_s"), "status")
+    """Every record of our replica, and the extra ones of theirs: ``id, file, seq, start, end, digest, status``
+    (``ok`` or as in ``audit``); the place of an extra record is that in theirs."""
+    found = stage_table(audit(ours, theirs).select(F.col("file").alias("_f"), F.col("seq").alias("_s"), "status"), "fixity-found")
     same = (F.col("file") == F.col("_f")) & (F.col("seq") == F.col("_s"))
-    return ours.levels[0].join(found, same, "left").select(
-        "id", "file", "seq", "start", "end", "digest", F.coalesce("status", F.lit("ok")).alias("status"))
+    columns = ["id", "file", "seq", "start", "end", "digest", F.coalesce("status", F.lit("ok")).alias("status")]
+    return (ours.levels[0].join(found.where("status <> 'extra'"), same, "left").select(*columns)
+            .union(theirs.levels[0].join(found.where("status = 'extra'"), same).select(*columns)))
 
 
 def damaged_copy(pages: DataFrame) -> DataFrame:
