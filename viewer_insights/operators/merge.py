@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewer_insights.session import drop_path, scratch_path, stage_table
+from viewer_insights.session import stage_table
 
 JOIN_TYPES = ("inner", "full", "left", "right")
 
@@ -28,13 +29,14 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], index_col: str
     """1-based position of each row in the total order ``order``.
 
     Distributed: rows are range-partitioned on the order key (Spark samples the
-    boundaries), sorted inside each range and numbered by
-    ``monotonically_increasing_id`` (partition id in the high bits, position in
-    the low bits).  That numbered copy is written once as a Parquet table in
-    the shared ``spark.checkpoint.dir`` folder and read back, so the per-range
-    row counts and the final index are both derived from the same stored rows
-    (a second evaluation could sample other range bounds).  Both writes happen in this
-    call; run it inside ``session.scratch_tables`` to have the copy removed.  The count table has one row
+    boundaries; the shuffles before are not run again for it), sorted inside each
+    range and numbered by ``monotonically_increasing_id`` (range number in the high
+    bits, position in the low bits).  That numbered copy is the only one: it is written
+    as a Parquet table in the shared ``spark.checkpoint.dir`` folder and read back, so
+    index and counts come from the same stored rows (a second evaluation could sample
+    other range bounds).  The rows of each range are counted from the file footers, no
+    column is read for it.  The write happens in this call; run it inside
+    ``session.scratch_tables`` to have the copy removed.  The count table has one row
     per range (bounded by ``buckets``); its running sum gives each range's
     offset and is broadcast back.  No step gathers the data in one task.
 
@@ -44,27 +46,29 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], index_col: str
     cols = _order_cols(order)
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # range bounds are sampled from the rows: from a stored copy, so that what made them runs once
-    source = scratch_path(spark, "row-index-input")
-    df.write.parquet(source)
-    ranged = spark.read.parquet(source).repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     numbered = stage_table(ranged.withColumn("_mid", F.monotonically_increasing_id()), "row-index")
-    drop_path(spark, source)
-    numbered = numbered.withColumn("_part", F.expr("shiftright(_mid, 33)"))
-    counts = numbered.groupBy("_part").agg(F.expr("count(1) AS _n"))
-    # `counts` has at most `n` rows; the running sum over it is tiny.
-    offsets = counts.select(
-        "_part",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-    )
+    offsets = spark.createDataFrame(_range_offsets(numbered), "_part long, _off long")
     return (
-        numbered.join(F.broadcast(offsets), "_part")
+        numbered.withColumn("_part", F.expr("shiftright(_mid, 33)"))
+        .join(F.broadcast(offsets), "_part")
         .withColumn(index_col, F.expr("_off + (_mid - shiftleft(_part, 33)) + 1"))
         .drop("_mid", "_part", "_off")
     )
 
 
+def _range_offsets(numbered: DataFrame) -> list[tuple[int, int]]:
+    """Rows before each range, from the row counts in the footers of a table that
+    ``with_row_index`` wrote: task ``i`` wrote the files ``part-<i>-...`` (at most as many
+    rows as there are files)."""
+    counts = (
+        numbered.groupBy(F.expr("CAST(regexp_extract(_metadata.file_name, '^part-([0-9]+)-', 1) AS BIGINT) AS part"))
+        .agg(F.expr("count(1) AS n")).orderBy("part").collect()
+    )
+    ends = list(accumulate((r["n"] for r in counts), initial=0))
+    return [(r["part"], before) for r, before in zip(counts, ends)]
+
+
 def merge_positional(
     a: DataFrame,
     b: DataFrame,
