@@ -1,0 +1,106 @@
+import re
+from collections import Counter, defaultdict
+from itertools import permutations
+
+import pytest
+from pyspark.sql import functions as F
+
+from viewer_insights.llm import filter_audit as a
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def failing(text, i, first):
+    words = WORD.findall(text)
+    return {f for f, bad in zip("ABCDE", (
+        len(words) < 200, 100 * len(set(words)) < 50 * len(words), 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+        bool(re.search(r"[#$%&*|]", text)), i is not None and first.get(text, i) < i)) if bad}
+
+
+def brute(docs, labels):
+    """(part, order, step) -> counts, one document after another; ``docs`` are (doc_id, text, lang)."""
+    docs = [(i, t or "", p or "") for i, t, p in docs]
+    first = {}
+    for i, t, _ in docs:
+        if i is not None:
+            first[t] = min(i, first.get(t, i))
+    good, toxic = ({i for i, *v in labels if v[k] == 1} for k in (0, 1))
+    out = {(p, "".join(o), s + 1): Counter() for _, _, p in docs for o in permutations("ABCDE") for s in range(5)}
+    shapley = defaultdict(int)
+    for i, t, p in docs:
+        bad = failing(t, i, first)
+        for order in permutations("ABCDE"):
+            gone = False
+            for s, letter in enumerate(order):
+                c = out[p, "".join(order), s + 1]
+                c["unique_fails"] += bad == {letter}
+                if letter in bad:
+                    c["redundant"] += gone
+                    if not gone:
+                        c["removed"] += 1
+                        c["good_lost"] += i in good
+                        c["toxic_lost"] += i in toxic
+                        shapley[p, letter] += 1
+                    gone = True
+                c["kept"] += not gone
+    names = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost")
+    return sorted((p, o, s, *(c[n] for n in names), shapley[p, o[s - 1]]) for (p, o, s), c in out.items())
+
+
+def got(df):
+    assert df.columns == ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    assert dict(df.dtypes)["step"] == "int" and dict(df.dtypes)["kept"] == dict(df.dtypes)["shapley"] == "bigint"
+    return sorted(map(tuple, df.collect()))
+
+
+LABELS = [(1, 1, 0), (4, 0, 1), (6, 1, 1), (6, 0, 0), (9, 1, 1), (12, 1, 0), (20, 0, 1), (99, 1, 1), (None, 1, 1)]
+
+
+@pytest.fixture
+def labels(spark):
+    return spark.createDataFrame([(*x, "z") for x in LABELS], "doc_id long, quality int, toxic int, part string")
+
+
+def test_odd_rows_equal_one_document_after_another(docs, odd, labels):
+    many = " ".join(f"w{i}" for i in range(220))
+    rows = [*odd, (11, many), (12, many), (12, many), (10, many), (None, many), (13, "SHOUT " * 250), (14, many + " $"),
+            (20, ""), (21, None), (22, "a|b " + many), (23, " ".join("AB%d" % i for i in range(300)))]
+    df = docs(rows)
+    assert got(a.audit(df, labels)) == brute([(r["doc_id"], r["text"], r["lang"]) for r in df.collect()], LABELS)
+
+
+def test_matrix_holds_every_word_under_one_global_number(spark, docs, odd, monkeypatch):
+    monkeypatch.setattr(a, "BLOCK_ROWS", 2)
+    rows = [*odd, (11, "one two two"), (12, "two three"), (13, "five five\tone")]
+    df = docs(rows)
+    m = a.document_term_matrix(df)
+    words = {r["term"]: r["word"].decode() for r in m.dictionary.collect()}
+    assert sorted(words) == list(range(len(words))) and len(set(words.values())) == len(words)
+    found = []
+    shards = m.shards.collect()
+    assert len(shards) > 3
+    for s in shards:
+        for k, r in enumerate(s["rows"]):
+            at = range(s["indptr"][k], s["indptr"][k + 1])
+            found.append((r["doc_id"], Counter({words[s["terms"][j]]: s["counts"][j] for j in at})))
+    want = [(i, Counter(WORD.findall(t or ""))) for i, t in rows]
+    assert sorted(map(str, found)) == sorted(map(str, want)) or sorted(
+        (str(i), sorted(c.items())) for i, c in found) == sorted((str(i), sorted(c.items())) for i, c in want)
+    stats = a.row_statistics(m.shards).select("doc_id", "n_words", "n_distinct").collect()
+    assert sorted(map(str, map(tuple, stats))) == sorted(str((i, sum(c.values()), len(c))) for i, c in want)
+
+
+def test_a_third_of_the_rows_under_one_text_or_one_id(docs, labels):
+    rows = [(i, f"doc {i}") for i in range(60)] + [(1000 + i, "copy") for i in range(40)] + [(7, f"other {i % 3}") for i in range(40)]
+    df = docs(rows).withColumn("lang", F.lit("en"))
+    assert got(a.audit(df, labels)) == brute([(i, t, "en") for i, t in rows], LABELS)
+
+
+def test_empty_tables(docs, labels):
+    assert a.audit(docs([]), labels).collect() == []
+    assert got(a.audit(docs([(1, "x")]), labels.limit(0))) == brute([(1, "x", "en")], [])
+
+
+def test_no_cross_join_and_no_whole_rows_in_the_flag_joins(docs, labels):
+    plan = a.audit(docs([(1, "a b")]), labels)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan

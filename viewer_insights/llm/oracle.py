@@ -120,9 +120,44 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
 FROM d JOIN place ON id = coalesce(doc_id, -1)
 """
 
+FILTERS = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (
+  SELECT doc_id, part,
+         (CASE WHEN len(words) < 200 THEN 'A' ELSE '' END)
+         || (CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+         || (CASE WHEN first_id < doc_id THEN 'E' ELSE '' END) AS failed FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, failed, count(*) AS n, sum(coalesce(good, 0)) AS n_good, sum(coalesce(toxic, 0)) AS n_toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, failed),
+k(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+      FROM k a JOIN k b ON b.x <> a.x JOIN k c ON c.x NOT IN (a.x, b.x) JOIN k d ON d.x NOT IN (a.x, b.x, c.x)
+      JOIN k e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+s AS (SELECT c.*, filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS done
+      FROM c, o, (VALUES (1), (2), (3), (4), (5)) t(step)),
+x AS (SELECT *, contains(failed, letter) AS fails, translate(done, failed, '') = done AS there FROM s),
+t AS (SELECT part, filter_order, step, letter,
+             sum(CASE WHEN there AND NOT fails THEN n ELSE 0 END)::BIGINT AS kept,
+             sum(CASE WHEN there AND fails THEN n ELSE 0 END)::BIGINT AS removed,
+             sum(CASE WHEN fails AND NOT there THEN n ELSE 0 END)::BIGINT AS redundant,
+             sum(CASE WHEN failed = letter THEN n ELSE 0 END)::BIGINT AS unique_fails,
+             sum(CASE WHEN there AND fails THEN n_good ELSE 0 END)::BIGINT AS good_lost,
+             sum(CASE WHEN there AND fails THEN n_toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM x GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM t
+"""
+
 ORACLE_SQL = {
     "op4_url_language_models": URL_FILTER,
     "op5_merkle_fixity_audit": FIXITY,
     "op6_chat_state_machine": CHAT,
     "op8_jump_hash_shards": SHARDS,
+    "op13_filter_interactions": FILTERS,
 }

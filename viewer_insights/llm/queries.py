@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from viewer_insights.llm import (
     chat_format,
     decontamination,
+    filter_audit,
+    importance_resampling,
     packing,
     quality_gbt,
     quality_rules,
@@ -70,7 +72,16 @@ def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gbt.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pigeonhole_decontamination, op2_likelihood_ratio_rules, op3_recursive_secret_scan, op4_url_language_models,
     op5_merkle_fixity_audit, op6_chat_state_machine,
-    op7_simhash_pivot_dedup, op8_jump_hash_shards, op9_sum_of_squares_packing, op10_quality_trees)}
+    op7_simhash_pivot_dedup, op8_jump_hash_shards, op9_sum_of_squares_packing, op10_quality_trees,
+    op12_importance_resampling, op13_filter_interactions)}
