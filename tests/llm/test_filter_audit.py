@@ -24,7 +24,7 @@ def brute(docs, labels):
     for i, t, _ in docs:
         if i is not None:
             first[t] = min(i, first.get(t, i))
-    good, toxic = ({i for i, *v in labels if v[k] == 1} for k in (0, 1))
+    good, toxic = ({i for i, *v in labels if v[k] == 1 and i is not None} for k in (0, 1))
     out = {(p, "".join(o), s + 1): Counter() for _, _, p in docs for o in permutations("ABCDE") for s in range(5)}
     shapley = defaultdict(int)
     for i, t, p in docs:

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import ctypes
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewer_insights.session import cut_lineage, stage_table
+from viewer_insights.session import cut_lineage, scratch_path, stage_table
 
-__all__ = ["read", "cut_lineage", "stage_table", "slices", "map_batches", "keep_rows", "connected_components", "texts"]
+__all__ = ["read", "cut_lineage", "stage_table", "bucketed_table", "slices", "map_batches", "keep_rows", "connected_components", "texts"]
 
 SLICE_ROWS = 500
 
@@ -20,6 +21,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def bucketed_table(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder in buckets of ``key``, as many as the session has
+    shuffle partitions, and read it back: joins on ``key`` then shuffle only the other side."""
+    spark = df.sparkSession
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)  # Spark's own limit of buckets
+    table = f"scratch_{uuid.uuid4().hex}"
+    df.repartition(n, key).write.bucketBy(n, key).option("path", scratch_path(spark, name)).saveAsTable(table)
+    out = spark.table(table)
+    out.schema  # resolved before the name goes; the files stay
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def texts(column: pa.Array) -> list[str]:
     """Python strings of an Arrow string column; null becomes the empty text."""
     return [t or "" for t in column.to_pylist()]

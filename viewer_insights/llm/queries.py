@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from viewer_insights.llm import (
     chat_format,
@@ -15,6 +16,7 @@ from viewer_insights.llm import (
     secret_scan,
     sharding,
     simhash,
+    substring_dedup,
     url_filter,
     warc_fixity,
 )
@@ -72,6 +74,11 @@ def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gbt.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_repeated_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.keep_unique(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -84,4 +91,4 @@ QUERIES = {f.__name__: f for f in (
     op1_pigeonhole_decontamination, op2_likelihood_ratio_rules, op3_recursive_secret_scan, op4_url_language_models,
     op5_merkle_fixity_audit, op6_chat_state_machine,
     op7_simhash_pivot_dedup, op8_jump_hash_shards, op9_sum_of_squares_packing, op10_quality_trees,
-    op12_importance_resampling, op13_filter_interactions)}
+    op11_repeated_phrase_automata, op12_importance_resampling, op13_filter_interactions)}
