@@ -5,15 +5,15 @@ per part of the corpus, what each step keeps and removes, what earlier filters h
 already, what only one filter catches, and which good or toxic documents each step costs.
 
 The matrix: (1) every task cuts its documents into blocks of bounded size and counts words
-under numbers of the block's own, as a CSR block with its list of distinct words; (2) the
-lists of all blocks give one global dictionary ``word -> term`` (0, 1, 2, ...); (3) the
-dictionary is joined to the lists and the blocks take the global numbers: CSR shards.  Only
-lists of distinct words are shuffled by word, never single occurrences, and a word occurs
-once in a block's list, so a frequent word is no hot key.  Row sums (words) and nonzero
-counts (distinct words) of the shards decide filters A and B; C and D are counted with the
-text; E follows from the smallest id of each text digest.  Documents are then counted per
-(id, part, failing filters) before labels are joined, so an id that repeats is one row there,
-and the orders are applied to at most 32 x 4 counts of each part.
+under numbers of the block's own, as a CSR block with its distinct words in lists by hash
+bucket; (2) each bucket is one task's: it numbers the words of its lists, so that a word has
+one number in all blocks (the global dictionary ``word -> term``); (3) the numbers go back to
+the blocks: CSR shards.  Lists travel packed, one row per block and bucket; a word occurs once
+in a block's lists, so a frequent word is no hot key.  Row sums (words) and nonzero counts
+(distinct words) of the shards decide filters A and B; C and D are counted with the text; E
+follows from the smallest id of each text digest.  Documents are then counted per (id, part,
+failing filters) before labels are joined, so an id that repeats is one row there, and the
+orders are applied to at most 32 x 4 counts of each part.
 
 Defined cases: a null text is empty (0 words, identical to other empty texts); a null part is
 the empty string; a null id never has a smaller id with its text, and matches no label; rows
@@ -28,7 +28,8 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
-from itertools import accumulate, count, permutations
+from itertools import count, permutations
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ from viewer_insights.llm.common import slices, stage_table
 #: a block ends at so many documents or words, whichever comes first
 BLOCK_ROWS = 500
 BLOCK_WORDS = 250_000
+#: hash buckets of words per shuffle partition
+BUCKETS_PER_TASK = 4
 FILTERS = "ABCDE"
 MIN_WORDS = 200
 MARKS = "#$%&*|"
@@ -47,14 +50,16 @@ _CAPITALS = np.zeros(256, bool)
 _CAPITALS[65:91] = True
 
 _ROWS = "rows array<struct<doc_id: bigint, part: string, digest: binary, chars: bigint, capitals: bigint, marked: boolean>>"
-_BLOCK = f"block long, {_ROWS}, words array<binary>, indptr array<long>, indices array<int>, counts array<int>"
-_SHARD = f"block long, {_ROWS}, indptr array<long>, terms array<long>, counts array<int>"
+_BLOCK = f"{_ROWS}, indptr binary, indices binary, counts binary, lists array<struct<bucket: int, words: binary>>"
+_SHARD = f"block long, {_ROWS}, indptr binary, terms binary, counts binary"
 
 
 @dataclass(frozen=True)
 class DocumentTermMatrix:
-    """``dictionary``: ``word binary, term long``; ``shards``: one CSR shard per row, ``block, rows, indptr, terms, counts``
-    (row ``i`` has ``counts[j]`` occurrences of ``terms[j]`` for ``j`` from ``indptr[i]`` to ``indptr[i + 1]``)."""
+    """``dictionary``: ``word string, term long``, one row per distinct word.  ``shards``: one CSR shard per
+    row, ``block, rows, indptr, terms, counts``; the last three are packed little-endian numbers of 64, 64
+    and 32 bits.  Row ``i`` has ``counts[j]`` occurrences of ``terms[j]`` for ``j`` from ``indptr[i]`` to
+    ``indptr[i + 1]``."""
 
     dictionary: DataFrame
     shards: DataFrame
@@ -74,18 +79,30 @@ class _Block:
         self.rows.append(row)
         self.indptr.append(self.indptr[-1] + len(ids))
         self.indices.append(ids)
-        self.counts.append(n.astype(np.int32))
+        self.counts.append(n.astype("<i4"))
         self.n_words += len(words)
 
-    def batch(self) -> pa.RecordBatch:
-        lists = [self.rows, list(self.numbers), self.indptr, np.concatenate(self.indices), np.concatenate(self.counts)]
-        kinds = [pa.list_(pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()), ("chars", pa.int64()),
-                                     ("capitals", pa.int64()), ("marked", pa.bool_())])),
-                 pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(lists, kinds)], ["rows", "words", "indptr", "indices", "counts"])
-
-
-def csr_blocks(docs: DataFrame, part_col: str = "lang") -> DataFrame:
+    def batch(self, n_buckets: int) -> pa.RecordBatch:
+        """The block as one row; its words are numbered anew in the order of their buckets."""
+        words = list(self.numbers)
+        buckets = np.fromiter(map(crc32, words), np.int64, len(words)) % n_buckets
+        order = np.argsort(buckets, kind="stable")
+        place = np.empty(len(words), "<i4")
+        place[order] = np.arange(len(words))
+        names, starts = np.unique(buckets[order], return_index=True)
+        ends = [*starts[1:].tolist(), len(words)]
+        lists = [{"bucket": k, "words": b"\n".join(map(words.__getitem__, order[low:end].tolist()))}
+                 for k, low, end in zip(names.tolist(), starts.tolist(), ends)]
+        packed = [np.array(self.indptr, "<i8").tobytes(), place[np.concatenate(self.indices)].tobytes(), np.concatenate(self.counts).tobytes()]
+        row = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()), ("chars", pa.int64()),
+                         ("capitals", pa.int64()), ("marked", pa.bool_())])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([self.rows], pa.list_(row)), *(pa.array([x], pa.binary()) for x in packed),
+             pa.array([lists], pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary())])))],
+            ["rows", "indptr", "indices", "counts", "lists"])
+
+
+def csr_blocks(docs: DataFrame, n_buckets: int, part_col: str = "lang") -> DataFrame:
     """Documents as stored CSR blocks with word numbers of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,46 +115,63 @@ def csr_blocks(docs: DataFrame, part_col: str = "lang") -> DataFrame:
                 block.add({"doc_id": i, "part": part, "digest": sha256(raw).digest(), "chars": len(text), "capitals": capitals,
                            "marked": any(m in text for m in MARKS)}, raw)
                 if len(block.rows) >= BLOCK_ROWS or block.n_words >= BLOCK_WORDS:
-                    yield block.batch()
+                    yield block.batch(n_buckets)
                     block = _Block()
         if block.rows:
-            yield block.batch()
+            yield block.batch(n_buckets)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col(part_col).cast("string"), F.lit("")), F.col("text").cast("string"))
-    return stage_table(rows.mapInArrow(run, _BLOCK.removeprefix("block long, "))
-                       .withColumn("block", F.monotonically_increasing_id()), "csr-blocks")
+    return stage_table(rows.mapInArrow(run, _BLOCK).withColumn("block", F.monotonically_increasing_id()), "csr-blocks")
 
 
-def global_dictionary(blocks: DataFrame) -> DataFrame:
-    """``word, term``: every distinct word of all blocks under one number, 0 and up without gaps, stored."""
-    words = blocks.select(F.explode("words").alias("word")).distinct()
-    stored = stage_table(words.withColumn("_at", F.monotonically_increasing_id()), "terms")
-    task = F.expr("shiftright(_at, 33)").alias("_task")
-    sizes = stored.groupBy(task).agg(F.count("*").alias("n")).orderBy("_task").collect()  # one row per task that wrote
-    starts = list(accumulate((r["n"] for r in sizes), initial=0))
-    offsets = stored.sparkSession.createDataFrame(
-        [(r["_task"], s) for r, s in zip(sizes, starts)], "_task long, _before long")
-    return stored.withColumn("_task", task).join(F.broadcast(offsets), "_task").select(
-        "word", F.expr("_before + (_at - shiftleft(_task, 33))").alias("term"))
+def number_words(blocks: DataFrame, n_buckets: int) -> DataFrame:
+    """``bucket, block, terms, before, fresh``, stored: the global numbers of each list's words, the words that
+    occur for the first time in their bucket there (packed), and how many the bucket had before.
+
+    The ``k``-th word of bucket ``b`` gets number ``k * n_buckets + b``.  A bucket is numbered in one task in the
+    order of blocks, so a repeated task numbers alike.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, numbers = None, {}
+        for b in slices(batches):
+            out = []
+            for bucket, block, words in zip(*(c.to_pylist() for c in b.columns)):
+                if bucket != current:
+                    current, numbers = bucket, {}
+                words, before = words.split(b"\n"), len(numbers)
+                own = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), "<i8", len(words))
+                fresh = [w for w, k in zip(words, own.tolist()) if k >= before]
+                out.append((bucket, block, (own * n_buckets + bucket).tobytes(), before, b"\n".join(fresh)))
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                                             ["bucket", "block", "terms", "before", "fresh"])
+
+    lists = blocks.select("block", F.explode("lists").alias("list")).select("list.bucket", "block", "list.words")
+    dealt = lists.repartition(max(1, n_buckets // BUCKETS_PER_TASK), "bucket").sortWithinPartitions("bucket", "block")
+    return stage_table(dealt.mapInArrow(run, "bucket int, block long, terms binary, before long, fresh binary"), "terms")
 
 
 def document_term_matrix(docs: DataFrame, part_col: str = "lang") -> DocumentTermMatrix:
     """The word counts of all documents under one global dictionary."""
-    blocks = csr_blocks(docs, part_col)
-    dictionary = global_dictionary(blocks)
-    # the numbers of a block's words, in the order of its list; a block's list is of bounded size
-    terms = (blocks.select("block", F.posexplode("words").alias("at", "word")).join(dictionary, "word")
-             .groupBy("block").agg(F.expr("transform(array_sort(collect_list(struct(at, term))), x -> x.term)").alias("_terms")))
+    n_buckets = BUCKETS_PER_TASK * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = csr_blocks(docs, n_buckets, part_col)
+    numbered = number_words(blocks, n_buckets)
+    dictionary = (numbered.where("length(fresh) > 0")
+                  .select("bucket", "before", F.posexplode(F.split(F.col("fresh").cast("string"), "\n")).alias("at", "word"))
+                  .select("word", F.expr(f"(before + at) * {n_buckets} + bucket").alias("term")))
+    # the numbers of a block's words, in the order of its buckets; a block is of bounded size
+    terms = numbered.groupBy("block").agg(F.expr("transform(array_sort(collect_list(struct(bucket, terms))), x -> x.terms)").alias("_terms"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1):
-            own, numbers = b.column("indices").flatten().to_numpy(), b.column("_terms").flatten().to_numpy()
-            terms = pa.array([numbers[own] if len(own) else []], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("rows"), b.column("indptr"), terms, b.column("counts")],
+            numbers = np.frombuffer(b"".join(b.column("_terms").flatten().to_pylist()), "<i8")
+            own = np.frombuffer(b.column("indices")[0].as_py(), "<i4")
+            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("rows"), b.column("indptr"),
+                                              pa.array([numbers[own].tobytes()], pa.binary()), b.column("counts")],
                                              ["block", "rows", "indptr", "terms", "counts"])
 
-    numbered = blocks.drop("words").join(terms, "block", "left")
-    return DocumentTermMatrix(dictionary, numbered.mapInArrow(run, _SHARD))
+    return DocumentTermMatrix(dictionary, blocks.drop("lists").join(terms, "block", "left").mapInArrow(run, _SHARD))
 
 
 def row_statistics(shards: DataFrame) -> DataFrame:
@@ -145,14 +179,14 @@ def row_statistics(shards: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1):
-            indptr = b.column("indptr").flatten().to_numpy()
-            sums = np.concatenate([[0], np.cumsum(b.column("counts").flatten().to_numpy(), dtype=np.int64)])[indptr]
+            indptr, counts = (np.frombuffer(b.column(c)[0].as_py(), k) for c, k in (("indptr", "<i8"), ("counts", "<i4")))
+            sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[indptr]
             rows = b.column("rows").flatten()
             yield pa.RecordBatch.from_arrays([*rows.flatten(), pa.array(np.diff(sums)), pa.array(np.diff(indptr))],
                                              [*(f.name for f in rows.type), "n_words", "n_distinct"])
 
-    return shards.mapInArrow(run, "doc_id long, part string, digest binary, chars long, capitals long, marked boolean, "
-                                  "n_words long, n_distinct long")
+    return shards.select("rows", "indptr", "terms", "counts").mapInArrow(
+        run, "doc_id long, part string, digest binary, chars long, capitals long, marked boolean, n_words long, n_distinct long")
 
 
 def failing_filters(statistics: DataFrame) -> DataFrame:
