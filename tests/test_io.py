@@ -271,3 +271,131 @@ def test_job_and_registered_insights_agree(spark, tmp_path):
     served = contract.align_to_schema(wide, contract.serving_schema(categories=("Phim Truyện",)))
     (r,) = insights.status_health(served, ["Total_Phim_Truyen"]).collect()
     assert (r["User_Count"], r["Average_Active_Ratio"], r["Total_Platform_Watch_Time"]) == (2, 10.0, 5)
+
+
+def test_sheet_columns_are_found_by_header(spark, tmp_path):
+    p = tmp_path / "moved.csv"
+    p.write_text('category,note, Keyword_Gốc ,Trưởng_Họ_(Family),n\nTools,x,saw,fam,1\n,"a, b","two\nlines",fam,2\n', encoding="utf-8")
+    assert rows(dictionary.read_manual_dictionary(spark, str(p)), "keyword", "family", "category") == sorted(
+        [("saw", "fam", "Tools"), ("two\nlines", "fam", None)], key=str)
+    p.write_text("﻿Keyword_Gốc,Trưởng_Họ_(Family),category\nsaw,fam,Tools\n", encoding="utf-8")
+    assert rows(dictionary.read_manual_dictionary(spark, str(p)), "keyword", "category") == [("saw", "Tools")]
+    for header in ("Keyword_Gốc,family,category", "Keyword_Gốc,Trưởng_Họ_(Family),category,category", "", "x"):
+        p.write_text(header + "\na,b,c\n" if header else "", encoding="utf-8")
+        with pytest.raises(dictionary.SheetHeaderError):
+            dictionary.read_manual_dictionary(spark, str(p))
+
+
+def test_files_of_a_sheet_with_different_headers_are_refused(spark, tmp_path):
+    d = tmp_path / "sheet"
+    d.mkdir()
+    (d / "a.csv").write_text("Keyword_Gốc,Trưởng_Họ_(Family),category\nsaw,fam,Tools\n", encoding="utf-8")
+    (d / "b.csv").write_text("category,Trưởng_Họ_(Family),Keyword_Gốc\nGarden,fam,spade\n", encoding="utf-8")
+    with pytest.raises(Exception, match="header"):
+        dictionary.read_manual_dictionary(spark, str(d)).collect()
+
+
+def test_rule_table_by_header(spark, tmp_path):
+    p = tmp_path / "rules.csv"
+    p.write_text('phrase,why,category,priority\nblue,"two\nlines",Cool,2\nred,,Warm,1\n', encoding="utf-8")
+    assert dictionary.read_rule_table(spark, str(p)) == [("Warm", ("red",)), ("Cool", ("blue",))]
+    p.write_text("phrase,category,priority\nblue,Cool,high\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="priority"):
+        dictionary.read_rule_table(spark, str(p))
+    with pytest.raises(dictionary.SheetHeaderError):
+        p.write_text("phrase,category\nblue,Cool\n", encoding="utf-8")
+        dictionary.read_rule_table(spark, str(p))
+
+
+TYPED = ["Tools", "tools", "K.Drama", "back`tick", "category_t6", "warm", "c0", "a,b\n\"c\""]
+
+
+def test_search_stage_with_categories_as_people_type_them(spark, tmp_path, search_dir, monkeypatch):
+    s = plan.SearchSettings(rules=[*RULES, ("WARM", ["gear"])])
+    out = jobs.Outputs(str(tmp_path / "out"))
+    log = logs.read_search_log(spark, search_dir, {"t6": "202206", "t7": "202207"})
+    manual = spark.createDataFrame([(f"kw {i}", c) for i, c in enumerate(TYPED)] + [("old anvil", "back`tick"), ("cold bolt", "category_t6")],
+                                   "keyword string, category string")
+    jobs.run_search_stage(spark, log, s, out, manual)
+    names = {r["header"]: r["category"] for r in dictionary.read_by_header(
+        spark, out.path("transition_matrix_names"), {"header": "header", "category": "category"}).collect()}
+    assert set(TYPED) < set(names.values()) and len({h.lower() for h in names}) == len(names) and "category_t6" not in names
+    matrix = spark.read.options(**dictionary.CSV_OPTIONS).option("multiLine", True).csv(out.path("transition_matrix"))
+    assert matrix.columns == ["category_t6", *(r[0] for r in dictionary.read_by_header(
+        spark, out.path("transition_matrix_names"), {"header": "header", "position": "position"}).orderBy(
+            F.expr("CAST(position AS INT)")).collect())]
+    cells = {(r[0], names[h]): int(v) for r in matrix.collect() for h, v in zip(matrix.columns[1:], r[1:]) if v != "0"}
+    assert cells == {("Warm", "category_t6"): 1, ("Cool", "No_Search"): 1, ("No_Search", "back`tick"): 1}
+    # more categories than columns: the long form is there, and the job goes on
+    from viewer_insights.operators import enrich
+    monkeypatch.setattr(enrich, "matrix_categories", lambda *a: (_ for _ in ()).throw(enrich.TooManyCategories("too many")))
+    wide = jobs.Outputs(str(tmp_path / "wide"))
+    jobs.run_search_stage(spark, log, s, wide, manual)
+    assert spark.read.option("header", True).csv(wide.path("transition_counts")).count() == 3
+    assert not (tmp_path / "wide" / "transition_matrix").exists()
+
+
+SERVED = "user_id string, a string, b string, n long, updated_at timestamp_ntz"
+
+
+def _served(spark, data, stamp):
+    from datetime import datetime
+    return spark.createDataFrame([(*r, datetime(2024, stamp, 1)) for r in data], SERVED)
+
+
+def test_serving_merge_keeps_stamps_of_unchanged_rows(spark):
+    from viewer_insights.sinks import serving
+    old = _served(spark, [("same", "x", None, 1), ("moved", None, "x", 1), ("num", "x", "y", 1), ("left", "x", "y", 1), ("nul", None, None, None)], 1)
+    new = _served(spark, [("same", "x", None, 1), ("moved", "x", None, 1), ("num", "x", "y", 2), ("came", "x", "y", 1), ("nul", None, None, None)], 2)
+    merged = serving.merge_serving(old, new)
+    assert merged.columns == [*new.columns, "merge_status"]
+    got = {r["user_id"]: (r["merge_status"], r["updated_at"].month) for r in merged.collect()}
+    assert got == {"same": ("same", 1), "moved": ("changed", 2), "num": ("changed", 2), "came": ("new", 2), "left": ("gone", 1), "nul": ("same", 1)}
+    assert {r["merge_status"]: r["users"] for r in serving.merge_counts(merged).collect()} == {"new": 1, "changed": 2, "same": 2, "gone": 1}
+    assert {r["merge_status"]: r["users"] for r in serving.merge_counts(merged.limit(0)).collect()} == dict.fromkeys(("new", "changed", "same", "gone"), 0)
+    # a column that the stored table lacks makes every common row a changed one; one that only it has is ignored
+    assert {r[0]: r[-1] for r in serving.merge_serving(old.drop("b"), new).collect()}["same"] == "changed"
+    assert {r[0]: r[-1] for r in serving.merge_serving(old.withColumn("z", F.lit(1)), new).collect()}["same"] == "same"
+
+
+def test_a_refused_table_leaves_the_served_one(spark, tmp_path):
+    from viewer_insights.sinks import serving
+    path = str(tmp_path / "table")
+    first = _served(spark, [("u1", "x", "y", 1), ("u2", "x", "y", 2)], 1)
+    assert serving.publish(first, path).count() == 2
+    for bad in ([("u1", "x", "y", 1), ("u1", "x", "y", 2)], [(None, "x", "y", 1)]):
+        with pytest.raises(contract.ContractError):
+            serving.publish(_served(spark, bad, 2), path)
+        assert rows(spark.read.parquet(path), "user_id", "n") == [("u1", 1), ("u2", 2)]
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+    # the new table may be made from the served one
+    assert serving.publish(spark.read.parquet(path).withColumn("n", F.expr("n + 1")), path).agg(F.sum("n")).first()[0] == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+
+
+def test_a_second_run_stamps_only_what_changed(spark, tmp_path, search_dir):
+    s, v = plan.SearchSettings(rules=RULES), plan.ViewingSettings()
+    out = jobs.Outputs(str(tmp_path / "out"))
+    log = logs.read_search_log(spark, search_dir, {"t6": "202206", "t7": "202207"})
+    events = logs.read_viewing_log(spark, str(_json_logs(tmp_path) / "*.json"))
+    jobs.run_all(spark, log, events, s, v, out)
+    before = {r["user_id"]: r["updated_at"] for r in spark.read.parquet(out.path("customer_360")).collect()}
+    assert jobs.run_all(spark, log.where("user_id <> 'u3'"), events.where("app <> 'CHILD'"), s, v, out)["wide"] == 2
+    after = {r["user_id"]: r["updated_at"] for r in spark.read.parquet(out.path("customer_360")).collect()}
+    assert after["u1"] == before["u1"] and after["u2"] > before["u2"]
+    counts = spark.read.option("header", True).csv(out.path("serving_merge")).collect()
+    assert {r["merge_status"]: r["users"] for r in counts} == {"new": "0", "changed": "1", "same": "1", "gone": "1"}
+    assert rows(spark.read.option("header", True).csv(out.path("serving_gone")), "user_id") == [("u3",)]
+
+
+def test_viewing_rejects_are_told_apart(spark, tmp_path):
+    d = tmp_path / "log"
+    d.mkdir()
+    good = '{"_source":{"Contract":"u1","AppName":"VOD","TotalDuration":5}}'
+    lines = [good, '{"_source":{"Contract":"u2"', "no record", '{"_source":{"Contract":"u3","TotalDuration":"7"}}', "", '{"other":1}', "  "]
+    (d / "20220401.json").write_text("\n".join(lines), encoding="utf-8")
+    rejects = logs.read_viewing_rejects(spark, str(d / "*.json"))
+    assert rows(rejects, "file", "line", "reason") == sorted(
+        [("20220401.json", lines[1], "malformed"), ("20220401.json", lines[2], "malformed"), ("20220401.json", lines[3], "mistyped")], key=str)
+    assert rows(logs.viewing_reject_counts(rejects), "reason", "lines") == [("malformed", 2), ("mistyped", 1)]
+    assert logs.read_viewing_log(spark, str(d / "*.json")).where("app = 'VOD'").count() == 1

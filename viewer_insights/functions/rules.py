@@ -70,6 +70,8 @@ def rules_from_table(table: DataFrame, max_phrases: int = MAX_RULE_PHRASES):
     bounded = table.select("priority", "category", "phrase").limit(max_phrases + 1).collect()
     if len(bounded) > max_phrases:
         raise ValueError(f"rule table has more than {max_phrases} phrases")
+    if any(r["priority"] is None or r["category"] is None for r in bounded):
+        raise ValueError("a rule needs a priority and a category")
     rows = sorted(bounded, key=lambda r: (r["priority"], r["category"], r["phrase"] or ""))
     # neighbours in priority order share a branch; a category that comes again later is a branch of its own
     return [(category, tuple(r["phrase"] for r in group if r["phrase"])) for category, group in groupby(rows, key=lambda r: r["category"])]

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewer_insights import vocab
 from viewer_insights.functions import labels as L
 from viewer_insights.functions.diacritics import fold_diacritics_sql
 from viewer_insights.functions.rules import rule_case_sql
-from viewer_insights.functions.sqltext import case, ident, in_list, string
+from viewer_insights.functions.sqltext import ident, string
 from viewer_insights.functions.text import is_present_sql, normalize_keyword_sql, strip_all_whitespace_sql
 from viewer_insights.operators.search import DEFAULT_LABELS, cat_col, kw_col
 from viewer_insights.operators.sizing import DEFAULT_SALT_BUCKETS, salted_left_lookup
@@ -149,20 +149,52 @@ def transition_counts(master: DataFrame, labels: Sequence[str] = DEFAULT_LABELS)
     return master.groupBy(cat_col(a), cat_col(b)).agg(F.expr("count(1) AS users"))
 
 
-def transition_matrix(master: DataFrame, categories: Sequence[str], labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
-    """``transition_counts`` as a 0-filled pivot with one column per category.
+def positional_matrix(master: DataFrame, categories: Sequence[str], labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
+    """``transition_counts`` as a 0-filled pivot: ``category_<a>, c0, c1, ...``; column ``c<i>`` holds the
+    users whose month-B category is ``categories[i]``.
 
-    The value list is passed explicitly: the schema is fixed and Spark does
-    not run an extra job to discover the distinct values.  A month-B category
-    outside the list raises an error instead of losing its users.
+    The pivot runs over places in the list, so a category is a value everywhere and never a
+    column name: names that differ in case only, hold dots or backticks or equal the key
+    column do not matter.  The list is passed explicitly: the schema is fixed and Spark does
+    not run an extra job to discover the distinct values.  A month-B category outside the
+    list raises an error instead of losing its users.
     """
     a, b = labels
-    cb = ident(cat_col(b))
-    known = case([(in_list(cb, list(categories)), cb)],
-                 f"raise_error(concat('category outside the transition matrix: ', coalesce({cb}, 'NULL')))")
-    counts = transition_counts(master, labels).withColumn(cat_col(b), F.expr(known))
-    return (counts.groupBy(cat_col(a)).pivot(cat_col(b), list(categories)).agg(F.expr("sum(users)"))
-            .fillna(0, subset=list(categories)))
+    names = matrix_names(master.sparkSession, categories)  # one row per category of the list, MAX_CATEGORIES at most
+    unknown = "raise_error(concat('category outside the transition matrix: ', coalesce(_to, 'NULL')))"
+    counts = (
+        transition_counts(master, labels).toDF("_from", "_to", "_users")
+        .join(F.broadcast(names.select("position", F.col("category").alias("_name"))), F.expr("_to = _name"), "left")
+        .selectExpr("_from", "_users", f"CASE WHEN position IS NULL THEN {unknown} ELSE position END AS _at")
+    )
+    cells = [f"c{i}" for i in range(len(categories))]
+    wide = counts.groupBy("_from").pivot("_at", list(range(len(categories)))).agg(F.expr("sum(_users)")).toDF("_from", *cells)
+    return wide.selectExpr(f"_from AS {ident(cat_col(a))}", *(f"coalesce({c}, 0) AS {c}" for c in cells))
+
+
+def matrix_names(spark: SparkSession, categories: Sequence[str], key: str = "") -> DataFrame:
+    """Name table of a matrix: ``position, header, category``."""
+    rows = list(zip(range(len(categories)), matrix_headers(categories, key), categories))
+    return spark.createDataFrame(rows, "position INT, header STRING, category STRING")
+
+
+def matrix_headers(categories: Sequence[str], key: str = "") -> list[str]:
+    """One column header per category for files: the category itself, with a number added where
+    the same header (upper and lower case alike) or the key column's stands before it."""
+    taken, out = {key.lower()}, []
+    for c in categories:
+        header, n = c, 1
+        while header.lower() in taken:
+            n += 1
+            header = f"{c} ({n})"
+        taken.add(header.lower())
+        out.append(header)
+    return out
+
+
+def transition_matrix(master: DataFrame, categories: Sequence[str], labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
+    """``positional_matrix`` with one column named like each category."""
+    return positional_matrix(master, categories, labels).toDF(cat_col(labels[0]), *categories)
 
 
 class TooManyCategories(ValueError):

@@ -7,16 +7,21 @@ lost executor only costs the tasks of the running stage.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from viewer_insights import vocab
 from viewer_insights.operators import enrich, insights, search
 from viewer_insights.plans import customer360 as plan
-from viewer_insights.sinks import contract, files, jdbc
+from viewer_insights.session import scratch_tables, stage_table
+from viewer_insights.sinks import contract, files, jdbc, serving
 from viewer_insights.sinks.metrics import observed
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Outputs:
@@ -26,14 +31,14 @@ class Outputs:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def run_search_stage(spark: SparkSession, log: DataFrame, s: plan.SearchSettings, out: Outputs,
+def run_search_stage(spark: SparkSession, searches: DataFrame, s: plan.SearchSettings, out: Outputs,
                      manual: DataFrame | None = None) -> dict[str, int]:
     """users -> keyword categories -> rule dictionary + review queue -> search master -> matrix.
 
     Returns the numbers of users, mapped keywords, keywords to review and
     dictionary entries (rules and reviewed sheet together).
     """
-    users, users_obs = observed(plan.search_users(log, s), "users")
+    users, users_obs = observed(plan.search_users(searches, s), "users")
     files.write_parquet(users, out.path("users"))
     users = spark.read.parquet(out.path("users"))
 
@@ -53,12 +58,28 @@ def run_search_stage(spark: SparkSession, log: DataFrame, s: plan.SearchSettings
     files.write_parquet(enrich.enrich_labels(categorized, s.labels), out.path("search_master"))
     master = spark.read.parquet(out.path("search_master"))
     files.export_table(enrich.transition_counts(master, s.labels), out.path("transition_counts"))
-    matrix = enrich.transition_matrix(master, enrich.matrix_categories([c for c, _ in s.rules], manual), s.labels)
-    files.export_table(matrix, out.path("transition_matrix"))
+    export_matrix(master, s, out, manual)
     return {"users": users_obs.get["rows"], "mapped": mapped_obs.get["rows"], "review": review_obs.get["rows"],
             "dictionary": dictionary_obs.get["rows"]}
 
 
+def export_matrix(master: DataFrame, s: plan.SearchSettings, out: Outputs, manual: DataFrame | None = None) -> bool:
+    """The wide matrix, and the table of its column headers beside it.  With more categories than a
+    table should have columns only the long form (``transition_counts``, complete) is there, and
+    the job goes on."""
+    try:
+        categories = enrich.matrix_categories([c for c, _ in s.rules], manual)
+    except enrich.TooManyCategories as e:
+        log.warning("no wide transition matrix: %s; see transition_counts", e)
+        return False
+    key = enrich.cat_col(s.labels[0])
+    names = enrich.matrix_names(master.sparkSession, categories, key)
+    matrix = enrich.positional_matrix(master, categories, s.labels).toDF(key, *enrich.matrix_headers(categories, key))
+    files.export_table(matrix, out.path("transition_matrix"))
+    files.export_table(names, out.path("transition_matrix_names"))
+    return True
+
+
 def run_viewing_stage(spark: SparkSession, events: DataFrame, v: plan.ViewingSettings, out: Outputs) -> dict[str, int]:
     prof, obs = observed(plan.viewing_master(events, v), "viewers")
     files.write_parquet(prof, out.path("viewing_master"))
@@ -67,14 +88,24 @@ def run_viewing_stage(spark: SparkSession, events: DataFrame, v: plan.ViewingSet
 
 def run_merge_stage(spark: SparkSession, out: Outputs, s: plan.SearchSettings, v: plan.ViewingSettings,
                     how: str = "full", target: jdbc.JdbcTarget | None = None) -> dict[str, int]:
-    """Wide table -> contract -> Parquet, key check, CSV (+ JDBC)."""
+    """Wide table -> contract -> merge with the stored table -> key check -> Parquet, CSV (+ JDBC).
+
+    A table that breaks the key contract is refused before it is served: ``ContractError``,
+    and ``customer_360`` stays as it was.  Users whose row did not change keep their
+    ``updated_at``; ``serving_merge`` holds the numbers of new, changed, same and gone users
+    and ``serving_gone`` the users that left."""
     wide = plan.customer_360(spark.read.parquet(out.path("search_master")),
                              spark.read.parquet(out.path("viewing_master")), how)
     schema = contract.serving_schema(s.labels, v.categories, v.column_names)
-    aligned, obs = observed(contract.align_to_schema(wide, schema), "wide")
-    files.write_parquet(aligned, out.path("customer_360"))
-    aligned = spark.read.parquet(out.path("customer_360"))
-    contract.assert_key(aligned)
+    served = out.path("customer_360")
+    aligned = contract.align_to_schema(wide, schema)
+    before = spark.read.parquet(served) if serving.exists(spark, served) else aligned.limit(0)
+    with scratch_tables(spark):
+        merged = stage_table(serving.merge_serving(before, aligned), "serving-merge")
+        files.export_table(serving.merge_counts(merged), out.path("serving_merge"))
+        files.export_table(merged.where(F.col(serving.STATUS) == serving.GONE).select("user_id", "updated_at"), out.path("serving_gone"))
+        current, obs = observed(merged.where(F.col(serving.STATUS) != serving.GONE).drop(serving.STATUS), "wide")
+        aligned = serving.publish(current, served)
     files.export_table(aligned, out.path("customer_360_csv"))
     if target is not None:
         jdbc.publish(aligned, target)
@@ -105,10 +136,10 @@ def run_insights(spark: SparkSession, out: Outputs, s: plan.SearchSettings, v: p
     return list(reports)
 
 
-def run_all(spark: SparkSession, log: DataFrame, events: DataFrame, s: plan.SearchSettings,
+def run_all(spark: SparkSession, searches: DataFrame, events: DataFrame, s: plan.SearchSettings,
             v: plan.ViewingSettings, out: Outputs, manual: DataFrame | None = None, how: str = "full",
             target: jdbc.JdbcTarget | None = None) -> dict[str, int]:
-    counts = run_search_stage(spark, log, s, out, manual)
+    counts = run_search_stage(spark, searches, s, out, manual)
     counts.update(run_viewing_stage(spark, events, v, out))
     counts.update(run_merge_stage(spark, out, s, v, how, target))
     return counts

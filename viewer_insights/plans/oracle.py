@@ -12,6 +12,8 @@ from viewer_insights.sources import driver_tables as dt
 _CATS = dt.FIXTURE_CATEGORIES
 _TOTALS = [f'"Total_{c}"' for c in _CATS]
 _MATRIX = ["Warm", "Cool", "Hardware", "Unmapped", "Other", "No_Search"]
+_MATRIX_TYPED = ["Warm", "Cool", "Hardware", "Tools", "tools", "K.Drama", "back`tick", "category_t6", "warm", "c0", "user_id",
+                 "Unmapped", "Other", "No_Search"]
 _MATRIX_MANUAL = ["Warm", "Cool", "Hardware", "Garden", "Tools", "Unmapped", "Other", "No_Search"]
 
 
@@ -180,6 +182,24 @@ _STATUS_HEALTH = _q(
        CAST(sum({" + ".join(_TOTALS)}) AS BIGINT) AS "Total_Platform_Watch_Time"
 FROM served GROUP BY user_status""")
 
+_SERVED = ('most_search_t6, category_t6, most_search_t7, category_t7, user_status, trending_types, "Previous", '
+           + ", ".join(_TOTALS) + ', "MostWatch", "Taste", "Active"')
+_SERVING_MERGE = _q(
+    f""", numbered AS (SELECT *, CAST(user_id AS BIGINT) % 7 AS n FROM served),
+judged AS (
+  SELECT *, CASE WHEN n IN (0, 3) THEN 'new' WHEN n = 1 OR n = 2 AND user_status IS NOT NULL THEN 'changed' ELSE 'same' END AS merge_status
+  FROM numbered)
+SELECT user_id, {_SERVED}, CASE merge_status WHEN 'same' THEN '2024-01-01 00:00:00' ELSE '2024-02-01 00:00:00' END AS updated_at, merge_status
+FROM judged
+UNION ALL
+SELECT 'left-' || user_id, {", ".join("NULL" for _ in _SERVED.split(", "))}, '2024-01-01 00:00:00', 'gone' FROM judged WHERE n = 3""")
+
+_REJECTS = """SELECT CAST(ts AS DATE) AS "date",
+       CASE event_id % 101 WHEN 0 THEN '{"_source":{"Contract":"' || event_id || '","AppName":"' || event_type
+            WHEN 1 THEN '{"_source":{"Contract":"' || event_id || '","TotalDuration":"' || event_id || '"}}'
+            WHEN 2 THEN 'not a record ' || event_id END AS line,
+       CASE event_id % 101 WHEN 0 THEN 'malformed' WHEN 1 THEN 'mistyped' WHEN 2 THEN 'malformed' END AS reason FROM events"""
+
 ORACLE_SQL = {
     "normalize_log_time": """SELECT o_orderkey,
        strftime(o_orderdate + to_seconds((o_orderkey * 7919) % 86400), '%Y-%m-%d %H:%M:%S') AS ts FROM orders""",
@@ -235,6 +255,28 @@ FROM folded"""),
     "transition_counts": _q("SELECT category_t6, category_t7, count(*) AS users FROM mcategorized GROUP BY ALL"),
     "transition_matrix_manual": _q(
         f"SELECT category_t6, {_cells(_MATRIX_MANUAL)} FROM mcategorized GROUP BY category_t6"),
+    "transition_matrix_names": _q(
+        f""", typed_names AS (
+  SELECT trim(lower(p_name)) AS keyword,
+         min(CASE p_partkey % 8 WHEN 0 THEN 'Tools' WHEN 1 THEN 'tools' WHEN 2 THEN 'K.Drama' WHEN 3 THEN 'back`tick'
+             WHEN 4 THEN 'category_t6' WHEN 5 THEN 'warm' WHEN 6 THEN 'c0' ELSE 'user_id' END) AS category
+  FROM part WHERE trim(p_name) <> '' GROUP BY 1),
+cats AS (
+  SELECT CASE WHEN u.most_search_t6 IS NULL THEN 'No_Search' ELSE COALESCE(a.category, d6.category, 'Other') END AS category_t6,
+         CASE WHEN u.most_search_t7 IS NULL THEN 'No_Search' ELSE COALESCE(b.category, d7.category, 'Other') END AS category_t7
+  FROM users u
+  LEFT JOIN typed_names a ON a.keyword = u.most_search_t6 LEFT JOIN dict d6 ON d6.keyword = u.most_search_t6
+  LEFT JOIN typed_names b ON b.keyword = u.most_search_t7 LEFT JOIN dict d7 ON d7.keyword = u.most_search_t7)
+SELECT category_t6, {", ".join(
+            f"CAST(SUM(CASE WHEN category_t7 = '{c}' THEN 1 ELSE 0 END) AS BIGINT) AS c{i}" for i, c in enumerate(_MATRIX_TYPED))}
+FROM cats GROUP BY category_t6"""),
+    "sheet_by_header": _q("SELECT keyword, lower(keyword) AS family, category FROM manual"),
+    "serving_merge": _SERVING_MERGE,
+    "serving_merge_counts": f"""SELECT s.status AS merge_status, count(m.merge_status) AS users
+FROM (VALUES ('new'), ('changed'), ('same'), ('gone')) s(status)
+LEFT JOIN ({_SERVING_MERGE}) m ON m.merge_status = s.status GROUP BY s.status""",
+    "read_viewing_rejects": f"SELECT * FROM ({_REJECTS}) r WHERE reason IS NOT NULL",
+    "viewing_reject_counts": f'SELECT "date", reason, count(*) AS lines FROM ({_REJECTS}) r WHERE reason IS NOT NULL GROUP BY 1, 2',
     "map_app_category": _q('SELECT user_id, app, duration, "date", "Type" FROM typed'),
     "clean_viewing_log": _q("SELECT * FROM vclean"),
     "active_ratio": _q('SELECT user_id, "Active" FROM active'),

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from viewer_insights import vocab
 from viewer_insights.functions.rules import SAMPLE_RULES
+from viewer_insights.functions.sqltext import ident, string
 from viewer_insights.operators import enrich, insights, merge, search, viewing
 from viewer_insights.plans import customer360 as plan
 from viewer_insights.session import application, is_live, scratch_path
-from viewer_insights.sinks import contract, files
+from viewer_insights.sinks import contract, files, serving
 from viewer_insights.sources import driver_tables as dt
 from viewer_insights.sources import dictionary, logs
 from viewer_insights.streaming import viewing_stream
@@ -352,6 +353,55 @@ def q_transition_matrix_manual(spark, d):
     return enrich.transition_matrix(master, enrich.matrix_categories([c for c, _ in SEARCH.rules], manual), LABELS)
 
 
+# Categories as people type them: differing in case only, with a dot or a backtick, named like a column.
+TYPED_NAMES = ("Tools", "tools", "K.Drama", "back`tick", "category_t6", "warm", "c0", "user_id")
+TYPED_CATEGORIES = enrich.matrix_categories([*(c for c, _ in SAMPLE_RULES), *TYPED_NAMES])
+
+
+def q_transition_matrix_names(spark, d):
+    """The complete matrix, by place, with reviewed categories that can't be told apart as column names."""
+    names = ", ".join(string(c) for c in TYPED_NAMES)
+    manual = dt.table(spark, d, "part").selectExpr("p_name AS keyword", f"element_at(array({names}), CAST(p_partkey % 8 AS INT) + 1) AS category")
+    master = plan.search_master_from_users(_users(spark, d), SEARCH, manual)
+    return enrich.positional_matrix(master, TYPED_CATEGORIES, LABELS)
+
+
+def q_sheet_by_header(spark, d):
+    """The reviewed sheet with its columns in another order and further ones between them."""
+    def write(root):
+        files.write_csv(_manual(spark, d).selectExpr(
+            f"category AS {ident(dictionary.SHEET_CATEGORY)}", "length(keyword) AS n", f"keyword AS {ident(dictionary.SHEET_KEYWORD)}",
+            "category AS note", f"lower(keyword) AS {ident(dictionary.SHEET_FAMILY)}"), root)
+
+    return dictionary.read_manual_dictionary(spark, _raw_copy(spark, d, "typed-sheet", write))
+
+
+def q_serving_merge(spark, d):
+    """The served table merged with that of a month before, in which some users miss, differ or are since gone."""
+    served = serving_table(spark, d).withColumn("updated_at", F.expr("TIMESTAMP_NTZ '2024-02-01 00:00:00'"))
+    n = F.expr("CAST(user_id AS BIGINT) % 7")
+    changed = F.when(n == 1, F.col(TOTALS[0]) + 1).otherwise(F.col(TOTALS[0]))
+    cleared = F.when(n == 2, F.lit(None)).otherwise(F.col("user_status"))
+    old = served.where(n != 0).withColumns({
+        "user_id": F.expr("CASE WHEN CAST(user_id AS BIGINT) % 7 = 3 THEN concat('left-', user_id) ELSE user_id END"),
+        TOTALS[0]: changed, "user_status": cleared, "updated_at": F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")})
+    return serving.merge_serving(old, served).withColumn("updated_at", _fmt_ts("updated_at"))
+
+
+def q_serving_merge_counts(spark, d):
+    return serving.merge_counts(q_serving_merge(spark, d))
+
+
+def q_read_viewing_rejects(spark, d):
+    """The lines of a dirty viewing log that can't be read as declared."""
+    root = _raw_copy(spark, d, "dirty-viewing-log", lambda r: dt.dirty_viewing_lines(spark, d).write.partitionBy("day").text(r))
+    return logs.read_viewing_rejects(spark, f"{root}/day=*/*.txt").select("date", "line", "reason")
+
+
+def q_viewing_reject_counts(spark, d):
+    return logs.viewing_reject_counts(q_read_viewing_rejects(spark, d))
+
+
 def q_map_app_category(spark, d):
     return viewing.map_app_category(dt.viewing_events(spark, d), VIEW.app_map)
 
@@ -480,6 +530,12 @@ QUERIES = {
     "transition_matrix": q_transition_matrix,
     "transition_counts": q_transition_counts,
     "transition_matrix_manual": q_transition_matrix_manual,
+    "transition_matrix_names": q_transition_matrix_names,
+    "sheet_by_header": q_sheet_by_header,
+    "serving_merge": q_serving_merge,
+    "serving_merge_counts": q_serving_merge_counts,
+    "read_viewing_rejects": q_read_viewing_rejects,
+    "viewing_reject_counts": q_viewing_reject_counts,
     "map_app_category": q_map_app_category,
     "clean_viewing_log": q_clean_viewing_log,
     "active_ratio": q_active_ratio,

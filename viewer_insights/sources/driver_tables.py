@@ -118,6 +118,18 @@ def raw_viewing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+VIEWING_LINE_SQL = """CASE event_id % 101
+  WHEN 0 THEN concat('{"_source":{"Contract":"', event_id, '","AppName":"', event_type)
+  WHEN 1 THEN concat('{"_source":{"Contract":"', event_id, '","TotalDuration":"', event_id, '"}}')
+  WHEN 2 THEN concat('not a record ', event_id)
+  ELSE concat('{"_source":{"Contract":"', user_id, '","AppName":"', event_type, '","TotalDuration":', CAST(floor(value) AS BIGINT), '}}') END"""
+
+
+def dirty_viewing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as lines of JSON day files, some of them cut off, mistyped or no record: ``value, day``."""
+    return table(spark, sf_dir, "events").selectExpr(f"{VIEWING_LINE_SQL} AS value", "date_format(ts, 'yyyyMMdd') AS day")
+
+
 def viewing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id STRING, app STRING, duration BIGINT, date DATE`` - the flattened
     viewing-log shape (``Contract, AppName, TotalDuration`` + file date)."""

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from viewer_insights import vocab
@@ -94,3 +95,29 @@ def read_viewing_log(spark: SparkSession, path_glob: str) -> DataFrame:
     becomes an all-NULL row (PERMISSIVE)."""
     raw = spark.read.schema(VIEWING_SCHEMA).option("mode", "PERMISSIVE").json(path_glob)
     return flatten_viewing(raw)
+
+
+#: Column of the viewing log's reader that holds a line Spark could not read as declared.
+CORRUPT = "_corrupt_record"
+
+
+def read_viewing_rejects(spark: SparkSession, path_glob: str) -> DataFrame:
+    """The lines that ``read_viewing_log`` can't read as declared: ``file, date, line, reason``.
+
+    ``malformed``: no JSON record; ``mistyped``: a record with a field of another type (the
+    readable fields stay in the log, the others are NULL there).  A line that reads as declared
+    is no reject, whatever its values.
+    """
+    schema = StructType([*VIEWING_SCHEMA.fields, StructField(CORRUPT, StringType(), True)])
+    # read as text: the JSON reader refuses to return corrupt records alone
+    lines = spark.read.text(path_glob).selectExpr("value", "_metadata.file_name AS file", f"{file_date_sql()} AS date")
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # a record parses as a variant whatever the types of its fields
+    reason = "CASE WHEN try_parse_json(value) IS NULL THEN 'malformed' ELSE 'mistyped' END"
+    return (lines.where("trim(value) <> ''").withColumn("_read", parsed).where(f"_read.{CORRUPT} IS NOT NULL")
+            .selectExpr("file", "date", "value AS line", f"{reason} AS reason"))
+
+
+def viewing_reject_counts(rejects: DataFrame) -> DataFrame:
+    """Rejected lines per day and reason: ``date, reason, lines``."""
+    return rejects.groupBy("date", "reason").agg(F.count(F.lit(1)).alias("lines"))
