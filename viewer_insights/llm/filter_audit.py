@@ -24,6 +24,7 @@ long one is a block of its own.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -57,14 +58,23 @@ _SHARD = f"block long, {_ROWS}, indptr binary, terms binary, counts binary"
 @dataclass(frozen=True)
 class DocumentTermMatrix:
     """``dictionary``: ``word string, term long``, one row per distinct word.  ``shards``: one CSR shard per
-    row, ``block, rows, indptr, terms, counts``; the last three are packed little-endian numbers of 64, 64
-    and 32 bits.  Row ``i`` has ``counts[j]`` occurrences of ``terms[j]`` for ``j`` from ``indptr[i]`` to
+    row, ``block, rows, indptr, terms, counts``; the last three are packed numbers (``numbers_of``) of kinds
+    ``<i8``, ``<i8`` and ``<i4``.  Row ``i`` has ``counts[j]`` occurrences of ``terms[j]`` for ``j`` from ``indptr[i]`` to
     ``indptr[i + 1]``."""
 
     dictionary: DataFrame
     shards: DataFrame
 
 
+def _pack(raw: bytes) -> bytes:
+    return zlib.compress(raw, 1)
+
+
+def numbers_of(packed: bytes, kind: str) -> np.ndarray:
+    """The numbers of a packed column."""
+    return np.frombuffer(zlib.decompress(packed), kind)
+
+
 class _Block:
     """CSR rows under construction, with word numbers of their own."""
 
@@ -91,9 +101,9 @@ class _Block:
         place[order] = np.arange(len(words))
         names, starts = np.unique(buckets[order], return_index=True)
         ends = [*starts[1:].tolist(), len(words)]
-        lists = [{"bucket": k, "words": b"\n".join(map(words.__getitem__, order[low:end].tolist()))}
+        lists = [{"bucket": k, "words": _pack(b"\n".join(map(words.__getitem__, order[low:end].tolist())))}
                  for k, low, end in zip(names.tolist(), starts.tolist(), ends)]
-        packed = [np.array(self.indptr, "<i8").tobytes(), place[np.concatenate(self.indices)].tobytes(), np.concatenate(self.counts).tobytes()]
+        packed = [_pack(x.tobytes()) for x in (np.array(self.indptr, "<i8"), place[np.concatenate(self.indices)], np.concatenate(self.counts))]
         row = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()), ("chars", pa.int64()),
                          ("capitals", pa.int64()), ("marked", pa.bool_())])
         return pa.RecordBatch.from_arrays(
@@ -139,10 +149,10 @@ def number_words(blocks: DataFrame, n_buckets: int) -> DataFrame:
             for bucket, block, words in zip(*(c.to_pylist() for c in b.columns)):
                 if bucket != current:
                     current, numbers = bucket, {}
-                words, before = words.split(b"\n"), len(numbers)
+                words, before = zlib.decompress(words).split(b"\n"), len(numbers)
                 own = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), "<i8", len(words))
                 fresh = [w for w, k in zip(words, own.tolist()) if k >= before]
-                out.append((bucket, block, (own * n_buckets + bucket).tobytes(), before, b"\n".join(fresh)))
+                out.append((bucket, block, _pack((own * n_buckets + bucket).tobytes()), before, _pack(b"\n".join(fresh))))
             kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                              ["bucket", "block", "terms", "before", "fresh"])
@@ -152,26 +162,38 @@ def number_words(blocks: DataFrame, n_buckets: int) -> DataFrame:
     return stage_table(dealt.mapInArrow(run, "bucket int, block long, terms binary, before long, fresh binary"), "terms")
 
 
+def global_dictionary(numbered: DataFrame, n_buckets: int) -> DataFrame:
+    """``word, term`` of every distinct word, from the lists of words that occurred for the first time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1):
+            bucket, before, fresh = (c[0].as_py() for c in b.columns)
+            words = zlib.decompress(fresh).split(b"\n")
+            if words != [b""]:
+                terms = (before + np.arange(len(words))) * n_buckets + bucket
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(terms)], ["word", "term"])
+
+    return numbered.select("bucket", "before", "fresh").mapInArrow(run, "word string, term long")
+
+
 def document_term_matrix(docs: DataFrame, part_col: str = "lang") -> DocumentTermMatrix:
     """The word counts of all documents under one global dictionary."""
     n_buckets = BUCKETS_PER_TASK * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = csr_blocks(docs, n_buckets, part_col)
     numbered = number_words(blocks, n_buckets)
-    dictionary = (numbered.where("length(fresh) > 0")
-                  .select("bucket", "before", F.posexplode(F.split(F.col("fresh").cast("string"), "\n")).alias("at", "word"))
-                  .select("word", F.expr(f"(before + at) * {n_buckets} + bucket").alias("term")))
     # the numbers of a block's words, in the order of its buckets; a block is of bounded size
     terms = numbered.groupBy("block").agg(F.expr("transform(array_sort(collect_list(struct(bucket, terms))), x -> x.terms)").alias("_terms"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1):
-            numbers = np.frombuffer(b"".join(b.column("_terms").flatten().to_pylist()), "<i8")
-            own = np.frombuffer(b.column("indices")[0].as_py(), "<i4")
+            lists = [numbers_of(x, "<i8") for x in b.column("_terms").flatten().to_pylist()]
+            numbers = np.concatenate([np.zeros(0, "<i8"), *lists])
+            own = numbers_of(b.column("indices")[0].as_py(), "<i4")
             yield pa.RecordBatch.from_arrays([b.column("block"), b.column("rows"), b.column("indptr"),
-                                              pa.array([numbers[own].tobytes()], pa.binary()), b.column("counts")],
+                                              pa.array([_pack(numbers[own].tobytes())], pa.binary()), b.column("counts")],
                                              ["block", "rows", "indptr", "terms", "counts"])
 
-    return DocumentTermMatrix(dictionary, blocks.drop("lists").join(terms, "block", "left").mapInArrow(run, _SHARD))
+    return DocumentTermMatrix(global_dictionary(numbered, n_buckets), blocks.drop("lists").join(terms, "block", "left").mapInArrow(run, _SHARD))
 
 
 def row_statistics(shards: DataFrame) -> DataFrame:
@@ -179,7 +201,7 @@ def row_statistics(shards: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1):
-            indptr, counts = (np.frombuffer(b.column(c)[0].as_py(), k) for c, k in (("indptr", "<i8"), ("counts", "<i4")))
+            indptr, counts = (numbers_of(b.column(c)[0].as_py(), k) for c, k in (("indptr", "<i8"), ("counts", "<i4")))
             sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[indptr]
             rows = b.column("rows").flatten()
             yield pa.RecordBatch.from_arrays([*rows.flatten(), pa.array(np.diff(sums)), pa.array(np.diff(indptr))],
