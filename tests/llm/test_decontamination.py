@@ -79,3 +79,28 @@ def test_punctuation_case_and_line_breaks_do_not_hide_a_passage(spark, docs):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta")], "item_id long, text string")
     rows = [(1, "x ALPHA, beta!\n\"gamma\" delta### epsilon|zeta eta theta. y"), (2, "alpha beta gamma"), (3, "é Alpha--Beta gamma delta epsilon zeta eta")]
     assert {r["doc_id"] for r in d.find_matches(docs(rows), bench).collect()} == {1, 3}
+
+
+def test_decomposed_letters_do_not_hide_a_passage(spark, docs):
+    import unicodedata
+
+    french = "l’été déjà passé à côté d’une forêt où s’élève la fenêtre d’un château très âgé près du théâtre"
+    hindi = "यह एक छोटा सा परीक्षण वाक्य है जिसे दस्तावेज़ में छिपाया गया है"
+    assert len(d.words_of(hindi)) == len(hindi.split())
+    forms = [(k, f"vorher {unicodedata.normalize(form, t)} nachher") for k, (form, t) in enumerate(
+        (form, t) for form in ("NFC", "NFD") for t in (french, hindi))]
+    for form in ("NFC", "NFD"):
+        items = spark.createDataFrame([(i, unicodedata.normalize(form, t)) for i, t in enumerate((french, hindi))], "item_id long, text string")
+        got = {(r["doc_id"], r["item_id"], r["edits"]) for r in d.find_matches(docs(forms), items).collect()}
+        assert got == {(0, 0, 0), (1, 1, 0), (2, 0, 0), (3, 1, 0)}
+
+
+def test_equal_items_are_one_entry_and_no_block_is_empty(spark, docs):
+    text = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(i, text) for i in range(3000)] + [(None, text), (9000, "other words of an item here now")],
+                                  "item_id long, text string")
+    blocks = list(d.item_blocks(items, 50))
+    assert all(blocks) and sum(map(len, blocks)) == 2
+    found = d.find_matches(docs([(1, f"x {text} y"), (2, "nothing")]), items, block_bytes=50).collect()
+    assert len(found) == 3001 and {r["doc_id"] for r in found} == {1} and {r["item_id"] for r in found} == {*range(3000), None}
+    assert [r["doc_id"] for r in d.drop_contaminated(docs([(1, f"x {text} y"), (2, "nothing")]), items, block_bytes=50).collect()] == [2]

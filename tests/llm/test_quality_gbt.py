@@ -71,3 +71,27 @@ def test_rejected_documents_go(docs, labels):
     df = docs(rows)
     kept = {r["doc_id"] for r in q.keep_good(df, labels(y)).collect()}
     assert kept == {r["doc_id"] for r in q.classify(df, labels(y)).collect() if r["predicted"] == 1}
+
+
+def test_training_ids_are_those_of_smallest_hash_and_few_rows_reach_the_driver(spark):
+    from pyspark.sql import functions as F
+
+    labels = spark.range(5000).selectExpr("id AS doc_id", "id % 2 AS quality", "0 AS toxic").union(
+        spark.range(2000).selectExpr("7 AS doc_id", "1 AS quality", "0 AS toxic"))
+    free = spark.range(5000).where(~q.held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id").limit(100)
+    got = q.training_ids(labels, 100)
+    assert {r["_id"] for r in got.collect()} == {r["id"] for r in free.collect()}
+    assert q.training_ids(labels, 10_000).count() == spark.range(5000).where(~q.held_out(F.col("id"))).count()
+
+
+def test_repeated_documents_are_one_training_row(docs, labels):
+    rows = [(i, f"good words number {i} of a text") for i in range(30)] + [(3, "a b c")] * 50
+    seen = []
+    real = q.fit
+    try:
+        q.fit = lambda x, y, *a, **k: (seen.append(len(y)), real(x, y, *a, **k))[1]
+        q.train(docs(rows), labels([(i, i % 2) for i in range(30)]))
+    finally:
+        q.fit = real
+    from zlib import crc32
+    assert seen == [sum(crc32(str(i).encode()) % 5 != 0 for i in range(30))]

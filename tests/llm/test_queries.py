@@ -88,3 +88,27 @@ def test_classifier_on_the_held_out_fold(spark):
     assert len(held) > 60 and sum(a == b for a, b in held) >= 0.95 * len(held)
     bad = [p for q, p in held if q == 0]
     assert len(bad) > 5 and sum(bad) <= 0.2 * len(bad)
+
+
+def test_all_queries_run_on_workers_without_this_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})  # the driver alone
+import __spark_entry__ as entry
+from viewer_insights.session import drop_scratch, local_session
+spark = local_session(cores=4, shuffle_partitions=4)
+for name, query in entry.queries().items():
+    if name == "pipeline" or name.startswith("op"):
+        query(spark, {SF!r}).write.format("noop").mode("overwrite").save()
+        print("ran", name, flush=True)
+drop_scratch(spark)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert done.stdout.count("ran ") == 14

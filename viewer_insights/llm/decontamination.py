@@ -6,12 +6,13 @@ piece unchanged, so exact piece hits find every candidate; around each hit Myers
 bit-parallel algorithm (one bit per word of the item) gives the edit distance between
 the item and the best passage of the document.
 
-Words are runs of letters, digits, marks and connectors in lower case: punctuation,
-symbols and line breaks do not hide a passage.
+Words are runs of letters, digits, marks and connectors in lower case, in composed form
+(NFC): punctuation, symbols, line breaks and decomposed letters do not hide a passage.
 
-The test items are a fixed query set.  They are broadcast in blocks of at most
-``block_bytes`` of text, so what is sent at once does not grow with the benchmark; each
-block is held against all documents.  Documents are never shuffled.
+The test items are a fixed query set.  Their distinct texts are broadcast in blocks of
+about ``block_bytes`` at most, so what is sent at once does not grow with the benchmark;
+each block is held against all documents.  Documents are never shuffled.  Items that share
+a text are one entry; their ids are joined to its matches.
 
 Defined cases: null or wordless texts match nothing; items of fewer than five words
 have no error budget and match whole only; repeated items and repeated documents each
@@ -21,12 +22,13 @@ columns are ignored; long texts are read whole, in pieces of one Arrow batch.
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ from viewer_insights.llm.common import keep_rows, map_batches, texts
 
 SIMILARITY = 0.8
 BLOCK_BYTES = 8 << 20
-_BREAKS = re.compile(r"[^\w\s]+")
+_BREAKS = regex.compile(r"[^\w\s]+")  # \w of this module holds marks, that of re does not
 #: ASCII punctuation becomes a space, capitals become small letters.
 _ASCII = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~ABCDEFGHIJKLMNOPQRSTUVWXYZ",
                          b" " * 31 + b"abcdefghijklmnopqrstuvwxyz")
@@ -43,7 +45,7 @@ _ASCII = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~ABCDEFGHIJKLMNOPQRST
 def words_of(text: str) -> list[bytes]:
     """Lower-case words without punctuation and symbols."""
     if not text.isascii():
-        text = _BREAKS.sub(" ", text.lower())
+        text = _BREAKS.sub(" ", unicodedata.normalize("NFC", text.lower()))
         return " ".join(text.split()).encode("utf-8", "replace").split()
     return text.encode().translate(_ASCII).split()
 
@@ -83,9 +85,9 @@ def myers(pattern: list[int], passage: list[int]) -> tuple[int, int]:
 class Matcher:
     """Exact piece index of a block of items ``(item_id, text)``, and the search with it."""
 
-    def __init__(self, items: list[tuple[int | None, str]], similarity: float = SIMILARITY):
+    def __init__(self, items: list[tuple[int | str | None, str]], similarity: float = SIMILARITY):
         self.vocabulary: dict[bytes, int] = {}
-        self.items: list[tuple[int | None, list[int], int]] = []
+        self.items: list[tuple[int | str | None, list[int], int]] = []
         by_size: dict[int, dict[int, list[tuple[int, int]]]] = {}
         for item_id, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
@@ -113,7 +115,7 @@ class Matcher:
             out ^= out >> np.uint64(29)
         return out * np.uint64(0xBF58476D1CE4E5B9)
 
-    def search(self, docs: list[str], chars: int = 4 << 20) -> list[tuple[int, int | None, int, int, int]]:
+    def search(self, docs: list[str], chars: int = 4 << 20) -> list[tuple[int, int | str | None, int, int, int]]:
         """Matches in a batch: (document's place, item_id, edits, item's words, end word); the
         best passage for each item of a document.  About ``chars`` characters are held at once."""
         out, first, held = [], 0, 0
@@ -124,7 +126,7 @@ class Matcher:
                 first, held = i + 1, 0
         return out
 
-    def _search(self, docs: list[str]) -> list[tuple[int, int | None, int, int, int]]:
+    def _search(self, docs: list[str]) -> list[tuple[int, int | str | None, int, int, int]]:
         get = self.vocabulary.get
         parts = [np.fromiter(map(get, w, repeat(0)), np.uint64, len(w)) for w in map(words_of, docs)]
         lengths = np.array([len(p) for p in parts], np.int64)
@@ -169,45 +171,64 @@ def _merged(windows: list[tuple[int, int]], length: int) -> Iterator[tuple[int,
         yield at
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int | None, str]]]:
-    """The test items in blocks of about ``block_bytes`` of text at most."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("i"), F.col("text").cast("string").alias("t")).where("t is not null")
+def item_texts(benchmark: DataFrame) -> DataFrame:
+    """``item_id, t, entry``: the items that have a text; ``entry`` is the digest of the text."""
+    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("t")).where("t is not null")
+    return rows.withColumn("entry", F.sha2("t", 256))
+
+
+def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
+    """The distinct test texts as ``(entry, text)``, in blocks of about ``block_bytes`` of text at most; none is empty."""
+    rows = item_texts(benchmark).select("entry", "t").distinct()
     total = rows.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n = -(-2 * total // block_bytes) if total > block_bytes else 1
     for k in range(n):
-        block = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) if n > 1 else rows
-        yield [(r["i"], r["t"]) for r in block.collect()]
+        block = rows.where(F.pmod(F.xxhash64("entry"), F.lit(n)) == k) if n > 1 else rows
+        items = sorted((r["entry"], r["t"]) for r in block.collect())
+        if items:
+            yield items
+
+
+def _ship(docs: DataFrame, matcher: Matcher):
+    """Broadcast a matcher as plain data: broadcast values go by name, and workers need not have this package."""
+    return docs.sparkSession.sparkContext.broadcast(vars(matcher))
+
+
+def _matcher(fields: dict) -> Matcher:
+    out = Matcher.__new__(Matcher)
+    vars(out).update(fields)
+    return out
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Pairs within the budget: ``doc_id, item_id, edits, item_words, end_word``."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    schema = "doc_id long, item_id long, edits int, item_words int, end_word long"
-    out = None
+    schema = "doc_id long, entry string, edits int, item_words int, end_word long"
+    out = docs.sparkSession.createDataFrame([], schema)
     for items in item_blocks(benchmark, block_bytes):
-        matcher = docs.sparkSession.sparkContext.broadcast(Matcher(items, similarity))
+        held = _ship(docs, Matcher(items, similarity))
 
-        def batch(b: pa.RecordBatch, matcher=matcher) -> dict:
-            got = matcher.value.search(texts(b.column(1)))
+        def batch(b: pa.RecordBatch, held=held) -> dict:
+            got = _matcher(held.value).search(texts(b.column(1)))
             cols = list(zip(*got)) or [[]] * 5
-            return {"doc_id": b.column(0).take(pa.array(cols[0], pa.int64())), "item_id": pa.array(cols[1], pa.int64()),
+            return {"doc_id": b.column(0).take(pa.array(cols[0], pa.int64())), "entry": pa.array(cols[1], pa.string()),
                     "edits": pa.array(cols[2], pa.int32()), "item_words": pa.array(cols[3], pa.int32()),
                     "end_word": pa.array(cols[4], pa.int64())}
 
-        found = map_batches(rows, batch, schema)
-        out = found if out is None else out.union(found)
-    return out
+        out = out.union(map_batches(rows, batch, schema))
+    ids = item_texts(benchmark).select("item_id", F.col("entry").alias("_entry"))
+    return out.join(ids, F.col("entry") == F.col("_entry")).select("doc_id", "item_id", "edits", "item_words", "end_word")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` (all columns) that hold no test item within its budget."""
     for items in item_blocks(benchmark, block_bytes):
-        matcher = docs.sparkSession.sparkContext.broadcast(Matcher(items, similarity))
+        held = _ship(docs, Matcher(items, similarity))
 
-        def clean(ts: list[str], matcher=matcher) -> list[bool]:
-            hit = {m[0] for m in matcher.value.search(ts)}
+        def clean(ts: list[str], held=held) -> list[bool]:
+            hit = {m[0] for m in _matcher(held.value).search(ts)}
             return [i not in hit for i in range(len(ts))]
 
         docs = keep_rows(docs, "text", clean)

@@ -3,10 +3,13 @@
 The trees are complete binary trees flattened into arrays (feature, threshold, leaf
 value); a batch of documents walks all of them with numpy indexing.  They are fitted
 on the driver on at most ``max_train_rows`` labelled documents (those of smallest id
-hash); statistics and scores cover every document.
+hash); statistics and scores cover every document.  What the driver gathers is that sample
+alone: a cut of the hash from the number of labelled ids lets about as many ids pass as are
+wanted before they are sorted, and rows that share an id meet map-side.
 
 Defined cases: a null text is the empty text (all statistics zero, scored like any
-other); labels of a repeated doc_id are averaged (1 from one half up); a null quality
+other); labels of a repeated doc_id are averaged (1 from one half up), and of its documents
+the one with the smallest statistics is fitted; a null quality
 or a label without document is ignored; repeated rows each get their row; without any
 usable label every score is 0.5; with one class only, the score leans to that class;
 an empty table gives an empty result; other columns are ignored.
@@ -136,12 +139,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS) -> Trees:
-    """Fit on at most ``max_train_rows`` labelled documents outside the held-out fold."""
+def training_ids(labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
+    """``_id, _y``: the labelled ids outside the held-out fold with the smallest hashes, ``max_train_rows`` at most."""
     ids = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("double").alias("_y"))
            .where(F.col("_id").isNotNull() & F.col("_y").isNotNull() & ~held_out(F.col("_id")))
-           .groupBy("_id").agg(F.avg("_y").alias("_y"))
-           .orderBy(F.xxhash64("_id"), "_id").limit(max_train_rows))  # bounded: may be broadcast
+           .groupBy("_id").agg(F.avg("_y").alias("_y")).withColumn("_hash", F.xxhash64("_id")))
+    n, spare = ids.count(), 1.2
+    passing = ids
+    while spare * max_train_rows < n:  # hashes are spread evenly from -2**63 on
+        passing = ids.where(F.col("_hash") < F.lit(int(-(2**63) + 2.0**64 * spare * max_train_rows / n)))
+        if passing.count() >= max_train_rows:
+            break
+        passing, spare = ids, spare * 2
+    return passing.orderBy("_hash", "_id").limit(max_train_rows).select("_id", "_y")
+
+
+def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS) -> Trees:
+    """Fit on at most ``max_train_rows`` labelled documents outside the held-out fold."""
+    ids = training_ids(labels, max_train_rows)  # bounded: may be broadcast
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(ids), F.col("doc_id") == F.col("_id"))
 
@@ -150,7 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_RO
                 "x": pa.array([statistics(t) for t in texts(b.column(2))], pa.list_(pa.float64()))}
 
     sample = (map_batches(rows.select("_id", "_y", "text"), batch, "_id long, _y double, x array<double>")
-              .orderBy(F.xxhash64("_id"), "_id", "x").limit(max_train_rows).collect())
+              .groupBy("_id").agg(F.first("_y").alias("_y"), F.min("x").alias("x"))
+              .orderBy(F.xxhash64("_id"), "_id").collect())  # one row per training id
     x = np.array([r["x"] for r in sample], float).reshape(len(sample), len(FEATURES))
     return fit(x, np.array([float(r["_y"] >= 0.5) for r in sample]))
 
@@ -159,13 +175,18 @@ def _scores(model: Trees, batch_texts: list[str]) -> np.ndarray:
     return model.score(np.array([statistics(t) for t in batch_texts], float).reshape(len(batch_texts), len(FEATURES)))
 
 
+def _ship(docs: DataFrame, model: Trees):
+    """Broadcast a model as plain arrays: broadcast values go by name, and workers need not have this package."""
+    return docs.sparkSession.sparkContext.broadcast((model.base, model.feature, model.threshold, model.leaf))
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
              max_train_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, score, predicted``."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_train_rows))
+    model = _ship(docs, train(docs, labels, max_train_rows))
 
     def batch(b: pa.RecordBatch) -> dict:
-        s = _scores(model.value, texts(b.column(1)))
+        s = _scores(Trees(*model.value), texts(b.column(1)))
         return {"doc_id": b.column(0), "score": pa.array(s), "predicted": pa.array((s >= threshold).astype(np.int32))}
 
     scored = map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), batch,
@@ -176,5 +197,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
               max_train_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
     """The rows of ``docs`` (all columns) that the classifier does not reject."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_train_rows))
-    return keep_rows(docs, "text", lambda ts: (_scores(model.value, ts) >= threshold).tolist())
+    model = _ship(docs, train(docs, labels, max_train_rows))
+    return keep_rows(docs, "text", lambda ts: (_scores(Trees(*model.value), ts) >= threshold).tolist())
