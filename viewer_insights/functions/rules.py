@@ -8,6 +8,7 @@ compiles into a single CASE expression evaluated by Spark's code generator.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from itertools import groupby
 
@@ -75,3 +76,32 @@ def rules_from_table(table: DataFrame, max_phrases: int = MAX_RULE_PHRASES):
     rows = sorted(bounded, key=lambda r: (r["priority"], r["category"], r["phrase"] or ""))
     # neighbours in priority order share a branch; a category that comes again later is a branch of its own
     return [(category, tuple(r["phrase"] for r in group if r["phrase"])) for category, group in groupby(rows, key=lambda r: r["category"])]
+
+
+# A phrase without regular-expression syntax: words, and single characters between them that match themselves.
+_PLAIN = re.compile(r"[\w \-'&/,:;!#%@=<>\"~`]+")
+
+
+def is_plain(phrase: str) -> bool:
+    """Whether a phrase matches only itself (letter case aside) and begins and ends with an ASCII word
+    character, so that it can be looked up instead of searched for.
+
+    Only ASCII phrases count: Java's ``\\b`` and ``(?i)`` treat other letters by rules of their own, so
+    they stay patterns."""
+    ascii_word = lambda c: c.isalnum() or c == "_"
+    return bool(phrase) and phrase.isascii() and bool(_PLAIN.fullmatch(phrase)) and ascii_word(phrase[0]) and ascii_word(phrase[-1])
+
+
+def phrase_index(rules: Sequence[tuple[str, Sequence[str]]]) -> tuple[dict[str, int], list[tuple[int, str, str]]]:
+    """A rule set as ``(plain phrase in lower case -> place of its first rule, [(place, category, pattern)])``:
+    the patterns hold the phrases that can't be looked up."""
+    plain: dict[str, int] = {}
+    patterns = []
+    for place, (category, phrases) in enumerate(rules):
+        odd = [p for p in phrases if p and not is_plain(p)]
+        for phrase in phrases:
+            if phrase and is_plain(phrase):
+                plain.setdefault(phrase.lower(), place)
+        if odd:
+            patterns.append((place, category, category_pattern(odd)))
+    return plain, patterns

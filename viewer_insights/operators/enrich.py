@@ -14,7 +14,7 @@ from viewer_insights.functions.rules import rule_case_sql
 from viewer_insights.functions.sqltext import ident, string
 from viewer_insights.functions.text import is_present_sql, normalize_keyword_sql, strip_all_whitespace_sql
 from viewer_insights.operators.search import DEFAULT_LABELS, cat_col, kw_col
-from viewer_insights.operators.sizing import DEFAULT_SALT_BUCKETS, salted_left_lookup
+from viewer_insights.operators.sizing import DEFAULT_SALT_BUCKETS, hot_salted_lookup
 
 # Columns a transition matrix may have (a wide table with more is refused, the long form is not).
 MAX_CATEGORIES = 5_000
@@ -62,10 +62,10 @@ def map_categories(
     """Look up ``category_<m>`` for each month's keyword.
 
     No keyword -> ``No_Search``; keyword not in the dictionary -> ``Other``.
-    The join carries a salt on the user side, so a keyword that is the top
-    keyword of a third of all users is spread over ``salt_buckets`` tasks, and
-    users without a keyword spread evenly.  Spark broadcasts the dictionary
-    when its bytes allow it.
+    All months are looked up at once (``_lookup_months``), so the wide user rows are never
+    shuffled by keyword, and a keyword that is the top keyword of a third of all users is
+    spread over ``salt_buckets`` tasks.  Spark broadcasts the dictionary when its bytes
+    allow it.
     """
     d = dictionary.select("keyword", "category")
     return _lookup_months(users, d, labels, "_cat_", lambda lab: f"_cat_{lab}", salt_buckets)
@@ -73,15 +73,23 @@ def map_categories(
 
 def _lookup_months(users: DataFrame, d: DataFrame, labels, prefix: str, looked_up,
                    salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Left-join ``d`` once per month on the month's keyword, then label."""
-    out = users
-    for lab in labels:
-        k = f"_kw_{lab}"
-        look = d.selectExpr(f"keyword AS {k}", f"category AS {prefix}{lab}")
-        out = salted_left_lookup(out, look, dictionary_key_sql(kw_col(lab)), k, "xxhash64(user_id)", salt_buckets)
-    return out.withColumns({
+    """Look up every month's keyword in ``d`` in one join, then label.
+
+    The months become rows (user, key) without the other columns, are joined to ``d`` with
+    the hot keys salted, and come back as one map key -> category per user: the users are
+    shuffled by user once, whatever the number of months.  Users without any keyword take
+    no part in the lookup.  The map answers by keyword, so users that repeat an id each get
+    their own categories.
+    """
+    keys = [dictionary_key_sql(kw_col(lab)) for lab in labels]
+    rows = users.selectExpr("user_id AS _user", f"explode(array_distinct(array({', '.join(keys)}))) AS _key").where("_key IS NOT NULL")
+    found = hot_salted_lookup(rows, d.selectExpr("keyword AS _found", "category AS _category"), "_key", "_found", "xxhash64(_user)", salt_buckets)
+    per_user = found.groupBy("_user").agg(F.expr("map_from_entries(collect_set(struct(_key, _category))) AS _categories"))
+    out = users.join(per_user, F.expr("user_id <=> _user"), "left")
+    looked = {f"{prefix}{lab}": F.expr(f"element_at(_categories, {k})") for lab, k in zip(labels, keys)}
+    return out.withColumns(looked).withColumns({
         cat_col(lab): F.expr(L.month_category_sql(kw_col(lab), looked_up(lab))) for lab in labels
-    }).drop(*[f"{prefix}{lab}" for lab in labels])
+    }).drop("_user", "_categories", *looked)
 
 
 def categorize_users(

@@ -55,6 +55,34 @@ def active_ratio(df: DataFrame, days: int = vocab.DAYS_PER_MONTH) -> DataFrame:
     return df.groupBy("user_id").agg(F.expr(f"{active_sql(days)} AS Active"))
 
 
+def day_map_sql(date_sql: str = "`date`") -> str:
+    """The day of the month as one bit of a 32-bit number; 0 without a date."""
+    return f"coalesce(shiftleft(1, day({date_sql}) - 1), 0)"
+
+
+def day_maps(df: DataFrame) -> DataFrame:
+    """``user_id, month, days``: the days of each month on which a user watched, as bits.
+
+    ``bit_or`` is combined map-side, and the maps of two logs (or of the days of a stream) are merged
+    by ``bit_or`` again (``merge_day_maps``): unlike a distinct count, nothing is kept per day.
+    """
+    return df.groupBy("user_id", F.expr("CAST(date_trunc('MONTH', `date`) AS DATE) AS month")).agg(
+        F.expr(f"bit_or({day_map_sql()}) AS days"))
+
+
+def merge_day_maps(*maps: DataFrame) -> DataFrame:
+    """Day maps of several logs as one; a day that two logs share counts once."""
+    out = maps[0]
+    for m in maps[1:]:
+        out = out.unionByName(m)
+    return out.groupBy("user_id", "month").agg(F.expr("bit_or(days) AS days"))
+
+
+def active_ratio_from_maps(maps: DataFrame, days: int = vocab.DAYS_PER_MONTH) -> DataFrame:
+    """``active_ratio`` from day maps: the set bits of all months of a user over ``days``."""
+    return maps.groupBy("user_id").agg(F.expr(f"round(sum(bit_count(days)) / {int(days)} * 100, 2) AS Active"))
+
+
 def _total_aggs(categories: Sequence[str], column_names) -> list[Column]:
     # Conditional sums = a pivot with a fixed value list, in one hash aggregate.
     return [

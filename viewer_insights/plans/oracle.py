@@ -236,6 +236,12 @@ FROM mdict m FULL OUTER JOIN dict d ON m.keyword = d.keyword"""),
         """SELECT keyword, CASE WHEN regexp_matches(keyword, '(?i)\\bred\\b') THEN 'Warm'
        WHEN regexp_matches(keyword, '(?i)\\b(gear|rod|bolt)\\b') THEN 'Hardware'
        WHEN regexp_matches(keyword, '(?i)\\b(hot|ring)\\b') THEN 'Warm' ELSE 'Unmapped' END AS category FROM keywords"""),
+    "categorize_by_index": _q(
+        """SELECT keyword, CASE WHEN regexp_matches(keyword, '(?i)\\b(red ring|b(lue|old))\\b') THEN 'Wide'
+       WHEN regexp_matches(keyword, '(?i)\\b(red|hot)\\b') THEN 'Warm' WHEN regexp_matches(keyword, '(?i)\\b(blue|cold)\\b') THEN 'Cool'
+       WHEN regexp_matches(keyword, '(?i)\\b(gear|rod|bolt)\\b') THEN 'Hardware'
+       WHEN regexp_matches(keyword, '(?i)\\b(gizmo|ring|n[eu]w)\\b') THEN 'Late' ELSE 'Unmapped' END AS category FROM keywords"""),
+    "active_ratio_from_maps": _q('SELECT user_id, "Active" FROM active'),
     "search_master_junk": _q("SELECT * FROM master"),
     "search_master_long_rules": _q("SELECT * FROM master"),
     "search_master_folded": _q(

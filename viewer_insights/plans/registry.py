@@ -38,6 +38,9 @@ INTERLEAVED_RULES = [("Warm", ("red",)), ("Hardware", ("gear", "rod", "bolt")),
 # As many phrases as a grown rule table has; none of the generated ones matches.
 LONG_RULES = [*SAMPLE_RULES, *((f"Genre {i}", tuple(f"phrase {i} {j}" for j in range(42))) for i in range(16))]
 
+# Plain phrases of one and two words beside patterns, with a phrase that an earlier pattern takes.
+MIXED_RULES = [("Wide", ("red ring", "b(lue|old)")), *SAMPLE_RULES, ("Late", ("gizmo", "ring", "n[eu]w")), *LONG_RULES[len(SAMPLE_RULES):]]
+
 
 # ---------------------------------------------------------------------------
 # shared building blocks
@@ -128,7 +131,7 @@ def serving_table(spark, d):
     original's insight SQL reads its serving table.  Only the columns a query uses are read."""
     schema = contract.serving_schema(LABELS, VIEW.categories, VIEW.column_names)
     root = _raw_copy(spark, d, "customer-360",
-                     lambda r: files.write_parquet(contract.align_to_schema(_wide(spark, d), schema), r))
+                     lambda r: serving.write_served(contract.align_to_schema(_wide(spark, d), schema), r))
     return spark.read.parquet(root)
 
 
@@ -333,6 +336,18 @@ def q_search_master_folded(spark, d):
     return plan.search_master_via_dictionary(dt.search_log(spark, d), replace(SEARCH, fold_diacritics=True))
 
 
+def q_categorize_by_index(spark, d):
+    """A long rule table on the users' keywords, its phrases looked up; some rules are real patterns."""
+    return search.categorize_by_index(search.distinct_keywords(_users(spark, d), LABELS), MIXED_RULES)
+
+
+def q_active_ratio_from_maps(spark, d):
+    """Active days from the day maps of two halves of the log, merged."""
+    clean = _vclean(spark, d)
+    halves = (viewing.day_maps(clean.where(f"crc32(app) % 2 = {k}")) for k in (0, 1))
+    return viewing.active_ratio_from_maps(viewing.merge_day_maps(*halves), VIEW.days)
+
+
 def q_search_master_long_rules(spark, d):
     """The search master with a rule table of the usual length, in the dictionary form."""
     return plan.search_master_via_dictionary(dt.search_log(spark, d), replace(SEARCH, rules=LONG_RULES))
@@ -526,6 +541,8 @@ QUERIES = {
     "categorize_interleaved": q_categorize_interleaved,
     "search_master_junk": q_search_master_junk,
     "search_master_folded": q_search_master_folded,
+    "categorize_by_index": q_categorize_by_index,
+    "active_ratio_from_maps": q_active_ratio_from_maps,
     "search_master_long_rules": q_search_master_long_rules,
     "transition_matrix": q_transition_matrix,
     "transition_counts": q_transition_counts,

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from viewer_insights.functions.sqltext import ident
 from viewer_insights.sinks import contract, files
 
+#: Access paths of the serving table: reports filter on these two columns, and users are looked up by their id.
+SORT_BY = ("user_status", "trending_types")
+
 STATUS = "merge_status"
 NEW, CHANGED, SAME, GONE = "new", "changed", "same", "gone"
 
@@ -46,6 +49,15 @@ def _swap(spark: SparkSession, fresh: str, path: str) -> None:
         fs.delete(old, True)
 
 
+def write_served(df: DataFrame, path: str, key: str = "user_id") -> None:
+    """The serving table with its access paths, as far as ``df`` has the columns."""
+    sort_by = [c for c in SORT_BY if c in df.columns]
+    if sort_by:
+        files.write_indexed_parquet(df, path, sort_by, [key])
+    else:
+        files.write_parquet(df, path)
+
+
 def publish(df: DataFrame, path: str, key: str = "user_id") -> DataFrame:
     """Write ``df`` to a fresh folder beside ``path``, check its key and swap it in; returns the served table.
 
@@ -56,7 +68,7 @@ def publish(df: DataFrame, path: str, key: str = "user_id") -> DataFrame:
     spark = df.sparkSession
     fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
     try:
-        files.write_parquet(df, fresh)
+        write_served(df, fresh, key)
         contract.assert_key(spark.read.parquet(fresh), key)
         _swap(spark, fresh, path.rstrip("/"))
     except BaseException:
