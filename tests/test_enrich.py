@@ -161,3 +161,44 @@ def test_users_without_a_keyword_spread_over_the_tasks(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert per_task[1] == 2000 and per_task[0] < 500
+
+
+def test_users_are_shuffled_once_for_all_months(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    users = spark.range(100).selectExpr("CAST(id AS STRING) AS user_id", "concat('k', id % 9) AS most_search_t6",
+                                        "concat('k', id % 7) AS most_search_t7", "id AS payload")
+    d = spark.createDataFrame([("k1", "A"), ("k2", "B")], "keyword string, category string")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = enrich.map_categories(users, d)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r["user_id"]: (r["category_t6"], r["category_t7"], r["payload"]) for r in out.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    names = {"k1": "A", "k2": "B"}
+    assert got == {str(i): (names.get(f"k{i % 9}", "Other"), names.get(f"k{i % 7}", "Other"), i) for i in range(100)}
+    # one exchange of wide user rows, keyed by user; those keyed by keyword carry (user, key) alone
+    wide = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "user_id" in x]
+    assert len(wide) == 1 and plan.count("SortMergeJoin") == 2
+
+
+def test_lookup_of_repeated_and_missing_users(spark):
+    users = spark.createDataFrame([("a", "x", "y"), ("a", "y", "z"), (None, "x", None), ("b", None, None), ("c", " ", "X")], USERS)
+    d = spark.createDataFrame([("x", "X1"), ("y", "Y1")], "keyword string, category string")
+    got = sorted((str(r["user_id"]), r["category_t6"], r["category_t7"]) for r in enrich.map_categories(users, d).collect())
+    assert got == [("None", "X1", "No_Search"), ("a", "X1", "Y1"), ("a", "Y1", "Other"), ("b", "No_Search", "No_Search"), ("c", "Other", "X1")]
+
+
+def test_only_hot_keys_are_salted(spark):
+    from viewer_insights.operators import sizing
+    rows_ = spark.range(30_000).selectExpr("CAST(id AS STRING) AS u", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 100 = 1 THEN NULL ELSE concat('k', id) END AS k")
+    assert [r["_hot_key"] for r in sizing.hot_keys(rows_, "k").collect()] == ["hot"]
+    assert sizing.hot_keys(rows_.where("k <> 'hot'"), "k").collect() == [] == sizing.hot_keys(rows_.limit(0), "k").collect()
+    small = spark.createDataFrame([("hot", 1), ("k1000", 2), ("none", 3)], "s string, v int")
+    joined = sizing.hot_salted_lookup(rows_, small, "k", "s", "xxhash64(u)", 8)
+    assert joined.columns == ["u", "k", "v"] and joined.where("v = 1").count() == 10_000 and joined.where("v = 2").count() == 1
+    spread = sizing.hot_salted_lookup(rows_, small, "k", "s", "xxhash64(u)", 8)
+    assert spread.count() == 10_001

@@ -399,3 +399,43 @@ def test_viewing_rejects_are_told_apart(spark, tmp_path):
         [("20220401.json", lines[1], "malformed"), ("20220401.json", lines[2], "malformed"), ("20220401.json", lines[3], "mistyped")], key=str)
     assert rows(logs.viewing_reject_counts(rejects), "reason", "lines") == [("malformed", 2), ("mistyped", 1)]
     assert logs.read_viewing_log(spark, str(d / "*.json")).where("app = 'VOD'").count() == 1
+
+
+def test_filters_on_the_serving_table_skip_files(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from viewer_insights.sinks import serving
+    df = spark.range(40_000).selectExpr(
+        "CAST(id AS STRING) AS user_id", "element_at(array('Churned_User', 'New_User', 'Retained_User', NULL), CAST(id % 4 AS INT) + 1) AS user_status",
+        "CASE WHEN id % 3 = 0 THEN 'changed' ELSE 'unchanged' END AS trending_types",
+        "CASE WHEN id % 5 = 0 THEN 10.0D ELSE 0.0D END AS Active")
+    path = str(tmp_path / "served")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small tables become one file else
+    try:
+        serving.write_served(df, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    parts = glob.glob(path + "/*.parquet")
+    seen = [{(g.column(1).statistics.min, g.column(1).statistics.max) for g in
+             (pq.ParquetFile(p).metadata.row_group(i) for i in range(pq.ParquetFile(p).metadata.num_row_groups))
+             if g.column(1).statistics.has_min_max} for p in parts]
+    assert len(parts) > 4
+    with_churned = sum(any(low <= "Churned_User" <= high for low, high in s) for s in seen)
+    assert 1 <= with_churned <= len(parts) // 2  # a third of the statuses lies in few files, yet in more than one
+    jvm = spark._jvm.org.apache
+    at = jvm.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.hadoop.fs.Path(parts[0]), spark._jsc.hadoopConfiguration())
+    reader = jvm.parquet.hadoop.ParquetFileReader.open(at)
+    offsets = [c.getBloomFilterOffset() for c in reader.getFooter().getBlocks().get(0).getColumns()]
+    reader.close()
+    assert offsets[0] > 0 and set(offsets[1:]) == {-1}  # on user_id alone
+    table = spark.read.parquet(path)
+    assert sorted(map(str, table.collect())) == sorted(map(str, df.collect()))
+    q = table.where("trending_types = 'changed' AND user_status = 'Churned_User'")
+    assert "PushedFilters: [IsNotNull(trending_types)" in q._jdf.queryExecution().executedPlan().toString()
+    # files that top_shifts (changed) and vip_users (Active > 0.8) need not read
+    stats = [pq.ParquetFile(p).metadata.row_group(0) for p in parts]
+    assert any(g.column(2).statistics.min == "unchanged" for g in stats) and any(g.column(3).statistics.max <= 0.8 for g in stats)
+    assert q.count() == df.where("trending_types = 'changed' AND user_status = 'Churned_User'").count()

@@ -235,3 +235,57 @@ def test_folding_reaches_review_queue_and_both_forms(spark):
     cols = ["user_id", "category_t6", "category_t7"]
     lazy, stored = plan.search_master_from_users(users, s), plan.search_master_from_dictionary(users, categories, s)
     assert rows(lazy, *cols) == rows(stored, *cols) == [("1", "Music", "Music"), ("2", "Other", "Music")]
+
+
+def _phrases(n, seed=3):
+    import random
+    rng = random.Random(seed)
+    words = [f"{a}{b}{c}" for a in "bdfgklm" for b in "aeiou" for c in ("", "n", "r", "s", "t")]
+    return rng, words, [" ".join(rng.choice(words) for _ in range(rng.choice((1, 1, 2, 2, 3)))) for _ in range(n)]
+
+
+def test_rule_index_equals_the_case(spark):
+    from viewer_insights.functions.rules import is_plain, phrase_index
+    rng, words, phrases = _phrases(400)
+    rules = [(f"C{i % 7}", tuple(phrases[20 * i:20 * i + 20])) for i in range(20)]
+    rules[3] = ("Odd", ("b[ae]n", r"d\w+ g", "Kit", "don't", "18\\+", "hát", "", "mu-s", "_x"))
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(5))) for _ in range(600)]
+    texts += ["BAN kit", "don't do", "dont", "x18+", "18+ x", "hát", "nhac hát ban", "mu-s", "mu - s", "_x", "a_x", "  ban  kit ", "ban\nkit", "ban,kit",
+              "é ban", "ban é kit", "kitsch", "-kit-", "", "   ", "1", None, "long " * 200 + "kit"]
+    kws = spark.createDataFrame([(t, 1) for t in dict.fromkeys(texts)], "keyword string, n int").repartition(5)
+    want = {(r["keyword"], r["category"]) for r in search.categorize(kws, rules).collect()}
+    got = search.categorize_by_index(kws, rules)
+    assert got.columns == ["keyword", "n", "category"]
+    assert {(r["keyword"], r["category"]) for r in got.collect()} == want and len(want) == kws.count()
+    assert len({c for _, c in want}) > 5
+    folded = {(r["keyword"], r["category"]) for r in search.categorize(kws, [("Music", ("hat",)), *rules], fold_diacritics=True).collect()}
+    assert {(r["keyword"], r["category"]) for r in search.categorize_by_index(
+        kws, [("Music", ("hat",)), *rules], fold_diacritics=True).collect()} == folded and ("hát", "Music") in folded
+    assert {(r["keyword"], r["category"]) for r in search.categorize_by_index(kws, [("P", ("b[ae]n",))]).collect()} == {
+        (r["keyword"], r["category"]) for r in search.categorize(kws, [("P", ("b[ae]n",))]).collect()}
+    assert [is_plain(p) for p in ("kit", "a b", "a.b", "x+", "(a)", "", "hát", " a", "a-b", "a|b")] == [
+        True, True, False, False, False, False, False, False, True, False]
+    assert phrase_index([("A", ("x", "y.")), ("B", ("X", "z"))]) == ({"x": 0, "z": 1}, [(0, "A", r"(?i)\b(y.)\b")])
+
+
+def test_rule_index_with_twenty_thousand_phrases(spark):
+    import time
+    rng, words, phrases = _phrases(60_000, 5)
+    phrases = list(dict.fromkeys(phrases))[:20_000]
+    rules = [(f"C{i}", tuple(phrases[400 * i:400 * i + 400])) for i in range(50)]
+    texts = list(dict.fromkeys(" ".join(rng.choice(words) for _ in range(1 + rng.randrange(4))) for _ in range(3000)))
+    kws = spark.createDataFrame([(t,) for t in texts], "keyword string").repartition(4)
+
+    def run(f, r):
+        t = time.perf_counter()
+        got = {x["keyword"]: x["category"] for x in f(kws, r).collect()}
+        return got, time.perf_counter() - t
+
+    run(search.categorize_by_index, rules[:1])
+    few, fast = run(search.categorize_by_index, rules[:3])
+    got, full = run(search.categorize_by_index, rules)
+    assert few == run(search.categorize, rules[:3])[0]
+    assert full < 5 * fast + 5  # fifteen times the phrases
+    sample = kws.where("crc32(keyword) % 10 = 0")
+    want = {x["keyword"]: x["category"] for x in search.categorize(sample, rules).collect()}
+    assert want and all(got[k] == c for k, c in want.items())

@@ -95,3 +95,20 @@ def test_viewing_master_with_sample(spark):
     import hashlib
     want = sorted((r["user_id"] for r in full.collect()), key=lambda u: (hashlib.md5(f"{u}:3".encode()).hexdigest(), u))[:7]
     assert got == want
+
+
+def test_day_maps_equal_the_distinct_count(spark):
+    import datetime as dt
+    import random
+    rng = random.Random(4)
+    days = [dt.date(2022, m, d) for m in (3, 4) for d in (1, 2, 15, 30, 31) if (m, d) != (4, 31)] + [None]
+    data = [(rng.choice("abc"), "VOD", 5, rng.choice(days)) for _ in range(200)] + [("only", "VOD", 1, None), ("last", "VOD", 1, dt.date(2022, 3, 31))]
+    df = spark.createDataFrame(data, "user_id string, app string, duration long, date date")
+    want = sorted(map(tuple, viewing.active_ratio(df).collect()))
+    maps = viewing.day_maps(df)
+    assert sorted(map(tuple, viewing.active_ratio_from_maps(maps).collect())) == want and ("only", 0.0) in want
+    # maps of overlapping halves merge to the same
+    halves = [viewing.day_maps(df.limit(150)), viewing.day_maps(df), viewing.day_maps(df.where("user_id = 'a'"))]
+    assert sorted(map(tuple, viewing.active_ratio_from_maps(viewing.merge_day_maps(*halves)).collect())) == want
+    plan = viewing.active_ratio_from_maps(maps)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "distinct" not in plan.lower()

@@ -101,11 +101,11 @@ def run_merge_stage(spark: SparkSession, out: Outputs, s: plan.SearchSettings, v
     aligned = contract.align_to_schema(wide, schema)
     before = spark.read.parquet(served) if serving.exists(spark, served) else aligned.limit(0)
     with scratch_tables(spark):
-        merged = stage_table(serving.merge_serving(before, aligned), "serving-merge")
+        merged, obs = observed(serving.merge_serving(before, aligned), "wide", f"{serving.STATUS} <> '{serving.GONE}'")
+        merged = stage_table(merged, "serving-merge")  # counted here: the sorted write below samples its input first
         files.export_table(serving.merge_counts(merged), out.path("serving_merge"))
         files.export_table(merged.where(F.col(serving.STATUS) == serving.GONE).select("user_id", "updated_at"), out.path("serving_gone"))
-        current, obs = observed(merged.where(F.col(serving.STATUS) != serving.GONE).drop(serving.STATUS), "wide")
-        aligned = serving.publish(current, served)
+        aligned = serving.publish(merged.where(F.col(serving.STATUS) != serving.GONE).drop(serving.STATUS), served)
     files.export_table(aligned, out.path("customer_360_csv"))
     if target is not None:
         jdbc.publish(aligned, target)

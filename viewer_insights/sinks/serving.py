@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from viewer_insights.functions.sqltext import ident
 from viewer_insights.sinks import contract, files
 
-#: Access paths of the serving table: reports filter on these two columns, and users are looked up by their id.
-SORT_BY = ("user_status", "trending_types")
+#: Access paths of the serving table: reports filter on these columns, and users are looked up by their id.
+SORT_BY = ("user_status", "trending_types", "Active")
 
 STATUS = "merge_status"
 NEW, CHANGED, SAME, GONE = "new", "changed", "same", "gone"
