@@ -185,7 +185,8 @@ def test_command_line_job(spark, tmp_path, search_dir):
     counts = main(["--search-log", search_dir, "--months", "t6=202206", "t7=202207",
                    "--viewing-log", str(logs_dir / "*.json"), "--rules", str(rules), "--out", str(tmp_path / "o"),
                    "--top-n", "2", "--insights", "--sample-users", "1", "--sample-seed", "3", "--days-per-month", "15",
-                   "--fold-diacritics", "--salt-buckets", "4"], spark=spark)
+                   "--fold-diacritics", "--salt-buckets", "4", "--rejects"], spark=spark)
+    assert counts.pop("rejects") == 0
     assert counts == {"users": 2, "mapped": 1, "review": 2, "dictionary": 1, "viewers": 1, "wide": 3, "insights": 9}
     health = spark.read.option("header", True).csv(str(tmp_path / "o" / "insights" / "status_health"))
     assert health.columns == ["user_status", "User_Count", "Average_Active_Ratio", "Total_Platform_Watch_Time"]
@@ -399,6 +400,11 @@ def test_viewing_rejects_are_told_apart(spark, tmp_path):
         [("20220401.json", lines[1], "malformed"), ("20220401.json", lines[2], "malformed"), ("20220401.json", lines[3], "mistyped")], key=str)
     assert rows(logs.viewing_reject_counts(rejects), "reason", "lines") == [("malformed", 2), ("mistyped", 1)]
     assert logs.read_viewing_log(spark, str(d / "*.json")).where("app = 'VOD'").count() == 1
+    out = jobs.Outputs(str(tmp_path / "out"))
+    assert jobs.export_rejects(spark, str(d / "*.json"), out) == 3
+    back = spark.read.options(**dictionary.CSV_OPTIONS).csv(out.path("viewing_rejects"))
+    assert rows(back, "line") == rows(rejects, "line")
+    assert spark.read.option("header", True).csv(out.path("viewing_reject_counts")).count() == 2
 
 
 def test_filters_on_the_serving_table_skip_files(spark, tmp_path):
@@ -412,12 +418,15 @@ def test_filters_on_the_serving_table_skip_files(spark, tmp_path):
         "CASE WHEN id % 3 = 0 THEN 'changed' ELSE 'unchanged' END AS trending_types",
         "CASE WHEN id % 5 = 0 THEN 10.0D ELSE 0.0D END AS Active")
     path = str(tmp_path / "served")
-    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small tables become one file else
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}  # small tables become one file else
+    old = {k: spark.conf.get(k) for k in conf}
     try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
         serving.write_served(df, path)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
     parts = glob.glob(path + "/*.parquet")
     seen = [{(g.column(1).statistics.min, g.column(1).statistics.max) for g in
              (pq.ParquetFile(p).metadata.row_group(i) for i in range(pq.ParquetFile(p).metadata.num_row_groups))

@@ -3,7 +3,7 @@
     python -m viewer_insights --search-log /data/log_search --months t6=202206 t7=202207 \\
         --viewing-log '/data/log_content/*.json' --rules rules.csv [--reviewed reviewed.csv] \\
         --out /shared/out [--top-n 5000] [--how full] [--fold-diacritics] \\
-        [--sample-users 5000 --sample-seed 0] [--days-per-month 30] [--jdbc-from-env --jdbc-connections 8]
+        [--sample-users 5000 --sample-seed 0] [--days-per-month 30] [--jdbc-from-env --jdbc-connections 8] [--rejects]
 
 Uses the active Spark session (``spark-submit`` sets master and options).
 """
@@ -43,6 +43,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--jdbc-from-env", action="store_true", help="publish to MySQL configured by DB_* variables")
     p.add_argument("--jdbc-connections", type=int, help="connections open at once (with --jdbc-from-env)")
     p.add_argument("--insights", action="store_true", help="also write the business questions as CSV")
+    p.add_argument("--rejects", action="store_true", help="also write the lines of the viewing log that can't be read")
     a = p.parse_args(argv)
     if a.jdbc_from_env and not a.jdbc_connections:
         p.error("--jdbc-from-env needs --jdbc-connections")
@@ -64,6 +65,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     v = plan.ViewingSettings(days=a.days_per_month, sample_n=a.sample_users, sample_seed=a.sample_seed)
     out = jobs.Outputs(a.out)
     counts = jobs.run_all(spark, log, events, s, v, out, manual, a.how, target)
+    if a.rejects:
+        counts["rejects"] = jobs.export_rejects(spark, a.viewing_log, out)
     if a.insights:
         counts["insights"] = len(jobs.run_insights(spark, out, s, v))
     print(json.dumps(counts))

@@ -17,6 +17,9 @@ from viewer_insights.operators import enrich, merge, search, viewing
 from viewer_insights.operators.sizing import DEFAULT_SALT_BUCKETS
 from viewer_insights.session import stage_table
 
+# Up to so many phrases one CASE of patterns is faster than a lookup.
+INDEX_PHRASES = 2_000
+
 
 @dataclass(frozen=True)
 class SearchSettings:
@@ -55,8 +58,11 @@ def search_users(log: DataFrame, s: SearchSettings) -> DataFrame:
 def keyword_categories(users: DataFrame, s: SearchSettings) -> DataFrame:
     """Rule category of every distinct keyword.  Store the result before filtering it
     (``staged_keyword_categories``): Spark moves a filter on the category below the distinct,
-    and the rules would run on every user's keywords."""
-    return search.categorize(search.distinct_keywords(users, s.labels), s.rules, fold_diacritics=s.fold_diacritics)
+    and the rules would run on every user's keywords.  A rule table of more than ``INDEX_PHRASES``
+    phrases is looked up by a phrase index, with the same result."""
+    many = sum(len(phrases) for _, phrases in s.rules) > INDEX_PHRASES
+    judge = search.categorize_by_index if many else search.categorize
+    return judge(search.distinct_keywords(users, s.labels), s.rules, fold_diacritics=s.fold_diacritics)
 
 
 def staged_keyword_categories(users: DataFrame, s: SearchSettings) -> DataFrame:

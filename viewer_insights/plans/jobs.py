@@ -19,6 +19,7 @@ from viewer_insights.plans import customer360 as plan
 from viewer_insights.session import scratch_tables, stage_table
 from viewer_insights.sinks import contract, files, jdbc, serving
 from viewer_insights.sinks.metrics import observed
+from viewer_insights.sources import logs
 
 log = logging.getLogger(__name__)
 
@@ -86,6 +87,17 @@ def run_viewing_stage(spark: SparkSession, events: DataFrame, v: plan.ViewingSet
     return {"viewers": obs.get["rows"]}
 
 
+def export_rejects(spark: SparkSession, viewing_glob: str, out: Outputs) -> int:
+    """The lines of the viewing log that can't be read as declared, and their numbers per day and
+    reason, as CSV; returns how many there are."""
+    rejects, obs = observed(logs.read_viewing_rejects(spark, viewing_glob), "rejects")
+    files.export_table(rejects, out.path("viewing_rejects"))
+    stored = spark.read.schema("file STRING, date DATE, line STRING, reason STRING").options(**files.CSV_OPTIONS).option(
+        "multiLine", True).csv(out.path("viewing_rejects"))
+    files.export_table(logs.viewing_reject_counts(stored), out.path("viewing_reject_counts"))
+    return obs.get["rows"]
+
+
 def run_merge_stage(spark: SparkSession, out: Outputs, s: plan.SearchSettings, v: plan.ViewingSettings,
                     how: str = "full", target: jdbc.JdbcTarget | None = None) -> dict[str, int]:
     """Wide table -> contract -> merge with the stored table -> key check -> Parquet, CSV (+ JDBC).

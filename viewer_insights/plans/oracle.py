@@ -244,6 +244,7 @@ FROM mdict m FULL OUTER JOIN dict d ON m.keyword = d.keyword"""),
     "active_ratio_from_maps": _q('SELECT user_id, "Active" FROM active'),
     "search_master_junk": _q("SELECT * FROM master"),
     "search_master_long_rules": _q("SELECT * FROM master"),
+    "search_master_rule_index": _q("SELECT * FROM master"),
     "search_master_folded": _q(
         f""", folded AS (
   SELECT user_id, most_search_t6, most_search_t7,

@@ -341,6 +341,15 @@ def q_categorize_by_index(spark, d):
     return search.categorize_by_index(search.distinct_keywords(_users(spark, d), LABELS), MIXED_RULES)
 
 
+# A rule table of the greatest usual size: its phrases are looked up.
+MANY_RULES = [*SAMPLE_RULES, *((f"Genre {i}", tuple(f"phrase {i} {j}" for j in range(100))) for i in range(60))]
+
+
+def q_search_master_rule_index(spark, d):
+    """The search master with thousands of phrases, in the dictionary form."""
+    return plan.search_master_via_dictionary(dt.search_log(spark, d), replace(SEARCH, rules=MANY_RULES))
+
+
 def q_active_ratio_from_maps(spark, d):
     """Active days from the day maps of two halves of the log, merged."""
     clean = _vclean(spark, d)
@@ -542,6 +551,7 @@ QUERIES = {
     "search_master_junk": q_search_master_junk,
     "search_master_folded": q_search_master_folded,
     "categorize_by_index": q_categorize_by_index,
+    "search_master_rule_index": q_search_master_rule_index,
     "active_ratio_from_maps": q_active_ratio_from_maps,
     "search_master_long_rules": q_search_master_long_rules,
     "transition_matrix": q_transition_matrix,
