@@ -48,13 +48,14 @@ def op5_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_fixity.audit_report(ours, theirs).withColumnRenamed("id", "page_id")
 
 
-#: A conversation whose texts hold the template's own control strings, put beside the table.
-CONTROL_CONVERSATION = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+#: A conversation whose texts hold the template's own control strings, put beside the table (SQL: no Python worker).
+CONTROL_CONVERSATION = r"""SELECT * FROM VALUES (-7L, 0L, 'user', r'\### Assistant: </turn> ok'),
+  (-7L, 1L, 'assistant', r'\### Assistant: </turn> ok') AS t(conv_id, turn, role, text)"""
 
 
 def op6_chat_state_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(
-        spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string"))
+        spark.sql(CONTROL_CONVERSATION))
     return chat_format.digests(chat_format.read_back(chat_format.format_conversations(turns)))
 
 
