@@ -78,14 +78,15 @@ def _lookup_months(users: DataFrame, d: DataFrame, labels, prefix: str, looked_u
     The months become rows (user, key) without the other columns, are joined to ``d`` with
     the hot keys salted, and come back as one map key -> category per user: the users are
     shuffled by user once, whatever the number of months.  Users without any keyword take
-    no part in the lookup.  The map answers by keyword, so users that repeat an id each get
-    their own categories.
+    no part in the lookup.  The map answers by keyword, so users that repeat an id, and those
+    without one, each get their own categories.
     """
     keys = [dictionary_key_sql(kw_col(lab)) for lab in labels]
-    rows = users.selectExpr("user_id AS _user", f"explode(array_distinct(array({', '.join(keys)}))) AS _key").where("_key IS NOT NULL")
+    who = "coalesce(user_id, '')"
+    rows = users.selectExpr(f"{who} AS _user", f"explode(array_distinct(array({', '.join(keys)}))) AS _key").where("_key IS NOT NULL")
     found = hot_salted_lookup(rows, d.selectExpr("keyword AS _found", "category AS _category"), "_key", "_found", "xxhash64(_user)", salt_buckets)
     per_user = found.groupBy("_user").agg(F.expr("map_from_entries(collect_set(struct(_key, _category))) AS _categories"))
-    out = users.join(per_user, F.expr("user_id <=> _user"), "left")
+    out = users.join(per_user, F.expr(f"{who} = _user"), "left")
     looked = {f"{prefix}{lab}": F.expr(f"element_at(_categories, {k})") for lab, k in zip(labels, keys)}
     return out.withColumns(looked).withColumns({
         cat_col(lab): F.expr(L.month_category_sql(kw_col(lab), looked_up(lab))) for lab in labels
