@@ -88,5 +88,5 @@ def test_stages_on_an_empty_table(spark, tmp_path):
 
 
 def test_names_of_the_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
