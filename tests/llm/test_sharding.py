@@ -1,7 +1,9 @@
+import random
 import zlib
 from collections import Counter
 
 from viewer_insights.llm import sharding as s
+from viewer_insights.llm.common import numbered
 
 
 def jump(key, shards):
@@ -42,6 +44,29 @@ def test_odd_rows_sizes_checksums_and_gapless_places(docs, odd):
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
 
 
+def test_hashed_ids_and_an_id_in_a_third_of_the_rows_spread_over_tasks(spark):
+    rng = random.Random(5)
+    rows = [(rng.getrandbits(64) - 2**63, f"t{k % 9}") for k in range(2000)] + [(42, "copy")] * 1000
+    got = s.assign_shards(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    places = {}
+    for r in got:
+        places.setdefault(r["shard"], []).append((r["slot"], r["doc_id"], r["text_crc32"], r["size"]))
+    assert len(got) == 3000 and all([x[0] for x in sorted(p)] == list(range(len(p))) for p in places.values())
+    assert all([x[1:] for x in sorted(p)] == sorted(x[1:] for x in p) for p in places.values())
+
+
+def test_places_need_no_task_of_a_whole_group(spark):
+    df = spark.createDataFrame([(1, k % 5) for k in range(4000)] + [(None, 1)] * 50, "g int, v int")
+    got = numbered(df, ["g"], ["v"], "t", "v")
+    assert got.columns == ["g", "v", "_nth", "_before"]
+    rows = sorted((tuple(r) for r in got.collect()), key=lambda r: (r[0] is None, r[2]))
+    total = 0
+    for k, r in enumerate(rows[:4000]):
+        assert r == (1, k // 800, k, total)
+        total += r[1]
+    assert rows[4000:] == [(None, 1, k, k) for k in range(50)]
+
+
 def test_empty_table(docs):
     assert s.assign_shards(docs([])).collect() == []
 

@@ -1,4 +1,6 @@
 import hashlib
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +17,8 @@ def rows(n=300):
 
 
 def report(spark, a, b, **sizes):
-    ours, theirs = (w.Tree(table(spark, x), **sizes) for x in (a, b))
+    ours = w.Tree(table(spark, a), **sizes)
+    theirs = w.Tree(table(spark, b), **sizes, like=ours)
     return {(r["file"], r["seq"]): r["status"] for r in w.audit(ours, theirs).collect()}, ours, theirs
 
 
@@ -73,6 +76,28 @@ def test_warc_records_carry_their_length(spark):
     assert w.damaged_copy(df).where(F.length("html") >= 0).count() == 2
 
 
+def test_files_hold_many_records_however_sparse_the_ids(spark):
+    rng = random.Random(3)
+    ids = [rng.getrandbits(64) - 2**63 for _ in range(4000)]
+    a = [(i, "u", b"%d" % i) for i in ids]
+    b = [(i, "u", bytes(len(x)) if k == 1234 else x) for k, (i, _, x) in enumerate(a)]
+    found, ours, theirs = report(spark, a, b, records_per_file=64)
+    assert list(found.values()) == ["damaged"] and ours.levels[-1].count() * 16 <= 4000
+    assert len(w.differing(ours.levels[-1], theirs.levels[-1]).collect()) == 1
+
+
+def test_one_record_in_a_third_of_the_rows(spark):
+    hot = [(7, "u", b"same")] * 3000
+    a = [*rows(600), *hot]
+    b = [*rows(600)[1:], *hot, (7, "u", b"same")]
+    _, ours, theirs = report(spark, a, b, records_per_file=64, fanout=4)
+    leaf = sorted(ours.levels[0].where("file = '0'").collect(), key=lambda r: r["seq"])
+    assert [r["seq"] for r in leaf] == list(range(3064))
+    assert all(x["end"] == y["start"] for x, y in zip(leaf, leaf[1:])) and leaf[0]["start"] == 0
+    told = Counter(r["status"] for r in w.audit_report(ours, theirs).where("id = 7 OR id = 0").collect())
+    assert told["missing"] == 1 and told["extra"] == 1 and told["damaged"] == 0 and sum(told.values()) == 3003
+
+
 def test_records_lost_and_inserted_inside_a_file_do_not_damage_the_others(spark):
     a = [*rows(128), (None, "n", b"no id"), (None, "n", b"no id")]
     b = [x for x in a if x[0] != 20]

@@ -7,12 +7,12 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from viewer_insights.session import cut_lineage, scratch_path, stage_table
 
-__all__ = ["read", "cut_lineage", "stage_table", "bucketed_table", "slices", "map_batches", "keep_rows", "connected_components", "texts"]
+__all__ = ["read", "cut_lineage", "stage_table", "bucketed_table", "slices", "map_batches", "keep_rows", "connected_components", "texts", "numbered"]
 
 SLICE_ROWS = 500
 
@@ -34,6 +34,36 @@ def bucketed_table(df: DataFrame, key: str, name: str) -> DataFrame:
     return out
 
 
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str, total: str | None = None) -> DataFrame:
+    """``df`` with ``_nth``, the 0-based place of each row among those of its ``group`` (null keys are equal) in
+    ``order`` (nulls last), and with ``_before``, the sum of ``total`` over the rows before it.
+
+    Rows are sorted by ranges and stored once in the shared folder; a range that begins inside a group adds what
+    came before it, from a table of at most one row per range (broadcast).  So no task holds more than a range,
+    whatever the size of a group or of a run of equal rows (which the row's number in its task parts).
+    """
+    keys = [F.col(c).asc_nulls_last() for c in [*group, *order, "_salt"]]
+    ranged = (df.withColumn("_salt", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+              .drop("_salt").withColumn("_mid", F.monotonically_increasing_id()))
+    stored = stage_table(ranged, name).withColumn("_range", F.shiftright("_mid", 33))
+    amount = F.col(total).cast("long") if total else F.lit(0).cast("long")
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (stored.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_t"))
+               .select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col("_range").alias("_at"),
+                       F.sum("_n").over(earlier).alias("_rows"), F.sum("_t").over(earlier).alias("_sum"))
+               .where("_rows > 0"))
+    same = F.col("_range") == F.col("_at")
+    for i, c in enumerate(group):
+        same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    inside = Window.partitionBy(*group, "_range").orderBy("_mid")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (stored.withColumn("_r", F.row_number().over(inside) - 1)
+            .withColumn("_s", F.sum(amount).over(upto) - amount)
+            .join(F.broadcast(offsets), same, "left")
+            .select(*df.columns, (F.col("_r") + F.coalesce("_rows", F.lit(0))).cast("long").alias("_nth"),
+                    (F.col("_s") + F.coalesce("_sum", F.lit(0))).cast("long").alias("_before")))
+
+
 def texts(column: pa.Array) -> list[str]:
     """Python strings of an Arrow string column; null becomes the empty text."""
     return [t or "" for t in column.to_pylist()]

@@ -53,21 +53,43 @@ FROM v JOIN k USING (url), c
 """
 
 FIXITY = """
-WITH a AS (
-  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, left(md5(coalesce(html, '')), 2) AS sign FROM pages),
+bits AS (
+  SELECT coalesce(min(b), 63)::INT AS b FROM range(10, 64) t(b), (SELECT min(page_id) AS lo, max(page_id) AS hi, count(page_id) AS n FROM pages)
+  WHERE (hi >> b) = (lo >> b) OR ((hi >> b) - (lo >> b) + 1) * 256 <= n),
+both_replicas AS (
+  SELECT 'a' AS side, page_id, url, html FROM p
+  UNION ALL
+  SELECT 'b', page_id, url, CASE WHEN sign = '00' AND html <> '' THEN '~' || substr(html, 2)
+                                 WHEN sign = '01' THEN repeat('0', strlen(html)) ELSE html END FROM p WHERE sign NOT IN ('02', '03')
+  UNION ALL SELECT 'b', page_id, url, html FROM p WHERE sign IN ('04', '05')
+  UNION ALL SELECT 'b', page_id, url || '#new', '' FROM p WHERE sign IN ('06', '07')),
+r AS (
+  SELECT side, page_id, url,
          'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
-         || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13)
+         || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13)
          || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
-         || strlen(coalesce(html, ''))::VARCHAR || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
-         || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM pages),
-b AS (
-  SELECT page_id, url, strlen(record) AS n, sha256(record) AS digest,
-         CASE WHEN left(md5(html), 2) = '00' AND html <> '' AND left(html, 1) <> '~' THEN 'damaged'
-              WHEN left(md5(html), 2) = '01' AND html <> repeat('0', strlen(html)) THEN 'damaged' ELSE 'ok' END AS status FROM a),
-f AS (SELECT *, CASE WHEN page_id IS NULL THEN 'none-' || left(digest, 3) ELSE (page_id >> 10)::VARCHAR END AS file FROM b)
-SELECT page_id, file, (row_number() OVER w - 1)::BIGINT AS seq, (sum(n) OVER w - n)::BIGINT AS "start",
-       (sum(n) OVER w)::BIGINT AS "end", digest, status
-FROM f WINDOW w AS (PARTITION BY file ORDER BY page_id NULLS FIRST, url, digest ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+         || strlen(html)::VARCHAR || chr(13) || chr(10) || chr(13) || chr(10) || html
+         || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM both_replicas),
+d AS (SELECT side, page_id, url, strlen(record) AS n, sha256(record) AS digest FROM r),
+f AS (SELECT d.*, CASE WHEN page_id IS NULL THEN 'none-' || left(digest, 3) ELSE (page_id >> b)::VARCHAR END AS file FROM d, bits),
+l AS (
+  SELECT side, page_id, url, digest, file, (row_number() OVER w - 1)::BIGINT AS seq, (sum(n) OVER w - n)::BIGINT AS "start",
+         (sum(n) OVER w)::BIGINT AS "end" FROM f
+  WINDOW w AS (PARTITION BY side, file ORDER BY page_id NULLS LAST, url, digest ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+k AS (SELECT *, row_number() OVER (PARTITION BY side, file, page_id, url, digest ORDER BY seq) AS nth FROM l),
+e AS (
+  SELECT x.*, y.side IS NOT NULL AS matched, y."start" = x."start" AND y."end" = x."end" AS there
+  FROM k x LEFT JOIN k y ON y.side <> x.side AND y.file = x.file AND y.page_id IS NOT DISTINCT FROM x.page_id
+                            AND y.url = x.url AND y.digest = x.digest AND y.nth = x.nth),
+u AS (SELECT *, row_number() OVER (PARTITION BY side, page_id, url ORDER BY file, seq) AS n2 FROM e WHERE NOT matched)
+SELECT page_id, file, seq, "start", "end", digest, CASE WHEN there THEN 'ok' ELSE 'moved' END AS status
+FROM e WHERE side = 'a' AND matched
+UNION ALL
+SELECT x.page_id, x.file, x.seq, x."start", x."end", x.digest,
+       CASE WHEN y.side IS NOT NULL THEN 'damaged' WHEN x.side = 'a' THEN 'missing' ELSE 'extra' END
+FROM u x LEFT JOIN u y ON y.side <> x.side AND y.page_id IS NOT DISTINCT FROM x.page_id AND y.url = x.url AND y.n2 = x.n2
+WHERE x.side = 'a' OR y.side IS NULL
 """
 
 CHAT = r"""

@@ -44,7 +44,8 @@ def op4_url_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
-    ours, theirs = (warc_fixity.Tree(warc_fixity.page_records(p)) for p in (pages, warc_fixity.damaged_copy(pages)))
+    ours = warc_fixity.Tree(warc_fixity.page_records(pages))
+    theirs = warc_fixity.Tree(warc_fixity.page_records(warc_fixity.damaged_copy(pages)), like=ours)
     return warc_fixity.audit_report(ours, theirs).withColumnRenamed("id", "page_id")
 
 

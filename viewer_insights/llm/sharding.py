@@ -4,9 +4,9 @@ The key's linear congruential sequence decides where it jumps as shards are appe
 the last jump below the number of shards is its shard (Lamping and Veach 2014).  There
 is no ring table, and one more shard takes rows only into itself.
 
-Only ids, sizes and checksums are shuffled, never texts.  Places within a shard come
-from counts per shard and stretch of ids plus the rank inside the stretch, so no task
-holds a whole shard.
+Only ids, sizes and checksums are shuffled, never texts.  Places within a shard come from
+a sort by ranges (``common.numbered``), so no task holds a whole shard, also where ids are
+sparse or one id holds a third of the rows.
 
 Defined cases: a null text has size 8 and checksum 0; a null id hashes as -1 and comes
 last in its shard; rows that repeat an id share its shard and get places of their own;
@@ -15,11 +15,12 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewer_insights.llm.common import numbered, stage_table
+
 SHARDS = 24
-STRETCH_BITS = 12  # ids per stretch, as a power of two
 
 
 def jump_hash_sql(key: str, shards: int) -> str:
@@ -46,19 +47,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         F.expr("coalesce(octet_length(cast(text as string)), 0) + 8L").alias("size"),
         F.expr("crc32(cast(coalesce(cast(text as string), '') as binary))").alias("text_crc32"),
     ).withColumn("_jump", F.expr(jump_hash_sql("coalesce(doc_id, -1L)", shards)))
-    rows = rows.select("doc_id", "size", "text_crc32", F.col("_jump.lo").alias("shard"), F.col("_jump.hi").alias("grown_shard"),
-                       F.expr(f"shiftright(doc_id, {STRETCH_BITS})").alias("_stretch"),
-                       # rows without an id are parted by checksum
-                       F.expr("if(doc_id is null, shiftright(text_crc32, 20), 0L)").alias("_part"))
-    keys = ("shard", "_stretch", "_part")
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("shard").orderBy(F.col("_stretch").asc_nulls_last(), "_part").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(k).alias(f"{k}_o") for k in keys],
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    rank = Window.partitionBy(*keys).orderBy(F.col("doc_id").asc_nulls_last(), "text_crc32", "size")
-    same = (F.col("shard") == F.col("shard_o")) & F.col("_stretch").eqNullSafe(F.col("_stretch_o")) & (
-        F.col("_part") == F.col("_part_o"))
-    return (rows.withColumn("_rank", F.row_number().over(rank)).join(offsets, same)
-            .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
-                    (F.col("_offset") + F.col("_rank") - 1).cast("long").alias("slot"), "grown_shard"))
+    rows = stage_table(rows.select("doc_id", "size", "text_crc32", F.col("_jump.lo").alias("shard"),
+                                   F.col("_jump.hi").alias("grown_shard")), "shards")  # texts are read once
+    return numbered(rows, ["shard"], ["doc_id", "text_crc32", "size"], "shard-places").select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("_nth").alias("slot"), "grown_shard")

@@ -7,20 +7,24 @@ only the children of branches that differ are read and compared, level by level,
 to the records that are damaged, missing or extra.
 
 Records are hashed where they are read; only digests, lengths and ids are shuffled.  A
-file holds at most ``records_per_file`` records, so no task holds more than some files.
+file holds the records of a stretch of ids, wide enough that files have
+``records_per_file / 4`` records or more on average however sparse the ids are; both replicas
+take the stretches of the first.  Places and offsets come from a sort by ranges
+(``common.numbered``), so no task holds a whole file, also where one id or one record
+repeats in a third of the rows.
 
 Defined cases: null fields are empty; records are ordered in a file by id, URL and
-digest (null ids have a file of their own, cut into further files by digest); repeated
+digest (null ids have files of their own, by digest); repeated
 rows are records of their own; an empty replica has no roots, so all records of the
 other are missing; other columns are ignored; long records are hashed whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewer_insights.llm.common import stage_table
+from viewer_insights.llm.common import numbered, stage_table
 
 RECORDS_PER_FILE = 1024  # a power of two
 FANOUT = 16  # a power of two
@@ -38,18 +42,29 @@ def warc_record(page_id: Column, url: Column, payload: Column) -> Column:
     return F.concat(head.cast("binary"), body, F.lit("\r\n\r\n").cast("binary"))
 
 
-def leaves(records: DataFrame, records_per_file: int = RECORDS_PER_FILE) -> DataFrame:
-    """``file, seq, id, url, start, end, digest`` of ``records (id, url, record)``."""
+def file_bits(records: DataFrame, records_per_file: int = RECORDS_PER_FILE) -> int:
+    """How many low bits of an id a file covers: as few as let files hold ``records_per_file / 4`` records on average."""
     bits = records_per_file.bit_length() - 1
-    hashed = records.select(F.col("id").cast("long").alias("id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
-                            F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
-    hashed = hashed.withColumn("file", F.when(F.col("id").isNotNull(), F.shiftright("id", bits).cast("string"))
-                               .otherwise(F.concat(F.lit("none-"), F.substr("digest", F.lit(1), F.lit(3)))))
-    order = Window.partitionBy("file").orderBy(F.col("id").asc_nulls_first(), "url", "digest")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return hashed.select("file", (F.row_number().over(order) - 1).cast("long").alias("seq"), "id", "url",
-                         (F.sum("length").over(upto) - F.col("length")).alias("start"),
-                         F.sum("length").over(upto).alias("end"), "digest")
+    low, high, n = records.agg(F.min("id"), F.max("id"), F.count("id")).first()
+    if n:
+        while bits < 63 and (files := (high >> bits) - (low >> bits) + 1) > 1 and files * records_per_file > 4 * n:
+            bits += 1
+    return bits
+
+
+def hashed(records: DataFrame) -> DataFrame:
+    """``id, url, length, digest`` of ``records (id, url, record)``."""
+    return records.select(F.col("id").cast("long").alias("id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
+                          F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
+
+
+def leaves(digests: DataFrame, bits: int) -> DataFrame:
+    """``file, seq, id, url, start, end, digest`` of ``digests (id, url, length, digest)``."""
+    rows = digests.withColumn("file", F.when(F.col("id").isNotNull(), F.shiftright("id", bits).cast("string"))
+                              .otherwise(F.concat(F.lit("none-"), F.substr("digest", F.lit(1), F.lit(3)))))
+    return numbered(rows, ["file"], ["id", "url", "digest"], "fixity-places", "length").select(
+        "file", F.col("_nth").alias("seq"), "id", "url", F.col("_before").alias("start"),
+        (F.col("_before") + F.col("length")).alias("end"), "digest")
 
 
 def parents(children: DataFrame, fanout: int = FANOUT) -> DataFrame:
@@ -63,13 +78,16 @@ def parents(children: DataFrame, fanout: int = FANOUT) -> DataFrame:
 
 
 class Tree:
-    """Stored levels of the trees of one replica, leaves first; the last level is the roots."""
+    """Stored levels of the trees of one replica, leaves first; the last level is the roots.  ``like`` is the tree
+    whose files this one shares."""
 
-    def __init__(self, records: DataFrame, records_per_file: int = RECORDS_PER_FILE, fanout: int = FANOUT):
+    def __init__(self, records: DataFrame, records_per_file: int = RECORDS_PER_FILE, fanout: int = FANOUT, like: Tree | None = None):
         self.fanout = fanout
-        self.levels = [stage_table(leaves(records, records_per_file), "fixity-leaves")]
+        digests = stage_table(hashed(records), "fixity-digests")
+        self.bits = like.bits if like else file_bits(digests, records_per_file)
+        self.levels = [stage_table(leaves(digests, self.bits), "fixity-leaves")]
         while True:
-            # repeated ids can make a file longer than records_per_file: go on until one root a file
+            # a file may hold any number of records: go on until one root a file
             self.levels.append(stage_table(parents(self.levels[-1], fanout), "fixity-level"))
             if (self.levels[-1].agg(F.max("seq")).first()[0] or 0) == 0:
                 break
@@ -112,8 +130,9 @@ def audit(ours: Tree, theirs: Tree) -> DataFrame:
 
 def _matched(ours: DataFrame, theirs: DataFrame, keys: list[str]) -> DataFrame:
     """Leaves of two replicas as ``a, b`` (structs, one may be null), the n-th of a key beside the n-th."""
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("file", "seq"))
-    a, b = (t.select(F.struct(*LEAF).alias(name), nth.alias(f"{name}_nth")) for t, name in ((ours, "a"), (theirs, "b")))
+    order = [c for c in ("file", "seq") if c not in keys]
+    a, b = (numbered(t.select(*LEAF), keys, order, "fixity-match").select(F.struct(*LEAF).alias(name), F.col("_nth").alias(f"{name}_nth"))
+            for t, name in ((ours, "a"), (theirs, "b")))
     same = F.col("a_nth") == F.col("b_nth")
     for k in keys:  # null ids are equal here
         same &= F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) if k == "id" else F.col(f"a.{k}") == F.col(f"b.{k}")
@@ -131,13 +150,19 @@ def audit_report(ours: Tree, theirs: Tree) -> DataFrame:
 
 
 def damaged_copy(pages: DataFrame) -> DataFrame:
-    """A replica of ``pages (page_id, url, html)`` with bit rot that can be foretold: where the MD5 of
-    the page begins with ``00`` its first character is another, with ``01`` it is zero-filled."""
+    """A replica of ``pages (page_id, url, html)`` with faults that can be foretold from the first two digits of the
+    page's MD5: ``00`` its first character is another, ``01`` it is zero-filled, ``02`` and ``03`` it is lost, ``04`` and
+    ``05`` it comes twice, ``06`` and ``07`` an empty page with ``#new`` behind the URL comes besides."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     sign = F.substr(F.md5(html.cast("binary")), F.lit(1), F.lit(2))
     rot = (F.when((sign == "00") & (F.length(html) > 0), F.concat(F.lit("~"), F.substr(html, F.lit(2))))
            .when(sign == "01", F.repeat(F.lit("0"), F.octet_length(html))).otherwise(html))
-    return pages.withColumn("html", rot)
+    copies = F.when(sign.isin("02", "03"), F.expr("array()")).when(sign.isin("04", "05", "06", "07"), F.expr("array(0, 1)")).otherwise(
+        F.expr("array(0)"))
+    new = (F.col("_copy") == 1) & F.col("_sign").isin("06", "07")
+    return (pages.select("page_id", "url", rot.alias("html"), sign.alias("_sign"), F.explode(copies.cast("array<int>")).alias("_copy"))
+            .select("page_id", F.when(new, F.concat(F.coalesce("url", F.lit("")), F.lit("#new"))).otherwise(F.col("url")).alias("url"),
+                    F.when(new, F.lit("")).otherwise(F.col("html")).alias("html")))
 
 
 def page_records(pages: DataFrame) -> DataFrame:
