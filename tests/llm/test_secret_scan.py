@@ -8,7 +8,9 @@ import lzma
 import random
 import re
 import tarfile
+import time
 import urllib.parse
+import zipfile
 import zlib
 
 from viewer_insights.llm import secret_scan as s
@@ -156,3 +158,54 @@ def test_pieces_over_the_layer_limit_are_scanned_whole(monkeypatch):
     assert [x for x, *_ in s.find_spans(clean)] == ["oversize@base64+gzip"] and s.redact(clean) == clean
     data = filler(900).encode()
     assert 0 < len(data) - s.last_cut(data) < 40 and s.last_cut(b"a" * 9000) == 0
+
+
+def test_rarer_escapes_and_archives_are_unwrapped():
+    secret = b"password=correct-horse-battery"
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("first", b"nothing here " * 9)
+        z.writestr("second", secret * 3)
+    deflate = zlib.compressobj(9, zlib.DEFLATED, -15)
+    raw = deflate.compress(secret * 2) + deflate.flush()
+    alone = lzma.compress(secret * 3, format=lzma.FORMAT_ALONE)
+    forms = ["".join(f % x for x in secret) for f in ("\\u{%x}", "%%u%04x", "\\%03o", "&#%d", "&#x%x", "&#%d;")]
+    forms += [repr(alone), *(base64.b64encode(x).decode() for x in (archive.getvalue(), alone))]
+    forms += [x + base64.b64encode(raw).decode() for x in ("", "a", "ab", "abc")]
+    for form in forms:
+        text = f"before {form}\n after"
+        assert any(k.startswith("assign@") for k, *_ in s.find_spans(text)), form
+        assert "[SECRET]" in s.redact(text) and s.redact(text).startswith("before ") and s.redact(text).endswith(" after")
+
+
+def test_base64_over_written_line_breaks_and_string_literals():
+    plain = b"some words and more of them " * 2 + b"password=correct-horse-battery" + b" tail of words"
+    for width in (20, 24, 64):
+        lines = base64.b64encode(plain).decode()
+        lines = [lines[i:i + width] for i in range(0, len(lines), width)]
+        for part in ("\\n", "\\r\\n", "\n\t", '"\n  "', "' +\n  '", '" \\\n"'):
+            text = 'key = "' + part.join(lines) + '" after'
+            (hit,) = [(a, b) for k, a, b in s.find_spans(text) if k == "assign@base64"]
+            got = "".join(c for c in text[slice(*hit)].replace(part, ""))
+            at = "".join(lines).index(got)
+            assert b"correct-horse-batte" in base64.b64decode("".join(lines)[at // 4 * 4:(at + len(got)) // 4 * 4]), (width, part)
+            assert s.redact(text).startswith('key = "') and s.redact(text).endswith(' after')
+
+
+def test_secrets_in_a_long_run_have_their_own_places():
+    for n in (100, 20_000, 60_000):
+        plain = b"word " * n + b"password=correct-horse-battery" + b" other " * 10 + b"token=abcdefabcdefXYZ" + b" and %41 \\x41"
+        text = "x " + base64.b64encode(plain).decode() + " y"
+        hits = {(a, b) for k, a, b in s.find_spans(text) if k.startswith("assign@base64")}
+        first = 2 + 4 * (5 * n // 3)
+        assert len(hits) == 2 and all(first <= a < b <= len(text) - 2 and b - a < 44 for a, b in hits)
+
+
+def test_chains_of_escaped_escapes_take_linear_time():
+    for before, sign, piece, after in (("password", "%", "25", "3Dcorrect-horse-battery"), ("password", "\\", "u005c", "u003dcorrect-horse-battery"),
+                                       ("password", "&", "#38;", "#61;correct-horse-battery"), ("password", "\\", "x5c", "x3dcorrect-horse-battery")):
+        for n in (1, 2, 3, 1_000_000 // len(piece)):
+            text = f"x {before}{sign}{piece * n}{after} y"
+            start = time.time()
+            assert any(k.startswith("assign@") and (a, b) == (2, len(text) - 2) for k, a, b in s.find_spans(text)), (sign, n)
+            assert time.time() - start < 30

@@ -26,6 +26,8 @@ import hashlib
 import lzma
 import re
 import zlib
+from array import array
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterator, Sequence
 from urllib.parse import unquote_to_bytes
@@ -43,32 +45,41 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
 MAX_LAYER = 16 << 20
 
-URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+#: URL escapes; a chain of escaped percent signs (``%252525``) is one, undone at once.
+URL_RUN = re.compile(r"(?:%(?:25)+|%[0-9A-Fa-f]{2})+")
+URL_ESCAPE = re.compile(r"%(?:(?:25)+|..)")
 #: Percent escapes and what URL encoders leave bare between them.
 URL_MIXED = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9!#$&'()*+,/:;=?@_.~-])+")
+#: Unicode escapes of programs (also ``\\u{70}``, octal), of JavaScript's ``escape`` and of HTML; chains of escaped
+#: escape signs (``\\u005cu005c``, ``&#38;#38;``) are one.
 UNICODE_ESCAPE = re.compile(
-    r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
-    r"|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};")
+    r"(?P<slash>\\(?:u005[cC]|x5[cC]|U0000005[cC]|u\{0*5[cC]\}|134)+)|(?P<amp>&(?:#0*38;|#[xX]0*26;)+)"
+    r"|(?P<pair>[\\%]u[dD][89abAB][0-9A-Fa-f]{2}[\\%]u[dD][c-fC-F][0-9A-Fa-f]{2})"
+    r"|\\(?:u|U0000)(?P<four>[0-9A-Fa-f]{4})|%u(?P<escape>[0-9A-Fa-f]{4})|\\u\{(?P<braces>[0-9A-Fa-f]{1,6})\}"
+    r"|\\U(?P<eight>[0-9A-Fa-f]{8})|\\x(?P<byte>[0-9A-Fa-f]{2})|&#[xX](?P<html>[0-9A-Fa-f]{1,6});?"
+    r"|\\(?P<octal>[0-3][0-7]{2}|[0-7]{2})|&#(?P<decimal>[0-9]{1,7});?")
 #: Escapes of one byte as programs write them, with the bare characters between them; up to the end of the line.
 BYTE_RUN = re.compile(r"(?:\\(?:x[0-9A-Fa-f]{2}|u00[0-9A-Fa-f]{2}|[0abfnrtv\\'\"/])|[^\\\r\n\u0100-\U0010ffff])+")
-BYTE_HINT = re.compile(r"\\(?:x|u00)(?i:1f|fd|78|42|5e|01|9c|da)|\\.*(?:BZh|x\^)|(?:BZh|x\^).*\\", re.S)
+BYTE_HINT = re.compile(r"\\(?:x|u00)(?i:1f|fd|78|42|5d|5e|01|9c|da)|\\.*(?:BZh|x\^)|(?:BZh|x\^).*\\|(?:PK|\])\\(?:x|u00)0", re.S)
 BYTE_ESCAPE = re.compile(r"\\(?:x|u00)([0-9A-Fa-f]{2})|\\(.)|(.)", re.S)
 LETTER_ESCAPE = {"0": 0, "a": 7, "b": 8, "f": 12, "n": 10, "r": 13, "t": 9, "v": 11}
+#: What parts the lines of base64: a line end, a line end written as an escape, or the end of a string literal and the
+#: begin of the next.
+LINE = r"(?:\r?\n[ \t]*|(?:\\r)?\\n|[\"'][ \t]*[+\\]?[ \t]*\r?\n[ \t]*\+?[ \t]*[\"'])"
+LINE_END = re.compile(LINE)
 #: Base64, also when it is broken into lines (all but the last of at least 16 characters).
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+(?![A-Za-z0-9+/_ -]))?={0,2}")
-NOT_BASE64 = re.compile(r"[\s=]+")
+BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{16,}}(?:{LINE}[A-Za-z0-9+/_-]{{16,}})*(?:{LINE}[A-Za-z0-9+/_-]+(?![A-Za-z0-9+/_ -]))?={{0,2}}")
 #: ASCII characters each followed by one NUL (UTF-16) or three (UTF-32); the last of a big-endian stretch stands after it.
 WIDE = re.compile(r"(?:[\x01-\x7f]\x00{3}){2,}|(?:[\x01-\x7f]\x00(?!\x00\x00)){2,}")
 #: First bytes of the compressed formats that are unpacked, wherever they stand in a layer.
 MAGIC = re.compile(rb"(?P<gzip>\x1f\x8b\x08)|(?P<zlib>x[\x01\x5e\x9c\xda])|(?P<bzip2>BZh[1-9](?:1AY&SY|\x17rE8P\x90))"
-                   rb"|(?P<xz>\xfd7zXZ\x00)")
+                   rb"|(?P<xz>\xfd7zXZ\x00)|(?P<lzma>\x5d\x00\x00[\x00-\xff]{2}(?:\xff{8}|[\x00-\xff]{5}\x00{3}))"
+                   rb"|(?P<zip>PK\x03\x04[\x00-\xff]{4}\x08\x00)")
 CHUNK = 1 << 16
 #: Places in bytes that no match and no encoded run goes over: after the first blank behind a word (also in UTF-16; not
 #: behind a keyword, and not in a line with byte escapes), at a line end that cannot be inside base64, between zeros.
 CUT = re.compile(rb"(?P<blank>(?:(?<=[A-Za-z0-9.,;)>])\x20(?![\x00\x20]))|(?:(?<=[A-Za-z0-9.,;)>]\x00)\x20\x00(?=[\x01-\x7f]\x00)))"
-                 rb"|(?<=[^A-Za-z0-9+/_\x00\r-])\r?\n(?!\x00)|(?<!\x00)\n(?=[^A-Za-z0-9+/_\x00 \t-])|\x00{4}(?=\x00{4})")
-#: Base64 characters up to which every byte of a run has its own place.
-LONG_RUN = 1 << 16
+                 rb"|(?<=[^A-Za-z0-9+/_\x00\r\"'\\ \t-])\r?\n(?!\x00)|(?<!\x00)\n(?=[^A-Za-z0-9+/_\x00 \t\"'-])|\x00{4}(?=\x00{4})")
 KEYWORD_END = re.compile(rb"(?i:password|passwd|secret|token|api_?key)$")
 
 
@@ -100,10 +111,13 @@ class Packed:
 
     def _member(self) -> Iterator[bytes]:
         view = memoryview(self.data)
-        if self.name in ("gzip", "zlib"):
-            d = zlib.decompressobj(47)
+        inflate = self.name in ("gzip", "zlib", "zip", "deflate")
+        if inflate:
+            d = zlib.decompressobj(47 if self.name in ("gzip", "zlib") else -15)
         else:
             d = bz2.BZ2Decompressor() if self.name == "bzip2" else lzma.LZMADecompressor(memlimit=256 << 20)
+        if self.name == "zip":  # the local header: its size and those of name and extra field
+            self.end += 30 + sum(int.from_bytes(view[self.end + i:self.end + i + 2], "little") for i in (26, 28))
         while self.end < len(view) and not d.eof:
             piece = view[self.end:self.end + CHUNK]
             out = d.decompress(piece, CHUNK)
@@ -112,9 +126,9 @@ class Packed:
                 yield out
                 if d.eof:
                     break
-                rest = d.unconsumed_tail if self.name in ("gzip", "zlib") else b""
+                rest = d.unconsumed_tail if inflate else b""
                 out = d.decompress(rest, CHUNK) if rest or not getattr(d, "needs_input", True) else b""
-        if not d.eof and self.name in ("gzip", "zlib"):
+        if not d.eof and inflate:
             yield d.flush()
         self.whole = d.eof
         self.end -= len(d.unused_data)
@@ -138,18 +152,25 @@ class Packed:
             self.end = pad
 
 
-def unpack(data: bytes, at: int = 0) -> tuple[str, bytes, int] | None:
-    """The format, content and end of the compressed bytes at ``at``; None if there are none."""
-    m = MAGIC.match(data, at)
-    if m is None:
-        return None
-    packed, out, size = Packed(m.lastgroup, data, at), [], 0
+def content(packed: Packed) -> bytes:
+    """The whole content of ``packed``, of at most ``MAX_LAYER`` bytes."""
+    out, size = [], 0
     for chunk in packed.chunks():
         out.append(chunk)
         size += len(chunk)
         if size > MAX_LAYER:
             raise Oversize(packed.name)
-    return (packed.name, b"".join(out), packed.end) if size else None
+    return b"".join(out)
+
+
+def unpack(data: bytes, at: int = 0) -> tuple[str, bytes, int] | None:
+    """The format, content and end of the compressed bytes at ``at``; None if there are none."""
+    m = MAGIC.match(data, at)
+    if m is None:
+        return None
+    packed = Packed(m.lastgroup, data, at)
+    got = content(packed)
+    return (packed.name, got, packed.end) if got else None
 
 
 def last_cut(data: bytes) -> int:
@@ -207,77 +228,100 @@ def decode_base64(token: str) -> Iterator[tuple[int, bytes]]:
         yield at, base64.b64decode(part + "=" * (-len(part) % 4))
 
 
-def _escape(m: str) -> str:
-    if m[0] == "&":
-        code = int(m[3:-1], 16) if m[2] in "xX" else int(m[2:-1])
-    elif len(m) == 12:
-        return chr(0x10000 + ((int(m[2:6], 16) - 0xD800) << 10) + int(m[8:], 16) - 0xDC00)
-    else:
-        code = int(m[2:], 16)
+def _escape(m: re.Match) -> str:
+    how, part = m.lastgroup, m[m.lastgroup]
+    if how in ("slash", "amp"):
+        return part[0]
+    if how == "pair":
+        return chr(0x10000 + ((int(part[2:6], 16) - 0xD800) << 10) + int(part[8:], 16) - 0xDC00)
+    code = int(part, 8 if how == "octal" else 10 if how == "decimal" else 16)
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"
 
 
 class Layer:
     """A decoded text and where its characters come from: ``at`` is None (the document
-    itself), one span for the whole layer, or a start and an end for each character."""
+    itself), one span for the whole layer, or the places in the layer before."""
 
     def __init__(self, text: str, at=None, path: tuple[str, ...] = ()):
         self.text, self.at, self.path = text, at, path
 
     def span(self, start: int, end: int) -> tuple[int, int]:
-        if self.at is None:
-            return start, end
-        if isinstance(self.at[0], int):
-            return self.at
-        return self.at[0][start], self.at[1][end - 1]
+        at = self.at
+        while at is not None and not isinstance(at, tuple):
+            start, end = at.up(start, end)
+            at = at.before
+        return (start, end) if at is None else at
 
     def replaced(self, pieces: list[tuple[int, int, list[tuple[str, int, int]]]], name: str) -> Layer:
         """The layer with pieces (start, end, [(char, its start, its end)]) put in place."""
-        out, starts, ends, last = [], [], [], 0
-        one = self.at is not None and isinstance(self.at[0], int)
-
-        def copy(a: int, b: int) -> None:
-            out.append(self.text[a:b])
-            if not one:
-                starts.extend(range(a, b) if self.at is None else self.at[0][a:b])
-                ends.extend(range(a + 1, b + 1) if self.at is None else self.at[1][a:b])
-
+        out, places, last, size = [], Pieces(self.at), 0, 0
         for a, b, chars in pieces:
-            copy(last, a)
-            for c, x, y in chars:
-                out.append(c)
-                if not one:
-                    s, e = self.span(x, y)
-                    starts.append(s), ends.append(e)
+            out.append(self.text[last:a])
+            places.copied(size, last)
+            size += a - last
+            out.append("".join(c for c, _, _ in chars))
+            places.decoded(size, chars)
+            size += len(chars)
             last = b
-        copy(last, len(self.text))
-        return Layer("".join(out), self.at if one else (starts, ends), (*self.path, name))
+        out.append(self.text[last:])
+        places.copied(size, last)
+        return Layer("".join(out), self.at if isinstance(self.at, tuple) else places, (*self.path, name))
+
+
+class Pieces:
+    """Places of a layer in which pieces were replaced; memory grows with the pieces, not with the text.
+
+    ``begins`` are where stretches of the layer begin and ``sources`` where a copied stretch begins in the layer
+    ``before`` (whose own places are kept, not its text), or, below zero, the first of a decoded stretch's characters.
+    """
+
+    def __init__(self, before):
+        self.before = before
+        self.begins, self.sources, self.starts, self.ends = (array("q") for _ in range(4))
+
+    def copied(self, at: int, source: int) -> None:
+        self.begins.append(at)
+        self.sources.append(source)
+
+    def decoded(self, at: int, chars: list[tuple[str, int, int]]) -> None:
+        self.begins.append(at)
+        self.sources.append(-1 - len(self.starts))
+        self.starts.extend(a for _, a, _ in chars)
+        self.ends.extend(b for _, _, b in chars)
+
+    def _place(self, i: int) -> tuple[int, int]:
+        k = bisect_right(self.begins, i) - 1
+        by, source = i - self.begins[k], self.sources[k]
+        if source >= 0:
+            return source + by, source + by + 1
+        return self.starts[by - 1 - source], self.ends[by - 1 - source]
+
+    def up(self, start: int, end: int) -> tuple[int, int]:
+        return self._place(start)[0], self._place(end - 1)[1]
 
 
 class Base64Places:
-    """The starts (or ends) in the document of the bytes of a base64 run whose characters stand at ``places`` of
-    ``layer``; ``at`` of them come before the first byte."""
+    """Places of the bytes of a base64 run whose characters stand at ``places`` of the layer ``before``; ``at`` of
+    them come before the first byte."""
 
-    def __init__(self, layer: Layer, places: Sequence[int], at: int, end: bool):
-        self.layer, self.places, self.at, self.end = layer, places, at, end
+    def __init__(self, before, places: Sequence[int], at: int):
+        self.before, self.places, self.at = before, places, at
 
-    def __getitem__(self, i):
-        if isinstance(i, slice):
-            return [self[j] for j in range(i.start, i.stop)]
-        c = self.places[self.at + (8 * i + 7 * self.end) // 6]
-        return self.layer.span(c, c + 1)[self.end]
+    def up(self, start: int, end: int) -> tuple[int, int]:
+        return self.places[self.at + 8 * start // 6], self.places[self.at + (8 * end - 1) // 6] + 1
 
 
 def url_layer(layer: Layer) -> Layer | None:
     """The layer with its URL escapes decoded."""
     pieces = []
     for m in URL_RUN.finditer(layer.text):
-        raw = bytes.fromhex(m[0].replace("%", ""))
-        chars, at = [], m.start()
-        for c in raw.decode("utf-8", "replace"):
+        tokens = [(t.start(), 0x25 if t.end() - t.start() > 3 else int(t[0][1:], 16)) for t in URL_ESCAPE.finditer(layer.text, *m.span())]
+        offsets = [t for t, _ in tokens] + [m.end()]
+        chars, at = [], 0
+        for c in bytes(x for _, x in tokens).decode("utf-8", "replace"):
             n = len(c.encode()) if c != "�" else 1
-            chars.append((c, min(at, m.end() - 3), min(at + 3 * n, m.end())))
-            at += 3 * n
+            chars.append((c, offsets[min(at, len(tokens) - 1)], offsets[min(at + n, len(tokens))]))
+            at += n
         pieces.append((m.start(), m.end(), chars))
     return layer.replaced(pieces, "url") if pieces else None
 
@@ -305,16 +349,12 @@ def escaped_bytes(text: str, how: str) -> Iterator[tuple[bytes, list[int]]]:
 
 def unicode_layer(layer: Layer) -> Layer | None:
     """The layer with its Unicode escapes decoded."""
-    pieces = [(m.start(), m.end(), [(_escape(m[0]), m.start(), m.end())]) for m in UNICODE_ESCAPE.finditer(layer.text)]
+    pieces = [(m.start(), m.end(), [(_escape(m), m.start(), m.end())]) for m in UNICODE_ESCAPE.finditer(layer.text)]
     return layer.replaced(pieces, "unicode") if pieces else None
 
 
 def wide_layer(layer: Layer) -> Layer | None:
     """The layer with its ASCII stretches of UTF-16 or UTF-32, of either byte order and at any place, as plain characters."""
-    path = (*layer.path, "wide")
-    if layer.at is not None and isinstance(layer.at[0], int):
-        text = WIDE.sub(lambda m: m[0].replace("\0", ""), layer.text)
-        return Layer(text, layer.at, path) if text != layer.text else None
     pieces = [(m.start(), m.end(), [(c[0][0], m.start() + c.start(), m.start() + c.end()) for c in re.finditer("[^\0]\0+", m[0])])
               for m in WIDE.finditer(layer.text)]
     return layer.replaced(pieces, "wide") if pieces else None
@@ -351,6 +391,17 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
                 end = got[2] if len(got[1]) >= 16 else end
                 push_bytes(got[1], at, (*path, got[0]))
 
+    def push_deflate(data: bytes, place, path: tuple[str, ...]) -> None:
+        """The layer of ``data`` that is raw deflate (which has no mark) from its begin to its end."""
+        packed = Packed("deflate", data, 0)
+        try:
+            got = content(packed)
+        except Oversize:
+            push_windows(packed, place, (*path, "deflate"))
+            return
+        if packed.whole and len(got) >= 16 and packed.end >= len(data) - 2:
+            push_bytes(got, place(0, packed.end), (*path, "deflate"))
+
     def push_windows(packed: Packed, place, path: tuple[str, ...]) -> int:
         """Scans the content of ``packed`` window by window; gives its end."""
         for _ in packed.chunks():
@@ -394,25 +445,36 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
                         push_packed(data, lambda x, y: layer.span(places[x], places[y]), (*layer.path, how))
             if "%" in layer.text and (child := url_layer(layer)) is not None:
                 push(child)
-            if ("\\" in layer.text or "&#" in layer.text) and (child := unicode_layer(layer)) is not None:
+            if ("\\" in layer.text or "&#" in layer.text or "%u" in layer.text) and (child := unicode_layer(layer)) is not None:
                 push(child)
             if "\0" in layer.text and (child := wide_layer(layer)) is not None:
                 push(child)
             path = (*layer.path, "base64")
             for m in BASE64.finditer(layer.text):
-                token = NOT_BASE64.sub("", m[0])
                 # without line breaks, places are a range
-                places = (range(m.start(), m.start() + len(token)) if "\n" not in m[0] else
-                          [m.start() + i for i, c in enumerate(m[0]) if c not in " \t\r\n="])
-                # a long run is one place, as a compressed piece is
-                one = (layer.span(m.start(), m.end())
-                       if len(token) > LONG_RUN or layer.at is not None and isinstance(layer.at[0], int) else None)
-                for at, data in decode_base64(token):
+                last, places, parts = m.start(), None, []
+                for line in LINE_END.finditer(layer.text, *m.span()):
+                    places = places or array("q")
+                    places.extend(range(last, line.start()))
+                    parts.append(layer.text[last:line.start()])
+                    last = line.end()
+                parts.append(layer.text[last:m.end()].rstrip("="))
+                rest = range(last, last + len(parts[-1]))
+                if places is None:
+                    places = rest
+                else:
+                    places.extend(rest)
+                for at, data in decode_base64("".join(parts)):
                     if len(data) >= 16 or MAGIC.search(data):  # no secret and no further layer is shorter
                         # one character a byte, so that every byte has its place
-                        push(Layer(data.decode("latin-1"), one or tuple(Base64Places(layer, places, at, e) for e in (False, True)), path))
-                        push_packed(data, lambda x, y: layer.span(places[at + 8 * x // 6], places[at + (8 * y - 1) // 6] + 1
-                                                                  if y < len(data) else m.end()), path)
+                        push(Layer(data.decode("latin-1"),
+                                   layer.at if isinstance(layer.at, tuple) else Base64Places(layer.at, places, at), path))
+
+                        def place(x: int, y: int) -> tuple[int, int]:
+                            return layer.span(places[at + 8 * x // 6], places[at + (8 * y - 1) // 6] + 1 if y < len(data) else m.end())
+
+                        push_packed(data, place, path)
+                        push_deflate(data, place, path)
 
     drain()
     order = {k: i for i, k in enumerate(KINDS)}
