@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -22,6 +23,20 @@ def test_ids_equal_the_tokenizer_on_whole_texts():
         assert got == want
 
 
+def test_vocabularies_prepared_otherwise_get_whole_texts():
+    plain = json.loads(open(p.TOKENIZER, "rb").read())
+    assert p.WordTokens(json.dumps(plain).encode()).by_word
+    texts = ["Hello hello, World", "IT'S a.b 12", "x  y\n Z"]
+    cased = plain | {"normalizer": {"type": "Sequence", "normalizers": plain["normalizer"]["normalizers"][:2]}}
+    joined = plain | {"pre_tokenizer": {"type": "Sequence", "pretokenizers": plain["pre_tokenizer"]["pretokenizers"][1:]}}
+    bare = plain | {"normalizer": None, "pre_tokenizer": None}
+    for how in (cased, joined, bare):
+        data = json.dumps(how).encode()
+        tokens, whole = p.WordTokens(data), Tokenizer.from_buffer(data)
+        assert not tokens.by_word
+        assert [x.tolist() for x in tokens.encode(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def slow_sum_of_squares(lengths, capacity):
     gaps = []
     for s in lengths:

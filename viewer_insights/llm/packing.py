@@ -20,6 +20,7 @@ columns are ignored; a very long text is tokenized whole.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 import sys
@@ -42,6 +43,12 @@ LENGTH = 2048
 GROUP_ROWS = 1 << 16
 CACHE_WORDS = 500_000
 _TOGETHER = 64
+#: How a vocabulary must prepare texts for ``parted`` to be right (small letters, words, single digits and
+#: runs of marks apart, white space dropped).
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PARTING = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed", "invert": True}
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: ASCII and the letters of Latin-1: such a text may be made small and parted after its letters and digits.
 _PLAIN = re.compile(r"[\t\n -~À-ÖØ-öø-ÿ]*").fullmatch
@@ -70,7 +77,8 @@ def parted(text: str, whole: tuple[str, ...] = ()) -> list[str]:
 class WordTokens:
     """Token ids of whole texts, with the ids of words kept for reuse.
 
-    A vocabulary with word ends drops white space and never joins across it, so the ids
+    A vocabulary with word ends that makes letters small and parts words, digits and marks
+    drops white space and never joins across it, so the ids
     of a text are those of its words in a row (``parted``).  Words of small letters are
     tokenized many in one text and parted at the word-end tokens, other words one by
     one.  Memory is bounded: at ``cache_words`` words the cache starts anew.  Other kinds
@@ -84,7 +92,10 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_buffer(data)
         self.cache_words = cache_words
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.by_word = bool(suffix)
+        how = json.loads(data)
+        steps = (how.get("pre_tokenizer") or {}).get("pretokenizers") or [None]
+        self.by_word = bool(suffix) and how.get("normalizer") == _NORMALIZER and steps[0] == _PARTING and all(
+            x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in steps[1:])
         self.special = tuple(t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values())
         if self.by_word:
             vocabulary = self.tokenizer.get_vocab()
