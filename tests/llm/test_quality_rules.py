@@ -72,3 +72,13 @@ def test_without_labels_nothing_is_rejected_by_the_ratio(docs, labels, odd):
 def test_conflicting_and_repeated_labels(labels):
     got = {r["_id"]: r["_good"] for r in q.trusted_labels(labels([(1, 1), (1, 1), (2, 0), (2, 1), (3, 0), (4, None)])).collect()}
     assert got == {1: 1, 3: 0}
+
+
+def test_filter_of_ids_lets_all_that_match_pass_and_few_others(docs, spark):
+    rows = docs([*((i, "t") for i in range(3000)), (None, "x"), (7, "again")]).select("doc_id", "text")
+    ids = spark.createDataFrame([(i,) for i in range(0, 3000, 10)], "_id long")
+    got = [r["doc_id"] for r in q.maybe_in(rows, "doc_id", ids, "_id").collect()]
+    assert set(range(0, 3000, 10)) <= set(got) and len(got) < 320
+    got = [r["doc_id"] for r in q.maybe_in(rows, "doc_id", spark.createDataFrame([(7,)], "_id long"), "_id", 64).collect()]
+    assert got.count(7) == 2 and len(got) < 150
+    assert q.maybe_in(rows, "doc_id", ids.limit(0), "_id").collect() == []

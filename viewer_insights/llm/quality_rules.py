@@ -8,8 +8,10 @@ against one threshold (nothing is resampled): the one that parts the labelled
 documents with the fewest errors, a lost good document counting ``GOOD_WEIGHT`` times.
 
 The two count tables have ``BUCKETS`` entries whatever the corpus; each task sends at
-most that many partial counts.  Texts are shuffled once, for the join with labels (a
-sort-merge join at every size: labels grow with the corpus and are never broadcast).
+most that many partial counts.  The raw corpus is counted where it is read; only texts
+that a filter of hashed good ids lets pass (``FILTER_BITS`` bits, broadcast) are shuffled, for
+the exact join with labels (a sort-merge join at every size: labels grow with the corpus
+and are never broadcast).  With far more good ids than bits the filter lets all pass.
 
 Defined cases: a null text has no words and fails the base rules; a text with fewer
 bytes than an n-gram scores 0; a document is trusted if all rows of its label say 1 and
@@ -36,6 +38,7 @@ BUCKETS = 1 << 16
 MIN_WORDS = 50
 GOOD_WEIGHT = 20
 SMOOTHING = 1.0
+FILTER_BITS = 1 << 23  # a power of two: at most 131,072 words of 64 bits
 _STEP = 1 << 20  # n-grams held at once
 _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -88,26 +91,38 @@ def trusted_labels(labels: DataFrame) -> DataFrame:
             .where("_low = _high").select("_id", F.col("_low").alias("_good")))
 
 
+def maybe_in(rows: DataFrame, key: str, ids: DataFrame, id_col: str, bits: int = FILTER_BITS) -> DataFrame:
+    """The ``rows`` whose hashed key is that of one of ``ids``: all that match and some that don't.  The words of the
+    filter, at most ``bits / 64`` rows, are broadcast."""
+    place = "pmod(xxhash64({}), %d)" % bits
+    words = (ids.selectExpr(f"{place.format(id_col)} AS _h").groupBy(F.expr("_h div 64").alias("_word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(_h % 64 as int)))").alias("_set")))
+    return (rows.withColumn("_h", F.expr(place.format(key))).join(F.broadcast(words), F.expr("_h div 64 = _word"))
+            .where("getbit(_set, cast(_h % 64 as int)) = 1").select(*rows.columns))
+
+
 def ngram_counts(docs: DataFrame, labels: DataFrame, order: int = ORDER, n_buckets: int = BUCKETS) -> DataFrame:
     """``bucket, raw, target`` summed over all documents."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("text")).hint("merge").join(
-        trusted_labels(labels).where("_good = 1"), F.col("_doc") == F.col("_id"), "left").select("text", "_good")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(n_buckets, np.int64), np.zeros(n_buckets, np.int64)
+        table = np.zeros(n_buckets, np.int64)
         for b in slices(batches):
-            for text, good in zip(texts(b.column(0)), b.column(1).to_pylist()):
+            for text in texts(b.column(0)):
                 for g in buckets_of(text.encode(), order, n_buckets):
-                    c = np.bincount(g, minlength=n_buckets) if len(g) > n_buckets // 8 else None
-                    for table in (raw, target)[: 1 + bool(good)]:
-                        if c is None:
-                            np.add.at(table, g, 1)
-                        else:
-                            table += c
-        at = np.nonzero(raw)[0]
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at.astype(np.int32)), "raw": raw[at], "target": target[at]})
-
-    return (rows.mapInArrow(run, "bucket int, raw long, target long")
+                    if len(g) > n_buckets // 8:
+                        table += np.bincount(g, minlength=n_buckets)
+                    else:
+                        np.add.at(table, g, 1)
+        at = np.nonzero(table)[0]
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at.astype(np.int32)), "n": table[at]})
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("text"))
+    good = trusted_labels(labels).where("_good = 1")
+    target = maybe_in(rows, "_doc", good, "_id").hint("merge").join(good, F.col("_doc") == F.col("_id"))
+    raw, trusted = (x.select("text").mapInArrow(run, "bucket int, n long") for x in (rows, target))
+    zero = F.lit(0).cast("long")
+    return (raw.select("bucket", F.col("n").alias("raw"), zero.alias("target"))
+            .union(trusted.select("bucket", zero, "n"))
             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
 
 
