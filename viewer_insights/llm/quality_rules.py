@@ -7,8 +7,8 @@ integer, so it does not depend on the order of addition.  Every document is held
 against one threshold (nothing is resampled): the one that parts the labelled
 documents with the fewest errors, a lost good document counting ``GOOD_WEIGHT`` times.
 
-The two count tables have ``BUCKETS`` entries whatever the corpus; each task sends at
-most that many partial counts.  The raw corpus is counted where it is read; only texts
+The two count tables have ``BUCKETS`` entries whatever the corpus; each task sends its
+partial counts packed, one row per ``BLOCK`` buckets, and they are added as they come.  The raw corpus is counted where it is read; only texts
 that a filter of hashed good ids lets pass (``FILTER_BITS`` bits, broadcast) are shuffled, for
 the exact join with labels (a sort-merge join at every size: labels grow with the corpus
 and are never broadcast).  With far more good ids than bits the filter lets all pass.
@@ -22,6 +22,7 @@ label; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -38,6 +39,7 @@ BUCKETS = 1 << 16
 MIN_WORDS = 50
 GOOD_WEIGHT = 20
 SMOOTHING = 1.0
+BLOCK = 1 << 10
 FILTER_BITS = 1 << 23  # a power of two: at most 131,072 words of 64 bits
 _STEP = 1 << 20  # n-grams held at once
 _SPACES = " \t\n\x0b\x0c\r"
@@ -113,17 +115,25 @@ def ngram_counts(docs: DataFrame, labels: DataFrame, order: int = ORDER, n_bucke
                         table += np.bincount(g, minlength=n_buckets)
                     else:
                         np.add.at(table, g, 1)
-        at = np.nonzero(table)[0]
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at.astype(np.int32)), "n": table[at]})
+        blocks = [i for i in range(0, n_buckets, BLOCK) if table[i:i + BLOCK].any()]
+        yield pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int32()), "counts": pa.array(
+            [zlib.compress(table[i:i + BLOCK].tobytes(), 1) for i in blocks], pa.binary())})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = np.zeros((2, n_buckets), np.int64)
+        for b in batches:
+            for block, counts, trusted in zip(*(c.to_pylist() for c in b.columns)):
+                got = np.frombuffer(zlib.decompress(counts), np.int64)
+                tables[int(trusted), block:block + len(got)] += got
+        at = np.nonzero(tables[0])[0]
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at.astype(np.int32)), "raw": tables[0][at], "target": tables[1][at]})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("text"))
     good = trusted_labels(labels).where("_good = 1")
     target = maybe_in(rows, "_doc", good, "_id").hint("merge").join(good, F.col("_doc") == F.col("_id"))
-    raw, trusted = (x.select("text").mapInArrow(run, "bucket int, n long") for x in (rows, target))
-    zero = F.lit(0).cast("long")
-    return (raw.select("bucket", F.col("n").alias("raw"), zero.alias("target"))
-            .union(trusted.select("bucket", zero, "n"))
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
+    raw, trusted = (x.select("text").mapInArrow(run, "block int, counts binary").withColumn("trusted", F.lit(side))
+                    for x, side in ((rows, False), (target, True)))
+    return raw.union(trusted).repartition("block").mapInArrow(add, "bucket int, raw long, target long")
 
 
 def log_ratios(counts: DataFrame, n_buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> np.ndarray:
