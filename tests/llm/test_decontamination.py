@@ -104,3 +104,48 @@ def test_equal_items_are_one_entry_and_no_block_is_empty(spark, docs):
     found = d.find_matches(docs([(1, f"x {text} y"), (2, "nothing")]), items, block_bytes=50).collect()
     assert len(found) == 3001 and {r["doc_id"] for r in found} == {1} and {r["item_id"] for r in found} == {*range(3000), None}
     assert [r["doc_id"] for r in d.drop_contaminated(docs([(1, f"x {text} y"), (2, "nothing")]), items, block_bytes=50).collect()] == [2]
+
+
+def test_join_of_pieces_gives_the_matches_of_one_block(spark, docs, odd):
+    import random
+
+    items, rows = corpus()
+    rng = random.Random(9)
+    long_item = [rng.choice(WORDS) for _ in range(700)]
+    items = [*items, (70, " ".join(long_item)), (71, items[3][1]), (72, "word " * 30), (73, "été déjà vu à la forêt d’hiver"), (90, None)]
+    far = [rng.choice(WORDS) for _ in range(1500)]
+    rows = [*rows, *odd, (500, " ".join(far + edited(long_item, 90, rng) + far)), (501, rows[1][1]), (502, rows[1][1].upper()),
+            (503, "x" + " y" * 900 + " ÉTÉ déjà vu, à la forêt d’hiver")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = docs(rows)
+
+    def key(r):
+        return tuple((v is None, v) for v in r)
+
+    want = sorted(d.find_matches(df, bench).collect(), key=key)
+    got = sorted(d.find_matches(df, bench, max_passes=0).collect(), key=key)
+    assert sorted(d.find_matches(df, bench, block_bytes=2000, max_passes=99).collect(), key=key) == want
+    assert got == want and {70, 71, 72, 73} <= {r["item_id"] for r in got} and {500, 501, 503} <= {r["doc_id"] for r in got}
+    kept = d.drop_contaminated(df, bench, max_passes=0)
+    assert kept.columns == df.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, d.drop_contaminated(df, bench).collect()))
+
+
+def test_join_of_pieces_deals_hot_pieces_and_copies(spark, docs):
+    shared = "which of the following is the best answer to it"
+    items = [(i, f"{shared} number{i} one{i} two{i}") for i in range(60)]
+    rows = [(i, f"begin{i} {items[i % 60][1]} end") for i in range(240)] + [(1000 + i, f"copy {items[7][1]}") for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(tuple, d.find_matches(docs(rows), bench).collect()))
+    assert sorted(map(tuple, d.find_matches(docs(rows), bench, max_passes=0).collect())) == want and len(want) >= 540
+
+
+def test_join_of_pieces_takes_odd_and_empty_tables(spark, docs, odd):
+    none = spark.createDataFrame([], "item_id long, text string")
+    blank = spark.createDataFrame([(1, None), (2, " ?! ")], "item_id long, text string")
+    some = spark.createDataFrame([(1, "same words here")], "item_id long, text string")
+    for bench in (none, blank):
+        assert d.find_matches(docs(odd), bench, max_passes=0).collect() == []
+        assert d.drop_contaminated(docs(odd), bench, max_passes=0).count() == len(odd)
+    assert d.find_matches(docs([]), some, max_passes=0).collect() == [] and d.drop_contaminated(docs([]), some, max_passes=0).count() == 0
+    assert [r["doc_id"] for r in d.find_matches(docs(odd), some, max_passes=0).collect()] == [6, 6]

@@ -14,6 +14,11 @@ about ``block_bytes`` at most, so what is sent at once does not grow with the be
 each block is held against all documents.  Documents are never shuffled.  Items that share
 a text are one entry; their ids are joined to its matches.
 
+More than ``max_passes`` blocks would read the documents as many times.  Beyond that, one
+pass finds the places of all pieces (a bit map of fixed size lets only stretches through
+that are pieces or share a hash with one), and the pieces hit are joined to their items by
+hash; only the stretches of documents with a hit leave their task.  The matches are the same.
+
 Defined cases: null or wordless texts match nothing; items of fewer than five words
 have no error budget and match whole only; repeated items and repeated documents each
 match on their own; null ids are carried; an empty table gives an empty result; other
@@ -29,13 +34,21 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewer_insights.llm.common import keep_rows, map_batches, texts
+from viewer_insights.llm.common import keep_rows, map_batches, slices, stage_table, texts
+from viewer_insights.operators.sizing import hot_keys
 
 SIMILARITY = 0.8
 BLOCK_BYTES = 8 << 20
+#: Blocks of items that are held against the documents one by one; more items are joined by their pieces.
+MAX_PASSES = 4
+#: The bit map of piece hashes has 2 ** 26 bits (8 MB) whatever the number of pieces.
+MAP_SHIFT = 38
+#: A hot key is dealt over SALTS * SALTS tasks.
+SALTS = 8
 _BREAKS = regex.compile(r"[^\w\s]+")  # \w of this module holds marks, that of re does not
 #: ASCII punctuation becomes a space, capitals become small letters.
 _ASCII = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -180,8 +193,7 @@ def item_texts(benchmark: DataFrame) -> DataFrame:
 def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
     """The distinct test texts as ``(entry, text)``, in blocks of about ``block_bytes`` of text at most; none is empty."""
     rows = item_texts(benchmark).select("entry", "t").distinct()
-    total = rows.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
-    n = -(-2 * total // block_bytes) if total > block_bytes else 1
+    n = block_count(benchmark, block_bytes)
     for k in range(n):
         block = rows.where(F.pmod(F.xxhash64("entry"), F.lit(n)) == k) if n > 1 else rows
         items = sorted((r["entry"], r["t"]) for r in block.collect())
@@ -189,6 +201,13 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterato
             yield items
 
 
+def block_count(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
+    """Into how many blocks the distinct test texts are dealt."""
+    rows = item_texts(benchmark).select("entry", "t").distinct()
+    total = rows.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
+    return -(-2 * total // block_bytes) if total > block_bytes else 1
+
+
 def _ship(docs: DataFrame, matcher: Matcher):
     """Broadcast a matcher as plain data: broadcast values go by name, and workers need not have this package."""
     return docs.sparkSession.sparkContext.broadcast(vars(matcher))
@@ -200,10 +219,155 @@ def _matcher(fields: dict) -> Matcher:
     return out
 
 
+def word_codes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def piece_codes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every stretch of ``size`` words, the size included."""
+    return Matcher.codes(hashes, size) + np.uint64(size)
+
+
+def piece_index(entries: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``code, size, entry, at, n, k``: every piece of every entry ``(entry, t)``; ``at`` is its first word, ``n`` the
+    entry's words and ``k`` its budget."""
+
+    def batch(b: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {c: [] for c in ("code", "size", "entry", "at", "n", "k")}
+        for entry, t in zip(b.column(0).to_pylist(), texts(b.column(1))):
+            words = words_of(t)
+            if not words:
+                continue
+            hashes, k = word_codes(words), budget(len(words), similarity)
+            for at, piece in pieces_of(words, k):
+                size = len(piece)
+                code = int(piece_codes(hashes[at:at + size], size).view(np.int64)[0])
+                for c, v in zip(out, (code, size, entry, at, len(words), k)):
+                    out[c].append(v)
+        types = (pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32())
+        return {c: pa.array(v, t) for (c, v), t in zip(out.items(), types)}
+
+    return map_batches(entries.select("entry", "t"), batch, "code long, size int, entry string, at int, n int, k int")
+
+
+def piece_map(index: DataFrame) -> np.ndarray:
+    """The bit map of all piece hashes: at most 2 ** 20 words of 64 bits come to the driver."""
+    place = index.selectExpr(f"shiftrightunsigned(code, {MAP_SHIFT}) AS h")
+    words = (place.groupBy(F.expr("h div 64").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(h % 64 as int)))").alias("bits")).toArrow())
+    out = np.zeros(1 << (64 - MAP_SHIFT - 6), np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def hit_stretches(docs: DataFrame, index: DataFrame) -> tuple[DataFrame, int]:
+    """``key, chunk, words, codes, places`` and the step of the chunks.  A chunk holds two steps of words, from
+    ``chunk * step``; the step is as long as the longest passage with its margins, so a passage lies whole in the
+    chunk in which it begins.  Chunks without a hit are left out; ``key`` is the text's digest."""
+    shape = index.agg(F.max(F.expr("n + 2 * k")).alias("longest"), F.collect_set("size").alias("sizes")).first()
+    sizes, step = sorted(shape["sizes"]), max(shape["longest"] or 0, 256)  # a handful of sizes: a piece has a few words
+    held = docs.sparkSession.sparkContext.broadcast(piece_map(index))
+
+    def hits(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        hashes, codes, places = word_codes(words), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for size in sizes:
+            c = piece_codes(hashes, size)
+            bit = c >> np.uint64(MAP_SHIFT)
+            at = np.nonzero(held.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1))[0]
+            codes.append(c[at]), places.append(at)
+        return np.concatenate(codes).view(np.int64), np.concatenate(places)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, chars = [], 0
+
+        def flush() -> pa.RecordBatch:
+            cols = list(zip(*rows)) or [[]] * 5
+            types = (pa.string(), pa.int32(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                              ["key", "chunk", "words", "codes", "places"])
+
+        for b in slices(batches):
+            for i in range(b.num_rows):  # one text is a Python object at a time
+                words = words_of(b.column(1)[i].as_py())
+                codes, places = hits(words)
+                inside = places // step
+                for c in sorted({*inside.tolist(), *(inside - 1).tolist()} - {-1}):
+                    part = b" ".join(words[c * step:(c + 2) * step]).decode()
+                    rows.append((b.column(0)[i].as_py(), c, part, codes[inside == c].tolist(), places[inside == c].tolist()))
+                    chars += len(part)
+                    if chars > 1 << 20:
+                        yield flush()
+                        rows, chars = [], 0
+            yield flush()
+            rows, chars = [], 0
+
+    of_text = docs.where("text is not null").select(F.sha2("text", 256).alias("key"), "text")
+    return stage_table(of_text.mapInArrow(scan, "key string, chunk int, words string, codes array<long>, places array<int>"),
+                       "decontamination-stretches"), step
+
+
+def _dealt_join(left: DataFrame, right: DataFrame, on: str, counted: DataFrame, left_row: str, right_row: str) -> DataFrame:
+    """Inner join on the column ``on``.  Keys that are hot in ``counted`` are dealt over a grid of tasks: a row of either
+    side goes to one line of the grid by a hash of its own columns and is repeated along it.  Every pair meets once."""
+    hot = F.broadcast(hot_keys(counted.select(on), on))  # at most 1,000 names
+
+    def dealt(df: DataFrame, row: str, own: str, other: str) -> DataFrame:
+        every = f"explode(sequence(0, CASE WHEN _hot_key IS NULL THEN 0 ELSE {SALTS - 1} END))"
+        return (df.join(hot, F.col(on) == F.col("_hot_key"), "left")
+                .withColumn(own, F.expr(f"CASE WHEN _hot_key IS NULL THEN 0 ELSE cast(pmod(xxhash64({row}), {SALTS}) AS int) END"))
+                .withColumn(other, F.expr(every)).drop("_hot_key"))
+
+    return dealt(left, left_row, "_l", "_r").join(dealt(right, right_row, "_r", "_l"), [on, "_l", "_r"]).drop("_l", "_r")
+
+
+def matches_by_pieces(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Matches per distinct text, ``key, entry, edits, item_words, end_word``, and the stretches with a hit, whose ``key``
+    (digest of the text) occurs about as often as the text does."""
+    entries = stage_table(item_texts(benchmark).select("entry", "t").distinct(), "decontamination-entries")
+    index = stage_table(piece_index(entries, similarity), "decontamination-pieces")
+    found, step = hit_stretches(docs, index)
+    hits = found.selectExpr("key", "inline(arrays_zip(codes, places))").selectExpr("key", "codes AS code", "places AS place").distinct()
+    placed = _dealt_join(hits, index, "code", hits.select("code").union(index.select("code")), "key, place", "entry, at")
+    windows = stage_table(
+        placed.selectExpr("key", "entry", "n", "k", "place - at - k AS a", "place - at + n + k AS b")
+        .selectExpr("key", "entry", "n", "k", "greatest(a, 0) AS a", "b").distinct()
+        .withColumn("chunk", F.expr(f"cast(a div {step} as int)")).withColumn("stretch", F.expr("concat(key, '-', chunk)")),
+        "decontamination-windows")
+    stretches = found.groupBy("key", "chunk").agg(F.first("words").alias("words")).selectExpr(
+        "concat(key, '-', chunk) AS stretch", "words")
+    with_item = _dealt_join(windows, entries, "entry", windows, "key, a", "entry")
+    with_text = _dealt_join(with_item, stretches, "stretch", windows, "entry, a", "stretch")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, words = None, []
+        for b in slices(batches):
+            out = []
+            for key, entry, n, k, a, end, chunk, stretch, text, item in zip(*(c.to_pylist() for c in b.columns)):
+                if stretch != last:
+                    last, words = stretch, text.encode().split(b" ")
+                edits, at = myers(words_of(item), words[a - chunk * step:end - chunk * step])
+                if edits <= k:
+                    out.append((key, entry, edits, n, a + at))
+            cols = list(zip(*out)) or [[]] * 5
+            types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                             ["key", "entry", "edits", "item_words", "end_word"])
+
+    passages = with_text.select("key", "entry", "n", "k", "a", "b", "chunk", "stretch", "words", "t").mapInArrow(
+        verify, "key string, entry string, edits int, item_words int, end_word long")
+    best = passages.groupBy("key", "entry").agg(F.min(F.struct("edits", "end_word")).alias("m"), F.min("item_words").alias("item_words"))
+    return stage_table(best.select("key", "entry", "m.edits", "item_words", "m.end_word"), "decontamination-matches"), found
+
+
 def find_matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
-                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES, max_passes: int = MAX_PASSES) -> DataFrame:
     """Pairs within the budget: ``doc_id, item_id, edits, item_words, end_word``."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    ids = item_texts(benchmark).select("item_id", F.col("entry").alias("_entry"))
+    if block_count(benchmark, block_bytes) > max_passes:
+        found, seen = matches_by_pieces(rows, benchmark, similarity)
+        out = _dealt_join(rows.select("doc_id", F.sha2("text", 256).alias("key")), found, "key", seen, "doc_id", "entry")
+        return out.join(ids, F.col("entry") == F.col("_entry")).select("doc_id", "item_id", "edits", "item_words", "end_word")
     schema = "doc_id long, entry string, edits int, item_words int, end_word long"
     out = docs.sparkSession.createDataFrame([], schema)
     for items in item_blocks(benchmark, block_bytes):
@@ -217,13 +381,16 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
                     "end_word": pa.array(cols[4], pa.int64())}
 
         out = out.union(map_batches(rows, batch, schema))
-    ids = item_texts(benchmark).select("item_id", F.col("entry").alias("_entry"))
     return out.join(ids, F.col("entry") == F.col("_entry")).select("doc_id", "item_id", "edits", "item_words", "end_word")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
-                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                      block_bytes: int = BLOCK_BYTES, max_passes: int = MAX_PASSES) -> DataFrame:
     """The rows of ``docs`` (all columns) that hold no test item within its budget."""
+    if block_count(benchmark, block_bytes) > max_passes:
+        found, _ = matches_by_pieces(docs.select(F.col("text").cast("string")), benchmark, similarity)
+        return docs.join(found.select(F.col("key").alias("_text_key")).distinct(),
+                         F.sha2(docs["text"].cast("string"), 256) == F.col("_text_key"), "left_anti")
     for items in item_blocks(benchmark, block_bytes):
         held = _ship(docs, Matcher(items, similarity))
 
