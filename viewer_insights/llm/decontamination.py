@@ -339,13 +339,11 @@ def matches_by_pieces(docs: DataFrame, benchmark: DataFrame, similarity: float =
     with_text = _dealt_join(with_item, stretches, "stretch", windows, "entry, a", "stretch")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, words = None, []
         for b in slices(batches):
             out = []
-            for key, entry, n, k, a, end, chunk, stretch, text, item in zip(*(c.to_pylist() for c in b.columns)):
-                if stretch != last:
-                    last, words = stretch, text.encode().split(b" ")
-                edits, at = myers(words_of(item), words[a - chunk * step:end - chunk * step])
+            for i in range(b.num_rows):  # an item and a passage are Python objects at a time
+                key, entry, n, k, a, passage, item = (c[i].as_py() for c in b.columns)
+                edits, at = myers(words_of(item), passage.encode().split(b" "))
                 if edits <= k:
                     out.append((key, entry, edits, n, a + at))
             cols = list(zip(*out)) or [[]] * 5
@@ -353,7 +351,9 @@ def matches_by_pieces(docs: DataFrame, benchmark: DataFrame, similarity: float =
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              ["key", "entry", "edits", "item_words", "end_word"])
 
-    passages = with_text.select("key", "entry", "n", "k", "a", "b", "chunk", "stretch", "words", "t").mapInArrow(
+    # cut before the rows leave the JVM: one long item makes all stretches long, not all passages
+    passage = F.expr(f"array_join(slice(split(words, ' '), cast(a - chunk * {step} AS int) + 1, cast(b - a AS int)), ' ')")
+    passages = with_text.select("key", "entry", "n", "k", "a", passage.alias("passage"), "t").mapInArrow(
         verify, "key string, entry string, edits int, item_words int, end_word long")
     best = passages.groupBy("key", "entry").agg(F.min(F.struct("edits", "end_word")).alias("m"), F.min("item_words").alias("item_words"))
     return stage_table(best.select("key", "entry", "m.edits", "item_words", "m.end_word"), "decontamination-matches"), found
