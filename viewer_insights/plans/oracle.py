@@ -203,6 +203,11 @@ _REJECTS = """SELECT CAST(ts AS DATE) AS "date",
 ORACLE_SQL = {
     "normalize_log_time": """SELECT o_orderkey,
        strftime(o_orderdate + to_seconds((o_orderkey * 7919) % 86400), '%Y-%m-%d %H:%M:%S') AS ts FROM orders""",
+    "normalize_log_time_formats": """SELECT o_orderkey, CASE WHEN style = 7 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00.000'
+            WHEN style < 9 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.') || lpad(CAST(CASE WHEN style IN (0, 4) THEN ms
+                WHEN style IN (1, 5) THEN ms // 10 * 10 WHEN style = 2 THEN ms // 100 * 100 ELSE 0 END AS VARCHAR), 3, '0') END AS ts
+       FROM (SELECT o_orderkey, o_orderdate, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS ts,
+                    o_orderkey * 31 % 1000 AS ms, o_orderkey % 11 AS style FROM orders)""",
     "clean_search_log": _q("SELECT user_id, keyword, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, period FROM clean"),
     "read_search_log": _q("SELECT user_id, keyword, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, period FROM search_log"),
     "search_master_from_raw_log": _q("SELECT * FROM master"),

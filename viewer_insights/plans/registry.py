@@ -165,6 +165,24 @@ def q_normalize_log_time(spark: SparkSession, d: str) -> DataFrame:
     return parsed.select("o_orderkey", _fmt_ts("ts").alias("ts"))
 
 
+def q_normalize_log_time_formats(spark: SparkSession, d: str) -> DataFrame:
+    """Order dates rendered in every format of the logs, with fractions of a second, beside unreadable and missing texts."""
+    o = dt.table(spark, d, "orders").selectExpr("o_orderkey", f"{dt.TIME_SQL} AS _ts", "o_orderkey * 31 % 1000 AS _ms")
+
+    def twelve(shown):
+        return F.regexp_replace(F.regexp_replace(F.concat(F.date_format("_ts", "yyyy-MM-dd h:mm:ss"), shown, F.date_format("_ts", " a")),
+                                                 " PM", " CH"), " AM", " SA")
+
+    digits = [F.concat(F.lit("."), F.lpad(F.expr(f"CAST(_ms div {10 ** (3 - n)} AS STRING)"), n, "0")) for n in (3, 2, 1)]
+    full = F.date_format("_ts", "yyyy-MM-dd HH:mm:ss")
+    texts = [*(F.concat(full, x) for x in digits), full, twelve(digits[0]), twelve(digits[1]), twelve(F.lit("")),
+             F.date_format("_ts", "yyyy-MM-dd"), F.date_format("_ts", "yyyy-MM-dd'T'HH:mm:ss"), F.date_format("_ts", "dd.MM.yyyy 'um' HH"),
+             F.lit(None).cast("string")]
+    text = F.element_at(F.array(*texts), (F.col("o_orderkey") % len(texts) + 1).cast("int"))
+    parsed = search.normalize_log_time(o.withColumn("datetime", text))
+    return parsed.select("o_orderkey", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"))
+
+
 # Month labels of the fixture as the YYYYMM prefixes of its day folders.
 RAW_MONTHS = {"t6": "202206", "t7": "202207"}
 
@@ -524,6 +542,7 @@ def q_intent_vs_watch(spark, d):
 
 QUERIES = {
     "normalize_log_time": q_normalize_log_time,
+    "normalize_log_time_formats": q_normalize_log_time_formats,
     "clean_search_log": q_clean_search_log,
     "read_search_log": q_read_search_log,
     "search_master_from_raw_log": q_search_master_from_raw_log,
