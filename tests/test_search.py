@@ -289,3 +289,20 @@ def test_rule_index_with_twenty_thousand_phrases(spark):
     sample = kws.where("crc32(keyword) % 10 = 0")
     want = {x["keyword"]: x["category"] for x in search.categorize(sample, rules).collect()}
     assert want and all(got[k] == c for k, c in want.items())
+
+
+def test_log_time_tries_only_formats_of_the_same_shape(spark):
+    from viewer_insights.functions.sqltext import string
+    from viewer_insights.functions.timeparse import english_ampm_sql, parse_log_time_sql
+
+    sql = parse_log_time_sql("t")
+    # every text had up to eight attempts, one after the other
+    assert max(part.count("try_to_timestamp(") for part in sql.split("coalesce(")) <= 4
+    texts = ["2022-06-01 10:11:12", "2022-06-01 10:11:12.5", "2022-06-01 10:11:12.1234", "2022-06-01 1:11:12 CH", "2022-06-01 12:11:12.25 sa",
+             "2022-06-01 1:11:12.123 SA", "2022-06-01 1:11:12 pm", "2022-06-01 13:11:12 PM", "2022-06-01T10:11:12", "2022-06-01T10:11:12.5Z",
+             "2022-06-01", "2022-06", "2022-02-30 10:11:12", "2022-06-01 24:00:00", " 2022-06-01 10:11:12 ", "2022-06-01 10:11", "2022-6-1 1:2:3",
+             "2022-06-01 10:11:12 America/New_York", "01.06.2022 um 10", "2022-03-27 02:30:00", "", "m", None]
+    s = english_ampm_sql("t")
+    in_turn = ", ".join(f"try_to_timestamp({s})" if f is None else f"try_to_timestamp({s}, {string(f)})" for f in vocab.TIMESTAMP_FORMATS)
+    got = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", f"coalesce({in_turn}) AS want", f"{sql} AS got")
+    assert got.where("NOT want <=> got").collect() == []

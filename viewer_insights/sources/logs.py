@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from viewer_insights import vocab
-from viewer_insights.functions.sqltext import case, in_list, string
+from viewer_insights.functions.sqltext import string
 from viewer_insights.functions.timeparse import parse_log_time_sql
 
 SEARCH_SCHEMA = StructType([
@@ -60,7 +60,12 @@ def read_search_log(spark: SparkSession, base: str, months: Mapping[str, str | S
     paths = [f"{root}/{folder_prefix}{yyyymm}*/*.parquet" for m in months.values() for yyyymm in _months(m)]
     raw = spark.read.schema(SEARCH_SCHEMA).parquet(*paths)
     folder_month = f"regexp_extract(_metadata.file_path, {string(DAY_FOLDER_PATTERN)}, 1)"
-    period = case(((in_list(folder_month, _months(m)), string(label)) for label, m in months.items()))
+    labels: dict[str, str] = {}
+    for label, m in months.items():
+        for yyyymm in _months(m):
+            labels.setdefault(yyyymm, label)
+    # one map: the folder is taken from the path once per row, whatever the number of months
+    period = f"element_at(map({', '.join(f'{string(m)}, {string(label)}' for m, label in labels.items())}), {folder_month})"
     return raw.selectExpr("user_id", "keyword", "datetime", f"{parse_log_time_sql('datetime')} AS ts",
                           f"{period} AS period")
 
