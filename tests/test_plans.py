@@ -77,3 +77,19 @@ def test_dictionary_formulation_reads_staged_users(spark):
     # not scanned (and the search aggregation not recomputed) three times
     p = plan(E.queries()["map_categories"](spark, SF))
     assert p.count("lineitem.parquet") == 0 and p.count("orders.parquet") == 0
+
+
+def test_keyword_categories_come_from_the_stored_users(spark, monkeypatch):
+    # the log is reduced to users once; the categories of their keywords read the result
+    from viewer_insights.plans import registry
+
+    written, write = [], registry.files.write_parquet
+
+    def watched(df, path, *args, **kw):
+        written.append(plan(df))
+        write(df, path, *args, **kw)
+
+    monkeypatch.setattr(registry.files, "write_parquet", watched)
+    monkeypatch.setattr(registry, "_RAW_COPIES", {})
+    E.queries()["map_categories"](spark, SF)
+    assert len(written) == 2 and sum("lineitem.parquet" in p for p in written) == 1
