@@ -93,3 +93,25 @@ def test_keyword_categories_come_from_the_stored_users(spark, monkeypatch):
     monkeypatch.setattr(registry, "_RAW_COPIES", {})
     E.queries()["map_categories"](spark, SF)
     assert len(written) == 2 and sum("lineitem.parquet" in p for p in written) == 1
+
+
+@pytest.mark.parametrize("name", ["search_master", "search_master_from_raw_log", "month_over_month"])
+def test_shuffles_of_the_search_log_follow_its_rows(spark, name, monkeypatch):
+    # every shuffle of the log's rows has the number of partitions that its rows take, not the session's
+    from viewer_insights.operators import sizing
+    from viewer_insights.plans import registry
+
+    def queried():
+        registry.forget_plans()
+        monkeypatch.setattr(registry, "_RAW_COPIES", {})
+        return E.queries()[name](spark, SF)
+
+    usual = sorted(map(str, queried().collect()))
+    monkeypatch.setattr(sizing, "ROWS_PER_TASK", 300)  # about 20 tasks instead of 8
+    dealt = queried()
+    n = registry.dt.search_partitions(spark, SF)
+    assert n > 8
+    shuffles = [x for x in plan(dealt).splitlines() if "Exchange hashpartitioning" in x]
+    assert shuffles and all(f", {n})" in x for x in shuffles)
+    assert sorted(map(str, dealt.collect())) == usual
+    registry.forget_plans()

@@ -306,3 +306,20 @@ def test_log_time_tries_only_formats_of_the_same_shape(spark):
     in_turn = ", ".join(f"try_to_timestamp({s})" if f is None else f"try_to_timestamp({s}, {string(f)})" for f in vocab.TIMESTAMP_FORMATS)
     got = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", f"coalesce({in_turn}) AS want", f"{sql} AS got")
     assert got.where("NOT want <=> got").collect() == []
+
+
+def test_top_keywords_of_a_log_with_partitions_of_its_own(spark):
+    log = _log(spark, [
+        *(("u1", f"k{i % 40}", f"2022-06-{i % 28 + 1:02d} 10:00:00") for i in range(100)),
+        ("u1", "b", "2022-07-01 10:00:00"), ("u2", "x", None), ("u2", "y", None), ("u2", "x", "2022-06-01 00:00:00"),
+        ("u3", "q", "2022-07-01 00:00:00"), ("u3", "p", "2022-07-01 00:00:00"), (None, "p", "2022-07-01 00:00:00"), ("u4", None, None),
+    ]).withColumn("period", F.when(F.month("ts") == 6, "t6").otherwise("t7"))
+    dealt = search.monthly_top_keywords(log, partitions=11)
+    text = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_id" in text and text.count(", 11), REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" not in text
+    plain = search.monthly_top_keywords(log)
+    assert dealt.schema == plain.schema
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    month = log.where("period = 't6'")
+    a, b = search.top_keyword(month, "t6", partitions=11), search.top_keyword(month, "t6")
+    assert a.schema == b.schema and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
